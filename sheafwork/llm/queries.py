@@ -29,3 +29,53 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import encode_documents
 
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op6_sum_of_squares_packing")
+def op6_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_language_profiles")
+def op9_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import held_out
+    from .langid import learn_profiles, predict_language
+
+    docs = table(spark, sf_dir, "documents")
+    found = predict_language(docs, learn_profiles(docs, ~held_out("doc_id")))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+_OP7_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d GROUP BY payload_digest)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+       CASE WHEN d.payload_bytes >= 100 AND d.page_id IS DISTINCT FROM f.first AND f.first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN d.payload_bytes >= 100 AND d.page_id IS DISTINCT FROM f.first THEN f.first END AS refers_to
+FROM d JOIN f USING (payload_digest)
+"""
+
+
+@query("op7_warc_bundles", _OP7_SQL)
+def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import written
+    from .warc import plan_records, read_bundles, write_bundles
+
+    return read_bundles(written(write_bundles(plan_records(table(spark, sf_dir, "pages"))), "bundles"))
+
+
+@query("op5_string_kernel_toxicity")
+def op5_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .common import held_out
+    from .toxicity import learn_toxicity, score_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    machine = learn_toxicity(docs, table(spark, sf_dir, "labels"), ~held_out("doc_id"))
+    return score_toxicity(docs, machine).select("doc_id", held_out("doc_id").alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
