@@ -85,3 +85,10 @@ def op5_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_adaptive_quality", quality.SQL)
 def op4_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
+
+
+@query("op10_shingle_join")
+def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .shingle_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"))
