@@ -92,3 +92,10 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .shingle_join import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op1_sentence_spans")
+def op1_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spans import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
