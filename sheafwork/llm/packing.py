@@ -30,14 +30,15 @@ CACHE_CHUNKS = 300_000
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, `offset` bigint"
 _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-_PLAIN = re.compile(rb"([a-z]+)([.,]?)")
+#: Letters of Latin-1, then signs: the tokenizer cuts between the two, whatever the signs are.
+_PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
 
 
 class ChunkTokenizer:
     """Ids of whole texts as little-endian bytes, by chunks between ASCII white space.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its chunks in turn; ASCII
-    letters are lowered beforehand, as it would; a word's ids don't depend on a full stop or comma behind it.
+    letters are lowered beforehand, as it would; a word's ids don't depend on signs behind it.
     """
 
     def __init__(self, path: str):
@@ -52,7 +53,7 @@ class ChunkTokenizer:
         return np.array(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
     def _plain(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Words of ASCII letters alone, many in one call: each is one word of the tokenizer's."""
+        """Words of letters alone, many in one call: each is one word of the tokenizer's."""
         out: dict[bytes, bytes] = {}
         for at in range(0, len(words), 4000):
             some = words[at : at + 4000]
@@ -66,16 +67,17 @@ class ChunkTokenizer:
         split = [(t or "").encode().lower().split() for t in texts]
         new = {c for cs in split for c in cs}.difference(self.known)
         fresh: dict[bytes, bytes] = {}
-        parts, words = {}, set()
+        parts, words, ends = {}, set(), {b""}
         for chunk in new:
             if m := _PLAIN.fullmatch(chunk):
                 parts[chunk] = m.groups()
                 words.add(m[1])
+                ends.add(m[2])
             else:
                 fresh[chunk] = self._whole(chunk)
         ids = self._plain(list(words))
-        ends = {b"": b"", b".": self._whole(b"."), b",": self._whole(b",")}
-        fresh.update((chunk, ids[word] + ends[end]) for chunk, (word, end) in parts.items())
+        behind = {end: self._whole(end) for end in ends}
+        fresh.update((chunk, ids[word] + behind[end]) for chunk, (word, end) in parts.items())
         room = max(0, CACHE_CHUNKS - len(self.known))
         known = self.known
         get = (known | fresh).__getitem__ if fresh else known.__getitem__
