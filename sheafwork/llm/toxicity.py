@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled documents of each class in the fit, about.
-SAMPLE = 2500
+SAMPLE = 1200
 #: Landmarks of toxic and of clean words.
 LANDMARKS = (96, 48)
 #: The kernel: weight of each character spanned, longest span, power of a word's similarity, similarity that counts.
@@ -161,9 +161,9 @@ class Machine:
                 found.append(p)
                 owner.append(i)
         out = np.zeros(len(words))
-        for at in range(0, len(found), 20_000):
-            some = self.landmarks.kernel(found[at : at + 20_000]) @ self.weights
-            np.add.at(out, owner[at : at + 20_000], some)
+        for at in range(0, len(found), 5_000):
+            some = self.landmarks.kernel(found[at : at + 5_000]) @ self.weights
+            np.add.at(out, owner[at : at + 5_000], some)
         return out
 
     def probability(self, decision: float) -> float:
@@ -180,13 +180,14 @@ def sentences(text: str) -> list[list[str]]:
     return found
 
 
-def _pick_landmarks(toxic: list[Counter], other: list[Counter]) -> tuple[list[str], int]:
+def _pick_landmarks(toxic: list[set[str]], other: list[set[str]]) -> tuple[list[str], int]:
     """Words that mark toxic documents, by themselves or by their beginnings, then the clean words most like them; the number of the former."""
     bad: Counter = Counter()
     good: Counter = Counter()
     for total, docs in ((bad, toxic), (good, other)):
         for d in docs:
-            total.update(d.keys() | {"^" + w[:k] for w in d for k in (4, 5)})
+            total.update(d)
+            total.update({"^" + w[:k] for w in d for k in (4, 5)})
     odds = len(other) / max(1, len(toxic))
 
     def strength(x: str) -> float:
@@ -200,7 +201,7 @@ def _pick_landmarks(toxic: list[Counter], other: list[Counter]) -> tuple[list[st
         return [], 0
     # clean words that look most like those
     others = [w for w, n in good.items() if w[0] != "^" and w not in bad]
-    alike = np.concatenate([Landmarks(chosen).kernel(others[i : i + 20_000]).max(1, initial=0) for i in range(0, len(others), 20_000)] or [np.empty(0)])
+    alike = np.concatenate([Landmarks(chosen).kernel(others[i : i + 5_000]).max(1, initial=0) for i in range(0, len(others), 5_000)] or [np.empty(0)])
     return chosen + [others[i] for i in np.argsort(-alike, kind="stable")[: LANDMARKS[1]] if alike[i] > 0], len(chosen)
 
 
@@ -218,8 +219,9 @@ def _squared_hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float
 
 
 def fit(texts: list[str], labels: list[int]) -> Machine:
-    docs = [sentences(t) for t in texts]
-    bags = [Counter({p for s in d for w in s for p in pieces(w)}) for d in docs]
+    same: dict[str, str] = {}  # each distinct word is held once
+    docs = [[[same.setdefault(w, w) for w in s] for s in sentences(t)] for t in texts]
+    bags = [{p for s in d for w in s for p in pieces(w)} for d in docs]
     landmarks, n_toxic = _pick_landmarks([b for b, y in zip(bags, labels) if y], [b for b, y in zip(bags, labels) if not y])
     if not landmarks or len(set(labels)) < 2:
         return Machine()
@@ -229,8 +231,8 @@ def fit(texts: list[str], labels: list[int]) -> Machine:
     project = vectors[:, kept] / np.sqrt(values[kept])
     words = sorted({w for b in bags for w in b})
     features = {}
-    for at in range(0, len(words), 20_000):
-        k = marks.kernel(words[at : at + 20_000])
+    for at in range(0, len(words), 5_000):
+        k = marks.kernel(words[at : at + 5_000])
         for i in np.nonzero(k.any(1))[0]:
             features[words[at + i]] = k[i]
     nothing = np.zeros(len(landmarks))
