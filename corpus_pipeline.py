@@ -36,8 +36,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     from sheafwork.llm.shingle_join import jaccard_components
 
     found = jaccard_components(docs)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    with_id = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("kept_id")).drop("kept_id")
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
+    with_id = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("__kept_id")).drop("__kept_id")
     return with_id.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
 
 
