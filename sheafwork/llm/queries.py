@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import code_search, quality, token_counts
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,39 @@ def op1_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .spans import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+
+
+@query("op3_multi_index_hashing", code_search.SQL)
+def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import written
+
+    codes = written(code_search.sign_codes(table(spark, sf_dir, "embeddings")), "codes")
+    return code_search.nearest(codes, codes.where("id % 50 = 0")).withColumnRenamed("id", "vec_id")
+
+
+@query("op8_token_rollup", token_counts.SQL)
+def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in under one tokenizer version, are revised to another, and repeated texts are deleted; each batch is sent twice."""
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from .common import shared_dir, written
+    from .token_counts import Rollup, count_pieces, count_words
+
+    docs = table(spark, sf_dir, "documents")
+    counted = written(docs.select("doc_id", "source", "lang", F.xxhash64("text").alias("h1"), F.coalesce(F.md5("text"), F.lit("none")).alias("h2"), count_words(F.col("text")).alias("words"), count_pieces(F.col("text")).alias("pieces")), "token-counts")
+    none = F.lit(None)
+    change = lambda rows, kind, version, n, old_version=none.cast("string"), old=none.cast("long"): rows.select(F.lit(kind).alias("kind"), "source", "lang", F.lit(version).alias("tokenizer_version"), F.col(n).alias("n_tokens"), old_version.alias("old_version"), old.alias("old_tokens"))
+    first = counted.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "source", "lang")).alias("s"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", F.col("s.doc_id").alias("first_id"))
+    copies = counted.join(first, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("first_id")))
+    rollup = Rollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
+    batches = {
+        "0001": change(counted, "insert", "words", "words"),
+        "0002": change(counted, "revise", "pieces", "pieces", F.lit("words"), F.col("words")),
+        "0003": change(copies, "delete", "pieces", "pieces"),
+    }
+    for _ in range(2):
+        for batch_id, changes in batches.items():
+            rollup.commit(batch_id, changes)
+    return rollup.totals()
