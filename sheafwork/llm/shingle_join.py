@@ -6,8 +6,9 @@ among the smaller ones over inverted lists: the T - 1 longest lists are set asid
 candidates, and candidates are probed in the long lists by binary search until they reach T or can't any more. Sets that
 already belong together aren't compared again, so a group of copies costs a spanning tree, not its pairs.
 
-Shingles are ordered by commonness, then by hash. Commonness only saves work and never changes a result: it is whether a
-shingle is among the ``COMMON`` that most documents share, as far as partitions see them repeatedly.
+Shingles are ordered by how common they are, then by hash: rare words make rare shingles, and shingles that partitions
+see repeatedly come last. The order only saves work and never changes a result, as any order that all sets share will do;
+so the bounds on the lists that all tasks hold (``FREQUENT`` words, ``COMMON`` shingles) lose nothing.
 
 Groups over ``BLOCK`` shingles are dealt by size class and, where a class is still larger, into blocks of which each two meet
 in a task. Equal sets are one node from the start.
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,43 +35,79 @@ from pyspark.sql import functions as F
 from .common import written
 from .components import components
 
-#: Common shingles that are told to all tasks, at most, and the occurrences in a partition and overall that make one.
-COMMON, SEEN_HERE, SEEN = 1 << 17, 3, 60
+#: Words and shingles that all tasks are told are frequent, at most.
+FREQUENT, COMMON = 1 << 14, 1 << 18
+#: Occurrences of a shingle in a partition and overall that make it common.
+SEEN_HERE, SEEN = 2, 8
 #: Shingles of the sets that a task compares at once, about; a single set may be larger.
 BLOCK = 2_000_000
+#: Bits of the bitmap's size that tells which documents have candidates.
+MARKS = 20
 _PRIMES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
 class _Hashes(dict):
-    """Hashes of words; forgets all when full."""
+    """Hashes of words with their commonness, 0 to 15, in the last four bits; forgets all when full."""
+
+    def __init__(self, commonness: dict[bytes, int]):
+        super().__init__()
+        self.commonness = commonness
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > 200_000:
             self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        self[word] = found = xxhash.xxh3_64_intdigest(word) & ~15 | self.commonness.get(word, 0)
         return found
 
 
 class Shingler:
-    def __init__(self, words: int = 4):
+    def __init__(self, words: int = 4, commonness: dict[bytes, int] | None = None):
         self.words = words
-        self.hashes = _Hashes()
+        self.hashes = _Hashes(commonness or {})
 
     def shingles(self, text: str | None) -> np.ndarray:
-        """Distinct 64-bit hashes of the text's shingles, ascending. Words end at ASCII white space; A-Z are lowered."""
+        """Distinct shingles of the text, ascending: the mean commonness of their words in 4 bits, then 60 bits of hash.
+
+        Words end at ASCII white space; A-Z are lowered; a text of fewer words than a shingle's is one shingle.
+        """
         words = (text or "").encode().lower().split()
         if not words:
             return np.empty(0, np.uint64)
         h = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
         n, k = max(1, len(h) - self.words + 1), min(len(h), self.words)
-        out = np.full(n, k, np.uint64)
+        out, common = np.full(n, k, np.uint64), np.zeros(n, np.uint64)
         for i in range(k):
             out = (out ^ h[i : i + n]) * _PRIMES[i % 3]
             out ^= out >> np.uint64(29)
-        out = np.sort(out)
+            common += h[i : i + n] & np.uint64(15)
+        out = np.sort(out >> np.uint64(4) | common // np.uint64(k) << np.uint64(60))
         return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
+def frequent_words(docs: DataFrame) -> dict[bytes, int]:
+    """Commonness of the most frequent words of all texts: 15 for the first few, less by one as their number doubles."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                seen.update((text.as_py() or "").encode().lower().split())
+                if len(seen) > 400_000:  # what is left out is rare here
+                    yield _words(seen)
+                    seen.clear()
+        if seen:
+            yield _words(seen)
+
+    totals = docs.select("text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = totals.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    return {bytes(r["word"]): max(1, 15 - (i + 1).bit_length() + 1) for i, r in enumerate(rows)}
+
+
+def _words(seen: Counter) -> pa.RecordBatch:
+    words, n = zip(*seen.most_common(FREQUENT))
+    return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64())], names=["word", "n"])
+
+
 def probe_length(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     """First shingles of which a set shares one with any smaller or equal set that it links to."""
     return n - -(-percent * n // 100) + 1
@@ -89,11 +127,11 @@ def in_order(shingles: np.ndarray, common: np.ndarray, size: int) -> np.ndarray:
     return np.concatenate((shingles[~often], shingles[often]))[:size]
 
 
-def common_shingles(docs: DataFrame, percent: int, words: int) -> np.ndarray:
+def common_shingles(docs: DataFrame, percent: int, words: int, frequent: dict[bytes, int]) -> np.ndarray:
     """Shingles that many documents share, from all texts; at most COMMON, ascending."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
+        shingler = Shingler(words, frequent)
         parts: list[np.ndarray] = []
         held = 0
 
@@ -118,11 +156,11 @@ def common_shingles(docs: DataFrame, percent: int, words: int) -> np.ndarray:
     return np.sort(rows["shingle"].to_numpy(np.int64).view(np.uint64))
 
 
-def signatures(docs: DataFrame, common: np.ndarray, percent: int, words: int) -> DataFrame:
+def signatures(docs: DataFrame, common: np.ndarray, percent: int, words: int, frequent: dict[bytes, int]) -> DataFrame:
     """(doc_id, n, signature of the whole set, its first shingles as bytes)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
+        shingler = Shingler(words, frequent)
         for batch in batches:
             sizes, marks, firsts = [], [], []
             for text in batch.column(1):
@@ -263,7 +301,31 @@ def _merge(lists: list[np.ndarray], lo: int, hi: int) -> dict[int, int]:
     return out
 
 
-def verified_links(docs: DataFrame, clusters: DataFrame, percent: int, words: int, block: int = BLOCK) -> DataFrame:
+def _places(ids: np.ndarray) -> np.ndarray:
+    return (ids.view(np.uint64) * _PRIMES[0] >> np.uint64(64 - MARKS)).astype(np.int64)
+
+
+def _likely(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows (node, text) whose node may be among ``nodes``, by a bitmap of 2 ** MARKS marks; spares shuffling the others."""
+
+    def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_places(batch.column(0).to_numpy())))], names=["place"])
+
+    places = nodes.select("node").mapInArrow(mark, "place bigint").distinct().toPandas()["place"].to_numpy(np.int64)
+    bits = np.zeros(1 << MARKS, bool)
+    bits[places] = True
+    packed = np.packbits(bits)
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = np.unpackbits(packed).astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(marked[_places(batch.column(0).to_numpy())]))
+
+    return rows.where("node IS NOT NULL").mapInArrow(keep, "node bigint, text string")
+
+
+def verified_links(docs: DataFrame, clusters: DataFrame, percent: int, words: int, frequent: dict[bytes, int], block: int = BLOCK) -> DataFrame:
     """Links (a, b) that span what belongs together in each candidate group. ``clusters``: (node, n, component)."""
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) * (1 - 1e-12)).cast("int")
     rows = clusters.withColumn("class", step)
@@ -287,13 +349,13 @@ def verified_links(docs: DataFrame, clusters: DataFrame, percent: int, words: in
     by_node = placed.groupBy("node").agg(F.collect_list(F.struct("component", "part")).alias("groups"))
 
     def arrays(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
+        shingler = Shingler(words, frequent)
         for batch in batches:
             out = [shingler.shingles(t.as_py()).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.binary())], names=["node", "groups", "shingles"])
 
     kind = by_node.schema["groups"].dataType.simpleString()
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(by_node, "node").select("node", "text", "groups")
+    texts = _likely(docs.select(F.col("doc_id").alias("node"), "text"), rows).join(by_node, "node").select("node", "text", "groups")
     dealt = texts.mapInArrow(arrays, f"node bigint, groups {kind}, shingles binary").select("node", "shingles", F.explode("groups").alias("g"))
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
@@ -307,14 +369,15 @@ def verified_links(docs: DataFrame, clusters: DataFrame, percent: int, words: in
 def jaccard_components(docs: DataFrame, percent: int = 85, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): the smallest id that links of at least ``percent`` lead to."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    common = common_shingles(rows, percent, words)
-    marks = written(signatures(rows, common, percent, words), "shingle-sets")
+    frequent = frequent_words(rows)
+    common = common_shingles(rows, percent, words, frequent)
+    marks = written(signatures(rows, common, percent, words, frequent), "shingle-sets")
     linked = marks.where("doc_id IS NOT NULL AND n > 0")
     sets = written(linked.groupBy("mark").agg(F.min(F.struct("doc_id", "n", "firsts")).alias("s")).select("mark", F.col("s.doc_id").alias("node"), "s.n", "s.firsts"), "shingle-nodes")
     edges = candidate_edges(sets, percent)
     groups = components(edges)
     clusters = written(sets.select("node", "n").join(groups, "node").distinct(), "shingle-groups")
-    links = components(verified_links(rows, clusters, percent, words))
+    links = components(verified_links(rows, clusters, percent, words, frequent))
     of = sets.select("mark", "node").join(links, "node", "left").select("mark", F.coalesce("component", "node").alias("found"))
     named = marks.select("doc_id", "n", "mark").join(of, "mark", "left")
     return named.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id"))
