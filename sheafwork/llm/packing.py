@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections import defaultdict, deque
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -34,6 +36,16 @@ _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
 _PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
 
 
+def _byte_signs() -> dict[int, int]:
+    """The sign that byte-level vocabularies have for each byte: itself where it is printable, else one from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+_BYTES = _byte_signs()
+
+
 class ChunkTokenizer:
     """Ids of whole texts as little-endian bytes, by chunks between ASCII white space.
 
@@ -42,6 +54,8 @@ class ChunkTokenizer:
     """
 
     def __init__(self, path: str):
+        if sys.byteorder != "little" or array("I").itemsize != 4:
+            raise RuntimeError("ids are kept as little-endian words of 32 bits")
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -52,15 +66,12 @@ class ChunkTokenizer:
     def _whole(self, chunk: bytes) -> bytes:
         return np.array(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _plain(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Words of letters alone, many in one call: each is one word of the tokenizer's."""
-        out: dict[bytes, bytes] = {}
-        for at in range(0, len(words), 4000):
-            some = words[at : at + 4000]
-            got = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
-            ids = np.array(got.ids, "<u4")
-            cuts = np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(some) + 1))
-            out.update((w, ids[a:b].tobytes()) for w, a, b in zip(some, cuts[:-1].tolist(), cuts[1:].tolist()))
+    def _plain(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        """Words of letters alone: each is one word of the tokenizer's, so its model takes them as they are."""
+        tokenize, out = self.tokenizer.model.tokenize, {}
+        for word in words:
+            own = word if word.isascii() else word.decode().lower().encode()
+            out[word] = array("I", [t.id for t in tokenize(own.decode("latin-1").translate(_BYTES))]).tobytes()
         return out
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
@@ -75,7 +86,7 @@ class ChunkTokenizer:
                 ends.add(m[2])
             else:
                 fresh[chunk] = self._whole(chunk)
-        ids = self._plain(list(words))
+        ids = self._plain(words)
         behind = {end: self._whole(end) for end in ends}
         fresh.update((chunk, ids[word] + behind[end]) for chunk, (word, end) in parts.items())
         room = max(0, CACHE_CHUNKS - len(self.known))
