@@ -17,7 +17,7 @@ import sys
 import zlib
 from array import array
 from collections import defaultdict, deque
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 
 WINDOW = 4096
 END = 2
-#: Chunks that a Python worker keeps for later batches and tasks.
-CACHE_CHUNKS = 300_000
+#: Chunks, and words, that a Python worker keeps for later batches and tasks.
+CACHE_CHUNKS = 350_000
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, `offset` bigint"
 _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
@@ -46,11 +46,26 @@ def _byte_signs() -> dict[int, int]:
 _BYTES = _byte_signs()
 
 
+class _Known(dict):
+    """Results by key, made by ``make`` when first asked for; the first ``size`` are kept, and so the common ones."""
+
+    def __init__(self, make: Callable[[bytes], bytes], size: int):
+        super().__init__()
+        self.make, self.size = make, size
+
+    def __missing__(self, key: bytes) -> bytes:
+        found = self.make(key)
+        if len(self) < self.size:
+            self[key] = found
+        return found
+
+
 class ChunkTokenizer:
     """Ids of whole texts as little-endian bytes, by chunks between ASCII white space.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its chunks in turn; ASCII
-    letters are lowered beforehand, as it would; a word's ids don't depend on signs behind it.
+    letters are lowered beforehand, as it would; a word's ids don't depend on signs behind it, and a word of letters is
+    one word of the tokenizer's, so its model takes it as it is.
     """
 
     def __init__(self, path: str):
@@ -61,42 +76,29 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
+        self.chunks = _Known(self._chunk, CACHE_CHUNKS)
+        self.words = _Known(self._word, CACHE_CHUNKS)
+        self.signs = _Known(self._whole, 10_000)
+        self.signs[b""] = b""
+        self.tokenize = self.tokenizer.model.tokenize
 
     def _whole(self, chunk: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        own = word if word.isascii() else word.decode().lower().encode()
+        return array("I", [t.id for t in self.tokenize(own.decode("latin-1").translate(_BYTES))]).tobytes()
 
-    def _plain(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
-        """Words of letters alone: each is one word of the tokenizer's, so its model takes them as they are."""
-        tokenize, out = self.tokenizer.model.tokenize, {}
-        for word in words:
-            own = word if word.isascii() else word.decode().lower().encode()
-            out[word] = array("I", [t.id for t in tokenize(own.decode("latin-1").translate(_BYTES))]).tobytes()
-        return out
+    def _chunk(self, chunk: bytes) -> bytes:
+        if m := _PLAIN.fullmatch(chunk):
+            word, signs = m.groups()
+            return self.words[word] + self.signs[signs]
+        return self._whole(chunk)
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [(t or "").encode().lower().split() for t in texts]
-        new = {c for cs in split for c in cs}.difference(self.known)
-        fresh: dict[bytes, bytes] = {}
-        parts, words, ends = {}, set(), {b""}
-        for chunk in new:
-            if m := _PLAIN.fullmatch(chunk):
-                parts[chunk] = m.groups()
-                words.add(m[1])
-                ends.add(m[2])
-            else:
-                fresh[chunk] = self._whole(chunk)
-        ids = self._plain(words)
-        behind = {end: self._whole(end) for end in ends}
-        fresh.update((chunk, ids[word] + behind[end]) for chunk, (word, end) in parts.items())
-        room = max(0, CACHE_CHUNKS - len(self.known))
-        known = self.known
-        get = (known | fresh).__getitem__ if fresh else known.__getitem__
-        for cs in split:
-            yield b"".join(map(get, cs))
-        if room:
-            for chunk in list(fresh)[:room]:
-                known[chunk] = fresh[chunk]
+        get = self.chunks.__getitem__
+        for text in texts:
+            yield b"".join(map(get, (text or "").encode().lower().split()))
 
 
 @lru_cache(maxsize=1)
