@@ -67,13 +67,17 @@ def resolve_new(candidates: DataFrame, stored: DataFrame, resolve) -> DataFrame:
     return stored.unionByName(resolve(candidates.join(stored.select("source"), "source", "left_anti")))
 
 
+def _entry(path: int, via: str):
+    return lambda n: F.struct(F.lit(path).alias("path"), F.lit(via).alias("via"), n.alias("name"))
+
+
 def name_index(rows: DataFrame, key: str, ordinal: str, paths: dict[str, Column]) -> DataFrame:
     """(name, key, via): the first row's name, by whatever path, wins; ``paths`` gives a name or an array of names each."""
     entries = []
     for i, (via, c) in enumerate(paths.items()):
         is_array = rows.select(c.alias("x")).schema["x"].dataType.typeName() == "array"
         names = F.transform(c if is_array else F.array(c), lambda n: T.comparison_name(n))
-        entries.append(F.transform(names, lambda n, i=i, via=via: F.struct(F.lit(i).alias("path"), F.lit(via).alias("via"), n.alias("name"))))
+        entries.append(F.transform(names, _entry(i, via)))
     long = rows.select(F.col(key).alias("key"), F.col(ordinal).alias("ord"), F.posexplode(F.concat(*[F.coalesce(e, F.array()) for e in entries])).alias("pos", "e")).where("e.name <> ''")
     return long.groupBy("e.name").agg(F.min_by(F.struct("key", "e.via"), F.struct("ord", "pos")).alias("m")).select("name", "m.key", "m.via")
 

@@ -80,7 +80,7 @@ def assign_columns(words: DataFrame, doc: list[str], order: str, x: str, edges:
 def merge_continuations(rows: DataFrame, doc: str, order: str, numbered: Column, cells: list[str]) -> DataFrame:
     """Rows without a number are joined to the one before, cell by cell; a hyphen at a cell's end takes no blank."""
     record = F.sum(F.when(numbered, 1).otherwise(0)).over(Window.partitionBy(doc).orderBy(order))
-    whole = lambda c: F.regexp_replace(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, c))), lambda e: e[c]), " "), r"(?<=\w)- ", "-")
+    whole = lambda c: F.regexp_replace(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("at"), F.col(c).alias("cell")))), lambda e: e["cell"]), " "), r"(?<=\w)- ", "-")
     return rows.withColumn("record", record).groupBy(doc, "record").agg(*[whole(c).alias(c) for c in cells])
 
 

@@ -1 +1,957 @@
-"""The library's own operators over the given tables."""
+"""The library's own operators over the given tables, each with the DuckDB SQL for the same rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import audit, filters, indicators, lists, merge, resolve, tree, windows
+from ..registry import query, table
+from ..sources import readers, sinks
+from ..storage import scratch, written
+from ..streaming import ingest
+
+CENTS = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+
+# Best rows by facet, counts, pivots
+
+
+@query("best_per_facet", """
+SELECT l_suppkey, l_returnflag, l_orderkey, l_linenumber, nth, n_allowed FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_suppkey, l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS nth,
+         count(*) OVER (PARTITION BY l_suppkey) AS n_allowed
+  FROM lineitem WHERE lower(trim(l_linestatus)) IN ('f')) WHERE nth <= 3
+""")
+def best_per_facet(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "lineitem").where(filters.allowed_licence("l_linestatus", ["f"])).select("l_suppkey", "l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice")
+    top = windows.top_per_facet(rows, "l_suppkey", "l_returnflag", [F.desc("l_extendedprice"), "l_orderkey", "l_linenumber"], 3)
+    counts = merge.facet_counts(rows, "l_suppkey", "l_returnflag").select("l_suppkey", F.col("total").alias("n_allowed"))
+    return top.join(counts, "l_suppkey").select("l_suppkey", "l_returnflag", "l_orderkey", "l_linenumber", "nth", "n_allowed")
+
+
+@query("facet_count_map", "SELECT l_suppkey, l_returnflag AS facet, count(*) AS n, sum(count(*)) OVER (PARTITION BY l_suppkey)::BIGINT AS total FROM lineitem GROUP BY 1, 2")
+def facet_count_map(spark: SparkSession, d: str) -> DataFrame:
+    counts = merge.facet_counts(table(spark, d, "lineitem"), "l_suppkey", "l_returnflag")
+    return counts.select("l_suppkey", "total", F.explode("by_facet").alias("facet", "n"))
+
+
+@query("group_histogram", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def group_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return merge.histogram(table(spark, d, "events"), "event_type")
+
+
+@query("facet_pivot_total", """
+WITH w AS (SELECT user_id::VARCHAR AS user_id, count(*) FILTER (event_type = 'view') AS "view", count(*) FILTER (event_type = 'click') AS click,
+  count(*) FILTER (event_type NOT IN ('view', 'click') OR event_type IS NULL) AS other, count(*) AS total FROM events GROUP BY 1)
+SELECT * FROM w UNION ALL SELECT 'TOTAL', sum("view")::BIGINT, sum(click)::BIGINT, sum(other)::BIGINT, sum(total)::BIGINT FROM w
+""")
+def facet_pivot_total(spark: SparkSession, d: str) -> DataFrame:
+    return merge.facet_matrix(table(spark, d, "events"), "user_id", "event_type", ["view", "click"])
+
+
+@query("cap_stats", """
+WITH g AS (SELECT l_suppkey, l_returnflag, count(*) AS m FROM lineitem GROUP BY 1, 2)
+SELECT sum(m)::BIGINT AS n_read, sum(least(m, 120))::BIGINT AS n_kept, round(100 * sum(least(m, 120)) / sum(m), 1) AS share, count(*) AS n_groups, count(*) FILTER (m > 120) AS n_capped FROM g
+""")
+def cap_stats(spark: SparkSession, d: str) -> DataFrame:
+    return windows.cap_statistics(table(spark, d, "lineitem"), "l_suppkey", "l_returnflag", 120)
+
+
+@query("two_level_quota", """
+WITH o AS (SELECT *, row_number() OVER (PARTITION BY user_id, props ORDER BY event_id) AS u FROM events),
+w AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS n FROM o WHERE u = 1),
+l AS (SELECT event_type, length(event_type) % 3 + 1 AS lim FROM events GROUP BY 1),
+k AS (SELECT w.* FROM w JOIN l USING (event_type) WHERE n <= lim)
+SELECT user_id, event_id, nth FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS nth FROM k) WHERE nth <= 6
+""")
+def two_level_quota(spark: SparkSession, d: str) -> DataFrame:
+    events = table(spark, d, "events")
+    limits = events.select("event_type").distinct().withColumn("lim", F.length("event_type") % 3 + 1)
+    return windows.two_level_quota(events, "user_id", "event_type", "props", "event_id", limits, "event_type", "lim", 6).select("user_id", "event_id", "nth")
+
+
+# Gates and filters
+
+
+@query("allow_list_gate", """
+SELECT o_orderkey, n FROM (SELECT o_orderkey, o_custkey FROM orders) JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_returnflag IN ('A', 'N') GROUP BY 1) ON o_orderkey = l_orderkey
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))
+""")
+def allow_list_gate(spark: SparkSession, d: str) -> DataFrame:
+    named = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), F.array("c_name")).alias("names"))
+    images = table(spark, d, "lineitem").where(filters.allowed_licence("l_returnflag", ["a", "n"])).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
+    joined = table(spark, d, "orders").select("o_orderkey", "o_custkey").join(named, "o_custkey").join(images, "o_orderkey")
+    return filters.selection_gate(joined, ["names"], "n").select("o_orderkey", "n")
+
+
+@query("denied_and_photo", r"""
+SELECT page_id FROM pages WHERE trim(url) <> '' AND NOT regexp_matches(url, '(?i)(^|[^A-Za-z0-9_])(nc|nd|nonfree|fair use)($|[^A-Za-z0-9_])')
+  AND NOT regexp_matches(url, '(?i)(^|[^A-Za-z0-9_])(map|flag|plate|page[_ ][0-9]+)($|[^A-Za-z0-9_])')
+""")
+def denied_and_photo(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").where(filters.not_denied("url") & filters.is_photo("url")).select("page_id")
+
+
+@query("composed_filters", "SELECT p_partkey, upper(p_name) AS label FROM part WHERE p_type = 'PROMO' AND p_size > 10 AND p_name LIKE '%widget%'")
+def composed_filters(spark: SparkSession, d: str) -> DataFrame:
+    rows = filters.without_marked(table(spark, d, "part"), "p_name", r"ring$").withColumn("names", F.array("p_name"))
+    kept, _ = filters.filter_map(rows, filters.all_of(F.col("p_type") == "PROMO", F.col("p_size") > 10, filters.has_filled("names"), filters.matches("p_name", "widget")), ["p_partkey", F.upper("p_name").alias("label")])
+    return kept
+
+
+@query("filter_counts", "SELECT count(*) AS seen, count(*) FILTER (c_acctbal > 0) AS kept FROM customer")
+def filter_counts(spark: SparkSession, d: str) -> DataFrame:
+    return filters.filter_map(table(spark, d, "customer"), F.col("c_acctbal") > 0, ["c_custkey"])[1]
+
+
+@query("reshape_fields", "SELECT s_suppkey AS key, s_name AS name, s_nationkey AS area FROM supplier")
+def reshape_fields(spark: SparkSession, d: str) -> DataFrame:
+    return filters.reshape(table(spark, d, "supplier"), ["s_acctbal"], {"s_suppkey": "key", "s_name": "name", "s_nationkey": "area"})
+
+
+@query("free_text_filter", "SELECT p_partkey FROM part WHERE contains(lower(p_name), 'red') OR contains(lower(p_brand), 'red') OR contains(p_partkey::VARCHAR, 'red')")
+def free_text_filter(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").where(filters.contains_text(" RED ", "p_name", "p_brand", "p_partkey")).select("p_partkey")
+
+
+@query("field_predicates", "SELECT o_orderkey FROM orders WHERE lower(o_orderpriority) LIKE '1-%' AND o_orderstatus IN ('F', 'O') AND o_custkey IS NOT NULL")
+def field_predicates(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").where(filters.matches("o_orderpriority", "1-", "prefix") & F.col("o_orderstatus").isin("F", "O") & F.col("o_custkey").isNotNull()).select("o_orderkey")
+
+
+@query("open_work", "SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_acctbal > 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+def open_work(spark: SparkSession, d: str) -> DataFrame:
+    done = table(spark, d, "orders").where("o_orderstatus = 'F'")
+    return filters.open_work(table(spark, d, "customer"), "c_custkey", done, "o_custkey", F.col("c_mktsegment") != "BUILDING", "c_acctbal").select("c_custkey")
+
+
+# Keys
+
+
+@query("key_translation", """
+WITH m AS (SELECT c_custkey AS s, c_custkey + 1000000000 AS t FROM customer WHERE c_custkey % 3 = 0)
+SELECT o_orderkey, coalesce(t, o_custkey) AS resolved FROM orders LEFT JOIN m ON o_custkey = s WHERE o_custkey IS NOT NULL
+""")
+def key_translation(spark: SparkSession, d: str) -> DataFrame:
+    key_map = table(spark, d, "customer").where("c_custkey % 3 = 0").select("c_custkey", (F.col("c_custkey") + 1_000_000_000).alias("t"))
+    return resolve.translate_keys(table(spark, d, "orders"), "o_custkey", key_map, "c_custkey", "t").select("o_orderkey", "resolved")
+
+
+@query("key_cascade", """
+WITH a AS (SELECT c_custkey AS key, c_name AS name FROM customer WHERE c_custkey % 2 = 0),
+c AS (SELECT DISTINCT o_custkey FROM orders UNION SELECT DISTINCT user_id FROM events),
+r AS (SELECT o_custkey, x.key AS direct, y.key AS named,
+        CASE WHEN o_custkey % 5 = 0 THEN NULL WHEN o_custkey % 5 = 1 THEN (CASE WHEN o_custkey % 10 >= 5 THEN o_custkey + 1 END) WHEN o_custkey % 5 = 2 THEN o_custkey + 1 ELSE o_custkey END AS m
+      FROM c LEFT JOIN a x ON x.key = o_custkey LEFT JOIN a y ON y.name = CASE WHEN o_custkey % 7 = 1 THEN 'Customer#' || lpad((o_custkey + 1)::VARCHAR, 9, '0') END)
+SELECT o_custkey AS source, coalesce(direct, named, z.key) AS target, CASE WHEN direct IS NOT NULL THEN 'direct' WHEN named IS NOT NULL THEN 'name' WHEN z.key IS NOT NULL THEN 'match' ELSE 'none' END AS via
+FROM r LEFT JOIN a z ON z.key = r.m
+""")
+def key_cascade(spark: SparkSession, d: str) -> DataFrame:
+    keys = table(spark, d, "orders").select(F.col("o_custkey").alias("k")).union(table(spark, d, "events").select("user_id")).distinct()
+    accepted = table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_custkey").alias("ord"))
+    candidates = keys.select(F.col("k").cast("string").alias("source"), F.when(F.col("k") % 7 == 1, F.concat(F.lit("Customer#"), F.lpad((F.col("k") + 1).cast("string"), 9, "0"))).otherwise("").alias("name"))
+    kind = F.col("k") % 5
+    responses = keys.select(
+        F.col("k").cast("string").alias("source"), F.when(kind == 0, "NONE").when(kind == 1, "FUZZY").otherwise("EXACT").alias("matchType"),
+        F.when(F.col("k") % 10 >= 5, 96).otherwise(80).alias("confidence"), F.when(kind.isin(1, 2), "SYNONYM").otherwise("ACCEPTED").alias("status"),
+        F.col("k").alias("usageKey"), (F.col("k") + 1).alias("acceptedUsageKey"), F.lit(None).cast("string").alias("species"), F.lit(None).cast("string").alias("genus"),
+        F.array().cast("array<struct<key:bigint,nubKey:bigint,rank:string,taxonomicStatus:string,genus:string,species:string,canonicalName:string>>").alias("search"),
+    )
+    return resolve.resolve_cascade(candidates, accepted, responses).select(F.col("source").cast("bigint").alias("source"), "target", "via")
+
+
+@query("cached_resolution", "SELECT DISTINCT o_custkey AS source, CASE WHEN o_custkey % 2 = 0 THEN 'stored' ELSE 'new' END AS via FROM orders")
+def cached_resolution(spark: SparkSession, d: str) -> DataFrame:
+    keys = table(spark, d, "orders").select(F.col("o_custkey").alias("source")).distinct()
+    stored = keys.where("source % 2 = 0").withColumn("via", F.lit("stored"))
+    return resolve.resolve_new(keys, stored, lambda new: new.withColumn("via", F.lit("new")))
+
+
+@query("first_wins_index", r"""
+WITH e AS (SELECT p_partkey, 0 AS pos, 'name' AS via, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS name FROM part
+  UNION ALL SELECT p_partkey, 1, 'type', trim(regexp_replace(lower(p_type || ' ' || p_name), '[^a-z0-9]+', ' ', 'g')) FROM part
+  UNION ALL SELECT p_partkey, 2, 'type', trim(regexp_replace(lower(p_brand), '[^a-z0-9]+', ' ', 'g')) FROM part)
+SELECT name, p_partkey AS key, via FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY p_partkey, pos) AS n FROM e WHERE name <> '') WHERE n = 1
+""")
+def first_wins_index(spark: SparkSession, d: str) -> DataFrame:
+    return resolve.name_index(table(spark, d, "part"), "p_partkey", "p_partkey", {"name": F.col("p_name"), "type": F.array(F.concat_ws(" ", "p_type", "p_name"), F.col("p_brand"))})
+
+
+@query("multi_spelling_match", r"""
+WITH i AS (SELECT trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS name, min(p_partkey) AS key FROM part GROUP BY 1),
+r AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN replace(p_name, ' ', ' x ') WHEN p_partkey % 3 = 1 THEN upper(p_name) ELSE p_name || ' extra' END AS n FROM part),
+s AS (SELECT p_partkey, 0 AS spelling, trim(regexp_replace(lower(n), '[^a-z0-9]+', ' ', 'g')) AS name FROM r
+  UNION ALL SELECT p_partkey, 1, trim(regexp_replace(lower(replace(n, ' x ', ' ')), '[^a-z0-9]+', ' ', 'g')) FROM r),
+h AS (SELECT p_partkey, key, spelling, row_number() OVER (PARTITION BY p_partkey ORDER BY spelling) AS k FROM s JOIN i USING (name))
+SELECT r.p_partkey, key, spelling FROM r LEFT JOIN h ON h.p_partkey = r.p_partkey AND k = 1
+""")
+def multi_spelling_match(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part")
+    index = resolve.name_index(part, "p_partkey", "p_partkey", {"name": F.col("p_name")})
+    k = F.col("p_partkey") % 3
+    rows = part.select("p_partkey", F.when(k == 0, F.replace("p_name", F.lit(" "), F.lit(" x "))).when(k == 1, F.upper("p_name")).otherwise(F.concat("p_name", F.lit(" extra"))).alias("n"))
+    return resolve.match_spellings(rows, "p_partkey", "n", index).select("p_partkey", "key", "spelling")
+
+
+@query("unique_else_first", """
+WITH u AS (SELECT p_name, min(p_partkey) AS k FROM part WHERE p_size > 40 GROUP BY 1 HAVING count(*) = 1), f AS (SELECT p_brand, min(p_partkey) AS k FROM part WHERE p_size > 40 GROUP BY 1)
+SELECT p_partkey, coalesce(u.k, f.k) AS key, CASE WHEN u.k IS NOT NULL THEN 'unique' WHEN f.k IS NOT NULL THEN 'first' ELSE 'none' END AS via FROM part LEFT JOIN u USING (p_name) LEFT JOIN f USING (p_brand)
+""")
+def unique_else_first(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part")
+    return resolve.unique_else_first(part, "p_partkey", "p_name", "p_brand", part.where("p_size > 40"), "p_partkey", "p_name", "p_brand", "p_partkey")
+
+
+@query("both_ways_names", """
+WITH p AS (SELECT DISTINCT p_brand AS a, p_type AS b FROM part), l AS (SELECT a AS name, b AS o FROM p UNION SELECT b, a FROM p)
+SELECT name, string_agg(o, '|' ORDER BY o) AS also FROM l WHERE name <> o GROUP BY 1
+""")
+def both_ways_names(spark: SparkSession, d: str) -> DataFrame:
+    return resolve.both_ways(table(spark, d, "part").select("p_brand", "p_type").distinct(), "p_brand", "p_type").select("name", F.array_join("also", "|").alias("also"))
+
+
+@query("direct_indicator", """
+WITH v AS (SELECT p_name AS n, max(p_retailprice) AS v FROM part GROUP BY 1) SELECT p_partkey, v AS value FROM part LEFT JOIN v ON n = p_name
+""")
+def direct_indicator(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part")
+    return resolve.direct_values(part, "p_partkey", "p_name", part.groupBy(F.col("p_name").alias("n")).agg(F.max("p_retailprice").alias("value")), "n", "value")
+
+
+@query("synonym_bridge", r"""
+WITH v AS (SELECT p_name AS n, max(p_size) AS v FROM part GROUP BY 1),
+s AS (SELECT a.p_brand, b.p_name AS syn, a.head FROM (SELECT p_brand, min(p_name) AS head FROM part GROUP BY 1) a JOIN (SELECT DISTINCT p_brand, p_name FROM part) b USING (p_brand)),
+h AS (SELECT p_brand, v FROM s JOIN v ON n = syn WHERE regexp_replace(split_part(syn, ' ', 2), '(us|um|a|is|e|os)$', '') = regexp_replace(split_part(head, ' ', 2), '(us|um|a|is|e|os)$', ''))
+SELECT p_brand, CASE WHEN count(DISTINCT v) = 1 THEN max(v) END AS value, count(*) AS n_hits, count(DISTINCT v) = 1 AS agreed FROM h GROUP BY 1
+""")
+def synonym_bridge(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part")
+    values = part.groupBy(F.col("p_name").alias("n")).agg(F.max("p_size").alias("value"))
+    rows = part.groupBy("p_brand").agg(F.min("p_name").alias("head"), F.collect_set("p_name").alias("syn"))
+    return resolve.bridge_values(rows, "p_brand", "head", "syn", values, "n", "value")
+
+
+@query("consensus_value", "SELECT o_custkey, CASE WHEN count(DISTINCT o_orderpriority) = 1 THEN min(o_orderpriority) END AS o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
+def consensus_value(spark: SparkSession, d: str) -> DataFrame:
+    return resolve.consensus(table(spark, d, "orders"), "o_custkey", "o_orderpriority")
+
+
+@query("follow_accepted", """
+WITH r AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 4 = 1 THEN p_partkey - 1 END AS a, p_name FROM part)
+SELECT r.k AS original, coalesce(r.a, r.k) AS resolved, t.p_name FROM r LEFT JOIN r t ON t.k = coalesce(r.a, r.k)
+""")
+def follow_accepted(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "part").withColumn("a", F.when(F.col("p_partkey") % 4 == 1, F.col("p_partkey") - 1))
+    return resolve.follow_accepted(rows, "p_partkey", "a", ["p_name"])
+
+
+@query("wanted_subset", "SELECT c_custkey, min(o_orderkey) AS wanted_ord FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_orderstatus = 'P' GROUP BY 1")
+def wanted_subset(spark: SparkSession, d: str) -> DataFrame:
+    return resolve.wanted_subset(table(spark, d, "customer"), "c_custkey", table(spark, d, "orders").where("o_orderstatus = 'P'"), "o_custkey", "o_orderkey").select("c_custkey", "wanted_ord")
+
+
+# Merging
+
+
+@query("merge_sources", """
+WITH a AS (SELECT c_nationkey AS k, string_agg(c_name, '|' ORDER BY c_custkey) AS l, min_by(c_name, c_custkey) AS f FROM customer WHERE c_custkey % 50 = 0 GROUP BY 1),
+b AS (SELECT s_nationkey AS k, string_agg(s_name, '|' ORDER BY s_suppkey) AS l, min_by(s_name, s_suppkey) AS f FROM supplier GROUP BY 1)
+SELECT n_nationkey, a.l AS names_a, b.l AS names_b, coalesce(a.f, b.f) AS "primary", CASE WHEN a.f IS NOT NULL THEN 'a' WHEN b.f IS NOT NULL THEN 'b' END AS name_source
+FROM nation LEFT JOIN a ON a.k = n_nationkey LEFT JOIN b ON b.k = n_nationkey
+""")
+def merge_sources(spark: SparkSession, d: str) -> DataFrame:
+    names = lambda name, key, at, label: merge.append_lists(table(spark, d, name).select(F.col(key).alias("n_nationkey"), F.col(at).alias("o"), F.array(label).alias("names")), "n_nationkey", "names", "o")
+    customers = table(spark, d, "customer").where("c_custkey % 50 = 0").select(F.col("c_nationkey").alias("n_nationkey"), F.col("c_custkey").cast("string").alias("src"), F.array("c_name").alias("names"), F.col("c_custkey").alias("o"))
+    first = merge.grouped_names(customers.withColumn("src", F.concat(F.lit("c"), "src")), "n_nationkey", "src", "names", "o")
+    out = merge.merge_names(table(spark, d, "nation"), "n_nationkey", first, "names", names("supplier", "s_nationkey", "s_suppkey", "s_name"), "names")
+    return out.select("n_nationkey", F.array_join("names_a", "|").alias("names_a"), F.array_join("names_b", "|").alias("names_b"), "primary", "name_source")
+
+
+@query("overlap_stats", """
+WITH j AS (SELECT o.c AS c, a, b FROM (SELECT DISTINCT c_custkey AS c FROM customer) o
+  LEFT JOIN (SELECT o_custkey, min(o_orderpriority) AS a FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) x ON x.o_custkey = c LEFT JOIN (SELECT o_custkey, min(o_orderpriority) AS b FROM orders WHERE o_orderstatus = 'O' GROUP BY 1) y ON y.o_custkey = c)
+SELECT count(a) AS from_a, count(b) AS from_b, count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS both, count(*) FILTER (a IS NOT NULL OR b IS NOT NULL) AS either,
+  count(*) FILTER (a IS NOT NULL AND b IS NULL) AS only_a, count(*) FILTER (b IS NOT NULL AND a IS NULL) AS only_b, count(*) FILTER (a <> b) AS differ FROM j
+""")
+def overlap_stats(spark: SparkSession, d: str) -> DataFrame:
+    best = lambda status, name: table(spark, d, "orders").where(F.col("o_orderstatus") == status).groupBy("o_custkey").agg(F.min("o_orderpriority").alias(name))
+    rows = merge.star(table(spark, d, "customer").select("c_custkey"), "c_custkey", (best("F", "a"), "o_custkey"), (best("O", "b"), "o_custkey"))
+    return merge.overlap_statistics(rows, "a", "b")
+
+
+@query("star_enrichment", """
+SELECT l_orderkey, l_linenumber, p_name, s_name, n_name, r_name FROM lineitem LEFT JOIN part ON p_partkey = l_partkey LEFT JOIN supplier ON s_suppkey = l_suppkey
+LEFT JOIN nation ON n_nationkey = s_nationkey LEFT JOIN region ON r_regionkey = n_regionkey
+""")
+def star_enrichment(spark: SparkSession, d: str) -> DataFrame:
+    t = lambda n: table(spark, d, n)
+    suppliers = merge.star(merge.star(t("supplier").select("s_suppkey", "s_name", "s_nationkey"), "s_nationkey", (t("nation"), "n_nationkey")), "n_regionkey", (t("region"), "r_regionkey"))
+    rows = merge.star(t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), "l_partkey", (t("part").select("p_partkey", "p_name"), "p_partkey"))
+    return merge.star(rows, "l_suppkey", (suppliers, "s_suppkey")).select("l_orderkey", "l_linenumber", "p_name", "s_name", "n_name", "r_name")
+
+
+@query("semi_join_selected", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')")
+def semi_join_selected(spark: SparkSession, d: str) -> DataFrame:
+    return audit.rows_of_facet(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey", table(spark, d, "orders"), "o_orderkey", F.col("o_orderstatus") == "P")
+
+
+@query("inherit_parent", """
+WITH c AS (SELECT p_partkey AS k, p_partkey - p_partkey % 10 AS parent, CASE WHEN p_partkey % 10 = 0 OR p_partkey % 3 = 0 THEN p_brand END AS brand FROM part)
+SELECT c.k, coalesce(c.brand, q.brand) AS brand, c.brand IS NULL AND q.brand IS NOT NULL AS inherited FROM c LEFT JOIN c q ON q.k = c.parent
+""")
+def inherit_parent(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey")
+    rows = table(spark, d, "part").select(k.alias("k"), (k - k % 10).alias("parent"), F.when((k % 10 == 0) | (k % 3 == 0), F.col("p_brand")).alias("brand"))
+    return merge.inherit(rows, "parent", rows, "k", ["brand"]).select("k", "brand", "inherited")
+
+
+@query("fallback_source", """
+SELECT o_custkey AS k, o_orderkey AS v, 'primary' AS source_of FROM orders WHERE o_orderstatus = 'F' UNION ALL
+SELECT o_custkey, o_orderkey, 'secondary' FROM orders WHERE o_orderstatus = 'O' AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')
+""")
+def fallback_source(spark: SparkSession, d: str) -> DataFrame:
+    of = lambda s: table(spark, d, "orders").where(F.col("o_orderstatus") == s).select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("v"))
+    return merge.fallback_source(of("F"), of("O"), "k")
+
+
+@query("enrich_missing", "SELECT c_custkey, coalesce(CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END, p) AS segment FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderpriority) AS p FROM orders GROUP BY 1) ON o_custkey = c_custkey")
+def enrich_missing(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("segment"))
+    return merge.enrich_missing(rows, "c_custkey", "segment", table(spark, d, "orders"), "o_custkey", "o_orderpriority")[0]
+
+
+@query("lookup_slice", """
+SELECT c_custkey, coalesce(n, 0) AS n_related, l AS related FROM customer LEFT JOIN (SELECT o_custkey, max(n) AS n, string_agg(o_orderkey::VARCHAR, ',' ORDER BY r) FILTER (r <= 10) AS l
+  FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) GROUP BY 1) ON o_custkey = c_custkey
+""")
+def lookup_slice(spark: SparkSession, d: str) -> DataFrame:
+    out = merge.lookup_slice(table(spark, d, "customer").select("c_custkey"), "c_custkey", table(spark, d, "orders"), "o_custkey", [F.desc("o_totalprice"), "o_orderkey"], ["o_orderkey"])
+    return out.select("c_custkey", "n_related", F.array_join(F.transform("related", lambda x: x["o_orderkey"].cast("string")), ",").alias("related"))
+
+
+@query("coverage_join", "SELECT count(*) AS n, count(*) FILTER (f) AS found, count(*) FILTER (NOT f) AS missing, round(100 * avg(f::INT), 1) AS share FROM (SELECT c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') AS f FROM customer)")
+def coverage_join(spark: SparkSession, d: str) -> DataFrame:
+    return merge.coverage(table(spark, d, "customer"), "c_custkey", table(spark, d, "orders").where("o_orderstatus = 'P'"), "o_custkey")[1]
+
+
+@query("match_counts", "SELECT n_nationkey, count(*) AS n, count(o) AS matched, count(*) FILTER (o IS NOT NULL AND c_acctbal > 0) AS matched_named FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN (SELECT DISTINCT o_custkey AS o FROM orders) ON o = c_custkey GROUP BY 1")
+def match_counts(spark: SparkSession, d: str) -> DataFrame:
+    rows, _ = merge.coverage(table(spark, d, "customer"), "c_custkey", table(spark, d, "orders"), "o_custkey")
+    return rows.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("n"), F.count_if("found").alias("matched"), F.count_if(F.col("found") & (F.col("c_acctbal") > 0)).alias("matched_named"))
+
+
+@query("dedupe_fill", """
+WITH d AS (SELECT md5(text) AS k, doc_id, CASE WHEN doc_id % 2 = 0 THEN lang END AS lang, source, doc_id % 3 = 0 AS flag FROM documents)
+SELECT k, min(doc_id) AS doc_id, min_by(lang, doc_id) FILTER (lang IS NOT NULL) AS lang, min_by(source, doc_id) AS source, bool_or(flag) AS flag FROM d GROUP BY 1
+""")
+def dedupe_fill(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").select(F.md5("text").alias("k"), "doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("lang")).alias("lang"), "source", (F.col("doc_id") % 3 == 0).alias("flag"))
+    return merge.dedupe_fill(rows, "k", "doc_id", ["lang", "source"], ["flag"])
+
+
+@query("exact_dedupe", "SELECT p_name, min(p_partkey) AS p_partkey, count(*) AS n_rows FROM part GROUP BY 1")
+def exact_dedupe(spark: SparkSession, d: str) -> DataFrame:
+    return merge.first_rows(table(spark, d, "part"), "p_name", ["p_partkey"]).select("p_name", "p_partkey", "n_rows")
+
+
+@query("entity_merge", """
+WITH r AS (SELECT CASE WHEN p_size > 5 THEN p_size END AS e, p_partkey AS o, p_name AS n, p_type = 'PROMO' AS direct, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS b FROM part),
+m AS (SELECT e, min(o) AS o, min_by(n, (CASE WHEN direct THEN 0 ELSE 1000000000 END) + o) AS n, list_sort(list(DISTINCT n)) AS a, min_by(b, (CASE WHEN direct THEN 0 ELSE 1000000000 END) + o) FILTER (b IS NOT NULL) AS b FROM r WHERE e IS NOT NULL GROUP BY 1)
+SELECT e, o, n, b, array_to_string(list_filter(a, lambda x: x <> n), '|') AS also FROM m UNION ALL SELECT e, o, n, b, '' FROM r WHERE e IS NULL
+""")
+def entity_merge(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "part").select(F.when(F.col("p_size") > 5, F.col("p_size")).alias("e"), F.col("p_partkey").alias("o"), F.col("p_name").alias("n"), "p_type", F.when(F.col("p_partkey") % 2 == 0, F.col("p_brand")).alias("b"))
+    return merge.merge_entities(rows, "e", "o", F.col("p_type") == "PROMO", "n", ["b"]).withColumn("also", F.array_join("also", "|"))
+
+
+@query("entity_groups", """
+SELECT coalesce(CASE WHEN p_size > 5 THEN p_size::VARCHAR END, 'name:' || lower(p_name)) AS group_key, count(DISTINCT p_name || '/' || p_brand) AS n_names, array_to_string(list_sort(list(DISTINCT p_type)), '|') AS also, count(*) AS n FROM part GROUP BY 1
+""")
+def entity_groups(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "part").select(F.when(F.col("p_size") > 5, F.col("p_size")).alias("e"), "p_name", "p_brand", F.array("p_type").alias("also"), "p_partkey")
+    return merge.group_entities(rows, "e", "p_name", "p_brand", "also", "p_partkey").select("group_key", F.size("names").cast("bigint").alias("n_names"), F.array_join("also", "|").alias("also"), F.col("n").cast("bigint").alias("n"))
+
+
+@query("preferred_pick", "SELECT p_brand, p_name FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_type <> 'PROMO', length(p_name), p_partkey) AS n FROM part) WHERE n = 1")
+def preferred_pick(spark: SparkSession, d: str) -> DataFrame:
+    return merge.preferred_pick(table(spark, d, "part"), "p_brand", "p_name", F.col("p_type") == "PROMO", "p_partkey")
+
+
+@query("suffix_pick", "SELECT p_brand, p_name FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY NOT suffix(p_name, 'widget'), length(p_name), p_partkey) AS n FROM part) WHERE n = 1")
+def suffix_pick(spark: SparkSession, d: str) -> DataFrame:
+    return merge.suffix_pick(table(spark, d, "part"), "p_brand", "p_name", "widget", "p_partkey")
+
+
+@query("distinct_dimension", "SELECT c_nationkey, min_by(c_mktsegment, c_custkey) AS c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY 1")
+def distinct_dimension(spark: SparkSession, d: str) -> DataFrame:
+    return merge.dedupe_fill(table(spark, d, "customer"), "c_nationkey", "c_custkey", ["c_mktsegment"]).select("c_nationkey", "c_mktsegment")
+
+
+@query("single_parent", """
+WITH k AS (SELECT l_partkey AS c, count(DISTINCT l_suppkey) AS n, bool_or(l_quantity > 45) AS ok FROM lineitem WHERE l_quantity > 40 GROUP BY 1)
+SELECT c, n AS n_parents, CASE WHEN n > 1 THEN 'several parents' ELSE 'condition' END AS reason FROM k WHERE n > 1 OR NOT ok
+""")
+def single_parent(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "lineitem").where("l_quantity > 40").select(F.col("l_partkey").alias("c"), "l_suppkey", "l_quantity")
+    return merge.single_parent(rows, "c", "l_suppkey", F.col("l_quantity") > 45)[1]
+
+
+@query("priority_values", """
+WITH v AS (SELECT p_brand, p_name AS v, p_size % 3 AS pr, p_partkey AS pos FROM part), o AS (SELECT *, row_number() OVER (PARTITION BY p_brand, lower(v) ORDER BY pr, pos) AS n FROM v)
+SELECT p_brand, string_agg(v || ':' || pr, '|' ORDER BY pr, pos) AS "values" FROM o WHERE n = 1 GROUP BY 1
+""")
+def priority_values(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "part").select("p_brand", F.col("p_name").alias("v"), (F.col("p_size") % 3).alias("pr"), F.col("p_partkey").alias("pos"))
+    return merge.priority_values(rows, "p_brand", "v", "pr", "pos").select("p_brand", F.array_join(F.transform("values", lambda x: F.concat_ws(":", x["value"], x["priority"].cast("string"))), "|").alias("values"))
+
+
+@query("ranked_name_union", """
+SELECT p_partkey, array_to_string(list_filter([a, b, c], lambda x: NOT regexp_matches(x, '[0-9]')), '|') AS names FROM (
+  SELECT p_partkey, p_name AS a, CASE WHEN p_type = p_name THEN 'x1' ELSE p_type END AS b, p_brand AS c FROM part)
+""")
+def ranked_name_union(spark: SparkSession, d: str) -> DataFrame:
+    names = merge.ranked_union(F.array("p_name"), F.array("p_type", "p_name"), F.array("p_brand"))
+    return table(spark, d, "part").select("p_partkey", F.array_join(names, "|").alias("names"))
+
+
+@query("first_acceptable", "SELECT p_partkey, CASE WHEN p_size > 25 THEN p_name WHEN p_retailprice > 950 THEN p_brand END AS value, CASE WHEN p_size > 25 THEN 'name' WHEN p_retailprice > 950 THEN 'brand' END AS source FROM part")
+def first_acceptable(spark: SparkSession, d: str) -> DataFrame:
+    pick = merge.first_acceptable((F.col("p_name"), F.col("p_size") > 25, "name"), (F.col("p_brand"), F.col("p_retailprice") > 950, "brand"))
+    return table(spark, d, "part").select("p_partkey", pick.alias("x")).select("p_partkey", "x.value", "x.source")
+
+
+@query("reconciliation", "SELECT (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS arrived, (SELECT count(*) FROM lineitem) AS n_rows, count(*) AS reported, count(*) - (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS difference, (SELECT count(*) - count(DISTINCT l_orderkey) FROM lineitem) AS repeated FROM orders")
+def reconciliation(spark: SparkSession, d: str) -> DataFrame:
+    return merge.reconcile(table(spark, d, "lineitem"), "l_orderkey", table(spark, d, "orders").withColumn("one", F.lit(1)), "one")
+
+
+# Blocks, lines, orders
+
+
+@query("block_sort", """
+WITH r AS (SELECT c_nationkey AS g, o_custkey AS b, o_orderkey, o_totalprice AS w, o_orderstatus = 'P' AS f, o_orderpriority = '1-URGENT' AS h FROM orders JOIN customer ON c_custkey = o_custkey),
+m AS (SELECT *, max(f) OVER p AS bf, max(w) OVER p AS bw FROM r WINDOW p AS (PARTITION BY g, b))
+SELECT g, o_orderkey, row_number() OVER (PARTITION BY g ORDER BY bf DESC, bw DESC, b, h DESC, w DESC, o_orderkey) - 1 AS sort_index FROM m
+""")
+def block_sort(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey")).select(F.col("c_nationkey").alias("g"), F.col("o_custkey").alias("b"), "o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    return windows.block_sort(rows, "g", "b", F.col("o_orderpriority") == "1-URGENT", F.col("o_orderstatus") == "P", "o_totalprice", "o_orderkey").select("g", "o_orderkey", "sort_index")
+
+
+_LINES = "SELECT doc_id, u.i AS line, u.t AS t FROM (SELECT doc_id, unnest(list_transform(string_split(text, chr(10)), lambda x, i: {'i': i - 1, 't': x})) AS u FROM documents)"
+
+
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
+
+
+@query("record_segmentation", f"""
+WITH l AS ({_LINES}), s AS (SELECT *, sum((length(t) > 60)::INT) OVER (PARTITION BY doc_id ORDER BY line)::BIGINT AS record FROM l)
+SELECT doc_id, record, md5(string_agg(t, ' ' ORDER BY line)) AS h, count(*) AS n_lines FROM s GROUP BY 1, 2
+""")
+def record_segmentation(spark: SparkSession, d: str) -> DataFrame:
+    return windows.segment_records(_lines(spark, d), "doc_id", "line", "t", F.length("t") > 60).select("doc_id", "record", F.md5("text").alias("h"), "n_lines")
+
+
+@query("heading_fill", "SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS heading FROM conversations")
+def heading_fill(spark: SparkSession, d: str) -> DataFrame:
+    return windows.fill_heading(table(spark, d, "conversations"), "conv_id", "turn", F.when(F.col("role") == "user", F.col("turn"))).select("conv_id", "turn", "heading")
+
+
+@query("neighbour_lines", f"""
+WITH l AS ({_LINES}), k AS (SELECT * FROM l WHERE trim(t) <> '' OR length(t) > 60), w AS (SELECT *, lag(t) OVER p AS b, lead(t) OVER p AS a FROM k WINDOW p AS (PARTITION BY doc_id ORDER BY line))
+SELECT doc_id, line, md5(b) AS before, md5(a) AS after FROM w WHERE length(t) > 60
+""")
+def neighbour_lines(spark: SparkSession, d: str) -> DataFrame:
+    return windows.neighbour_records(_lines(spark, d), "doc_id", "line", "t", F.length("t") > 60, F.trim("t") == "").select("doc_id", "line", F.md5("before").alias("before"), F.md5("after").alias("after"))
+
+
+@query("row_clusters", "SELECT l_orderkey, count(*)::BIGINT AS n FROM lineitem GROUP BY 1")
+def row_clusters(spark: SparkSession, d: str) -> DataFrame:
+    rows = windows.cluster_rows(table(spark, d, "lineitem").withColumn("w", F.col("l_linenumber").cast("string")), ["l_orderkey"], "l_quantity", "l_extendedprice", "w", 4.0)
+    return rows.groupBy("l_orderkey").agg(F.sum(F.size(F.split("text", " "))).alias("n"))
+
+
+@query("column_edges", """
+SELECT l_orderkey, l_linenumber, len(list_filter([0, 15, 30], lambda e: e <= l_quantity + 3)) - 1 AS "column" FROM lineitem
+""")
+def column_edges(spark: SparkSession, d: str) -> DataFrame:
+    first = F.row_number().over(windows.Window.partitionBy("l_orderkey").orderBy("l_linenumber"))
+    rows = table(spark, d, "lineitem").withColumn("first", first)
+    edges = F.when(F.col("first") == 1, F.array(*[F.lit(float(e)) for e in (0, 15, 30)]))
+    return windows.assign_columns(rows, ["l_orderkey"], "l_linenumber", "l_quantity", edges).select("l_orderkey", "l_linenumber", "column")
+
+
+@query("continuations", """
+WITH r AS (SELECT *, sum((l_returnflag <> 'N')::INT) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber)::BIGINT AS record FROM lineitem)
+SELECT l_orderkey, record, string_agg(l_linestatus, ' ' ORDER BY l_linenumber, l_linestatus) AS l_linestatus FROM r GROUP BY 1, 2
+""")
+def continuations(spark: SparkSession, d: str) -> DataFrame:
+    return windows.merge_continuations(table(spark, d, "lineitem"), "l_orderkey", "l_linenumber", F.col("l_returnflag") != "N", ["l_linestatus"])
+
+
+@query("order_check", """
+WITH w AS (SELECT o_custkey, o_orderpriority AS n, (o_orderstatus = 'F')::INT AS m, lag(o_orderpriority) OVER p AS pn, lag((o_orderstatus = 'F')::INT) OVER p AS pm FROM orders WINDOW p AS (PARTITION BY o_custkey ORDER BY o_orderkey))
+SELECT o_custkey, count(*) FILTER (pn > n AND pm = m) AS n_unsorted, count(*) FILTER (pm = 0 AND m = 1) AS n_matched_late FROM w GROUP BY 1
+""")
+def order_check(spark: SparkSession, d: str) -> DataFrame:
+    return windows.order_breaks(table(spark, d, "orders"), "o_custkey", "o_orderkey", "o_orderpriority", F.col("o_orderstatus") == "F")
+
+
+@query("top_by_measure", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")
+def top_by_measure(spark: SparkSession, d: str) -> DataFrame:
+    return windows.top_k(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), "o_orderkey"], 25)
+
+
+@query("matched_first_sort", "SELECT n_nationkey, n_name, s FROM nation LEFT JOIN (SELECT s_nationkey, min(s_suppkey) AS s FROM supplier GROUP BY 1) ON s_nationkey = n_nationkey")
+def matched_first_sort(spark: SparkSession, d: str) -> DataFrame:
+    first = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.min("s_suppkey").alias("s"))
+    return windows.matched_first(merge.star(table(spark, d, "nation"), "n_nationkey", (first, "s_nationkey")), "s", "n_name").select("n_nationkey", "n_name", "s")
+
+
+@query("category_sort", "SELECT p_partkey, list_position(['PROMO', 'SMALL', 'MEDIUM', 'LARGE', 'STANDARD', 'ECONOMY'], p_type)::BIGINT AS category_rank FROM part")
+def category_sort(spark: SparkSession, d: str) -> DataFrame:
+    return windows.category_order(table(spark, d, "part"), "p_type", ["PROMO", "SMALL", "MEDIUM", "LARGE", "STANDARD", "ECONOMY"], "p_partkey").select("p_partkey", F.col("category_rank").cast("bigint").alias("category_rank"))
+
+
+@query("offset_page", "SELECT doc_id FROM documents ORDER BY n_chars DESC, doc_id LIMIT 20 OFFSET 40")
+def offset_page(spark: SparkSession, d: str) -> DataFrame:
+    return windows.page(table(spark, d, "documents").select("doc_id", "n_chars"), [F.desc("n_chars"), "doc_id"], 2, 20).select("doc_id")
+
+
+@query("seeded_sample", "SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY md5(o_orderkey || '|7'), o_orderkey) AS n, count(*) OVER (PARTITION BY o_custkey) AS m FROM orders) WHERE n <= 4 AND m >= 4")
+def seeded_sample(spark: SparkSession, d: str) -> DataFrame:
+    return windows.seeded_sample(table(spark, d, "orders"), "o_custkey", "o_orderkey", 4, 7).select("o_custkey", "o_orderkey")
+
+
+@query("batch_ids", "SELECT o_orderkey, ((row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1) // 12)::INT AS batch FROM orders")
+def batch_ids(spark: SparkSession, d: str) -> DataFrame:
+    return windows.batches(table(spark, d, "orders"), "o_orderpriority", "o_orderkey", 12).select("o_orderkey", "batch")
+
+
+@query("budget_worklist", "SELECT l_orderkey, l_linenumber FROM (SELECT *, sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber ROWS UNBOUNDED PRECEDING) AS r FROM lineitem) WHERE r <= 60")
+def budget_worklist(spark: SparkSession, d: str) -> DataFrame:
+    return windows.within_budget(table(spark, d, "lineitem"), "l_orderkey", [F.desc("l_extendedprice"), "l_linenumber"], "l_quantity", 60).select("l_orderkey", "l_linenumber")
+
+
+# Sets and audits
+
+
+@query("delta_keys", "SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate >= '1998-01-01' AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate < '1998-01-01')")
+def delta_keys(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders")
+    return audit.delta(orders.where("o_orderdate >= '1998-01-01'").select("o_custkey").distinct(), orders.where("o_orderdate < '1998-01-01'"), ["o_custkey"])
+
+
+@query("heterogeneous_union", "SELECT s_suppkey AS key, s_name AS name, NULL AS segment FROM supplier UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def heterogeneous_union(spark: SparkSession, d: str) -> DataFrame:
+    return sinks.append_rows(table(spark, d, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name")), table(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")))
+
+
+@query("required_members", "SELECT * FROM (VALUES ('PROMO'), ('GIANT'), ('SMALL'), ('TINY')) v(p_type) WHERE p_type NOT IN (SELECT p_type FROM part)")
+def required_members(spark: SparkSession, d: str) -> DataFrame:
+    return audit.missing_required(table(spark, d, "part"), "p_type", ["PROMO", "GIANT", "SMALL", "TINY"])
+
+
+@query("orphan_check", "SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT o_custkey FROM orders)")
+def orphan_check(spark: SparkSession, d: str) -> DataFrame:
+    return audit.orphans(table(spark, d, "events"), "user_id", table(spark, d, "orders"), "o_custkey").select("user_id").distinct()
+
+
+@query("referential_cleanup", "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
+def referential_cleanup(spark: SparkSession, d: str) -> DataFrame:
+    return audit.mutual(table(spark, d, "customer"), "c_custkey", table(spark, d, "orders"), "o_custkey")[0].select("c_custkey")
+
+
+@query("missing_subset", "SELECT source, count(*) AS n, count(*) FILTER (q IS NULL) AS n_missing, round(100 * avg((q IS NULL)::INT), 1) AS share_missing FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS q FROM labels GROUP BY 1) USING (doc_id) GROUP BY 1")
+def missing_subset(spark: SparkSession, d: str) -> DataFrame:
+    quality = table(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").alias("q"))
+    return audit.missing_by(table(spark, d, "documents").select("doc_id", "source").join(quality, "doc_id", "left"), F.col("q").isNotNull(), "source")
+
+
+@query("expected_vs_arrived", """
+WITH e AS (SELECT p_partkey AS k, p_size < 10 AS x FROM part), a AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_quantity > 45)
+SELECT k, count(*) AS n, CASE WHEN bool_or(NOT x) THEN 'missing' ELSE 'excused' END AS reason FROM e WHERE k NOT IN (SELECT k FROM a) GROUP BY 1
+""")
+def expected_vs_arrived(spark: SparkSession, d: str) -> DataFrame:
+    expected = table(spark, d, "part").select(F.col("p_partkey").alias("k"), "p_size")
+    arrived = table(spark, d, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("k"))
+    return audit.expected_versus_arrived(expected, arrived, "k", F.col("p_size") < 10)[0]
+
+
+@query("override_merge", """
+WITH a AS (SELECT c_custkey AS k, c_mktsegment AS v FROM customer WHERE c_custkey % 4 <> 0), m AS (SELECT c_custkey AS k, 'MANUAL' AS v FROM customer WHERE c_custkey % 6 = 0)
+SELECT coalesce(a.k, m.k) AS k, coalesce(m.v, a.v) AS v, CASE WHEN m.k IS NULL THEN 'kept' WHEN a.k IS NULL THEN 'added' ELSE 'adjusted' END AS state FROM a FULL JOIN m ON a.k = m.k
+""")
+def override_merge(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("v"))
+    return audit.override(c.where("k % 4 <> 0"), c.where("k % 6 = 0").withColumn("v", F.lit("MANUAL")), "k", ["v"])
+
+
+@query("override_report", """
+SELECT 'repeated key' AS rule, count(*) AS n FROM (SELECT user_id FROM events GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'missing field', count(*) FROM events WHERE value IS NULL UNION ALL SELECT 'unknown key', count(*) FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer)
+""")
+def override_report(spark: SparkSession, d: str) -> DataFrame:
+    return audit.override_report(table(spark, d, "events"), table(spark, d, "customer").select(F.col("c_custkey").alias("user_id")), "user_id", ["value"])
+
+
+@query("combined_sources", """
+WITH u AS (SELECT o_custkey AS k, o_orderkey AS v, 'first' AS provenance, 0 AS p FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT c_custkey, c_nationkey, 'second', 1 FROM customer WHERE c_acctbal > 0)
+SELECT k, provenance FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY p) AS n FROM u) WHERE n = 1
+""")
+def combined_sources(spark: SparkSession, d: str) -> DataFrame:
+    a = table(spark, d, "orders").withColumn("k", F.col("o_custkey"))
+    b = table(spark, d, "customer").withColumn("k", F.col("c_custkey"))
+    return audit.combined_sources({"first": a, "second": b}, {"first": F.col("o_orderstatus") == "F", "second": F.col("c_acctbal") > 0}, "k", ["k"])
+
+
+@query("rule_report", """
+WITH r AS (SELECT o_orderpriority AS g, 'error' AS severity, 'no customer' AS rule, count(*) FILTER (o_custkey IS NULL) AS n FROM orders GROUP BY 1 UNION ALL SELECT o_orderpriority, 'warning', 'dear', count(*) FILTER (o_totalprice > 400000) FROM orders GROUP BY 1) SELECT * FROM r WHERE n > 0
+""")
+def rule_report(spark: SparkSession, d: str) -> DataFrame:
+    return audit.rule_report(table(spark, d, "orders").withColumnRenamed("o_orderpriority", "g"), "g", {"no customer": ("error", F.col("o_custkey").isNull()), "dear": ("warning", F.col("o_totalprice") > 400000)})
+
+
+@query("resolution_report", """
+SELECT c_mktsegment AS g, via AS path, count(*) AS n, count(*) FILTER (o IS NOT NULL) AS n_resolved, grouping(c_mktsegment, via)::BIGINT AS level, round(100 * count(*) FILTER (o IS NOT NULL) / count(*), 1) AS share
+FROM (SELECT c_mktsegment, o, CASE WHEN o IS NULL THEN 'none' ELSE 'direct' END AS via FROM customer LEFT JOIN (SELECT DISTINCT o_custkey AS o FROM orders) ON o = c_custkey) GROUP BY ROLLUP (c_mktsegment, via)
+""")
+def resolution_report(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("o")).distinct()
+    rows = table(spark, d, "customer").join(orders, F.col("o") == F.col("c_custkey"), "left").withColumns({"g": F.col("c_mktsegment"), "path": F.when(F.col("o").isNull(), "none").otherwise("direct")})
+    return audit.resolution_report(rows, "g", F.col("o").isNotNull(), "path")
+
+
+@query("alias_audit", "SELECT p_partkey, p_type FROM part WHERE NOT contains(regexp_replace(lower(p_name || p_brand), '[^a-z0-9]', '', 'g'), regexp_replace(lower(p_type), '[^a-z0-9]', '', 'g'))")
+def alias_audit(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part")
+    terms = part.select(F.col("p_partkey").alias("k"), T.squash(F.concat("p_name", "p_brand")).alias("term"))
+    return audit.unsearchable(part, "p_partkey", "p_type", terms, "k", "term")
+
+
+@query("before_and_after", """
+WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderdate < '1998-01-01'), b AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderdate >= '1998-01-01')
+SELECT count(*) FILTER (a.k IS NULL) AS gained, count(*) FILTER (b.k IS NULL) AS lost, count(*) FILTER (a.k IS NOT NULL AND b.k IS NOT NULL) AS kept, count(*) FILTER (a.k IS NULL) - count(*) FILTER (b.k IS NULL) AS net FROM a FULL JOIN b ON a.k = b.k
+""")
+def before_and_after(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders")
+    return audit.before_and_after(o.where("o_orderdate < '1998-01-01'"), o.where("o_orderdate >= '1998-01-01'"), "o_custkey")
+
+
+@query("mark_and_sweep", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' OR (SELECT count(*) FILTER (o_orderstatus = 'F') < 0.7 * count(*) FILTER (o_orderstatus IN ('F', 'O')) FROM orders)")
+def mark_and_sweep(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders")
+    return audit.sweep(o, "o_orderstatus", "F", o.where("o_orderstatus IN ('F', 'O')").withColumn("one", F.lit(1)), "one").select("o_orderkey")
+
+
+@query("prune_classes", """
+SELECT c_custkey, CASE WHEN c_custkey % 10 = 3 THEN 'move' WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN 'deactivate' ELSE 'delete' END AS action, CASE WHEN c_custkey % 10 = 3 THEN c_custkey - 3 END AS moved_to FROM customer WHERE c_acctbal <= 0
+""")
+def prune_classes(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "customer")
+    renamed = c.where("c_custkey % 10 = 3").select(F.col("c_custkey").alias("old"), (F.col("c_custkey") - 3).alias("new"))
+    return audit.prune_classes(c, "c_custkey", c.where("c_acctbal > 0"), "c_custkey", renamed, "old", "new", table(spark, d, "orders"), "o_custkey")
+
+
+@query("category_counts", "SELECT p_type, count(DISTINCT p_name) AS n, 0::BIGINT AS n_blank FROM part GROUP BY 1")
+def category_counts(spark: SparkSession, d: str) -> DataFrame:
+    return audit.category_counts(table(spark, d, "part"), "p_type", "p_name", "p_brand")
+
+
+# Indicators
+
+
+@query("zone_classify", "SELECT s_suppkey, CASE WHEN s_acctbal < 1000 THEN 'low' WHEN s_acctbal <= 6000 THEN 'middle' ELSE 'high' END AS zone FROM supplier")
+def zone_classify(spark: SparkSession, d: str) -> DataFrame:
+    s = table(spark, d, "supplier").withColumn("factor", F.lit("balance"))
+    cuts = s.groupBy("factor").agg(F.lit(1000.0).alias("low"), F.lit(6000.0).alias("high"))
+    return indicators.classify_zones(s, "factor", "s_acctbal", cuts, ("low", "middle", "high")).select("s_suppkey", "zone")
+
+
+@query("band_overlap", """
+WITH b AS (SELECT p_partkey, greatest(p_size / 5.0 - 1.52, 0) AS a, least(p_size / 5.0 + 1.52, 10) AS b, greatest(p_retailprice % 10 - 1, 0) AS c, least(p_retailprice % 10 + 1, 10) AS d FROM part)
+SELECT p_partkey, round(greatest(least(b, d) - greatest(a, c), 0) / ((b - a) + (d - c) - greatest(least(b, d) - greatest(a, c), 0)), 4) AS overlap FROM b
+""")
+def band_overlap(spark: SparkSession, d: str) -> DataFrame:
+    o = indicators.band_overlap(F.col("p_size") / 5.0, F.lit(3.04), F.col("p_retailprice") % 10, F.lit(2.0))
+    return table(spark, d, "part").select("p_partkey", F.round(o, 4).alias("overlap"))
+
+
+@query("pair_distance", "SELECT a.s_nationkey, least(a.s_suppkey, b.s_suppkey) AS a, greatest(a.s_suppkey, b.s_suppkey) AS b, round(abs(a.s_acctbal - b.s_acctbal), 2) AS distance FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey < b.s_suppkey WHERE abs(a.s_acctbal - b.s_acctbal) >= 5000")
+def pair_distance(spark: SparkSession, d: str) -> DataFrame:
+    return indicators.distant_pairs(table(spark, d, "supplier"), "s_nationkey", "s_suppkey", "s_acctbal", 5000).withColumn("distance", F.round("distance", 2))
+
+
+@query("corr_matrix", """
+SELECT 'l_quantity' AS x, 'l_extendedprice' AS y, round(corr(l_quantity, l_extendedprice), 6) AS r, count(*) AS n FROM lineitem UNION ALL SELECT 'l_quantity', 'l_discount', round(corr(l_quantity, l_discount), 6), count(*) FROM lineitem
+UNION ALL SELECT 'l_extendedprice', 'l_discount', round(corr(l_extendedprice, l_discount), 6), count(*) FROM lineitem
+""")
+def corr_matrix(spark: SparkSession, d: str) -> DataFrame:
+    return indicators.correlation_matrix(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"]).withColumn("r", F.round("r", 6))
+
+
+@query("support_share", "SELECT p_type, (p_size >= 10)::INT + (p_size >= 30)::INT AS bucket, count(*) AS n, round(avg((p_size >= 20)::INT), 6) AS share_supported, round(median(p_retailprice), 3) AS median_width FROM part GROUP BY 1, 2")
+def support_share(spark: SparkSession, d: str) -> DataFrame:
+    out = indicators.support_shares(table(spark, d, "part"), "p_type", "p_size", "p_retailprice", 20, [10, 30])
+    return out.withColumns({"share_supported": F.round("share_supported", 6), "median_width": F.round("median_width", 3)})
+
+
+_CODES = "(VALUES (1, 'one'), (2, 'two'), (4, 'four'), (8, 'eight'), (16, 'sixteen'), (32, 'thirtytwo'))"
+
+
+@query("bitmask_decode", f"SELECT p_partkey, coalesce(string_agg(l, '|' ORDER BY l), '') AS labels FROM part LEFT JOIN {_CODES} c(b, l) ON (p_size & b) <> 0 GROUP BY 1")
+def bitmask_decode(spark: SparkSession, d: str) -> DataFrame:
+    codes = spark.sql(f"SELECT * FROM VALUES {_CODES[8:-1]} AS c(b, l)")
+    return indicators.decode_mask(table(spark, d, "part"), "p_size", codes, "b", "l", "p_partkey").withColumn("labels", F.array_join("labels", "|"))
+
+
+@query("enum_decode", "SELECT user_id, value, CASE (event_id % 4) WHEN 0 THEN 'none' WHEN 1 THEN 'some' WHEN 2 THEN 'many' END AS label FROM events")
+def enum_decode(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").withColumn("e", F.col("event_id") % 4).select("user_id", "value", indicators.decode_enum("e", {0: "none", 1: "some", 2: "many"}, none=3).alias("label"))
+
+
+# Texts and search
+
+_SQUASH = r"trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
+_UMLAUT = "replace(replace(replace(replace(replace(replace(replace({}, 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'Ä', 'Ae'), 'Ö', 'Oe'), 'Ü', 'Ue'), 'ß', 'ss')"
+_HYBRID = r"regexp_replace({}, '(^|\s)[x×](\s)', ' \2', 'g')"
+_HEAD = "split_part(text, chr(10), 1)"
+
+
+@query("search_index", f"""
+WITH h AS (SELECT doc_id, {_HYBRID.format(_HEAD)} AS s FROM documents),
+v AS (SELECT doc_id, {_SQUASH.format('strip_accents(' + _UMLAUT.format('s') + ')')} AS a, {_SQUASH.format("strip_accents(replace(s, 'ß', 'ss'))")} AS b FROM h)
+SELECT doc_id, md5(array_to_string(list_filter(CASE WHEN a = b THEN [a] ELSE [a, b] END, lambda x: x <> ''), '|')) AS terms FROM v
+""")
+def search_index(spark: SparkSession, d: str) -> DataFrame:
+    head = table(spark, d, "documents").select("doc_id", F.element_at(F.split("text", "\n"), 1).alias("s"))
+    return head.select("doc_id", F.md5(F.array_join(T.search_index(F.array("s")), "|")).alias("terms"))
+
+
+@query("search_rank", """
+WITH c AS (SELECT p_partkey AS key, p_retailprice AS w, CASE WHEN n = 'ring' THEN 0 WHEN list_contains(ws, 'ring') THEN 1 WHEN len(list_filter(ws, lambda x: suffix(x, 'ring'))) > 0 THEN 2 WHEN len(list_filter(ws, lambda x: prefix(x, 'ring'))) > 0 THEN 3 WHEN contains(n, 'ring') THEN 4 END AS class
+  FROM (SELECT *, lower(p_name) AS n, string_split(lower(p_name), ' ') AS ws FROM part))
+SELECT key, class, w FROM c WHERE class IS NOT NULL
+""")
+def search_rank(spark: SparkSession, d: str) -> DataFrame:
+    index = table(spark, d, "part").select(F.col("p_partkey").alias("key"), T.search_index(F.array("p_name")).alias("names"), F.col("p_retailprice").alias("w"))
+    return lists.ranked_search(index, "key", "names", "w", "Ring")
+
+
+@query("substring_search", "SELECT p_partkey FROM part WHERE contains(replace(lower(p_name), ' ', ''), 'ewid')")
+def substring_search(spark: SparkSession, d: str) -> DataFrame:
+    terms = table(spark, d, "part").select("p_partkey", T.glued(T.search_index(F.array("p_name"))).alias("t"))
+    return terms.where(F.exists("t", lambda t: F.exists(T.search_variants(F.lit("E Wid"), gaps=False), lambda q: F.contains(t, q)))).select("p_partkey")
+
+
+@query("fulltext_weighted", """
+SELECT p_partkey AS key, score FROM (SELECT p_partkey, 10.0 * len(list_filter(string_split(lower(p_name), ' '), lambda w: w IN ('red', 'promo'))) + 5.0 * len(list_filter(string_split(lower(p_type), ' '), lambda w: w IN ('red', 'promo'))) AS score FROM part) WHERE score > 0
+""")
+def fulltext_weighted(spark: SparkSession, d: str) -> DataFrame:
+    return lists.weighted_score(table(spark, d, "part").withColumnRenamed("p_partkey", "key"), "key", {"p_name": 10, "p_type": 5, "p_brand": 1}, ["red", "promo"])
+
+
+@query("html_text", r"SELECT page_id, md5(trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[\s\x{A0}\x{0B}\x{1C}-\x{1F}\x{85}]+', ' ', 'g'))) AS text FROM pages")
+def html_text(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", F.md5(T.plain_text("html")).alias("text"))
+
+
+@query("url_facets", r"""
+SELECT page_id, try_cast(nullif(regexp_extract(url, '/en/([0-9]+)(?:[/?#]|$)', 1), '') AS BIGINT) AS key, coalesce(nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), ''), nullif(regexp_extract(url, '/([^/?#]+)/?(?:[?#].*)?$', 1), '')) AS part FROM pages
+""")
+def url_facets(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", readers.key_from_url("url", "en").alias("key"), T.query_parameter("url", "page").alias("part"))
+
+
+@query("hashed_paths", r"SELECT p_partkey, 'base/' || md5(replace(p_name, ' ', '_'))[1:1] || '/' || md5(replace(p_name, ' ', '_'))[1:2] || '/' || replace(p_name, ' ', '_') AS path FROM part")
+def hashed_paths(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").select("p_partkey", T.hashed_path("p_name", "base").alias("path"))
+
+
+@query("licence_names", "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'cc-by-sa' WHEN 1 THEN 'cc-0' ELSE o_orderpriority END AS licence FROM orders")
+def licence_names(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey") % 3
+    raw = F.when(k == 0, "https://creativecommons.org/licenses/by-sa/4.0/").when(k == 1, "CC0 1.0").otherwise(F.col("o_orderpriority"))
+    return table(spark, d, "orders").select("o_orderkey", T.normal_licence(raw).alias("licence"))
+
+
+@query("sort_keys", f"SELECT doc_id, md5(lower(strip_accents(replace({_HEAD}, 'ß', 'ss')))) AS key FROM documents WHERE lang = 'de'")
+def sort_keys(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").where("lang = 'de'").select("doc_id", F.md5(T.german_sort_key(F.element_at(F.split("text", "\n"), 1))).alias("key"))
+
+
+@query("parent_completion", """
+WITH r AS (SELECT p_partkey AS o, p_brand AS g, p_name AS w, p_type AS kind, p_size > 25 AS f FROM part), k AS (SELECT g, w, min(o) AS o, min_by(kind, o) AS kind, bool_or(f) AS f FROM r GROUP BY 1, 2)
+SELECT g, o, w || ' ''Sort' || o || '''' AS name, w AS parent, f, false AS added FROM r UNION ALL SELECT g, o, w, NULL, f, true FROM k
+""")
+def parent_completion(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("o"), F.col("p_brand").alias("g"), F.concat("p_name", F.lit(" 'Sort"), F.col("p_partkey").cast("string"), F.lit("'")).alias("name"), F.col("p_type").alias("kind"), (F.col("p_size") > 25).alias("f"))
+    return lists.complete_parents(rows, "g", "name", "o", "f", ["kind"]).select("g", "o", "name", "parent", "f", "added")
+
+
+@query("row_rules", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_name || ' ''Gold''' ELSE p_name END AS name, CASE p_partkey % 3 WHEN 0 THEN 'cultivar' ELSE 'species' END AS rank, CASE WHEN p_partkey % 3 = 0 THEN p_name END AS parent FROM part")
+def row_rules(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey") % 3
+    rows = table(spark, d, "part").withColumn("n", F.when(k == 0, F.concat("p_name", F.lit(" 'Gold'"))).when(k == 1, F.concat("p_name", F.lit("  'Sorte'"))).otherwise(F.col("p_name")))
+    return rows.select("p_partkey", lists.expand_row("n").alias("x")).select("p_partkey", "x.name", "x.rank", "x.parent")
+
+
+@query("rank_and_strip", "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'subspecies' WHEN 1 THEN 'hybrid' END AS rank, CASE p_partkey % 3 WHEN 0 THEN p_name || ' subsp. alba' WHEN 1 THEN p_name || ' × minor' ELSE p_name END AS stripped FROM part")
+def rank_and_strip(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey") % 3
+    name = F.concat("p_name", F.when(k == 0, " subsp. alba (L.) Mill.").when(k == 1, " × minor Ehrh.").otherwise(" Schleich. ex DC."))
+    return table(spark, d, "part").select("p_partkey", T.rank_of(name).alias("rank"), T.strip_authorship(name).alias("stripped"))
+
+
+@query("organ_of_file", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'leaf' END AS organ, CASE p_partkey % 4 WHEN 0 THEN 'clear' WHEN 1 THEN 'circumstance' WHEN 2 THEN 'no organ' ELSE 'ambiguous' END AS reason FROM part")
+def organ_of_file(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey") % 4
+    rows = table(spark, d, "part").withColumn("taxon", F.concat(F.lit("Plantago "), F.col("p_brand"))).withColumn("file", F.concat("taxon", F.when(k == 0, " - feuilles.JPG").when(k == 1, " leaf in snow.jpg").when(k == 2, " 01.png").otherwise(" leaf and flower.jpg")))
+    return lists.organ_of_file(rows, "p_partkey", "file", "taxon")
+
+
+# Readers, writers and streams
+
+
+@query("json_flatten", "SELECT event_id, (props->>'k')::BIGINT AS k FROM events")
+def json_flatten(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "events-json")
+    sinks.write_json(table(spark, d, "events").select("event_id", F.from_json("props", "k BIGINT").alias("props")), path)
+    return readers.read_ndjson(spark, path, "event_id BIGINT, props STRUCT<k: BIGINT>").select("event_id", "props.k")
+
+
+@query("tolerant_read", "SELECT event_id % 10 = 0 AS bad, count(*) AS n FROM events GROUP BY 1")
+def tolerant_read(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "events-lines")
+    line = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("{broken "), F.col("event_id").cast("string"))).otherwise(F.to_json(F.struct("event_id")))
+    table(spark, d, "events").select(line.alias("value")).write.text(path)
+    good, bad = readers.read_ndjson_tolerant(spark, path, "event_id BIGINT")
+    return good.agg(F.count("*").alias("n")).select(F.lit(False).alias("bad"), "n").unionByName(bad.agg(F.count("*").alias("n")).select(F.lit(True).alias("bad"), "n"))
+
+
+@query("nested_entries", "SELECT o_orderkey, l_linenumber, (l_extendedprice * 100)::BIGINT AS cents FROM orders JOIN lineitem ON l_orderkey = o_orderkey")
+def nested_entries(spark: SparkSession, d: str) -> DataFrame:
+    items = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", CENTS.alias("cents"))).alias("entries"))
+    orders = table(spark, d, "orders").select("o_orderkey").join(items, F.col("o_orderkey") == F.col("l_orderkey")).select(F.array(F.struct("o_orderkey", "entries")).alias("groups"))
+    return readers.explode_entries(orders, "groups", "entries").select("o_orderkey", "l_linenumber", "cents")
+
+
+@query("lists_by_folder", "SELECT p_type AS list, count(DISTINCT p_name) AS n, min(p_partkey) AS first FROM part GROUP BY 1")
+def lists_by_folder(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "lists")
+    sinks.write_by_group(table(spark, d, "part").select("p_partkey", "p_name", "p_type"), path, "p_type", "p_name", ["p_partkey"])
+    rows = spark.read.schema("p_partkey BIGINT, p_name STRING, p_type STRING").json(path)
+    return rows.groupBy(F.col("p_type").alias("list")).agg(F.count("*").alias("n"), F.min("p_partkey").alias("first"))
+
+
+@query("failure_lines", "SELECT o_orderkey AS key, o_orderpriority AS name, o_orderstatus AS error FROM orders WHERE o_orderkey % 3 <> 0")
+def failure_lines(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "failures")
+    key = F.when(F.col("o_orderkey") % 3 == 0, "none").otherwise(F.col("o_orderkey").cast("string"))
+    table(spark, d, "orders").select(F.concat_ws("\t", key, "o_orderpriority", "o_orderstatus").alias("value")).write.text(path)
+    readers.require_inputs(spark, path)
+    return readers.read_failures(spark, path)
+
+
+@query("image_groups", "SELECT user_id, event_type AS organ, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY value DESC, event_id) AS n FROM events) WHERE n <= 2")
+def image_groups(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.sort_array(F.collect_list(F.struct("event_id", F.col("value").alias("votes")))).alias("l"))
+    pages = e.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "l"))).alias("images"))
+    return readers.flatten_image_groups(pages, "user_id", "images", 2).select("user_id", "organ", "event_id")
+
+
+@query("fold_bindings", "SELECT o_custkey, array_to_string(list_sort(list(DISTINCT o_orderpriority)), '|') AS priorities, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus, bool_or(o_totalprice > 300000) AS flag FROM orders GROUP BY 1")
+def fold_bindings(spark: SparkSession, d: str) -> DataFrame:
+    out = readers.fold_bindings(table(spark, d, "orders"), "o_custkey", ["o_orderpriority"], ["o_orderstatus"], "o_orderkey", F.col("o_totalprice") > 300000)
+    return out.select("o_custkey", F.array_join("o_orderpriority", "|").alias("priorities"), "o_orderstatus", "flag")
+
+
+@query("language_pages", """
+WITH b AS (SELECT p_brand, p_type, min_by(p_name, p_partkey) AS n, min(p_partkey) AS f, count(*) AS c FROM part GROUP BY 1, 2)
+SELECT p_brand, string_agg(p_type || '=' || n, '|' ORDER BY p_type) AS names, min(f) AS first_page, sum(c - 1)::BIGINT AS n_again FROM b GROUP BY 1
+""")
+def language_pages(spark: SparkSession, d: str) -> DataFrame:
+    out = readers.upsert_language_pages(table(spark, d, "part"), ["p_brand"], "p_type", "p_name", "p_partkey")
+    text = F.array_join(F.transform(F.map_entries("names_by_language"), lambda e: F.concat_ws("=", e["key"], e["value"])), "|")
+    return out.select("p_brand", text.alias("names"), "first_page", "n_again")
+
+
+@query("page_images", "SELECT page_id FROM pages WHERE regexp_matches(url || '.jpg', '(?i)\\.(jpe?g|png)$') AND page_id % 3 <> 0")
+def page_images(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "pages").select("page_id", F.concat("url", F.lit(".jpg")).alias("title"), "html", F.when(F.col("page_id") % 3 == 0, "CC BY-NC").otherwise("CC BY").alias("licence"))
+    return readers.flatten_pages(rows, "title", {"text": "html"}, "licence", filters.DENIED_LICENCE).select("page_id")
+
+
+@query("reject_split", "SELECT o_orderkey, CASE WHEN o_totalprice > 400000 THEN 'dear' ELSE 'pending' END AS reason FROM orders WHERE o_totalprice > 400000 OR o_orderstatus = 'P'")
+def reject_split(spark: SparkSession, d: str) -> DataFrame:
+    return sinks.split_rejects(table(spark, d, "orders"), {"dear": F.col("o_totalprice") > 400000, "pending": F.col("o_orderstatus") == "P"})[1].select("o_orderkey", "reason")
+
+
+@query("run_manifest", "SELECT 'nightly' AS run, count(*) AS n, count(DISTINCT l_suppkey) AS n_keys, round(avg(l_quantity), 4) AS mean FROM lineitem")
+def run_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return sinks.manifest(table(spark, d, "lineitem"), {"n": F.count("*"), "n_keys": F.count_distinct("l_suppkey"), "mean": F.round(F.avg("l_quantity"), 4)}, {"run": "nightly"})
+
+
+@query("partner_export", "SELECT 'row' AS part, count(*) AS n FROM supplier UNION ALL SELECT 'meta', 1")
+def partner_export(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "supplier").withColumn("rank", F.when(F.col("s_acctbal") > 0, "solvent"))
+    return sinks.partner_document(rows, "rank", ["s_suppkey", "s_name"]).groupBy("part").agg(F.count("*").alias("n"))
+
+
+@query("keyed_upsert", "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'NEW' ELSE c_mktsegment END AS c_mktsegment FROM customer")
+def keyed_upsert(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    return sinks.upsert(c.where("c_custkey % 10 <> 0"), c.where("c_custkey % 5 = 0").withColumn("c_mktsegment", F.lit("NEW")), ["c_custkey"])
+
+
+@query("tree_slices", """
+WITH n AS (SELECT n_nationkey, n_name, n_regionkey, count(c_custkey) AS m FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL), r AS (SELECT r_name, r_regionkey, sum(m) AS m FROM region JOIN n ON n_regionkey = r_regionkey GROUP BY ALL),
+t AS (SELECT sum(m) AS m, sum(m) // 6 AS lim FROM r)
+SELECT r_name AS node, r.m::BIGINT AS n, 'slice' AS kind FROM r, t WHERE r.m <= lim UNION ALL
+SELECT n_name, n.m, 'slice' FROM n JOIN r ON r_regionkey = n_regionkey, t WHERE r.m > lim AND n.m <= lim
+""")
+def tree_slices(spark: SparkSession, d: str) -> DataFrame:
+    nation, region, customer = (table(spark, d, n) for n in ("nation", "region", "customer"))
+    per = nation.join(customer.groupBy("c_nationkey").agg(F.count("*").alias("n")), F.col("c_nationkey") == F.col("n_nationkey"), "left").select("n_name", "n_regionkey", F.coalesce("n", F.lit(0)).alias("n"))
+    regions = per.join(region, F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.sum("n").alias("n"))
+    counts = written(per.select(F.col("n_name").alias("node"), "n").unionByName(regions.withColumnRenamed("r_name", "node")).unionByName(regions.agg(F.sum("n").alias("n")).select(F.lit("WORLD").alias("node"), "n")), "counts")
+    edges = region.select(F.lit("WORLD").alias("parent"), F.col("r_name").alias("child")).unionByName(nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("parent"), F.col("n_name").alias("child")))
+    leaves = edges.where("false").select(F.col("child").alias("node"))
+    most = counts.where("node = 'WORLD'").first()["n"] // 6
+    return tree.slices(edges, counts, leaves, "WORLD", most)
+
+
+@query("quota_window", """
+WITH RECURSIVE e AS (SELECT user_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+f AS (SELECT user_id, event_id, ts, i, ts AS ws, 1 AS used FROM e WHERE i = 1
+  UNION ALL SELECT e.user_id, e.event_id, e.ts, e.i, CASE WHEN e.ts - f.ws >= INTERVAL 24 HOUR THEN e.ts ELSE f.ws END, CASE WHEN e.ts - f.ws >= INTERVAL 24 HOUR THEN 1 ELSE f.used + 1 END FROM f JOIN e ON e.user_id = f.user_id AND e.i = f.i + 1)
+SELECT user_id::VARCHAR AS key, event_id AS request, used::BIGINT AS used, used > 3 AS over FROM f
+""")
+def quota_window(spark: SparkSession, d: str) -> DataFrame:
+    return ingest.quota_batch(table(spark, d, "events").withColumn("cost", F.lit(1)), "user_id", "event_id", "ts", "cost", 3).select("key", "request", "used", "over")
+
+
+@query("stream_ingest", "SELECT event_id, user_id FROM events")
+def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
+    source, target, checkpoint = (scratch(spark, n) for n in ("stream-in", "stream-out", "stream-state"))
+    e = table(spark, d, "events").select("event_id", "user_id", "value")
+    e.unionByName(e.where("event_id % 7 = 0")).repartition(4).write.json(source)  # a seventh comes twice
+    for _ in range(2):  # the second run finds nothing new
+        ingest.ingest_files(spark, source, "event_id BIGINT, user_id BIGINT, value DOUBLE", target, checkpoint, "event_id")
+    return spark.read.parquet(target).select("event_id", "user_id")
+
+
+@query("stream_upsert", "SELECT user_id, max(event_id) AS event_id FROM events GROUP BY 1")
+def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
+    source, target, checkpoint = (scratch(spark, n) for n in ("upsert-in", "upsert-out", "upsert-state"))
+    table(spark, d, "events").select("event_id", "user_id").repartitionByRange(3, "event_id").sortWithinPartitions("event_id").write.json(source)
+    path = ingest.upsert_stream(spark, source, "event_id BIGINT, user_id BIGINT", target, checkpoint, ["user_id"], "event_id")
+    return spark.read.parquet(path).groupBy("user_id").agg(F.max("event_id").alias("event_id"))
+
+
+@query("retry_queue", "SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = 3")
+def retry_queue(spark: SparkSession, d: str) -> DataFrame:
+    queue, done = scratch(spark, "queue"), scratch(spark, "done")
+    table(spark, d, "orders").select("o_orderkey").write.parquet(queue)
+    return ingest.retry(spark, queue, lambda rows: rows.withColumn("ok", F.col("o_orderkey") % 4 < F.col("attempt")), done)

@@ -53,7 +53,7 @@ def quota_batch(rows: DataFrame, key: str, request: str, time: str, cost: str, q
 
     A fold over a key's requests in order, as a higher-order function: nothing leaves the JVM.
     """
-    listed = rows.groupBy(F.col(key).cast("string").alias("key")).agg(F.sort_array(F.collect_list(F.struct(F.col(time).alias("ts"), F.col(request).cast("long").alias("request"), F.col(cost).cast("long").alias("cost")))).alias("l"))
+    listed = rows.groupBy(F.col(key).cast("string").alias("key")).agg(F.sort_array(F.collect_list(F.struct(F.col(time).cast("timestamp").alias("ts"), F.col(request).cast("long").alias("request"), F.col(cost).cast("long").alias("cost")))).alias("l"))
     kind = "array<struct<request:bigint,ts:timestamp,window_start:timestamp,used:bigint>>"
     start = F.struct(F.lit(None).cast("timestamp").alias("at"), F.lit(0).cast("long").alias("used"), F.array().cast(kind).alias("out"))
 
@@ -80,28 +80,28 @@ def quota_stream(rows: DataFrame, key: str, request: str, time: str, cost: str,
             yield pd.DataFrame(out, columns=["key", "request", "ts", "window_start", "used", "over"])
         state.update((None if start is None else start.to_pydatetime(), used))
 
-    named = rows.select(F.col(key).cast("string").alias("key"), F.col(request).cast("long").alias("request"), F.col(time).alias("ts"), F.col(cost).cast("long").alias("cost"))
+    named = rows.select(F.col(key).cast("string").alias("key"), F.col(request).cast("long").alias("request"), F.col(time).cast("timestamp").alias("ts"), F.col(cost).cast("long").alias("cost"))
     return named.groupBy("key").applyInPandasWithState(run, WINDOW_OUT, "start timestamp, used bigint", "append", GroupStateTimeout.NoTimeout)
 
 
 def upsert_stream(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, keys: list[str], ordinal: str, fmt: str = "json") -> str:
-    """Upserts new files into a table by key; each batch writes the next version of the table and the last version's path is returned.
+    """Upserts new files into a table by key, the row of the largest ordinal winning whatever order files come in.
 
-    A batch that runs again writes the same version again, so a restart changes nothing.
+    Each batch writes the next version of the table, and the last version's path is returned. A batch that runs again
+    writes the same version again, so a restart changes nothing.
     """
-    from ..sources.sinks import upsert
-
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).format(fmt).load(source)
 
     def version(n: int) -> str:
         return f"{target}/version={n}"
 
     def merge(batch: DataFrame, n: int) -> None:
-        newest = batch.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in batch.columns if c not in keys]), ordinal).alias("r")).select(*keys, "r.*").select(*batch.columns)
-        now = newest if n == 0 else upsert(batch.sparkSession.read.schema(batch.schema).parquet(version(n - 1)), newest, keys)
-        now.write.mode("overwrite").parquet(version(n))
+        known = batch if n == 0 else batch.sparkSession.read.schema(batch.schema).parquet(version(n - 1)).unionByName(batch)
+        rest = F.struct(*[c for c in batch.columns if c not in keys])
+        known.groupBy(*keys).agg(F.max_by(rest, ordinal).alias("r")).select(*keys, "r.*").write.mode("overwrite").parquet(version(n))
 
     query = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge).trigger(availableNow=True).start()
     query.awaitTermination()
-    last = query.lastProgress["batchId"] if query.lastProgress else 0
+    done = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(target)
+    last = done.select(F.max(F.regexp_extract("path", r"version=([0-9]+)/", 1).cast("int"))).first()[0]
     return version(last)
