@@ -38,9 +38,9 @@ from .components import components
 #: Words and shingles that all tasks are told are frequent, at most.
 FREQUENT, COMMON = 1 << 14, 1 << 18
 #: Occurrences of a shingle in a partition and overall that make it common.
-SEEN_HERE, SEEN = 2, 8
+SEEN_HERE, SEEN = 2, 4
 #: Shingles of the sets that a task compares at once, about; a single set may be larger.
-BLOCK = 2_000_000
+BLOCK = 4_000_000
 #: Bits of the bitmap's size that tells which documents have candidates.
 MARKS = 20
 _PRIMES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -340,7 +340,8 @@ def verified_links(docs: DataFrame, clusters: DataFrame, percent: int, words: in
     # a small group is one task's; else blocks of a class meet each other, and those of the next class
     groups = F.when(F.col("all") <= block, F.array(F.struct(F.lit(-1).alias("class"), F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
         F.concat(
-            F.expr("transform(sequence(0, k - 1), j -> struct(class * 2 AS class, least(i, j) AS i, greatest(i, j) AS j))"),
+            # a class in one block meets itself where it meets a neighbour
+            F.expr("IF(k > 1 OR m_above + m_below = 0, transform(sequence(0, k - 1), j -> struct(class * 2 AS class, least(i, j) AS i, greatest(i, j) AS j)), array())"),
             F.expr("IF(m_above > 0, transform(sequence(0, k_above - 1), j -> struct(class * 2 + 1 AS class, i AS i, j AS j)), array())"),
             F.expr("IF(m_below > 0, transform(sequence(0, k_below - 1), j -> struct(class * 2 - 1 AS class, j AS i, i AS j)), array())"),
         )
