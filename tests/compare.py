@@ -10,6 +10,8 @@ def plain(v):
         return None
     if hasattr(v, "item") and not isinstance(v, (list, tuple)):
         v = v.item() if getattr(v, "ndim", 0) == 0 else v.tolist()
+    if str(v) in ("<NA>", "NaT"):
+        return None
     if isinstance(v, float):
         return None if math.isnan(v) else int(v) if v == int(v) else round(v, 6)
     if isinstance(v, (list, tuple)):
