@@ -19,16 +19,16 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from sheafwork.llm.toxicity import learn_toxicity, score_toxicity
 
     machine = learn_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out("doc_id"))
-    return score_toxicity(docs, machine, keep=docs.columns).where(F.col("score") < 0.5).drop("score")
+    return score_toxicity(docs, machine, keep=docs.columns, out="__score").where(F.col("__score") < 0.5).drop("__score")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of no language (no letters) and those whose stated language the text contradicts clearly."""
     from sheafwork.llm.langid import learn_profiles, predict_language
 
-    found = predict_language(docs, learn_profiles(docs, ~held_out("doc_id")), keep=docs.columns)
-    other = (F.col("lang_pred") != F.col("lang")) & (F.col("score") >= CONTRADICTION)
-    return found.where((F.col("lang_pred") != "und") & ~F.coalesce(other, F.lit(False))).drop("lang_pred", "score")
+    found = predict_language(docs, learn_profiles(docs, ~held_out("doc_id")), keep=docs.columns, out=("__lang", "__score"))
+    other = (F.col("__lang") != F.col("lang")) & (F.col("__score") >= CONTRADICTION)
+    return found.where((F.col("__lang") != "und") & ~F.coalesce(other, F.lit(False))).drop("__lang", "__score")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,3 +42,10 @@ def fold(doc_id: Column | str, folds: int = 5) -> Column:
 def held_out(doc_id: Column | str) -> Column:
     """Fold 0 is held out; rows without an id are never learnt from, so they count as held out too."""
     return F.coalesce(fold(doc_id) == 0, F.lit(True))
+
+
+def carry(docs: DataFrame, keep: list[str], text_col: str) -> tuple[DataFrame, list[str], str, int]:
+    """What a Python step over texts reads: the columns to keep and, if it isn't one, the text; then the kept names, their schema and the text's place."""
+    rows = docs.select(*keep, *([] if text_col in keep else [text_col]))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
+    return rows, list(keep), schema, rows.columns.index(text_col)

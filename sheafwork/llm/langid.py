@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import carry
+
 #: N-grams in a profile.
 PROFILE = 300
 #: Labelled documents of a language that its profile is made from, about; chosen by a hash of the id.
@@ -70,7 +72,7 @@ def learn_profiles(docs: DataFrame, labelled: Column, id_col: str = "doc_id", te
             for lang, parts in found.items():
                 codes, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
                 n = np.bincount(at, np.concatenate([p[1] for p in parts]), len(codes)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes)), pa.array(codes), pa.array(n)], names=["lang", "gram", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(n)], names=["lang", "gram", "n"])
 
     totals = chosen.select(lang_col, text_col).mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = totals.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("place") <= size)
@@ -104,16 +106,14 @@ class Ranker:
         return self.langs[first], next_near / (near + next_near) if near + next_near else 0.5
 
 
-def predict_language(docs: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, size: int = PROFILE) -> DataFrame:
+def predict_language(docs: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, size: int = PROFILE, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Language and score of each row; ``keep`` names columns to carry along instead of the id alone."""
-    carried = docs.select(*(keep or [id_col]), F.col(text_col).alias("__text"))
-    names = [c for c in carried.columns if c != "__text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema if f.name != "__text")
+    carried, names, schema, at = carry(docs, keep or [id_col], text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranker = Ranker(profiles, size)
         for batch in batches:
-            found = [ranker.predict(t) for t in batch.column(len(names)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[*names, "lang_pred", "score"])
+            found = [ranker.predict(t.as_py()) for t in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[*names, *out])
 
-    return carried.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return carried.mapInArrow(run, f"{schema}, `{out[0]}` string, `{out[1]}` double")

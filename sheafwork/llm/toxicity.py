@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import carry
+
 #: Labelled documents of each class in the fit, about.
 SAMPLE = 1200
 #: Landmarks of toxic and of clean words.
@@ -37,6 +39,8 @@ DECAY, SPAN, POWER, LEAST = 0.6, 6, 4, 0.4
 LONGEST = 24
 #: Words in a sentence at most, and a word's least weight in scoring.
 STOP, FAINT = 40, 0.05
+#: Texts that are split into words at once.
+SLICE = 400
 _CLASSES = 64
 _SIGNS = ".,;:!?\"'()[]{}|<>*_-…«»„“”#&%$~^+=/\\@`"
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -324,16 +328,14 @@ class Scorer:
         return out
 
 
-def score_toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Adds ``score`` from 0 to 1; ``keep`` names columns to carry along instead of the id alone."""
-    carried = docs.select(*(keep or [id_col]), F.col(text_col).alias("__text"))
-    names = [c for c in carried.columns if c != "__text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema if f.name != "__text")
+def score_toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, out: str = "score") -> DataFrame:
+    """Adds ``out``, from 0 to 1; ``keep`` names columns to carry along instead of the id alone."""
+    carried, names, schema, at = carry(docs, keep or [id_col], text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(machine)
         for batch in batches:
-            found = scorer.scores(batch.column(len(names)).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(found, pa.float64())], names=[*names, "score"])
+            found = [x for i in range(0, batch.num_rows, SLICE) for x in scorer.scores(batch.column(at).slice(i, SLICE).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(found, pa.float64())], names=[*names, out])
 
-    return carried.mapInArrow(run, f"{schema}, score double")
+    return carried.mapInArrow(run, f"{schema}, `{out}` double")
