@@ -955,3 +955,130 @@ def retry_queue(spark: SparkSession, d: str) -> DataFrame:
     queue, done = scratch(spark, "queue"), scratch(spark, "done")
     table(spark, d, "orders").select("o_orderkey").write.parquet(queue)
     return ingest.retry(spark, queue, lambda rows: rows.withColumn("ok", F.col("o_orderkey") % 4 < F.col("attempt")), done)
+
+
+@query("keyed_json", "SELECT p_brand AS key, round(max(p_retailprice), 2) AS value FROM part GROUP BY 1")
+def keyed_json(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "keyed")
+    best = table(spark, d, "part").groupBy("p_brand").agg(F.round(F.max("p_retailprice"), 2).alias("v"))
+    entries = F.map_from_entries(F.collect_list(F.struct("p_brand", "v")))
+    best.agg(F.to_json(F.struct(F.lit("1").alias("version"), entries.alias("values"))).alias("value")).write.text(path)
+    return readers.read_keyed_json(spark, path, "DOUBLE", "values")
+
+
+@query("quoted_csv", "SELECT p_name || ' \"' || p_brand || '\", ' || p_type AS name, p_partkey::VARCHAR AS key FROM part")
+def quoted_csv(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "csv")
+    rows = table(spark, d, "part").select(F.concat("p_name", F.lit(' "'), "p_brand", F.lit('", '), "p_type").alias("name"), F.col("p_partkey").cast("string").alias("key"))
+    rows.withColumnRenamed("name", "﻿name").write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    return readers.read_quoted_csv(spark, path, ["name", "key"])
+
+
+@query("multi_store", "SELECT 'nations' AS store, count(*) AS n FROM nation UNION ALL SELECT 'regions', count(*) FROM region")
+def multi_store(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "stores")
+    nations = table(spark, d, "nation").agg(F.collect_list(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))).alias("nations")).withColumn("j", F.lit(1))
+    regions = table(spark, d, "region").agg(F.collect_list(F.struct(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))).alias("regions")).withColumn("j", F.lit(1))
+    nations.join(regions, "j").drop("j").write.json(path)
+    stores = readers.read_multi_store(spark, path, {"nations": "id INT, name STRING", "regions": "id INT, name STRING"})
+    return stores["nations"].agg(F.count("*").alias("n")).select(F.lit("nations").alias("store"), "n").unionByName(stores["regions"].agg(F.count("*").alias("n")).select(F.lit("regions").alias("store"), "n"))
+
+
+@query("tree_flatten", "SELECT r_name AS area, n_name AS domain, s_name AS name FROM region LEFT JOIN nation ON n_regionkey = r_regionkey LEFT JOIN supplier ON s_nationkey = n_nationkey")
+def tree_flatten(spark: SparkSession, d: str) -> DataFrame:
+    s = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.collect_list(F.struct(F.col("s_name").alias("name"))).alias("lists"))
+    n = table(spark, d, "nation").join(s, F.col("s_nationkey") == F.col("n_nationkey"), "left").groupBy("n_regionkey").agg(F.collect_list(F.struct(F.col("n_name").alias("name"), "lists")).alias("domains"))
+    r = table(spark, d, "region").join(n, F.col("n_regionkey") == F.col("r_regionkey"), "left").agg(F.collect_list(F.struct(F.col("r_name").alias("name"), "domains")).alias("areas"))
+    return readers.flatten_tree(r, [("areas", "area"), ("domains", "domain"), ("lists", "leaf")]).select("area", "domain", F.col("leaf").alias("name"))
+
+
+@query("usage_names", """
+WITH v AS (SELECT o_custkey AS k, o_orderkey AS pos, trim(o_orderpriority) AS name, CASE WHEN o_orderstatus = 'F' THEN 'de' WHEN o_orderstatus = 'O' THEN 'en' ELSE 'xx' END AS l FROM orders),
+o AS (SELECT *, row_number() OVER (PARTITION BY k, l, lower(name) ORDER BY pos) AS n FROM v WHERE l IN ('de', 'en'))
+SELECT k, string_agg(l || ':' || name, '|' ORDER BY pos) AS names FROM o WHERE n = 1 GROUP BY 1
+""")
+def usage_names(spark: SparkSession, d: str) -> DataFrame:
+    lang = F.when(F.col("o_orderstatus") == "F", "de").when(F.col("o_orderstatus") == "O", "en").otherwise("xx")
+    entries = F.sort_array(F.collect_list(F.struct("o_orderkey", F.concat(F.lit(" "), "o_orderpriority").alias("vernacularName"), lang.alias("language"))))
+    usages = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("k")).agg(entries.alias("vernacularNames"))
+    out = readers.flatten_usages(usages, ["de", "en"])
+    return out.select("k", F.array_join(F.transform("vernacularNames", lambda v: F.concat_ws(":", v["language"], v["name"])), "|").alias("names")).where("names <> ''")
+
+
+@query("occurrence_media", """
+WITH m AS (SELECT user_id, event_id AS pos, event_type AS url, value > 5 AS ext FROM events), o AS (SELECT *, row_number() OVER (PARTITION BY user_id, url ORDER BY NOT ext, pos) AS n FROM m)
+SELECT user_id, url, CASE WHEN ext THEN 'ext' || pos ELSE 'med' || pos END AS creator FROM o WHERE n = 1
+""")
+def occurrence_media(spark: SparkSession, d: str) -> DataFrame:
+    pos = F.col("event_id").cast("string")
+
+    def pick(cond, creator, holder):
+        entries = F.sort_array(F.collect_list(F.when(cond, F.struct("event_id", F.col("event_type").alias("u"), creator.alias("c"), holder.alias("h")))))
+        return F.transform(entries, lambda x: F.create_map(F.lit("identifier"), x["u"], F.lit("creator"), x["c"], F.lit("rightsHolder"), x["h"]))
+
+    large = F.col("value") > 5
+    rows = table(spark, d, "events").groupBy("user_id").agg(
+        pick(large, F.concat(F.lit("ext"), pos), F.lit("")).alias("extensions"), pick(~large, F.lit(" "), F.concat(F.lit("med"), pos)).alias("media")
+    )
+    return readers.flatten_media(rows, "user_id", "extensions", "media", {"url": ["identifier"], "creator": ["creator", "rightsHolder"]}, "url").select("user_id", "url", "creator")
+
+
+@query("facet_keys", "SELECT DISTINCT o_custkey AS key FROM orders WHERE o_orderstatus <> 'P'")
+def facet_keys(spark: SparkSession, d: str) -> DataFrame:
+    name = F.when(F.col("o_orderstatus") == "P", "none").otherwise(F.col("o_custkey").cast("string"))
+    pages = table(spark, d, "orders").groupBy("o_orderpriority").agg(F.collect_list(F.struct(name.alias("name"), F.lit(1).alias("count"))).alias("counts"))
+    return readers.flatten_facets(pages, "counts")
+
+
+@query("detail_traits", "SELECT p_partkey, CASE WHEN p_size > 10 THEN p_type || ', ' || p_brand END AS growth FROM part")
+def detail_traits(spark: SparkSession, d: str) -> DataFrame:
+    value = lambda c: F.struct(F.col(c).alias("key"))
+    traits = F.array(F.struct(F.when(F.col("p_size") > 10, "growth_form").otherwise("other").alias("key"), F.array(value("p_type"), value("p_brand")).alias("values")))
+    return readers.flatten_detail(table(spark, d, "part").select("p_partkey", traits.alias("traits"), F.col("p_name").alias("images")), "images", "growth_form", "growth").select("p_partkey", "growth")
+
+
+@query("synonym_lists", "SELECT p_partkey, CASE WHEN p_brand = p_type THEN p_brand ELSE p_brand || '|' || p_type END AS synonyms FROM part")
+def synonym_lists(spark: SparkSession, d: str) -> DataFrame:
+    names = merge.synonym_union(F.array("p_brand"), F.array(F.upper("p_name"), F.col("p_type")), F.col("p_name"))
+    return table(spark, d, "part").select("p_partkey", F.array_join(names, "|").alias("synonyms"))
+
+
+@query("composed_names", "SELECT p_partkey, CASE WHEN p_size > 25 THEN upper(p_brand) || ' Kraut' WHEN p_size > 10 THEN p_brand || ' ''Gold''' ELSE 'Acer minus ''Gold''' END AS name, CASE WHEN p_size > 25 THEN 'own' WHEN p_size > 10 THEN 'composed' ELSE 'botanical' END AS source FROM part")
+def composed_names(spark: SparkSession, d: str) -> DataFrame:
+    common = F.when(F.col("p_size") > 25, F.concat(F.upper("p_brand"), F.lit(" Kraut"))).otherwise("Acer minus")
+    made = T.composed_name(common, F.when(F.col("p_size") > 10, F.col("p_brand")), F.lit("Acer minus 'Gold'"))
+    return table(spark, d, "part").select("p_partkey", made.alias("x")).select("p_partkey", "x.name", "x.source")
+
+
+@query("repaired_names", "SELECT p_partkey, CASE WHEN p_size > 20 THEN p_name || ' ''Gold''' ELSE 'other' END AS name FROM part")
+def repaired_names(spark: SparkSession, d: str) -> DataFrame:
+    short = F.when(F.col("p_size") > 20, F.col("p_name")).otherwise("other")
+    return table(spark, d, "part").select("p_partkey", T.repaired(short, F.concat("p_name", F.lit(" ‘Gold’"))).alias("name"))
+
+
+@query("clean_cells", "SELECT p_partkey, p_name || ', ' || p_brand AS cell, lower(p_name) AS key FROM part")
+def clean_cells(spark: SparkSession, d: str) -> DataFrame:
+    cell = F.concat("p_name", F.lit(" (a b) ,"), "p_brand", F.lit("  in Sorten "))
+    return table(spark, d, "part").select("p_partkey", T.clean_list_text(cell).alias("cell"), T.small_key(F.replace("p_name", F.lit(" "), F.lit(" - "))).alias("key"))
+
+
+@query("markup_attributes", r"""
+WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="/([^"]*)"', 1)) AS v FROM pages) SELECT page_id, v, count(*) AS n FROM a GROUP BY 1, 2
+""")
+def markup_attributes(spark: SparkSession, d: str) -> DataFrame:
+    found = table(spark, d, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="/([^"]*)"'), F.lit(1))).alias("v"))
+    return found.groupBy("page_id", "v").agg(F.count("*").alias("n"))
+
+
+@query("foreign_categories", "SELECT p_partkey, p_partkey % 3 = 0 AS foreign_one FROM part")
+def foreign_categories(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey") % 3
+    category = F.when(k == 0, F.concat("p_name", F.lit(" in gardens"))).when(k == 1, F.concat("p_name", F.lit(" gold"))).otherwise("Weeping tree")
+    return table(spark, d, "part").select("p_partkey", T.of_another(F.concat("p_name", F.lit(" 'Gold'")), category).alias("foreign_one"))
+
+
+@query("genuine_names", "SELECT p_partkey, p_partkey % 4 = 0 AS genuine, p_partkey % 2 = 1 AS botanical FROM part")
+def genuine_names(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey") % 4
+    name = F.when(k == 0, "Echter Kümmel").when(k == 1, "Carum carvi").when(k == 2, "Carum").otherwise("Carum subsp. alba")
+    return table(spark, d, "part").select("p_partkey", T.genuine_common_name(name, F.lit("Carum carvi")).alias("genuine"), T.looks_botanical(name).alias("botanical"))
