@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -49,3 +51,11 @@ def carry(docs: DataFrame, keep: list[str], text_col: str) -> tuple[DataFrame, l
     rows = docs.select(*keep, *([] if text_col in keep else [text_col]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
     return rows, list(keep), schema, rows.columns.index(text_col)
+
+
+def release_memory() -> None:
+    """Gives freed memory back to the system at the end of a large step; Python workers live on for later stages."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

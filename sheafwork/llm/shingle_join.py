@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import release_memory, written
 from .components import components
 
 #: Words and shingles that all tasks are told are frequent, at most.
@@ -239,14 +239,17 @@ def divide_skip(sets: list[np.ndarray], names: list[int], percent: int) -> list[
     order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), names[i]))
     sets, names = [sets[i] for i in order], [names[i] for i in order]
     sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
     token = np.concatenate(sets) if len(sets) else np.empty(0, np.uint64)
-    by = np.argsort(token, kind="stable")
+    by = np.argsort(token, kind="stable").astype(np.int32)
     posting, token = owner[by], token[by]
+    del owner
     fresh = np.concatenate(([True], token[1:] != token[:-1])) if len(token) else np.empty(0, bool)
-    number = np.empty(len(token), np.int64)
-    number[by] = np.cumsum(fresh) - 1  # of each set's shingles, the list they are in
-    starts = np.concatenate((np.nonzero(fresh)[0], [len(token)]))
+    del token
+    number = np.empty(len(by), np.int32)
+    number[by] = np.cumsum(fresh, dtype=np.int32) - 1  # of each set's shingles, the list they are in
+    starts = np.concatenate((np.nonzero(fresh)[0], [len(by)]))
+    del by, fresh
     lengths = np.diff(starts)
     own = np.concatenate(([0], np.cumsum(sizes)))
     same, first_of, links = _Sets(len(sets)), {}, []
@@ -362,6 +365,9 @@ def verified_links(docs: DataFrame, clusters: DataFrame, percent: int, words: in
     def search(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates(["node", "shingles"])
         links = divide_skip([np.frombuffer(x, np.uint64) for x in group["shingles"]], group["node"].tolist(), percent)
+        if group["shingles"].map(len).sum() > 1 << 22:
+            del group
+            release_memory()
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return dealt.groupBy("g.component", "g.part").applyInPandas(search, "a bigint, b bigint")

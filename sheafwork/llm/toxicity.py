@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import carry
+from .common import carry, release_memory
 
 #: Labelled documents of each class in the fit, about.
 SAMPLE = 1200
@@ -337,5 +337,7 @@ def score_toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", te
         for batch in batches:
             found = [x for i in range(0, batch.num_rows, SLICE) for x in scorer.scores(batch.column(at).slice(i, SLICE).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(found, pa.float64())], names=[*names, out])
+        del scorer
+        release_memory()
 
     return carried.mapInArrow(run, f"{schema}, `{out}` double")
