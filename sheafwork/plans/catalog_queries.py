@@ -12,8 +12,6 @@ from ..sources import readers, sinks
 from ..storage import scratch, written
 from ..streaming import ingest
 
-CENTS = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-
 # Best rows by facet, counts, pivots
 
 
@@ -832,7 +830,7 @@ def tolerant_read(spark: SparkSession, d: str) -> DataFrame:
 
 @query("nested_entries", "SELECT o_orderkey, l_linenumber, (l_extendedprice * 100)::BIGINT AS cents FROM orders JOIN lineitem ON l_orderkey = o_orderkey")
 def nested_entries(spark: SparkSession, d: str) -> DataFrame:
-    items = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", CENTS.alias("cents"))).alias("entries"))
+    items = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"))).alias("entries"))
     orders = table(spark, d, "orders").select("o_orderkey").join(items, F.col("o_orderkey") == F.col("l_orderkey")).select(F.array(F.struct("o_orderkey", "entries")).alias("groups"))
     return readers.explode_entries(orders, "groups", "entries").select("o_orderkey", "l_linenumber", "cents")
 
