@@ -12,6 +12,8 @@ from sheafwork.llm.common import held_out, shared_dir
 
 #: Score from which another language than the stated one counts as a contradiction.
 CONTRADICTION = 0.6
+#: Words of a shingle, and percent of shingles that near duplicates have in common.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps the document of the smallest id of each group of links, and all documents without an id."""
     from sheafwork.llm.shingle_join import jaccard_components
 
-    found = jaccard_components(docs)
+    found = jaccard_components(docs, percent=NEAR_PERCENT, words=NEAR_WORDS)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
     with_id = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("__kept_id")).drop("__kept_id")
     return with_id.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))

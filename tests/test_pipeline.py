@@ -1,0 +1,12 @@
+import corpus_pipeline as P
+
+
+def replaced(n, *places):
+    return " ".join("other" if i in places else f"w{i}" for i in range(n))
+
+
+def test_near_duplicates_between_the_thresholds(spark, sf_dir):
+    # one word of 50: 0.804 on five words, 0.843 on four; one word of 40: 0.756 on five
+    rows = [(1, replaced(50)), (2, replaced(50, 25)), (3, "a " + replaced(40).replace("w", "v")), (4, "a " + replaced(40, 20).replace("w", "v")), (None, replaced(50))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r["doc_id"] for r in P.near_duplicates(spark, docs, sf_dir).collect()), key=str) == [1, 3, 4, None]
