@@ -2,7 +2,8 @@
 
 Words are compared by their shared subsequences of three characters, which may have gaps; each counts with a weight that
 falls with the length it spans. So an insult with a character put in, left out or an ending added stays close to the
-plain one. A sentence is compared to a landmark word by the sum over its words of the kernel's power; projecting on the
+plain one. A chunk with stops inside ('id!ot', 'i.d.i.o.t', 'idiot.Go') counts as it stands, without the stops, and by the
+parts between them. A sentence is compared to a landmark word by the sum over its words of the kernel's power; projecting on the
 landmarks' kernel matrix (Nyström) gives the features of a linear machine. It is trained on sentences: of a toxic
 document the one that the machine itself finds worst counts as toxic, of other documents all count as clean. A document
 scores as its worst sentence does.
@@ -43,8 +44,11 @@ STOP, FAINT = 40, 0.05
 SLICE = 400
 _CLASSES = 64
 _SIGNS = ".,;:!?\"'()[]{}|<>*_-…«»„“”#&%$~^+=/\\@`"
-_SENTENCE = re.compile(r"[.!?\n]+")
+_SENTENCE = re.compile(r"(?<![.!?])[.!?]++[\"')\]}»”“]*+(?=\s|$)|\n+")
+_STOPS = re.compile(r"[.!?]+")
 _SPACED = re.compile(r"(?<!\S)\w(?: \w){3,}(?!\S)")
+#: Found in every text of which a sentence has letters spelled out, and in a few more.
+_MAYBE_SPACED = re.compile(r"(?<!\S)\w(?: \w){3}")
 #: Digits and signs that stand for letters.
 _LOOKALIKE = dict(zip("013457@$!", "oieastasi"))
 
@@ -60,6 +64,19 @@ def clean(chunk: str) -> str:
     return word if len(word) > 2 else ""
 
 
+def readings(chunk: str) -> list[str]:
+    """The words that a chunk counts as: itself and, with stops inside, what they leave when taken out and the parts between them."""
+    word = clean(chunk)
+    if word.isalnum() or not word:
+        return [word] if word else []
+    parts = _STOPS.split(word)
+    return [word] if len(parts) == 1 else [w for w in dict.fromkeys([word, "".join(parts), *map(clean, parts)]) if len(w) > 2]
+
+
+def spelled(sentence: str) -> list[str]:
+    return [m.group().replace(" ", "").lower() for m in _SPACED.finditer(sentence)]
+
+
 def pieces(word: str) -> list[str]:
     return [word] if len(word) <= LONGEST else [word[i : i + LONGEST] for i in range(0, len(word) - SPAN, LONGEST - SPAN)]
 
@@ -175,11 +192,10 @@ class Machine:
 
 
 def sentences(text: str) -> list[list[str]]:
-    """Distinct cleaned words by sentence; letters spelled out one by one count as a word. A sentence ends after STOP words at the latest."""
+    """Distinct cleaned words by sentence; letters spelled out one by one count as a word. A sentence ends at stops before white space, at line ends, and after STOP words at the latest."""
     found = []
     for s in _SENTENCE.split(text):
-        words = [w for w in map(clean, s.split()) if w]
-        words += [m.group().replace(" ", "").lower() for m in _SPACED.finditer(s)]
+        words = [w for c in s.split() for w in readings(c)] + spelled(s)
         found += [list(dict.fromkeys(words[i : i + STOP])) for i in range(0, len(words), STOP)]
     return found
 
@@ -289,38 +305,36 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, allowed: Column, id_col:
 
 
 class Scorer:
-    """Scores texts in one Python worker; keeps the words that weigh something and a bounded set of those that don't."""
+    """Scores texts in one Python worker; keeps the words that weigh something, the chunks that hold one and a bounded set of those that don't."""
 
     def __init__(self, machine: Machine):
         self.machine = machine
         self.weight: dict[str, float] = {}
+        self.telling: set[str] = set()
         self.weightless: set[str] = set()
 
     def scores(self, texts: list[str | None]) -> list[float]:
         if self.machine.weights is None:
             return [0.0] * len(texts)
         split = [(t or "").split() for t in texts]
-        spaced = [_SPACED.search(t) is not None if t else False for t in texts]
-        new = list({c for cs in split for c in cs}.difference(self.weightless).difference(self.weight))
-        for t, s in zip(texts, spaced):
-            if s:
-                new += {m.group().replace(" ", "").lower() for m in _SPACED.finditer(t)}
-        words = sorted({w for w in map(clean, new) if w}.difference(self.weight))
-        for w, g in zip(words, self.machine.word_weights(words)):
+        spaced = [_MAYBE_SPACED.search(t) is not None if t else False for t in texts]
+        new = {c: readings(c) for c in {c for cs in split for c in cs}.difference(self.weightless).difference(self.telling)}
+        words = {w for ws in new.values() for w in ws}  # with those spelled out, all that sentences() returns
+        words.update(w for t, s in zip(texts, spaced) if s for part in _SENTENCE.split(t) for w in spelled(part))
+        unknown = sorted(words.difference(self.weight))
+        for w, g in zip(unknown, self.machine.word_weights(unknown)):
             if abs(g) >= FAINT:
                 self.weight[w] = float(g)
         if len(self.weightless) > 300_000:
             self.weightless.clear()
-        telling = set()
-        for c in new:
-            if clean(c) in self.weight:
-                telling.add(c)
-                self.weight.setdefault(c, self.weight[clean(c)])
+        for c, ws in new.items():
+            if not self.weight.keys().isdisjoint(ws):
+                self.telling.add(c)
             elif len(self.weightless) <= 300_000:
                 self.weightless.add(c)
         out = []
         for t, cs, s in zip(texts, split, spaced):
-            if not s and self.weight.keys().isdisjoint(cs):
+            if not s and self.telling.isdisjoint(cs):
                 out.append(self.machine.probability(0.0))
                 continue
             get = self.weight.get

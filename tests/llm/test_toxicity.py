@@ -1,5 +1,6 @@
 import itertools
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from sheafwork.llm import toxicity as T
@@ -48,3 +49,18 @@ def test_without_labels(spark):
     machine = T.learn_toxicity(docs, labels, ~held_out("doc_id"))
     assert [r["score"] for r in T.score_toxicity(docs, machine).collect()] == [0.0]
     assert T.score_toxicity(docs.limit(0), machine).count() == 0
+
+
+def test_stops_inside_words():
+    marks = T.Landmarks(["idiot", "stupid"])
+    machine = T.Machine(marks, np.ones(2), 0.5, 4.0)
+    texts = ["id!ot", "i.d.i.o.t", "idiot.Go", "you st.upid man", "you idiot.Go home", "l o s e r. You idiot!) Go.", "i d i o t. Go", "You i d i o t!"]
+    together = T.Scorer(machine)
+    together.scores(["idiot stupid", "Go home."])
+    clean = T.Scorer(machine).scores(["the house"])[0]
+    for text in texts:
+        fresh = T.Scorer(machine).scores([text])[0]
+        want = max(sum(w for w in machine.word_weights(s) if abs(w) >= T.FAINT) for s in T.sentences(text))
+        assert fresh >= machine.probability(0.99) > 0.5 > clean
+        assert abs(fresh - machine.probability(want)) < 1e-12 and abs(together.scores([text])[0] - fresh) < 1e-12
+    assert T.sentences('One two three. "Four five!" Six.seven\neight') == [["one", "two", "three"], ["four", "five"], ["six.seven", "sixseven", "six", "seven"], ["eight"]]
