@@ -1,7 +1,8 @@
 """Substring dedup by sliding spans of sentences.
 
-From each sentence of each text runs a span: the fewest sentences from there on that are ``SENTENCES`` or more with
-``WORDS`` words, or fewer with ``MANY_WORDS``. Spans are hashed (128 bits) and joined globally; every sentence that lies
+From each sentence of each text runs a span, and to each runs one: the fewest sentences from there on, or up to there, that
+are ``SENTENCES`` or more with ``WORDS`` words, or fewer with ``MANY_WORDS``; so both ends of a repeated passage lie in spans
+of it. Which of the two a span is depends on its sentences alone, so it is taken once. Spans are hashed (128 bits) and joined globally; every sentence that lies
 in a span which occurs before, in a smaller document or earlier in the same, is removed. Sentences end behind full stops,
 exclamation and question marks and line ends; case and the white space between words don't matter.
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -30,21 +32,19 @@ SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*\s*|[.!?\n]+\s*")
 
 
 def spans(text: str) -> Iterator[tuple[int, int, bytes]]:
-    """First and last sentence of each span, and its hash."""
+    """First and last sentence of each span, once, and its hash."""
     words = [s.lower().split() for s in SENTENCE.findall(text)]
-    sizes = [len(w) for w in words]
     joined = [" ".join(w).encode() for w in words]
-    last, total = -1, 0
-    for first in range(len(words)):
-        if last < first:
-            last, total = first - 1, 0
-        while not (total >= MANY_WORDS or total >= WORDS and last - first + 1 >= SENTENCES):
-            last += 1
-            if last == len(words):
-                return
-            total += sizes[last]
-        yield first, last, xxhash.xxh3_128_digest(b"\n".join(joined[first : last + 1]))
-        total -= sizes[first]
+    upto = [0, *accumulate(map(len, words))]
+    enough = lambda first, last: (n := upto[last + 1] - upto[first]) >= MANY_WORDS or n >= WORDS and last - first + 1 >= SENTENCES
+    start = 0
+    for last in range(len(words)):
+        known = start
+        while start <= last and enough(start, last):
+            start += 1
+        # spans from known on end here; where there are none, the shortest that ends here starts before
+        for first in range(max(0, min(known, start - 1)), start):
+            yield first, last, xxhash.xxh3_128_digest(b"\n".join(joined[first : last + 1]))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

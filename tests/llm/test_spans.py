@@ -1,3 +1,5 @@
+import random
+
 from sheafwork.llm import spans as S
 
 PASSAGE = " ".join(f"passage word {i} goes on here and there again." for i in range(9))
@@ -33,3 +35,27 @@ def test_same_as_brute_force(spark):
 def test_sentences_make_the_text_again():
     for text in ("a. b! c?\n\nd", "...", "\n", "", "one", " x .y"):
         assert "".join(S.SENTENCE.findall(text)) == text
+
+
+def sized(sizes, word):
+    return " ".join(" ".join(f"{word}{i}x{k}" for k in range(n)) + "." for i, n in enumerate(sizes))
+
+
+def test_spans_are_the_shortest_from_and_to_each_sentence():
+    rng = random.Random(11)
+    for _ in range(200):
+        sizes = [rng.choice((1, 3, 8, 14, 20, 38, 41, 58)) for _ in range(rng.randrange(12))]
+        enough = lambda a, b: sum(sizes[a : b + 1]) >= S.MANY_WORDS or sum(sizes[a : b + 1]) >= S.WORDS and b - a + 1 >= S.SENTENCES  # noqa: B023, E731
+        n = range(len(sizes))
+        want = {(a, b) for a in n for b in n if a <= b and enough(a, b) and (not enough(a, b - 1) or not enough(a + 1, b))}
+        got = [(a, b) for a, b, _ in S.spans(sized(sizes, "w"))]
+        assert sorted(got) == sorted(want)
+
+
+def test_ends_of_a_repeated_passage(spark):
+    rows = []
+    for i, sizes in enumerate(([41, 38], [18, 14, 58, 9, 17])):
+        passage = sized(sizes, f"p{i}q")
+        rows += [(2 * i, f"Own start. {passage} Own end {i}."), (2 * i + 1, f"Another start. {passage} Another end {i}.")]
+    got = {r["doc_id"]: r["text"].split() for r in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: len(v) for k, v in got.items()} == {0: 84, 1: 5, 2: 121, 3: 5}
