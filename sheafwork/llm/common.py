@@ -1,14 +1,15 @@
-"""What the operators of this package share: shared storage, table access and small column helpers."""
+"""What the operators of this package share: table access and small column helpers."""
 
 from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..storage import shared_dir, written  # noqa: F401
 
 #: The white space of the word definition: blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
@@ -18,23 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; one of our own only where the session names none (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: later reads neither recompute it nor depend on an executor."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fold(doc_id: Column | str, folds: int = 5) -> Column:
     """crc32 of the id as text modulo ``folds``; null ids fall into no fold."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
@@ -46,11 +30,23 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(fold(doc_id) == 0, F.lit(True))
 
 
-def carry(docs: DataFrame, keep: list[str], text_col: str) -> tuple[DataFrame, list[str], str, int]:
-    """What a Python step over texts reads: the columns to keep and, if it isn't one, the text; then the kept names, their schema and the text's place."""
-    rows = docs.select(*keep, *([] if text_col in keep else [text_col]))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
-    return rows, list(keep), schema, rows.columns.index(text_col)
+def carry(docs: DataFrame, keep: list[str], text_col: str) -> tuple[DataFrame, StructType, int]:
+    """What a Python step over texts reads: the columns to keep and, if it isn't one, the text; then the kept ones' schema and the text's place."""
+    names = [*keep, *([] if text_col in keep else [text_col])]
+    rows = docs.select(*[docs[_quoted(c)] for c in names])
+    return rows, StructType(rows.schema.fields[: len(keep)]), names.index(text_col)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free_name(names: list[str], wish: str) -> str:
+    """A column name that isn't taken."""
+    taken = {c.lower() for c in names}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
 
 
 def release_memory() -> None:

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import carry
 
@@ -108,12 +109,12 @@ class Ranker:
 
 def predict_language(docs: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, size: int = PROFILE, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Language and score of each row; ``keep`` names columns to carry along instead of the id alone."""
-    carried, names, schema, at = carry(docs, keep or [id_col], text_col)
+    carried, kept, at = carry(docs, keep or [id_col], text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranker = Ranker(profiles, size)
         for batch in batches:
             found = [ranker.predict(t.as_py()) for t in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[*names, *out])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[*kept.names, *out])
 
-    return carried.mapInArrow(run, f"{schema}, `{out[0]}` string, `{out[1]}` double")
+    return carried.mapInArrow(run, StructType([*kept.fields, StructField(out[0], StringType()), StructField(out[1], DoubleType())]))

@@ -2,14 +2,21 @@
 
 Words are compared by their shared subsequences of three characters, which may have gaps; each counts with a weight that
 falls with the length it spans. So an insult with a character put in, left out or an ending added stays close to the
-plain one. A chunk with stops inside ('id!ot', 'i.d.i.o.t', 'idiot.Go') counts as it stands, without the stops, and by the
-parts between them. A sentence is compared to a landmark word by the sum over its words of the kernel's power; projecting on the
-landmarks' kernel matrix (Nyström) gives the features of a linear machine. It is trained on sentences: of a toxic
-document the one that the machine itself finds worst counts as toxic, of other documents all count as clean. A document
-scores as its worst sentence does.
-
-The fit uses a bounded sample of labelled documents (``SAMPLE`` of each class, chosen by a hash of the id); scoring reads
-every text whole. As the decision is linear in the landmarks, each distinct word has one weight, cached in the worker.
+plain one; words of one or two characters have no such subsequence and are similar to nothing. A chunk with stops inside
+('id!ot', 'i.d.i.o.t', 'idiot.Go') counts as it stands, without the stops, and by the parts between them. A sentence is
+compared to a landmark word by the sum over its words of the kernel's power, where similarities under ``LEAST`` are 0 by
+the kernel's definition; projecting on the landmarks' kernel matrix (Nyström) gives the features of a linear machine. It
+is trained on sentences: of a toxic document the run of sentences that the machine itself finds worst counts as toxic; of
+other documents that run and all single sentences count as clean. A document scores as its worst run of different
+sentences does, where each word costs a little (``COST``), and at least as a document without words.
+
+Landmarks are words that, by themselves or by how they begin, stand in toxic documents far more often than chance among
+so many words allows, however rare their language is, and clean words that are like them and frequent.
+
+The fit uses a bounded sample of labelled documents (``SAMPLE`` of each class, chosen by a hash of the id, and of each the
+``ROWS`` sentences most like the landmarks). Executors count its words and compare its sentences; the driver gets marks,
+landmarks and sentence vectors, never texts. Scoring reads every text whole. As the decision is linear in the landmarks,
+each distinct word has one weight; the fit's decisions are sums of the same weights.
 
 Defined cases: null and empty texts score as a document without words; without labels of both classes every score is 0;
 rows without an id or label are not learnt from; repeated rows are each scored; extra columns are ignored.
@@ -22,33 +29,40 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from .common import carry, release_memory
-
-#: Labelled documents of each class in the fit, about.
-SAMPLE = 1200
-#: Landmarks of toxic and of clean words.
-LANDMARKS = (96, 48)
+from pyspark.sql import types as t
+
+from .common import carry, release_memory, written
+
+#: Labelled documents of the toxic and of the clean class in the fit, about.
+SAMPLE = (1200, 3600)
+#: Sentences of a sampled document that the fit uses at most.
+ROWS = 64
+#: Landmarks of toxic and of clean words at most; words for each beginning that marks toxic documents.
+LANDMARKS, FOR_EACH = (128, 32), 12
+#: What a word takes from a run's decision, so that runs end where insults become rare.
+COST = 0.004
+#: Lengths of words' beginnings that are looked at.
+BEGINNINGS = (4, 5, 6)
+#: Marks that the driver looks at, the strongest ones.
+MARKS = 4096
 #: The kernel: weight of each character spanned, longest span, power of a word's similarity, similarity that counts.
 DECAY, SPAN, POWER, LEAST = 0.6, 6, 4, 0.4
-#: Characters of a word that are compared; longer chunks are cut into pieces that overlap by SPAN.
+#: Characters of a word that are compared at once; longer chunks are cut into pieces that overlap by SPAN.
 LONGEST = 24
-#: Words in a sentence at most, and a word's least weight in scoring.
-STOP, FAINT = 40, 0.05
-#: Texts that are split into words at once.
-SLICE = 400
+#: Texts that are split into words at once, and chunks without weight that a worker remembers.
+SLICE, REMEMBERED = 400, 300_000
 _CLASSES = 64
 _SIGNS = ".,;:!?\"'()[]{}|<>*_-…«»„“”#&%$~^+=/\\@`"
-_SENTENCE = re.compile(r"(?<![.!?])[.!?]++[\"')\]}»”“]*+(?=\s|$)|\n+")
 _STOPS = re.compile(r"[.!?]+")
-_SPACED = re.compile(r"(?<!\S)\w(?: \w){3,}(?!\S)")
-#: Found in every text of which a sentence has letters spelled out, and in a few more.
-_MAYBE_SPACED = re.compile(r"(?<!\S)\w(?: \w){3}")
+#: What a chunk that ends a sentence ends with.
+_END, _ENDS = re.compile(r"[.!?][\"')\]}»”“]*$"), frozenset(".!?\"')]}»”“")
 #: Digits and signs that stand for letters.
 _LOOKALIKE = dict(zip("013457@$!", "oieastasi"))
 
@@ -59,7 +73,7 @@ def _char_class(c: str) -> int:
 
 
 def clean(chunk: str) -> str:
-    """A chunk without signs at its ends, lower case; those of one character carry nothing."""
+    """A chunk without signs at its ends, lower case; empty if no subsequence of three is left."""
     word = chunk.lower().strip(_SIGNS)
     return word if len(word) > 2 else ""
 
@@ -73,24 +87,67 @@ def readings(chunk: str) -> list[str]:
     return [word] if len(parts) == 1 else [w for w in dict.fromkeys([word, "".join(parts), *map(clean, parts)]) if len(w) > 2]
 
 
-def spelled(sentence: str) -> list[str]:
-    return [m.group().replace(" ", "").lower() for m in _SPACED.finditer(sentence)]
+def spelled(chunks: list[str]) -> list[str]:
+    """Words whose letters stand one by one, four or more."""
+    if list(map(len, chunks)).count(1) < 3:
+        return []
+    found, run = [], []
+    for c in [*chunks, ""]:
+        letter = c if len(c) == 1 else c.strip(_SIGNS) if len(c) < 8 else ""
+        if len(letter) == 1 and letter.isalnum():
+            run.append(letter)
+            continue
+        if len(run) > 3:
+            found.append("".join(run).lower())
+        run = []
+    return found
 
 
 def pieces(word: str) -> list[str]:
     return [word] if len(word) <= LONGEST else [word[i : i + LONGEST] for i in range(0, len(word) - SPAN, LONGEST - SPAN)]
 
 
+def cut(text: str) -> list[tuple[str, ...]]:
+    """The text's different sentences as chunks; a sentence ends at stops before white space and at line ends."""
+    found = []
+    for line in text.split("\n"):
+        chunks, start = line.split(), 0
+        for i, c in enumerate(chunks, 1):
+            if c[-1] in _ENDS and _END.search(c):
+                found.append(tuple(chunks[start:i]))
+                start = i
+        if start < len(chunks):
+            found.append(tuple(chunks[start:]))
+    return list(dict.fromkeys(found))
+
+
+def words_of(chunks: Iterable[str]) -> list[str]:
+    """A sentence's different words."""
+    return list(dict.fromkeys([w for c in chunks for w in readings(c)] + spelled(list(chunks))))
+
+
+class _Classes(dict):
+    def __missing__(self, c: str) -> int:
+        self[c] = found = _char_class(c)
+        return found
+
+
+_CLASS = _Classes()
+
+
 def _by_size(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Numbers of the words of one length and their characters' classes, a column for each place."""
     sizes: dict[int, list[int]] = {}
     for i, w in enumerate(words):
         sizes.setdefault(len(w), []).append(i)
+    get = _CLASS.__getitem__
     for size, at in sizes.items():
         if size > 2:
-            yield np.array(at), np.array([_CLASS[c] for i in at for c in words[i]], np.int64).reshape(len(at), size).T.copy()
+            chars = np.fromiter(map(get, "".join([words[i] for i in at])), np.int32, size * len(at))
+            yield np.array(at), chars.reshape(len(at), size).T.copy()
 
 
+@lru_cache(maxsize=None)
 def _triples(size: int) -> list[tuple[int, int, int]]:
     return [(i, j, k) for i in range(size - 2) for k in range(i + 2, min(size, i + SPAN)) for j in range(i + 1, k)]
 
@@ -108,15 +165,6 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return key // _CLASSES**3, key % _CLASSES**3, np.bincount(back, weight, len(key))
 
 
-class _Classes(dict):
-    def __missing__(self, c: str) -> int:
-        self[c] = found = _char_class(c)
-        return found
-
-
-_CLASS = _Classes()
-
-
 @dataclass
 class Landmarks:
     """Landmark words as a table from subsequence to their normalised weights."""
@@ -124,6 +172,7 @@ class Landmarks:
     words: list[str]
     row_of: np.ndarray = field(init=False, repr=False)
     table: np.ndarray = field(init=False, repr=False)
+    most: np.ndarray = field(init=False, repr=False)
 
     def __post_init__(self) -> None:
         row, code, weight = subsequences(self.words)
@@ -131,39 +180,51 @@ class Landmarks:
         codes, at = np.unique(code, return_inverse=True)
         self.row_of = np.zeros(_CLASSES**3, np.int32)
         self.row_of[codes] = np.arange(1, len(codes) + 1)
-        self.table = np.zeros((len(codes) + 1, len(self.words)))
+        self.table = np.zeros((len(codes) + 1, len(self.words)), np.float32)
         self.table[at + 1, row] = weight / norm[row]
+        self.most = self.table.max(1, initial=0)[self.row_of]
 
     def _near(self, words: list[str]) -> np.ndarray:
-        """Words that share enough with all landmarks together to be similar to one; others count as similar to none."""
-        marked = self.row_of > 0
+        """Words that may be similar to a landmark. The bound is safe: a subsequence adds at most its weight times the
+        most that any landmark gives it, and a word's norm is least when its subsequences all differ."""
         found = [np.empty(0, np.int64)]
         for at, chars in _by_size(words):
-            shared, own = np.zeros(len(at)), 0.0
+            bound, own = np.zeros(len(at), np.float32), 0.0
+            first = second = -1
             for i, j, k in _triples(len(chars)):
-                weight = DECAY ** (2 * (k - i + 1))
-                own += weight
-                shared += weight * marked[(chars[i] * _CLASSES + chars[j]) * _CLASSES + chars[k]]
-            found.append(at[shared >= 0.8 * LEAST**2 * own])
+                if (i, j) != (first, second):
+                    pair, first, second = (chars[i] * _CLASSES + chars[j]) * _CLASSES, i, j
+                weight = DECAY ** (k - i + 1)
+                own += weight * weight
+                bound += np.float32(weight) * self.most[pair + chars[k]]
+            found.append(at[bound >= (LEAST - 1e-4) * math.sqrt(own)])
         return np.sort(np.concatenate(found))
 
+    def similar(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words that are similar to a landmark, and their similarities to all; 0 where it is under LEAST."""
+        near = self._near(words)
+        found, values = [np.empty(0, np.int64)], [np.empty((0, len(self.words)))]
+        for first in range(0, len(near), 2_000):
+            some = near[first : first + 2_000]
+            row, code, weight = subsequences([words[i] for i in some])
+            norm = np.sqrt(np.bincount(row, weight**2, len(some)))
+            hit = self.row_of[code]
+            row, weight, hit = row[hit > 0], weight[hit > 0], hit[hit > 0]
+            if not len(row):
+                continue
+            at, starts = np.unique(row, return_index=True)  # row ascends
+            out = np.add.reduceat(self.table[hit] * weight[:, None].astype(np.float32), starts) / norm[at, None]
+            kept = (out >= LEAST).any(1)
+            found.append(some[at[kept]])
+            values.append(np.where(out[kept] >= LEAST, out[kept], 0.0))
+        return np.concatenate(found), np.concatenate(values)
+
     def kernel(self, words: list[str]) -> np.ndarray:
-        """Powers of the words' similarity to each landmark; 0 where it is under LEAST."""
+        """Powers of the words' similarity to each landmark."""
         out = np.zeros((len(words), len(self.words)))
-        near = self._near(words)
-        row, code, weight = subsequences([words[i] for i in near])
-        if not len(row):
-            return out
-        norm = np.ones(len(words))
-        norm[near] = np.sqrt(np.bincount(row, weight**2, len(near)))
-        hit = self.row_of[code]
-        some = hit > 0
-        r, h, w = near[row[some]], hit[some], weight[some]
-        for at in range(0, len(r), 20_000):  # r ascends
-            some_r, first = np.unique(r[at : at + 20_000], return_index=True)
-            out[some_r] += np.add.reduceat(self.table[h[at : at + 20_000]] * w[at : at + 20_000, None], first)
-        out /= np.maximum(norm, 1e-12)[:, None]
-        return np.where(out >= LEAST, out, 0.0) ** POWER
+        at, values = self.similar(words)
+        out[at] = values**POWER
+        return out
 
 
 @dataclass
@@ -176,182 +237,295 @@ class Machine:
     slope: float = 1.0
 
     def word_weights(self, words: list[str]) -> np.ndarray:
-        found, owner = [], []
-        for i, w in enumerate(words):
-            for p in pieces(w):
-                found.append(p)
-                owner.append(i)
+        """A word's weight is the sum of its pieces'."""
         out = np.zeros(len(words))
-        for at in range(0, len(found), 5_000):
-            some = self.landmarks.kernel(found[at : at + 5_000]) @ self.weights
-            np.add.at(out, owner[at : at + 5_000], some)
+        for first in range(0, len(words), 20_000):
+            found, owner = [], []
+            for i, w in enumerate(words[first : first + 20_000], first):
+                for p in pieces(w):
+                    found.append(p)
+                    owner.append(i)
+            at, values = self.landmarks.similar(found)
+            np.add.at(out, np.array(owner, np.int64)[at], values**POWER @ self.weights)
         return out
 
     def probability(self, decision: float) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * (decision - self.middle)))))
 
 
-def sentences(text: str) -> list[list[str]]:
-    """Distinct cleaned words by sentence; letters spelled out one by one count as a word. A sentence ends at stops before white space, at line ends, and after STOP words at the latest."""
-    found = []
-    for s in _SENTENCE.split(text):
-        words = [w for c in s.split() for w in readings(c)] + spelled(s)
-        found += [list(dict.fromkeys(words[i : i + STOP])) for i in range(0, len(words), STOP)]
-    return found
-
-
-def _pick_landmarks(toxic: list[set[str]], other: list[set[str]]) -> tuple[list[str], int]:
-    """Words that mark toxic documents, by themselves or by their beginnings, then the clean words most like them; the number of the former."""
-    bad: Counter = Counter()
-    good: Counter = Counter()
-    for total, docs in ((bad, toxic), (good, other)):
-        for d in docs:
-            total.update(d)
-            total.update({"^" + w[:k] for w in d for k in (4, 5)})
-    odds = len(other) / max(1, len(toxic))
-
-    def strength(x: str) -> float:
-        a, b = bad[x], good[x] / odds
-        return (a - b) / math.sqrt(a + b + 1) * ((a - b) / (a + b)) ** 4 if a > b else 0.0
-
-    ranked = sorted(((max(strength(w), 0.9 * strength("^" + w[:4]), 0.95 * strength("^" + w[:5])), w) for w in bad if w[0] != "^"), key=lambda x: (-x[0], x[1]))
-    most = ranked[0][0] if ranked else 0.0
-    chosen = [w for s, w in ranked[: LANDMARKS[0]] if s > 0 and s >= 0.2 * most]
-    if not chosen:
-        return [], 0
-    # clean words that look most like those
-    others = [w for w, n in good.items() if w[0] != "^" and w not in bad]
-    alike = np.concatenate([Landmarks(chosen).kernel(others[i : i + 5_000]).max(1, initial=0) for i in range(0, len(others), 5_000)] or [np.empty(0)])
-    return chosen + [others[i] for i in np.argsort(-alike, kind="stable")[: LANDMARKS[1]] if alike[i] > 0], len(chosen)
-
-
-def _squared_hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
-    """A linear machine with squared hinge loss by Newton steps on the rows inside the margin; the last column is constant."""
+def _squared_hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, offset: np.ndarray, ridge: float = 3e-3) -> np.ndarray:
+    """A linear machine with squared hinge loss by Newton steps on the rows inside the margin; the last column is constant.
+    ``offset`` is added to each row's decision."""
     w = np.zeros(x.shape[1])
     for _ in range(25):
-        inside = y * (x @ w) < 1
+        inside = y * (x @ w + offset) < 1
         xs = x[inside] * cost[inside, None]
-        new = np.linalg.solve(x[inside].T @ xs + ridge * len(y) * np.eye(len(w)), xs.T @ y[inside])
+        new = np.linalg.solve(x[inside].T @ xs + ridge * len(y) * np.eye(len(w)), xs.T @ (y - offset)[inside])
         if np.abs(new - w).max() < 1e-9:
             break
         w = new
     return w
 
 
-def fit(texts: list[str], labels: list[int]) -> Machine:
-    same: dict[str, str] = {}  # each distinct word is held once
-    docs = [[[same.setdefault(w, w) for w in s] for s in sentences(t)] for t in texts]
-    bags = [{p for s in d for w in s for p in pieces(w)} for d in docs]
-    landmarks, n_toxic = _pick_landmarks([b for b, y in zip(bags, labels) if y], [b for b, y in zip(bags, labels) if not y])
-    if not landmarks or len(set(labels)) < 2:
-        return Machine()
-    marks = Landmarks(landmarks)
-    values, vectors = np.linalg.eigh(marks.kernel(landmarks))
+def worst_run(values: Iterable[float], words: Iterable[int], before: Iterable[int]) -> tuple[float, int, int]:
+    """The largest sum over consecutive sentences, less ``COST`` for each of their words, and those sentences; 0 and none where
+    all sums are under 0. ``before`` are words of sentences between that have no value."""
+    best, first, last, now, start = 0.0, 0, 0, 0.0, 0
+    for i, (v, n, gap) in enumerate(zip(values, words, before)):
+        now -= COST * gap
+        if now <= 0:
+            now, start = 0.0, i
+        now += v - COST * n
+        if now > best:
+            best, first, last = now, start, i + 1
+    return best, first, last
+
+
+def fit(marks: Landmarks, n_toxic: int, owner: np.ndarray, x: np.ndarray, words: np.ndarray, before: np.ndarray, labels: np.ndarray) -> Machine:
+    """A machine from sentence rows ``x`` with their numbers of words, each of a document in ``owner`` (ascending; each has a row, 0 for no words),
+    and the documents' labels. The first ``n_toxic`` landmarks are those of toxic words."""
+    values, vectors = np.linalg.eigh(marks.kernel(marks.words))
     kept = values > 1e-6 * values.max()
     project = vectors[:, kept] / np.sqrt(values[kept])
-    words = sorted({w for b in bags for w in b})
-    features = {}
-    for at in range(0, len(words), 5_000):
-        k = marks.kernel(words[at : at + 5_000])
-        for i in np.nonzero(k.any(1))[0]:
-            features[words[at + i]] = k[i]
-    nothing = np.zeros(len(landmarks))
-
-    def row(s: list[str]) -> np.ndarray:
-        found = [features[p] for w in s for p in pieces(w) if p in features]
-        return np.sum(found, 0) if found else nothing
-
-    by_doc = []
-    for d in docs:
-        rows = {r.tobytes(): r for r in map(row, d)} or {nothing.tobytes(): nothing}
-        by_doc.append(np.array(list(rows.values())))
-    x = np.vstack(by_doc)
-    of = np.repeat(np.arange(len(docs)), [len(b) for b in by_doc])
-    starts = np.searchsorted(of, np.arange(len(docs)))
-    z = np.hstack([x @ project, np.ones((len(x), 1))])
-    y_doc = np.array(labels)
-    toxic_marks = (np.arange(len(landmarks)) < n_toxic).astype(float)
-    value = x @ toxic_marks  # the first guess at a toxic document's worst sentence
-    w = np.zeros(z.shape[1])
-    for _ in range(4):
-        worst = np.array([s + value[s : s + len(b)].argmax() for s, b in zip(starts, by_doc)])
-        chosen = np.concatenate([worst[y_doc == 1], np.nonzero(y_doc[of] == 0)[0]])
-        y = np.where(y_doc[of[chosen]] == 1, 1.0, -1.0)
-        cost = np.where(y > 0, 0.5 / (y > 0).sum(), 0.5 / (y < 0).sum()) * len(y)
-        w = _squared_hinge(z[chosen], y, cost)
-        value = z @ w
-    weights = project @ w[:-1]
-    decision = np.maximum.reduceat(x @ weights, starts)
-    a, b = np.sort(decision[y_doc == 1]), np.sort(decision[y_doc == 0])
-    cuts = np.unique(np.concatenate([a, b]))
-    cuts = (cuts[1:] + cuts[:-1]) / 2 if len(cuts) > 1 else cuts
+    starts = np.searchsorted(owner, np.arange(len(labels)))
+    ends = np.append(starts[1:], len(x))
+    total = np.concatenate((np.zeros((1, x.shape[1])), np.cumsum(x, 0, dtype=float)))
+    upto, upto_before = (np.concatenate(([0], np.cumsum(v))) for v in (words, before))
+    clean_rows = np.nonzero((labels[owner] == 0) & x.any(1))[0]
+    weights = (np.arange(len(marks.words)) < n_toxic).astype(float)
+
+    def runs() -> np.ndarray:
+        """First and last row of each document's worst run."""
+        value = x @ weights
+        found = [worst_run(value[a:b].tolist(), words[a:b].tolist(), before[a:b].tolist())[1:] for a, b in zip(starts, ends)]
+        return np.array(found, np.int64).reshape(-1, 2) + starts[:, None]
+
+    def row(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        inner = np.where(b > a, upto_before[b] - upto_before[np.minimum(a + 1, len(before))], 0)
+        return np.hstack([(total[b] - total[a]) @ project, np.ones((len(a), 1))]), -COST * (upto[b] - upto[a] + inner)
+
+    for _ in range(5):
+        at = runs()
+        z, offset = row(np.append(at[:, 0], clean_rows), np.append(at[:, 1], clean_rows + 1))
+        y = np.append(np.where(labels == 1, 1.0, -1.0), -np.ones(len(clean_rows)))
+        share = np.concatenate((np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.4 / (labels == 0).sum()), np.full(len(clean_rows), 0.1 / max(1, len(clean_rows)))))
+        weights = project @ _squared_hinge(z, y, share * len(y), offset)[:-1]
+    value = x @ weights
+    decision = np.array([worst_run(value[a:b].tolist(), words[a:b].tolist(), before[a:b].tolist())[0] for a, b in zip(starts, ends)])
+    a, b = np.sort(decision[labels == 1]), np.sort(decision[labels == 0])
+    cuts = np.unique(decision)
+    cuts = (cuts[1:] + cuts[:-1]) / 2 if len(cuts) > 1 else cuts + 1
     wrong = np.searchsorted(a, cuts) / len(a) + 3 * (1 - np.searchsorted(b, cuts) / len(b))  # a clean document rejected weighs more
     best = np.nonzero(wrong <= wrong.min() + 1e-12)[0]
     middle = float(cuts[best[len(best) // 2]])
     return Machine(marks, weights, middle, 4 / max(1e-6, float(np.median(a)) - middle))
 
 
-def learn_toxicity(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Machine:
-    """Fits on about ``sample`` documents of each class among those ``allowed`` by a condition on the id."""
-    marks = labels.where(allowed & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).alias("__y"))
-    sizes = {r[0]: r[1] for r in marks.groupBy("__y").count().collect()}
+def _sampled(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str, text_col: str, label_col: str, sample: tuple[int, int]) -> DataFrame | None:
+    """(y, h, text) of about ``sample`` different labelled texts of the toxic and of the clean class."""
+    marks = labels.where(allowed & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("y"))
+    sizes = {r[0]: r[1] for r in marks.groupBy("y").count().collect()}
     if len(sizes) < 2:
+        return None
+    share = F.when(F.col("y") == 1, min(1.0, sample[0] / sizes[1])).otherwise(min(1.0, sample[1] / sizes[0]))
+    chosen = marks.where(F.pmod(F.xxhash64(F.col("__id"), F.lit("toxic")), F.lit(1 << 30)) < share * (1 << 30))
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "__id").where(F.col("text").isNotNull())
+    return rows.select("y", F.xxhash64("text").alias("h"), "text").dropDuplicates(["y", "h"])  # copies are no further evidence
+
+
+def _mark_counts(sample: DataFrame) -> DataFrame:
+    """(mark, toxic, clean): in how many documents of each class a word stands, or one that begins so (``^`` and the beginning)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: tuple[Counter, Counter] = Counter(), Counter()
+
+        def block() -> pa.RecordBatch:
+            names = list(counts[0].keys() | counts[1].keys())
+            out = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *[pa.array([counts[y][m] for m in names], pa.int64()) for y in (1, 0)]], names=["mark", "toxic", "clean"])
+            counts[0].clear()
+            counts[1].clear()
+            return out
+
+        for batch in batches:
+            for y, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = {p for s in cut(text.as_py()) for w in words_of(s) for p in pieces(w)}
+                counts[y].update(words)
+                counts[y].update({"^" + w[:k] for w in words for k in BEGINNINGS if len(w) >= k})
+                if len(counts[0]) + len(counts[1]) > 400_000:
+                    yield block()
+        yield block()
+        release_memory()
+
+    found = sample.select("y", "text").mapInArrow(run, "mark string, toxic bigint, clean bigint")
+    return found.groupBy("mark").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def _pick_landmarks(counts: DataFrame, n_toxic: int, n_clean: int) -> tuple[list[str], int]:
+    """Landmarks, and how many of them are toxic. ``strength`` is the likelihood ratio of a mark's share in toxic documents."""
+    base = n_toxic / (n_toxic + n_clean)
+    a, b = F.col("toxic"), F.col("clean")
+    n = a + b
+    strength = a * F.log(a / (n * base)) + F.when(b > 0, b * F.log(b / (n * (1 - base)))).otherwise(0.0)
+    strong = counts.where((a > 0) & (a > n * base)).select("mark", strength.alias("g"), F.length("mark").alias("size")).where("g > 0")
+    rows = strong.orderBy(F.desc("g"), F.desc("size"), "mark").limit(MARKS).collect()
+    if not rows:
+        return [], 0
+    least = min(math.log(max(2, counts.count())), rows[0]["g"] / 2)  # fewer than one mark by chance
+    stems: list[str] = []
+    words: list[str] = []
+    for r in rows:
+        mark = r["mark"].removeprefix("^")
+        if r["g"] >= least and len(mark) > 2 and not any(mark.startswith(s) or s.startswith(mark) for s in stems) and len(stems) < LANDMARKS[0]:
+            stems.append(mark)
+            words.append(mark)
+    keyed = [counts.where(~F.startswith("mark", F.lit("^")) & (F.col("toxic") > F.col("clean"))).select("mark", "toxic", F.substring("mark", 1, k).alias("stem")).where(F.col("stem").isin([s for s in stems if len(s) == k] or [""])) for k in BEGINNINGS]
+    order = Window.partitionBy("stem").orderBy(F.desc("toxic"), "mark")
+    likely = keyed[0].unionByName(keyed[1]).unionByName(keyed[2]).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= 3 * FOR_EACH)
+    by_stem: dict[str, list[str]] = {}
+    for r in likely.orderBy("stem", "nth").collect():
+        by_stem.setdefault(r["stem"], []).append(r["mark"])
+    for s in stems:
+        mine = [s]
+        for w in by_stem.get(s, []):
+            if len(mine) <= FOR_EACH and Landmarks(mine).kernel([w]).max() < 0.8**POWER:
+                mine.append(w)
+        words += mine[1:]
+    words = list(dict.fromkeys(words))[: LANDMARKS[0]]
+    marks = Landmarks(words)
+
+    def alike(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, often = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            at, values = marks.similar(found)
+            near = values.max(1, initial=0) ** 2 * np.log1p(often[at])
+            yield pa.RecordBatch.from_arrays([pa.array([found[i] for i in at], pa.string()), pa.array(near)], names=["word", "near"])
+
+    harmless = counts.where(~F.startswith("mark", F.lit("^")) & (b > 0) & (a <= n * base)).select("mark", "clean").mapInArrow(alike, "word string, near double")
+    return words + [r["word"] for r in harmless.orderBy(F.desc("near"), "word").limit(LANDMARKS[1]).collect()], len(words)
+
+
+def _sentence_rows(sample: DataFrame, marks: Landmarks) -> DataFrame:
+    """(y, h, rows, words, before): of each document the sentences that are like a landmark, ROWS at most; the first row is that of no words."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: tuple[list, list, list] = [], [], []
+            for text in batch.column(2):
+                chunks = cut(text.as_py())
+                by_sentence = list(map(words_of, chunks))
+                words = list({w for s in by_sentence for w in s})
+                parts = [(p, w) for w in words for p in pieces(w)]
+                at, values = marks.similar([p for p, _ in parts])
+                row_of: dict[str, np.ndarray] = {}
+                for i, v in zip(at, values**POWER):
+                    row_of[parts[i][1]] = row_of.get(parts[i][1], 0) + v
+                rows = [(i, np.sum([row_of[w] for w in s if w in row_of], 0)) for i, s in enumerate(by_sentence) if not row_of.keys().isdisjoint(s)]
+                rows = sorted(sorted(rows, key=lambda r: -float(r[1].sum()))[: ROWS - 1], key=lambda r: r[0])
+                upto = [0, *accumulate(map(len, chunks))]
+                places = [i for i, _ in rows]
+                out[0].append(bytes(4 * len(marks.words)) + b"".join([v.astype(np.float32).tobytes() for _, v in rows]))
+                out[1].append([0, *[len(chunks[i]) for i in places]])
+                out[2].append([0, *[upto[i] - (upto[last + 1] if last >= 0 else 0) for last, i in zip([-1, *places], places)]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out[0], pa.binary()), *[pa.array(o, pa.list_(pa.int64())) for o in out[1:]]], names=["y", "h", "rows", "words", "before"])
+        release_memory()
+
+    return sample.mapInArrow(run, "y int, h bigint, rows binary, words array<bigint>, before array<bigint>")
+
+
+def learn_toxicity(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: tuple[int, int] = SAMPLE) -> Machine:
+    """Fits on about ``sample`` toxic and clean documents among those ``allowed`` by a condition on the id."""
+    found = _sampled(docs, labels, allowed, id_col, text_col, label_col, sample)
+    if found is None:
+        return Machine()
+    rows = written(found, "toxic-sample")
+    sizes = {r[0]: r[1] for r in rows.groupBy("y").count().collect()}
+    if len(sizes) < 2:
+        return Machine()
+    words, n_toxic = _pick_landmarks(written(_mark_counts(rows), "toxic-marks"), sizes[1], sizes[0])
+    if not words:
         return Machine()
-    share = F.when(F.col("__y") == 1, min(1.0, sample / sizes[1])).otherwise(min(1.0, sample / sizes[0]))
-    chosen = marks.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("toxic")), F.lit(1 << 30)) < share * (1 << 30))
-    rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).where(F.col(text_col).isNotNull()).select("__y", text_col, F.xxhash64(text_col).alias("h")).toPandas()
-    rows = rows.drop_duplicates(["h", "__y"]).sort_values(["h", "__y"])  # copies are no further evidence
-    return fit(rows[text_col].tolist(), rows["__y"].astype(int).tolist())
+    marks = Landmarks(words)
+    held = _sentence_rows(rows, marks).orderBy("h", "y").collect()
+    vectors = [np.frombuffer(r["rows"], np.float32).reshape(-1, len(words)) for r in held]
+    owner = np.repeat(np.arange(len(held)), [len(v) for v in vectors])
+    sizes, gaps = (np.array([n for r in held for n in r[c]], np.int64) for c in ("words", "before"))
+    machine = fit(marks, n_toxic, owner, np.concatenate(vectors), sizes, gaps, np.array([r["y"] for r in held]))
+    del held, vectors, owner
+    release_memory()
+    return machine
 
 
 class Scorer:
-    """Scores texts in one Python worker; keeps the words that weigh something, the chunks that hold one and a bounded set of those that don't."""
+    """Scores texts in one Python worker; keeps the chunks that weigh something and a bounded set of those that don't."""
 
     def __init__(self, machine: Machine):
         self.machine = machine
-        self.weight: dict[str, float] = {}
-        self.telling: set[str] = set()
-        self.weightless: set[str] = set()
+        self.weights: dict[str, dict[str, float]] = {}  # of a chunk's words
+        self.bad: set[str] = set()
+        self.nothing: set[str] = set()
 
     def scores(self, texts: list[str | None]) -> list[float]:
         if self.machine.weights is None:
             return [0.0] * len(texts)
-        split = [(t or "").split() for t in texts]
-        spaced = [_MAYBE_SPACED.search(t) is not None if t else False for t in texts]
-        new = {c: readings(c) for c in {c for cs in split for c in cs}.difference(self.weightless).difference(self.telling)}
-        words = {w for ws in new.values() for w in ws}  # with those spelled out, all that sentences() returns
-        words.update(w for t, s in zip(texts, spaced) if s for part in _SENTENCE.split(t) for w in spelled(part))
-        unknown = sorted(words.difference(self.weight))
-        for w, g in zip(unknown, self.machine.word_weights(unknown)):
-            if abs(g) >= FAINT:
-                self.weight[w] = float(g)
-        if len(self.weightless) > 300_000:
-            self.weightless.clear()
+        split = [(x or "").split() for x in texts]
+        if len(self.nothing) > REMEMBERED:
+            self.nothing.clear()
+        new = {c: readings(c) for c in set().union(*split).difference(self.nothing, self.weights)}
+        unknown = sorted({w for ws in new.values() for w in ws})
+        g = self.machine.word_weights(unknown)
+        known = {unknown[i]: float(g[i]) for i in np.nonzero(g)[0]}
         for c, ws in new.items():
-            if not self.weight.keys().isdisjoint(ws):
-                self.telling.add(c)
-            elif len(self.weightless) <= 300_000:
-                self.weightless.add(c)
-        out = []
-        for t, cs, s in zip(texts, split, spaced):
-            if not s and self.telling.isdisjoint(cs):
-                out.append(self.machine.probability(0.0))
-                continue
-            get = self.weight.get
-            out.append(self.machine.probability(max((sum(get(w, 0.0) for w in ws) for ws in sentences(t)), default=0.0)))
-        return out
+            if found := {w: known[w] for w in ws if w in known}:
+                self.weights[c] = found
+                if max(found.values()) > 0:
+                    self.bad.add(c)
+            else:
+                self.nothing.add(c)
+        # without a bad chunk or letters one by one, no sentence weighs more than one without words
+        return [self.machine.probability(0.0 if self.bad.isdisjoint(cs) and list(map(len, cs)).count(1) < 3 else self.decide(x or "")) for x, cs in zip(texts, split)]
+
+    def decide(self, text: str) -> float:
+        """The worst run's decision; all chunks of the text are known."""
+        values, words, before, gap = [], [], [], 0
+        get = self.weights.get
+        for chunks in cut(text):
+            found: dict[str, float] = {}
+            for c in chunks:
+                if (some := get(c)) is not None:
+                    found.update(some)
+            if letters := spelled(chunks):
+                found.update((w, float(g)) for w, g in zip(letters, self.machine.word_weights(letters)) if g)
+            if found:
+                values.append(sum(found.values()))
+                words.append(len(chunks))
+                before.append(gap)
+                gap = 0
+            else:
+                gap += len(chunks)
+        return worst_run(values, words, before)[0]
+
+
+_SCORER: dict[bytes, Scorer] = {}
+
+
+def _scorer(machine: Machine) -> Scorer:
+    """The worker's scorer, kept for its next tasks."""
+    key = b"" if machine.weights is None else "\n".join(machine.landmarks.words).encode() + machine.weights.tobytes()
+    if key not in _SCORER:
+        _SCORER.clear()
+        _SCORER[key] = Scorer(machine)
+    return _SCORER[key]
 
 
 def score_toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, out: str = "score") -> DataFrame:
-    """Adds ``out``, from 0 to 1; ``keep`` names columns to carry along instead of the id alone."""
-    carried, names, schema, at = carry(docs, keep or [id_col], text_col)
+    """Adds ``out``, from 0 to 1; ``keep`` names columns to carry along instead of the id alone, none of them called ``out``."""
+    carried, kept, at = carry(docs, keep or [id_col], text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(machine)
+        scorer = _scorer(machine)
         for batch in batches:
             found = [x for i in range(0, batch.num_rows, SLICE) for x in scorer.scores(batch.column(at).slice(i, SLICE).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(found, pa.float64())], names=[*names, out])
-        del scorer
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(found, pa.float64())], names=[*kept.names, out])
         release_memory()
 
-    return carried.mapInArrow(run, f"{schema}, `{out}` double")
+    return carried.mapInArrow(run, t.StructType([*kept.fields, t.StructField(out, t.DoubleType())]))

@@ -28,21 +28,52 @@ def test_kernel_is_the_subsequence_kernel():
     for i, w in enumerate(words):
         for j, m in enumerate(marks):
             k = plain_kernel(w, m)
-            assert abs(got[i, j] - (k**T.POWER if k >= T.LEAST else 0)) < 1e-9
+            assert abs(got[i, j] - (k**T.POWER if k >= T.LEAST else 0)) < 1e-5
 
 
-def test_held_out_documents(spark):
+def test_bound_loses_no_word():
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abeilno"), n)) for n in rng.integers(3, 14, 3000)]
+    marks = T.Landmarks(["banane", "linie", "bell", "ebene"])
+    found = set(marks.similar(words)[0].tolist())
+    for i in rng.integers(0, 3000, 400).tolist():
+        k = max(plain_kernel(words[i], m) for m in marks.words)
+        assert (i in found) == (k >= T.LEAST) or abs(k - T.LEAST) < 1e-5
+
+
+def test_held_out_documents_of_all_languages(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
-    labelled = docs.join(labels, "doc_id").where("lang = 'en'")
-    machine = T.learn_toxicity(labelled.drop("toxic", "quality"), labels, ~held_out("doc_id"))
-    found = T.score_toxicity(labelled.where(held_out("doc_id")), machine, keep=["doc_id", "toxic"])
-    hit, toxic, false, clean = found.agg(*[F.count_if(F.expr(c)) for c in ("toxic = 1 AND score >= 0.5", "toxic = 1", "toxic = 0 AND score >= 0.5", "toxic = 0")]).first()
-    assert hit / toxic > 0.8 and false / clean < 0.03
+    machine = T.learn_toxicity(docs, labels, ~held_out("doc_id"))
+    found = T.score_toxicity(docs.where(held_out("doc_id")), machine, keep=["doc_id", "lang"]).join(labels, "doc_id")
+    counts = [F.count_if(F.expr(c)).alias(n) for n, c in (("hit", "toxic = 1 AND score >= 0.5"), ("toxic", "toxic = 1"), ("false", "toxic = 0 AND score >= 0.5"), ("clean", "toxic = 0"))]
+    by_lang = {r["lang"]: r for r in found.groupBy("lang").agg(*counts).collect()}
+    assert len(by_lang) == 4
+    assert sum(r["hit"] for r in by_lang.values()) / sum(r["toxic"] for r in by_lang.values()) > 0.85
+    for r in by_lang.values():
+        assert r["hit"] / r["toxic"] > 0.75 and r["false"] / r["clean"] < 0.03
     gapped = spark.createDataFrame([(1, "you l o s e r you"), (2, "what an idiiot"), (3, "the house on the hill"), (4, None), (5, ""), (5, "")], "doc_id long, text string")
     score = {r["doc_id"]: r["score"] for r in T.score_toxicity(gapped, machine).collect()}
     assert score[1] > score[3] and score[2] > score[3] and score[4] == score[5] <= 0.5
 
 
+def plain_decision(machine, text):
+    """Tries all runs of the text's different sentences."""
+    rows = []
+    for chunks in T.cut(text or ""):
+        rows.append((sum(machine.word_weights([w])[0] for w in T.words_of(chunks)), len(chunks)))
+    return max([0.0] + [sum(v - T.COST * n for v, n in rows[a:b]) for a in range(len(rows)) for b in range(a + 1, len(rows) + 1)])
+
+
+def test_scores_are_those_of_the_worst_run(spark):
+    machine = T.Machine(T.Landmarks(["idiot", "stupid", "house"]), np.array([1.0, 0.7, -0.4]), 0.5, 4.0)
+    texts = ["You idiot. Go home. What a stupid house! Such idiocy.", "A house.\nA house.", "idiot " * 3 + "word " * 9_000 + "stupid", "One two. " * 50 + "stupid. idiot.", "", None, "l o s e r. i d i o t", "You idiot. You idiot. You idiot."]
+    want = [machine.probability(plain_decision(machine, x)) for x in texts]
+    assert np.allclose(T.Scorer(machine).scores(texts), want)
+    rows = spark.createDataFrame([(i, x, 0.25, "a") for i, x in enumerate(texts)] + [(None, "idiot", None, None)] * 2, "`my id` long, text string, score double, `a b` string")
+    found = T.score_toxicity(rows, machine, id_col="my id", keep=rows.columns, out="score_").collect()
+    assert len(found) == len(texts) + 2 and all(abs(r["score_"] - want[r["my id"]]) < 1e-9 and r["score"] == 0.25 for r in found if r["my id"] is not None)
+
+
 def test_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, toxic int")
@@ -60,7 +91,7 @@ def test_stops_inside_words():
     clean = T.Scorer(machine).scores(["the house"])[0]
     for text in texts:
         fresh = T.Scorer(machine).scores([text])[0]
-        want = max(sum(w for w in machine.word_weights(s) if abs(w) >= T.FAINT) for s in T.sentences(text))
-        assert fresh >= machine.probability(0.99) > 0.5 > clean
-        assert abs(fresh - machine.probability(want)) < 1e-12 and abs(together.scores([text])[0] - fresh) < 1e-12
-    assert T.sentences('One two three. "Four five!" Six.seven\neight') == [["one", "two", "three"], ["four", "five"], ["six.seven", "sixseven", "six", "seven"], ["eight"]]
+        assert fresh > 0.5 > clean
+        assert abs(fresh - machine.probability(plain_decision(machine, text))) < 1e-6 and abs(together.scores([text])[0] - fresh) < 1e-9
+    assert T.cut('One two three. "Four five!" Six.seven\neight\neight') == [("One", "two", "three."), ('"Four', 'five!"'), ("Six.seven",), ("eight",)]
+    assert T.words_of(("Six.seven", "six", "of")) == ["six.seven", "sixseven", "six", "seven"] and T.words_of(("l", "o", "s", "e", "r.")) == ["loser"]
