@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafwork.llm.common import held_out, shared_dir
+from sheafwork.llm.common import free_name, held_out, shared_dir
 
 #: Score from which another language than the stated one counts as a contradiction.
 CONTRADICTION = 0.6
@@ -21,26 +21,30 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from sheafwork.llm.toxicity import learn_toxicity, score_toxicity
 
     machine = learn_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out("doc_id"))
-    return score_toxicity(docs, machine, keep=docs.columns, out="__score").where(F.col("__score") < 0.5).drop("__score")
+    score = free_name(docs.columns, "score")
+    return score_toxicity(docs, machine, keep=docs.columns, out=score).where(F.col(score) < 0.5).drop(score)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of no language (no letters) and those whose stated language the text contradicts clearly."""
     from sheafwork.llm.langid import learn_profiles, predict_language
 
-    found = predict_language(docs, learn_profiles(docs, ~held_out("doc_id")), keep=docs.columns, out=("__lang", "__score"))
-    other = (F.col("__lang") != F.col("lang")) & (F.col("__score") >= CONTRADICTION)
-    return found.where((F.col("__lang") != "und") & ~F.coalesce(other, F.lit(False))).drop("__lang", "__score")
+    lang, score = free_name(docs.columns, "lang_pred"), free_name(docs.columns, "score")
+    found = predict_language(docs, learn_profiles(docs, ~held_out("doc_id")), keep=docs.columns, out=(lang, score))
+    other = (F.col(lang) != F.col("lang")) & (F.col(score) >= CONTRADICTION)
+    return found.where((F.col(lang) != "und") & ~F.coalesce(other, F.lit(False))).drop(lang, score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of links, and all documents without an id."""
+    """Keeps the document of the smallest id of each group of links, and all documents without an id. Rows of one id stay
+    or go together: an id goes if all its texts belong to groups of smaller ids; rows repeated with id and text stay once."""
     from sheafwork.llm.shingle_join import jaccard_components
 
     found = jaccard_components(docs, percent=NEAR_PERCENT, words=NEAR_WORDS)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
-    with_id = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("__kept_id")).drop("__kept_id")
-    return with_id.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    mine = free_name(docs.columns, "kept_id")
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(mine)).distinct()
+    with_id = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col(mine)).drop(mine)
+    return with_id.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
