@@ -27,6 +27,9 @@ _UNITS = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 #: Units that a Python worker keeps for later batches and tasks; the first it meets, and so the common ones.
 CACHE_UNITS = 250_000
 
+#: Bytes of a piece that shares a query with others, up to BATCH of them.
+SHORT, BATCH = 256, 20_000
+
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 #: A row is a token of a word: its key (the word's number, shifted, plus its place), the token behind it and that one's
@@ -35,14 +38,14 @@ SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 stri
 #: would then be next (``eager``). Words without a pair leave the recursion.
 _ENCODE = """
 WITH RECURSIVE step AS (
-    SELECT 0 AS round, s.k, s.tok, s.next_tok, s.next_k, m.merged AS rank
+    SELECT 0::USMALLINT AS round, s.k, s.tok, s.next_tok, s.next_k, m.merged AS rank
     FROM start s LEFT JOIN merges m ON m.pair = s.tok::UINTEGER * 65536 + s.next_tok
   UNION ALL
     (WITH least AS (
-        SELECT k >> {bits} AS w, min(rank) AS rank FROM step WHERE rank IS NOT NULL GROUP BY k >> {bits}),
+        SELECT k >> 8 AS w, min(rank) AS rank FROM step WHERE rank IS NOT NULL GROUP BY k >> 8),
      found AS (
         SELECT s.k, s.rank, l.w, s.k IS DISTINCT FROM lag(s.next_k) OVER (ORDER BY s.k) AS fresh
-        FROM step s JOIN least l ON l.w = s.k >> {bits} AND l.rank = s.rank),
+        FROM step s JOIN least l ON l.w = s.k >> 8 AND l.rank = s.rank),
      runs AS (
         SELECT k, rank, w, sum(fresh::INT) OVER (ORDER BY k) AS run FROM found),
      turns AS (
@@ -52,10 +55,10 @@ WITH RECURSIVE step AS (
         SELECT k AS spot, rank AS merged FROM turns
         WHERE nth = 1 OR turn % 2 = 1 AND rank NOT IN (SELECT e.rank FROM eager e)),
      beside AS (
-        SELECT s.round + 1 AS round, s.k, s.tok, s.next_k, s.rank, c.merged, lag(c.spot) OVER place IS NOT NULL AS gone,
+        SELECT (s.round + 1)::USMALLINT AS round, s.k, s.tok, s.next_k, s.rank, c.merged, lag(c.spot) OVER place IS NOT NULL AS gone,
                lead(coalesce(c.merged, s.tok)) OVER place AS tok_1, lead(coalesce(c.merged, s.tok), 2) OVER place AS tok_2,
                lead(s.next_k) OVER place AS next_k_1, lead(c.spot) OVER place IS NOT NULL AS beside
-        FROM step s SEMI JOIN least l ON l.w = s.k >> {bits} LEFT JOIN chosen c ON c.spot = s.k
+        FROM step s SEMI JOIN least l ON l.w = s.k >> 8 LEFT JOIN chosen c ON c.spot = s.k
         WINDOW place AS (ORDER BY s.k)),
      moved AS (
         SELECT round, k, coalesce(merged, tok) AS tok, CASE WHEN merged IS NULL THEN next_k ELSE next_k_1 END AS next_k,
@@ -66,14 +69,49 @@ WITH RECURSIVE step AS (
      FROM moved v LEFT JOIN merges m
        ON m.pair = CASE WHEN v.renew AND v.next_k IS NOT NULL THEN v.tok::UINTEGER * 65536 + v.next_tok END)
 ), ended AS (
-    SELECT k >> {bits} AS w, max(round) AS round FROM step GROUP BY k >> {bits}
+    SELECT k >> 8 AS w, max(round) AS round FROM step GROUP BY k >> 8
 ), sorted AS (
-    SELECT l.w, s.tok, v.hex FROM step s JOIN ended l ON l.w = s.k >> {bits} AND l.round = s.round
+    SELECT l.w, s.tok, v.hex FROM step s JOIN ended l ON l.w = s.k >> 8 AND l.round = s.round
     JOIN vocabulary v ON v.tok = s.tok ORDER BY s.k)
 SELECT w, string_agg(tok::VARCHAR, ',') AS ids, string_agg(hex, '') AS decoded FROM sorted GROUP BY w
 """
 
 
+#: The same for long pieces, where the recursion keeps the present state alone (USING KEY): a row links to its neighbours, and
+#: a round gives the rows that change. All pairs of the least rank are contracted up to the first whose token makes a
+#: pair of lower rank with a neighbour.
+_ENCODE_LONG = """
+WITH RECURSIVE step(k, tok, prv, nxt, rank) USING KEY (k) AS (
+    SELECT s.k, s.tok, s.prv, s.next_k, m.merged FROM start s LEFT JOIN merges m ON m.pair = s.tok::UINTEGER * 65536 + s.next_tok
+  UNION
+    (WITH found AS (
+        SELECT k, prv, nxt, rank, prv IS DISTINCT FROM lag(k) OVER (ORDER BY k) AS fresh
+        FROM recurring.step WHERE rank = (SELECT min(rank) FROM recurring.step)),
+     runs AS (SELECT *, sum(fresh::INT) OVER (ORDER BY k) AS run FROM found),
+     turns AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY k) AS turn FROM runs),
+     apart AS (
+        SELECT t.k AS spot, t.prv, t.nxt AS gone, t.rank AS merged, g.nxt AS after, t.turn > 1 AS behind, b.tok AS tok_before, a.tok AS tok_after
+        FROM turns t JOIN recurring.step g ON g.k = t.nxt LEFT JOIN recurring.step b ON b.k = t.prv LEFT JOIN recurring.step a ON a.k = g.nxt
+        WHERE t.turn % 2 = 1),
+     checked AS (
+        SELECT p.*, least(x.merged, y.merged) < p.merged AS risky
+        FROM apart p LEFT JOIN merges x ON x.pair = CASE WHEN p.behind THEN p.merged ELSE p.tok_before END::UINTEGER * 65536 + p.merged
+        LEFT JOIN merges y ON y.pair = p.merged::UINTEGER * 65536 + p.tok_after),
+     chosen AS (SELECT * FROM checked WHERE spot <= coalesce((SELECT min(spot) FROM checked WHERE risky), spot)),
+     changed AS (
+        SELECT s.k, coalesce(x.merged, s.tok) AS tok, s.prv, CASE WHEN x.spot IS NULL THEN s.nxt ELSE x.after END AS nxt, s.rank, x.spot IS NOT NULL AS fresh
+        FROM recurring.step s LEFT JOIN chosen x ON x.spot = s.k
+        SEMI JOIN (SELECT spot AS k FROM chosen UNION ALL SELECT prv FROM chosen UNION ALL SELECT after FROM chosen) near ON near.k = s.k)
+     SELECT c.k, c.tok, coalesce(l.spot, c.prv), c.nxt, CASE WHEN c.fresh OR coalesce(n.fresh, false) THEN m.merged ELSE c.rank END
+     FROM changed c ANTI JOIN chosen g ON g.gone = c.k LEFT JOIN chosen l ON l.after = c.k LEFT JOIN changed n ON n.k = c.nxt
+     LEFT JOIN merges m ON m.pair = c.tok::UINTEGER * 65536 + n.tok
+     UNION ALL SELECT gone, NULL, NULL, NULL, NULL FROM chosen)
+), sorted AS (
+    SELECT s.tok, v.hex FROM step s JOIN vocabulary v ON v.tok = s.tok ORDER BY s.k)
+SELECT 0 AS w, string_agg(tok::VARCHAR, ',') AS ids, string_agg(hex, '') AS decoded FROM sorted
+"""
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
@@ -89,9 +127,10 @@ class Encoder:
         self.ranks = read_ranks(path)
         if max(self.ranks.values()) >= 65536:
             raise ValueError("a pair's key holds ids of 16 bits")
+        self.longest = max(map(len, self.ranks))
         self.words = regex.compile(pattern)
         self.units: dict[str, tuple[str, bytes]] = {}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": f"{memory_mb}MB", "preserve_insertion_order": False})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": f"{memory_mb}MB", "preserve_insertion_order": False, "temp_directory": ""})
         pairs, merged, eager = [], [], set()
         for token, rank in self.ranks.items():
             for i in range(1, len(token)):
@@ -100,38 +139,57 @@ class Encoder:
                     eager.update(x for x in (left, right) if x > rank)
                     pairs.append(left * 65536 + right)
                     merged.append(rank)
-        merges = pa.table({"pair": pa.array(pairs, pa.uint32()), "merged": pa.array(merged, pa.int32())})  # noqa: F841
-        later = pa.table({"rank": pa.array(sorted(eager), pa.int32())})  # noqa: F841
-        vocabulary = pa.table({"tok": pa.array(list(self.ranks.values()), pa.int32()), "hex": [t.hex() for t in self.ranks]})  # noqa: F841
+        merges = pa.table({"pair": pa.array(pairs, pa.uint32()), "merged": pa.array(merged, pa.uint16())})  # noqa: F841
+        later = pa.table({"rank": pa.array(sorted(eager), pa.uint16())})  # noqa: F841
+        vocabulary = pa.table({"tok": pa.array(list(self.ranks.values()), pa.uint16()), "hex": [t.hex() for t in self.ranks]})  # noqa: F841
         for name, source in (("merges", "merges"), ("eager", "later"), ("vocabulary", "vocabulary")):
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM {source}")
-        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.uint16)
 
     def encode_words(self, words: list[bytes]) -> dict[bytes, tuple[str, bytes]]:
         """Ids (decimal, joined by commas) and decoded bytes of each distinct word."""
         out: dict[bytes, tuple[str, bytes]] = {}
-        short, long = [], []
-        for word in words:
-            if (rank := self.ranks.get(word)) is not None:
-                out[word] = str(rank), word
-            else:
-                (short if len(word) <= 256 else long).append(word)
-        for at in range(0, len(short), 20_000):
-            out.update(self._contract(short[at : at + 20_000], 8, np.int32))
-        for word in long:
-            out.update(self._contract([word], 32, np.int64))
+        whole = [w for w in words if w in self.ranks]
+        rest = [w for w in words if w not in self.ranks]
+        parts = {w: self.independent(w) for w in rest if len(w) > SHORT}
+        pieces = sorted({p for ps in parts.values() for p in ps if len(p) <= SHORT}.union(w for w in rest if len(w) <= SHORT), key=len)  # those of a query end together
+        found: dict[bytes, tuple[str, bytes]] = {}
+        for at in range(0, len(pieces), BATCH):
+            found.update(self._contract(pieces[at : at + BATCH]))
+        for p in {p for ps in parts.values() for p in ps if len(p) > SHORT}:
+            found.update(self._contract([p], long=True))
+        for at in range(0, len(whole), BATCH):
+            out.update(self._contract(whole[at : at + BATCH], whole=True))
+        for w in rest:
+            out[w] = (",".join([found[p][0] for p in parts[w]]), b"".join([found[p][1] for p in parts[w]])) if w in parts else found[w]
         return out
 
-    def _contract(self, words: list[bytes], bits: int, kind: type) -> Iterator[tuple[bytes, tuple[str, bytes]]]:
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
+    def independent(self, word: bytes) -> list[bytes]:
+        """The word cut wherever no token of the vocabulary that stands in it reaches across, so that no pair ever can."""
+        cuts, reach = [0], 1
+        for i in range(len(word)):
+            if i >= reach:
+                cuts.append(i)
+            for size in range(min(self.longest, len(word) - i), max(1, reach - i), -1):
+                if word[i : i + size] in self.ranks:
+                    reach = i + size
+                    break
+            reach = max(reach, i + 1)
+        return [word[a:b] for a, b in zip(cuts, [*cuts[1:], len(word)])]
+
+    def _contract(self, words: list[bytes], long: bool = False, whole: bool = False) -> Iterator[tuple[bytes, tuple[str, bytes]]]:
+        """One recursive query over the words; those that are ``whole`` a token start as that one."""
+        sizes = np.ones(len(words), np.int64) if whole else np.fromiter(map(len, words), np.int64, len(words))
         first = np.cumsum(sizes) - sizes
-        tok = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        tok = np.array([self.ranks[w] for w in words], np.uint16) if whole else self.single[np.frombuffer(b"".join(words), np.uint8)]
         place = np.arange(len(tok)) - np.repeat(first, sizes)
-        key = (np.repeat(np.arange(len(words)), sizes) << bits) + place
+        key = place if long else (np.repeat(np.arange(len(words)), sizes) << 8) + place
         ends = place == np.repeat(sizes - 1, sizes)
-        start = pa.table({"k": key.astype(kind), "tok": tok, "next_tok": pa.array(np.roll(tok, -1), mask=ends), "next_k": pa.array((key + 1).astype(kind), mask=ends)})
-        self.db.register("start", start)
-        found = self.db.execute(_ENCODE.format(bits=bits)).fetchall()
+        columns = {"k": key.astype(np.int32), "tok": tok, "next_tok": pa.array(np.roll(tok, -1), mask=ends), "next_k": pa.array((key + 1).astype(np.int32), mask=ends)}
+        if long:
+            columns["prv"] = pa.array((key - 1).astype(np.int32), mask=place == 0)
+        self.db.register("start", pa.table(columns))
+        found = self.db.execute(_ENCODE_LONG if long else _ENCODE).fetchall()
         self.db.unregister("start")
         for i, ids, decoded in found:
             if (raw := bytes.fromhex(decoded)) != words[i]:
@@ -140,15 +198,15 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[str, bytes]]:
         split = [_UNITS.findall(t or "") for t in texts]
-        new = list({u for us in split for u in us}.difference(self.units))
+        new = list(set().union(*split).difference(self.units))
         parts = [[p.encode() for p in self.words.findall(u)] for u in new]
         by_word = self.encode_words(list({p for ps in parts for p in ps}))
-        fresh = {u: (",".join([by_word[p][0] for p in ps]), b"".join([by_word[p][1] for p in ps])) for u, ps in zip(new, parts)}
+        fresh = {u: by_word[ps[0]] if len(ps) == 1 else (",".join([by_word[p][0] for p in ps]), b"".join([by_word[p][1] for p in ps])) for u, ps in zip(new, parts)}
         for u in new[: max(0, CACHE_UNITS - len(self.units))]:
             self.units[u] = fresh[u]
-        get = ({u: self.units[u] for us in split for u in us if u in self.units} | fresh).__getitem__ if fresh else self.units.__getitem__
+        known, late = self.units.get, fresh.get
         for us in split:
-            found = [get(u) for u in us]
+            found = [known(u) or late(u) for u in us]
             yield ",".join([x[0] for x in found]), b"".join([x[1] for x in found])
 
 

@@ -27,6 +27,27 @@ def test_same_ids_as_tiktoken(both):
         assert ids == ",".join(map(str, reference.encode_ordinary(text))) and raw == text.encode()
 
 
+def test_long_words(both):
+    encoder, reference = both
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000)), "e" * 5_000, "nmmn" * 700, "日本語" * 900, "-=" * 400 + "_" * 3_000]
+    for text, (ids, raw) in zip(texts, encoder.encode(texts)):
+        assert ids == ",".join(map(str, reference.encode_ordinary(text))) and raw == text.encode()
+
+
+def test_cuts_are_where_no_token_reaches_across(both):
+    encoder, _ = both
+    rng = random.Random(3)
+    for _ in range(50):
+        word = "".join(rng.choice("qxzjkwvyaeo") for _ in range(60)).encode()
+        ends = {0}
+        for i in range(1, len(word)):
+            if not any(word[a:b] in encoder.ranks for a in range(i) for b in range(i + 1, len(word) + 1)):
+                ends.add(i)
+        parts = encoder.independent(word)
+        assert b"".join(parts) == word and {sum(map(len, parts[:n])) for n in range(len(parts))} == ends
+
+
 def test_documents(spark, sf_dir, both):
     rows = spark.createDataFrame([(1, None, "z"), (2, "", "z"), (None, "Über 12 words", "z"), (2, "", "z")], "doc_id long, text string, n_tokens string")
     got = {(r[0], r[1], r[2], r[3]) for r in bpe.encode_documents(rows, PATH, P.PATTERN).collect()}
