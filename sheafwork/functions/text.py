@@ -80,6 +80,15 @@ def glued(terms: ColumnLike) -> Column:
     return F.array_distinct(F.transform(_c(terms), lambda t: F.replace(t, F.lit(" "), F.lit(""))))
 
 
+def catalogue_index(local: ColumnLike, botanical: ColumnLike) -> Column:
+    """(names, n_local, terms): search names of the local names first, then of the botanical ones that those lack; how many are
+    local, so that a word's end counts as a hit in them only; and all names without gaps, each once."""
+    own = search_index(F.filter(_c(local), lambda n: n.isNotNull()))
+    rest = F.array_except(search_index(F.transform(F.filter(_c(botanical), lambda n: n.isNotNull()), strip_authorship)), own)
+    names = F.concat(own, rest)
+    return F.struct(names.alias("names"), F.size(own).alias("n_local"), glued(names).alias("terms"))
+
+
 def hit_class(name: ColumnLike, query: ColumnLike) -> Column:
     """How a query meets a search name: 0 the name, 1 a word, 2 a word's end, 3 a word's start, 4 inside a word; null: not."""
     n, q = _c(name), _c(query)
@@ -112,7 +121,7 @@ def strip_authorship(x: ColumnLike) -> Column:
             (s["ended"] | ~taken).alias("ended"),
         )
 
-    return F.aggregate(F.slice(words, 2, 10_000), start, step, lambda s: F.array_join(s["kept"], " "))
+    return F.aggregate(F.slice(words, 2, F.size(words)), start, step, lambda s: F.array_join(s["kept"], " "))
 
 
 def usable_name(x: ColumnLike) -> Column:
@@ -140,6 +149,11 @@ def comparison_name(x: ColumnLike) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.translate(fold(bare), "×", "x")), "[^a-z0-9]+", " "))
 
 
+def bracket_key(x: ColumnLike) -> Column:
+    """As ``comparison_name``, but what stands in brackets counts, where it alone tells names apart."""
+    return comparison_name(F.translate(F.coalesce(_c(x), F.lit("")), "()", "  "))
+
+
 def is_binomial(x: ColumnLike) -> Column:
     return F.size(F.split(comparison_name(x), " ")) >= 2
 
@@ -271,6 +285,37 @@ def hashed_path(name: ColumnLike, base: str) -> Column:
     return F.concat(F.lit(base.rstrip("/") + "/"), F.substring(h, 1, 1), F.lit("/"), F.substring(h, 1, 2), F.lit("/"), percent_encoded(n))
 
 
+#: The widths that a hashed store has of a file.
+WIDTHS = (120, 250, 500, 1280)
+
+
+def thumb_path(name: ColumnLike, base: str, width: int) -> Column:
+    """The address of a smaller copy, of one of the WIDTHS."""
+    if width not in WIDTHS:
+        raise ValueError(f"no copies of width {width}, only {WIDTHS}")
+    n = F.translate(_c(name), " ", "_")
+    h, e = F.md5(n), percent_encoded(n)
+    return F.concat(F.lit(base.rstrip("/") + "/thumb/"), F.substring(h, 1, 1), F.lit("/"), F.substring(h, 1, 2), F.lit("/"), e, F.lit(f"/{width}px-"), e)
+
+
+def cache_path(original: ColumnLike, key: ColumnLike, base: str) -> Column:
+    """The address of an original's cached copy: its record's key and the hash of where it is from."""
+    return F.concat(F.lit(base.rstrip("/") + "/"), _c(key).cast("string"), F.lit("/media/"), F.md5(_c(original)))
+
+
+def sized_path(identifier: ColumnLike, base: str, size: str) -> Column:
+    """The address of an image in one of the sizes o, m and s."""
+    if size not in ("o", "m", "s"):
+        raise ValueError(f"no such size: {size}")
+    return F.concat(F.lit(f"{base.rstrip('/')}/{size}/"), _c(identifier).cast("string"))
+
+
+def with_width(address: ColumnLike, width: int, marker: str = "/image/cache/occurrence/") -> Column:
+    """A cached copy's address asking for a width; 0 leaves it."""
+    fitted = marker.replace("/cache/", f"/cache/fit-in/{width}x0/")
+    return F.replace(_c(address), F.lit(marker), F.lit(fitted)) if width else _c(address)
+
+
 def clean_list_text(x: ColumnLike) -> Column:
     """A list's cell: quotes and dashes alike, no form feeds, brackets or "in sorts", one blank behind commas."""
     alike = F.translate(F.coalesce(_c(x), F.lit("")), "‘’ʽʼ`´–—\f", "''''''--")

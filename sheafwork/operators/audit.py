@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -59,17 +59,20 @@ def override(auto: DataFrame, manual: DataFrame, key: str, fields: list[str]) ->
 
 
 def override_report(manual: DataFrame, auto: DataFrame, key: str, required: list[str]) -> DataFrame:
-    """(rule, n): keys given twice, rows without a required field, keys that the catalogue lacks."""
+    """(rule, n): keys given twice, rows without a required field, keys that the catalogue lacks; rows that adjust it, keys they add, keys whose rows conflict."""
     twice = manual.groupBy(key).count().where("count > 1")
     empty = reduce(lambda a, b: a | b, [F.col(f).isNull() for f in required])
     parts = [("repeated key", twice), ("missing field", manual.where(empty)), ("unknown key", manual.join(auto.select(key).distinct(), key, "left_anti"))]
+    have = auto.groupBy(key).agg(*[F.min(f).alias(f"__{f}") for f in required])
+    differ = reduce(lambda a, b: a | b, [(F.col(f) != F.col(f"__{f}")) for f in required])
+    parts += [("adjusted", manual.join(have, key).where(F.coalesce(differ, F.lit(False)))), ("added", manual.where(F.col(key).isNotNull()).join(have, key, "left_anti").select(key).distinct())]
+    apart = reduce(lambda a, b: a | b, [F.col(f"__n_{f}") > 1 for f in required])
+    parts.append(("conflicting", manual.groupBy(key).agg(*[F.count_distinct(f).alias(f"__n_{f}") for f in required]).where(apart)))
     return reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("n")).select(F.lit(rule).alias("rule"), "n") for rule, df in parts])
 
 
 def combined_sources(sources: dict[str, DataFrame], allowed: dict[str, Column], url: str, columns: list[str]) -> DataFrame:
     """Rows of several sources by each one's own filter, with where they are from; an address once, from the first source that has it."""
-    from pyspark.sql import Window
-
     rows = reduce(DataFrame.unionByName, [df.where(allowed[name]).select(*columns).withColumns({"provenance": F.lit(name), "__p": F.lit(i)}) for i, (name, df) in enumerate(sources.items())])
     return rows.withColumn("__n", F.row_number().over(Window.partitionBy(url).orderBy("__p"))).where("__n = 1").drop("__n", "__p")
 
@@ -81,6 +84,31 @@ def rule_report(rows: DataFrame, group: str, rules: dict[str, tuple[str, Column]
     return counts.select(group, long.alias("r")).select(group, "r.*").where("n > 0")
 
 
+def list_report(lists: DataFrame, entries: DataFrame, states: DataFrame, list_id: str, required: list[str], state_list: str, state: str, entry_list: str, name: str, label: str, key: str, ordinal: str) -> DataFrame:
+    """(list, severity, rule, n): what is wrong with lists and their entries, and the share of entries with a key in percent.
+
+    Lists: a required field that is missing, a scope of states without any, a state that isn't known, no entries at all.
+    Entries: no name, no label, and matched ones behind unmatched ones or either out of their names' order.
+    """
+    own = lists.select(F.col(list_id).alias("list"), *[F.col(c) for c in dict.fromkeys([*required, state_list]) if c != list_id])
+    missing = [F.when(F.coalesce(F.trim(F.col("list" if c == list_id else c).cast("string")), F.lit("")) == "", F.struct(F.lit("error").alias("severity"), F.lit(f"no {c}").alias("rule"))) for c in required]
+    empty = F.when(F.size(state_list) == 0, F.struct(F.lit("error").alias("severity"), F.lit("no states in scope").alias("rule")))
+    fields = own.select("list", F.explode(F.filter(F.array(*missing, empty), lambda r: r.isNotNull())).alias("r")).select("list", "r.*")
+    unknown = own.select("list", F.explode(state_list).alias("__s")).join(states.select(F.col(state).alias("__s")).distinct(), "__s", "left_anti").select("list", F.lit("warning").alias("severity"), F.lit("unknown state").alias("rule"))
+    none = own.select("list").join(entries.select(F.col(entry_list).alias("list")).distinct(), "list", "left_anti").select("list", F.lit("error").alias("severity"), F.lit("no entries").alias("rule"))
+    counted = reduce(DataFrame.unionByName, [fields, unknown, none]).groupBy("list", "severity", "rule").agg(F.count("*").alias("n"))
+
+    matched = F.col(key).isNotNull()
+    at = Window.partitionBy(entry_list).orderBy(ordinal)
+    same = Window.partitionBy(entry_list, matched).orderBy(ordinal)
+    marked = entries.withColumns({"__late": matched & F.coalesce(~F.lag(matched).over(at), F.lit(False)), "__low": F.coalesce(F.col(name) < F.lag(name).over(same), F.lit(False))})
+    blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
+    rules = {"no name": ("error", blank(name)), "no label": ("warning", blank(label)), "not in order": ("warning", F.col("__late") | F.col("__low"))}
+    broken = rule_report(marked.withColumnRenamed(entry_list, "list"), "list", rules)
+    share = entries.groupBy(F.col(entry_list).alias("list")).agg(F.round(100 * F.avg(matched.cast("int"))).cast("long").alias("n")).select("list", F.lit("info").alias("severity"), F.lit("percent matched").alias("rule"), "n")
+    return reduce(DataFrame.unionByName, [counted, broken, share])
+
+
 def resolution_report(rows: DataFrame, group: str, resolved: Column, path: str) -> DataFrame:
     """(group, path, n, n_resolved, share) by group and path, with totals of groups and of all."""
     out = rows.rollup(group, path).agg(F.count("*").alias("n"), F.count_if(resolved).alias("n_resolved"), F.grouping_id().alias("level"))

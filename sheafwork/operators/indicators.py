@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,7 +25,37 @@ def band_overlap(p1: Column, w1: Column, p2: Column, w2: Column, top: float = 10
     return F.when(either > 0, both / either).otherwise(0.0)
 
 
-def distant_pairs(rows: DataFrame, group: str, key: str, value: str, least: float, bands: int = 16) -> DataFrame:
+def bands_apart(p1: Column, w1: Column, p2: Column, w2: Column) -> Column:
+    """Whether two bands around their positions have no point in common."""
+    return F.abs(p1 - p2) > (w1 + w2) / 2
+
+
+def apart_neighbours(rows: DataFrame, group: str, key: str, position: str, width: str) -> DataFrame:
+    """(group, key, n_apart): with how many others of its list a row's band has no point in common.
+
+    Bands that end before this one begins, and bands that begin behind its end, are counted by rank among ends and
+    beginnings; no pairs are made.
+    """
+    r = rows.where(F.col(position).isNotNull() & F.col(width).isNotNull()).select(group, key, (F.col(position) - F.col(width) / 2).alias("a"), (F.col(position) + F.col(width) / 2).alias("b"))
+    marks = F.explode(F.array(F.struct(F.col("a").alias("x"), F.lit(1).alias("kind")), F.struct(F.col("b").alias("x"), F.lit(0).alias("kind")))).alias("m")
+    points = r.select(group, key, marks).select(group, key, "m.*")
+    order = Window.partitionBy(group).orderBy("x")
+    n = lambda kind, a, b: F.count(F.when(F.col("kind") == kind, 1)).over(order.rangeBetween(a, b))
+    here, first, last = Window.currentRow, Window.unboundedPreceding, Window.unboundedFollowing
+    counted = points.withColumns({"ended": n(0, first, here) - n(0, here, here), "begun": n(1, here, last) - n(1, here, here)})
+    return counted.groupBy(group, key).agg(F.sum(F.when(F.col("kind") == 1, F.col("ended")).otherwise(F.col("begun"))).alias("n_apart"))
+
+
+def zone_pairs(rows: DataFrame, group: str, zone: str) -> DataFrame:
+    """(group, zone_a, zone_b, n): of a list's pairs, how many lie in two given zones, from the zones' counts; zone_a before zone_b, or the same."""
+    n = rows.where(F.col(zone).isNotNull()).groupBy(F.col(group).alias("g"), F.col(zone).alias("z")).agg(F.count("*").alias("n"))
+    a, b = (n.select(F.col("g").alias(f"g{i}"), F.col("z").alias(f"zone_{i}"), F.col("n").alias(f"n{i}")) for i in "ab")
+    pairs = a.join(b, (F.col("ga") == F.col("gb")) & (F.col("zone_a") <= F.col("zone_b")))
+    count = F.when(F.col("zone_a") == F.col("zone_b"), F.col("na") * (F.col("na") - 1) / 2).otherwise(F.col("na") * F.col("nb")).cast("long")
+    return pairs.select(F.col("ga").alias(group), "zone_a", "zone_b", count.alias("n"))
+
+
+def distant_pairs(rows: DataFrame, group: str, key: str, value: str, least: float) -> DataFrame:
     """(group, a, b, distance): pairs of a list whose values are at least so far apart, a below b by key.
 
     Values are cut into bands as wide as the threshold: only pairs of different bands can qualify, and a band meets the

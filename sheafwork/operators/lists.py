@@ -52,6 +52,12 @@ def complete_parents(rows: DataFrame, group: str, name: str, ordinal: str, flag:
     return known.unionByName(new, allowMissingColumns=True)
 
 
+def parent_keys(rows: DataFrame, parent: str, index: DataFrame, alias: str = "parent_key") -> DataFrame:
+    """Rows with the key that a name index (name, key) has for their parent's name itself; null without parent or hit."""
+    keys = index.select(F.col("name").alias("__n"), F.col("key").alias(alias))
+    return rows.join(keys, T.comparison_name(parent) == F.col("__n"), "left").drop("__n")
+
+
 def organ_of_file(rows: DataFrame, key: str, file: str, taxon: str, most_free: int = 4) -> DataFrame:
     """(key, organ, reason): the part of a plant that a file's name tells, if it is a label and no story."""
     from .filters import NO_PHOTO

@@ -57,6 +57,15 @@ def fallback_source(primary: DataFrame, secondary: DataFrame, key: str) -> DataF
     return primary.withColumn("source_of", F.lit("primary")).unionByName(rest.withColumn("source_of", F.lit("secondary")))
 
 
+def beside(df: DataFrame, key: str, values: DataFrame, value_key: str, value: str, other: DataFrame, other_key: str, other_field: str) -> DataFrame:
+    """Rows that have a value or an older one: each in its own field, never blended, and which of the two there are."""
+    v = values.groupBy(F.col(value_key).alias("__k")).agg(F.min(value).alias("value"))
+    o = other.groupBy(F.col(other_key).alias("__o")).agg(F.min(other_field).alias("older"))
+    joined = df.join(v, F.col(key) == F.col("__k"), "left").join(o, F.col(key) == F.col("__o"), "left").drop("__k", "__o")
+    has = F.when(F.col("value").isNotNull() & F.col("older").isNotNull(), "both").when(F.col("value").isNotNull(), "value").when(F.col("older").isNotNull(), "older")
+    return joined.withColumn("has", has).where("has IS NOT NULL")
+
+
 def enrich_missing(df: DataFrame, key: str, column: str, extra: DataFrame, extra_key: str, extra_column: str) -> tuple[DataFrame, DataFrame]:
     """Rows whose missing column is filled from another table, and the keys that stay without."""
     e = extra.groupBy(F.col(extra_key).alias("__k")).agg(F.min(extra_column).alias("__v"))
@@ -65,11 +74,12 @@ def enrich_missing(df: DataFrame, key: str, column: str, extra: DataFrame, extra
 
 
 def lookup_slice(df: DataFrame, key: str, rows: DataFrame, row_key: str, order: list[Column | str], fields: list[str], n: int = 10) -> DataFrame:
-    """Each row with the number of its related rows and the first ``n`` of them."""
-    w = Window.partitionBy(row_key)
-    ranked = rows.withColumns({"nth": F.row_number().over(w.orderBy(*order)), "n_related": F.count("*").over(w)}).where(F.col("nth") <= n)
-    lists = ranked.groupBy(F.col(row_key).alias("__k")).agg(F.max("n_related").alias("n_related"), F.sort_array(F.collect_list(F.struct("nth", *fields))).alias("related"))
-    return df.join(lists, F.col(key) == F.col("__k"), "left").drop("__k").withColumn("n_related", F.coalesce("n_related", F.lit(0)))
+    """Each row with the number of its related rows and the first ``n`` of them. Counts are partial sums, and only the first rows move."""
+    first = rows.withColumn("nth", F.row_number().over(Window.partitionBy(row_key).orderBy(*order))).where(F.col("nth") <= n)
+    lists = first.groupBy(F.col(row_key).alias("__k")).agg(F.sort_array(F.collect_list(F.struct("nth", *fields))).alias("related"))
+    counts = rows.groupBy(F.col(row_key).alias("__c")).agg(F.count("*").alias("n_related"))
+    joined = df.join(lists, F.col(key) == F.col("__k"), "left").join(counts, F.col(key) == F.col("__c"), "left").drop("__k", "__c")
+    return joined.withColumn("n_related", F.coalesce("n_related", F.lit(0)))
 
 
 def coverage(names: DataFrame, name: str, catalogue: DataFrame, catalogue_name: str) -> tuple[DataFrame, DataFrame]:
@@ -93,9 +103,14 @@ def dedupe_fill(rows: DataFrame, key: str, ordinal: str, fields: list[str], flag
 
 
 def first_rows(rows: DataFrame, key: Column | str, order: list[Column | str]) -> DataFrame:
-    """The first row of each key, and how many rows it stood for."""
-    w = Window.partitionBy(key)
-    return rows.withColumns({"nth": F.row_number().over(w.orderBy(*order)), "n_rows": F.count("*").over(w)}).where("nth = 1").drop("nth")
+    """The first row of each key, and how many rows it stood for. Counts are partial sums, and only the first rows move.
+
+    A key that keeps what others drop tells rows apart that look alike: see ``functions.text.bracket_key``.
+    """
+    keyed = rows.withColumn("__key", F.col(key) if isinstance(key, str) else key)
+    first = keyed.withColumn("nth", F.row_number().over(Window.partitionBy("__key").orderBy(*order))).where("nth = 1").drop("nth")
+    counts = keyed.groupBy(F.col("__key").alias("__c")).agg(F.count("*").alias("n_rows"))
+    return first.join(counts, F.col("__key").eqNullSafe(F.col("__c"))).drop("__key", "__c")
 
 
 def merge_entities(rows: DataFrame, entity: str, ordinal: str, direct: Column, name: str, fill: list[str]) -> DataFrame:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 def top_per_facet(rows: DataFrame, key: str, facet: str, order: list[Column | str], n: int) -> DataFrame:
@@ -57,17 +61,30 @@ def neighbour_records(lines: DataFrame, doc: str, line: str, text: str, marker:
 
 
 def cluster_rows(words: DataFrame, page: list[str], y: str, x: str, word: str, tolerance: float) -> DataFrame:
-    """Words of a page in rows: a word belongs to the row whose first word it is within ``tolerance`` of. (page, row, text)."""
-    listed = words.groupBy(*page).agg(F.sort_array(F.collect_list(F.struct(F.col(y).alias("y"), F.col(x).alias("x"), F.col(word).alias("w")))).alias("l"))
-    start = F.struct(F.lit(None).cast("double").alias("at"), F.lit(-1).alias("row"), F.array().cast("array<struct<row:int,x:double,w:string>>").alias("out"))
-
-    def step(s: Column, e: Column) -> Column:
-        fresh = s["at"].isNull() | (e["y"] - s["at"] > tolerance)
-        row = F.when(fresh, s["row"] + 1).otherwise(s["row"])
-        return F.struct(F.when(fresh, e["y"].cast("double")).otherwise(s["at"]).alias("at"), row.alias("row"), F.concat(s["out"], F.array(F.struct(row.alias("row"), e["x"].cast("double").alias("x"), e["w"].alias("w")))).alias("out"))
-
-    placed = listed.select(*page, F.explode(F.aggregate("l", start, step, lambda s: s["out"])).alias("e"))
-    return placed.groupBy(*page, "e.row").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("e.x", "e.w"))), lambda v: v["w"]), " ").alias("text"))
+    """Words of a page in rows: a word belongs to the row whose first word it is within ``tolerance`` of. (page, row, text).
+
+    Where a row begins depends on the row before, so pages are sorted within partitions and folded as they stream by;
+    a task holds no page.
+    """
+    rows = words.select(*page, F.col(y).cast("double").alias("__y"), F.col(x).cast("double").alias("__x"), F.col(word).cast("string").alias("__w"))
+    sorted_rows = rows.repartition(*page).sortWithinPartitions(*page, "__y", "__x")
+    n = len(page)
+
+    def number(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, at, row = None, 0.0, -1
+        for frame in frames:
+            out = []
+            keys = zip(*(frame[c].where(frame[c].notna(), None).tolist() for c in page))
+            for key, here in zip(keys, frame["__y"].tolist()):
+                if key != own:
+                    own, at, row = key, here, 0
+                elif here - at > tolerance:
+                    at, row = here, row + 1
+                out.append(row)
+            yield frame.assign(row=out)
+
+    placed = sorted_rows.mapInPandas(number, StructType([*rows.schema.fields[:n], *rows.schema.fields[n:], StructField("row", IntegerType())]))
+    return placed.groupBy(*page, "row").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__x", "__w"))), lambda v: v["__w"]), " ").alias("text"))
 
 
 def assign_columns(words: DataFrame, doc: list[str], order: str, x: str, edges: Column, slack: float = 3) -> DataFrame:
@@ -114,11 +131,20 @@ def page(rows: DataFrame, order: list[Column | str], number: int, size: int) ->
     return rows.orderBy(*order).offset(number * size).limit(size)
 
 
+def page_statistics(rows: DataFrame, number: int, size: int) -> DataFrame:
+    """One row: rows in all, pages, and the first and last row's number on this page (0 where it is empty)."""
+    counted = rows.agg(F.count("*").alias("n_rows"))
+    first = F.when(F.col("n_rows") > number * size, number * size + 1).otherwise(0)
+    last = F.when(first > 0, F.least(F.col("n_rows"), F.lit((number + 1) * size))).otherwise(0)
+    return counted.select("n_rows", F.ceil(F.col("n_rows") / size).alias("n_pages"), first.cast("long").alias("first"), last.cast("long").alias("last"))
+
+
 def seeded_sample(rows: DataFrame, group: str, key: str, n: int, seed: int = 0) -> DataFrame:
-    """``n`` rows of each group that has as many, by a hash of the key and a seed."""
-    w = Window.partitionBy(group)
-    ranked = rows.withColumns({"nth": F.row_number().over(w.orderBy(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))), key)), "m": F.count("*").over(w)})
-    return ranked.where((F.col("nth") <= n) & (F.col("m") >= n)).drop("m")
+    """``n`` rows of each group that has as many, by a hash of the key and a seed. Only the rows that may be taken move."""
+    order = Window.partitionBy(group).orderBy(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))), key)
+    first = rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= n)
+    large = first.where(F.col("nth") == n).select(F.col(group).alias("__g"))
+    return first.join(large, F.col(group).eqNullSafe(F.col("__g")), "left_semi")
 
 
 def batches(rows: DataFrame, group: str, order: str, size: int) -> DataFrame:

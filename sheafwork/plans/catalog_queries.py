@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import audit, filters, indicators, lists, merge, resolve, tree, windows
+from ..operators import audit, filters, indicators, layout, lists, merge, resolve, tree, windows
 from ..registry import query, table
 from ..sources import readers, sinks
 from ..storage import scratch, written
@@ -253,14 +253,14 @@ def wanted_subset(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("merge_sources", """
-WITH a AS (SELECT c_nationkey AS k, string_agg(c_name, '|' ORDER BY c_custkey) AS l, min_by(c_name, c_custkey) AS f FROM customer WHERE c_custkey % 50 = 0 GROUP BY 1),
+WITH a AS (SELECT c_nationkey AS k, string_agg(c_name, '|' ORDER BY c_custkey) AS l, min_by(c_name, c_custkey) AS f FROM customer GROUP BY 1),
 b AS (SELECT s_nationkey AS k, string_agg(s_name, '|' ORDER BY s_suppkey) AS l, min_by(s_name, s_suppkey) AS f FROM supplier GROUP BY 1)
 SELECT n_nationkey, a.l AS names_a, b.l AS names_b, coalesce(a.f, b.f) AS "primary", CASE WHEN a.f IS NOT NULL THEN 'a' WHEN b.f IS NOT NULL THEN 'b' END AS name_source
 FROM nation LEFT JOIN a ON a.k = n_nationkey LEFT JOIN b ON b.k = n_nationkey
 """)
 def merge_sources(spark: SparkSession, d: str) -> DataFrame:
     names = lambda name, key, at, label: merge.append_lists(table(spark, d, name).select(F.col(key).alias("n_nationkey"), F.col(at).alias("o"), F.array(label).alias("names")), "n_nationkey", "names", "o")
-    customers = table(spark, d, "customer").where("c_custkey % 50 = 0").select(F.col("c_nationkey").alias("n_nationkey"), F.col("c_custkey").cast("string").alias("src"), F.array("c_name").alias("names"), F.col("c_custkey").alias("o"))
+    customers = table(spark, d, "customer").select(F.col("c_nationkey").alias("n_nationkey"), F.col("c_custkey").cast("string").alias("src"), F.array("c_name").alias("names"), F.col("c_custkey").alias("o"))
     first = merge.grouped_names(customers.withColumn("src", F.concat(F.lit("c"), "src")), "n_nationkey", "src", "names", "o")
     out = merge.merge_names(table(spark, d, "nation"), "n_nationkey", first, "names", names("supplier", "s_nationkey", "s_suppkey", "s_name"), "names")
     return out.select("n_nationkey", F.array_join("names_a", "|").alias("names_a"), F.array_join("names_b", "|").alias("names_b"), "primary", "name_source")
@@ -465,10 +465,14 @@ def neighbour_lines(spark: SparkSession, d: str) -> DataFrame:
     return windows.neighbour_records(_lines(spark, d), "doc_id", "line", "t", F.length("t") > 60, F.trim("t") == "").select("doc_id", "line", F.md5("before").alias("before"), F.md5("after").alias("after"))
 
 
-@query("row_clusters", "SELECT l_orderkey, count(*)::BIGINT AS n FROM lineitem GROUP BY 1")
+@query("row_clusters", """
+WITH RECURSIVE e AS (SELECT l_orderkey, l_quantity::DOUBLE AS y, l_extendedprice::DOUBLE AS x, l_linenumber::VARCHAR AS w, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity, l_extendedprice) AS i FROM lineitem),
+f AS (SELECT l_orderkey, i, x, w, y AS at, 0 AS "row" FROM e WHERE i = 1
+  UNION ALL SELECT e.l_orderkey, e.i, e.x, e.w, CASE WHEN e.y - f.at > 4 THEN e.y ELSE f.at END, CASE WHEN e.y - f.at > 4 THEN f."row" + 1 ELSE f."row" END FROM f JOIN e ON e.l_orderkey = f.l_orderkey AND e.i = f.i + 1)
+SELECT l_orderkey, "row", string_agg(w, ' ' ORDER BY x, w) AS text FROM f GROUP BY 1, 2
+""")
 def row_clusters(spark: SparkSession, d: str) -> DataFrame:
-    rows = windows.cluster_rows(table(spark, d, "lineitem").withColumn("w", F.col("l_linenumber").cast("string")), ["l_orderkey"], "l_quantity", "l_extendedprice", "w", 4.0)
-    return rows.groupBy("l_orderkey").agg(F.sum(F.size(F.split("text", " "))).alias("n"))
+    return windows.cluster_rows(table(spark, d, "lineitem"), ["l_orderkey"], "l_quantity", "l_extendedprice", "l_linenumber", 4.0)
 
 
 @query("column_edges", """
@@ -588,10 +592,12 @@ def override_merge(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("override_report", """
-SELECT 'repeated key' AS rule, count(*) AS n FROM (SELECT user_id FROM events GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'missing field', count(*) FROM events WHERE value IS NULL UNION ALL SELECT 'unknown key', count(*) FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer)
+WITH c AS (SELECT c_custkey AS k, c_acctbal AS v FROM customer), m AS (SELECT user_id AS k, value AS v FROM events)
+SELECT 'repeated key' AS rule, count(*) AS n FROM (SELECT k FROM m GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'missing field', count(*) FROM m WHERE v IS NULL UNION ALL SELECT 'unknown key', count(*) FROM m WHERE k NOT IN (SELECT k FROM c)
+UNION ALL SELECT 'adjusted', count(*) FROM m JOIN c USING (k) WHERE m.v <> c.v UNION ALL SELECT 'added', count(DISTINCT k) FROM m WHERE k NOT IN (SELECT k FROM c) UNION ALL SELECT 'conflicting', count(*) FROM (SELECT k FROM m GROUP BY 1 HAVING count(DISTINCT v) > 1)
 """)
 def override_report(spark: SparkSession, d: str) -> DataFrame:
-    return audit.override_report(table(spark, d, "events"), table(spark, d, "customer").select(F.col("c_custkey").alias("user_id")), "user_id", ["value"])
+    return audit.override_report(table(spark, d, "events"), table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_acctbal").alias("value")), "user_id", ["value"])
 
 
 @query("combined_sources", """
@@ -714,17 +720,15 @@ def enum_decode(spark: SparkSession, d: str) -> DataFrame:
 _SQUASH = r"trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
 _UMLAUT = "replace(replace(replace(replace(replace(replace(replace({}, 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'Ä', 'Ae'), 'Ö', 'Oe'), 'Ü', 'Ue'), 'ß', 'ss')"
 _HYBRID = r"regexp_replace({}, '(^|\s)[x×](\s)', ' \2', 'g')"
-_HEAD = "split_part(text, chr(10), 1)"
 
 
 @query("search_index", f"""
-WITH h AS (SELECT doc_id, {_HYBRID.format(_HEAD)} AS s FROM documents),
+WITH h AS (SELECT doc_id, {_HYBRID.format('text')} AS s FROM documents),
 v AS (SELECT doc_id, {_SQUASH.format('strip_accents(' + _UMLAUT.format('s') + ')')} AS a, {_SQUASH.format("strip_accents(replace(s, 'ß', 'ss'))")} AS b FROM h)
 SELECT doc_id, md5(array_to_string(list_filter(CASE WHEN a = b THEN [a] ELSE [a, b] END, lambda x: x <> ''), '|')) AS terms FROM v
 """)
 def search_index(spark: SparkSession, d: str) -> DataFrame:
-    head = table(spark, d, "documents").select("doc_id", F.element_at(F.split("text", "\n"), 1).alias("s"))
-    return head.select("doc_id", F.md5(F.array_join(T.search_index(F.array("s")), "|")).alias("terms"))
+    return table(spark, d, "documents").select("doc_id", F.md5(F.array_join(T.search_index(F.array("text")), "|")).alias("terms"))
 
 
 @query("search_rank", """
@@ -774,9 +778,9 @@ def licence_names(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", T.normal_licence(raw).alias("licence"))
 
 
-@query("sort_keys", f"SELECT doc_id, md5(lower(strip_accents(replace({_HEAD}, 'ß', 'ss')))) AS key FROM documents WHERE lang = 'de'")
+@query("sort_keys", "SELECT doc_id, md5(lower(strip_accents(replace(text, 'ß', 'ss')))) AS key FROM documents")
 def sort_keys(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").where("lang = 'de'").select("doc_id", F.md5(T.german_sort_key(F.element_at(F.split("text", "\n"), 1))).alias("key"))
+    return table(spark, d, "documents").select("doc_id", F.md5(T.german_sort_key("text")).alias("key"))
 
 
 @query("parent_completion", """
@@ -839,8 +843,8 @@ def nested_entries(spark: SparkSession, d: str) -> DataFrame:
 def lists_by_folder(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "lists")
     sinks.write_by_group(table(spark, d, "part").select("p_partkey", "p_name", "p_type"), path, "p_type", "p_name", ["p_partkey"])
-    rows = spark.read.schema("p_partkey BIGINT, p_name STRING, p_type STRING").json(path)
-    return rows.groupBy(F.col("p_type").alias("list")).agg(F.count("*").alias("n"), F.min("p_partkey").alias("first"))
+    rows = readers.read_dir_lists(spark, path, "p_partkey BIGINT, p_name STRING", "*.json", folder="p_type")
+    return rows.groupBy("list").agg(F.count("*").alias("n"), F.min("p_partkey").alias("first"))
 
 
 @query("failure_lines", "SELECT o_orderkey AS key, o_orderpriority AS name, o_orderstatus AS error FROM orders WHERE o_orderkey % 3 <> 0")
@@ -891,10 +895,15 @@ def run_manifest(spark: SparkSession, d: str) -> DataFrame:
     return sinks.manifest(table(spark, d, "lineitem"), {"n": F.count("*"), "n_keys": F.count_distinct("l_suppkey"), "mean": F.round(F.avg("l_quantity"), 4)}, {"run": "nightly"})
 
 
-@query("partner_export", "SELECT 'row' AS part, count(*) AS n FROM supplier UNION ALL SELECT 'meta', 1")
+@query("partner_export", """
+SELECT 'row' AS part, s_suppkey AS key, s_name AS name, NULL AS by_rank FROM supplier
+UNION ALL SELECT 'meta', count(*), NULL, concat_ws('|', 'none=' || nullif(count(*) FILTER (s_acctbal <= 0), 0), 'solvent=' || nullif(count(*) FILTER (s_acctbal > 0), 0)) FROM supplier
+""")
 def partner_export(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "supplier").withColumn("rank", F.when(F.col("s_acctbal") > 0, "solvent"))
-    return sinks.partner_document(rows, "rank", ["s_suppkey", "s_name"]).groupBy("part").agg(F.count("*").alias("n"))
+    read = sinks.partner_document(rows, "rank", ["s_suppkey", "s_name"]).withColumn("r", F.from_json("document", "s_suppkey BIGINT, s_name STRING, total BIGINT, by_rank MAP<STRING, BIGINT>"))
+    ranks = F.array_join(F.transform(F.array_sort(F.map_entries("r.by_rank")), lambda e: F.concat_ws("=", e["key"], e["value"])), "|")
+    return read.select("part", F.coalesce("r.s_suppkey", "r.total").alias("key"), F.col("r.s_name").alias("name"), F.when(F.col("part") == "meta", ranks).alias("by_rank"))
 
 
 @query("keyed_upsert", "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'NEW' ELSE c_mktsegment END AS c_mktsegment FROM customer")
@@ -972,21 +981,21 @@ def quoted_csv(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_quoted_csv(spark, path, ["name", "key"])
 
 
-@query("multi_store", "SELECT 'nations' AS store, count(*) AS n FROM nation UNION ALL SELECT 'regions', count(*) FROM region")
+@query("multi_store", "SELECT 'nations' AS store, n_nationkey AS id, n_name AS name FROM nation UNION ALL SELECT 'regions', r_regionkey, r_name FROM region")
 def multi_store(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "stores")
     nations = table(spark, d, "nation").agg(F.collect_list(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))).alias("nations")).withColumn("j", F.lit(1))
     regions = table(spark, d, "region").agg(F.collect_list(F.struct(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))).alias("regions")).withColumn("j", F.lit(1))
     nations.join(regions, "j").drop("j").write.json(path)
     stores = readers.read_multi_store(spark, path, {"nations": "id INT, name STRING", "regions": "id INT, name STRING"})
-    return stores["nations"].agg(F.count("*").alias("n")).select(F.lit("nations").alias("store"), "n").unionByName(stores["regions"].agg(F.count("*").alias("n")).select(F.lit("regions").alias("store"), "n"))
+    return stores["nations"].select(F.lit("nations").alias("store"), "*").unionByName(stores["regions"].select(F.lit("regions").alias("store"), "*"))
 
 
 @query("tree_flatten", "SELECT r_name AS area, n_name AS domain, s_name AS name FROM region LEFT JOIN nation ON n_regionkey = r_regionkey LEFT JOIN supplier ON s_nationkey = n_nationkey")
 def tree_flatten(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.collect_list(F.struct(F.col("s_name").alias("name"))).alias("lists"))
     n = table(spark, d, "nation").join(s, F.col("s_nationkey") == F.col("n_nationkey"), "left").groupBy("n_regionkey").agg(F.collect_list(F.struct(F.col("n_name").alias("name"), "lists")).alias("domains"))
-    r = table(spark, d, "region").join(n, F.col("n_regionkey") == F.col("r_regionkey"), "left").agg(F.collect_list(F.struct(F.col("r_name").alias("name"), "domains")).alias("areas"))
+    r = table(spark, d, "region").join(n, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(F.array(F.struct(F.col("r_name").alias("name"), "domains")).alias("areas"))
     return readers.flatten_tree(r, [("areas", "area"), ("domains", "domain"), ("lists", "leaf")]).select("area", "domain", F.col("leaf").alias("name"))
 
 
@@ -1080,3 +1089,153 @@ def genuine_names(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("p_partkey") % 4
     name = F.when(k == 0, "Echter Kümmel").when(k == 1, "Carum carvi").when(k == 2, "Carum").otherwise("Carum subsp. alba")
     return table(spark, d, "part").select("p_partkey", T.genuine_common_name(name, F.lit("Carum carvi")).alias("genuine"), T.looks_botanical(name).alias("botanical"))
+
+
+# Lists set as text, species rows, catalogue index, addresses, parents, list reports
+
+
+@query("layout_records", r"""
+WITH l AS (SELECT o_custkey AS doc, o_orderkey AS line, floor(o_totalprice)::BIGINT % 52 AS q, CASE o_orderstatus WHEN 'F' THEN 'R' WHEN 'O' THEN 'A' ELSE 'N' END AS f, o_orderkey::VARCHAR AS n FROM orders),
+k AS (SELECT *, CASE WHEN q < 4 THEN 'section' WHEN q < 7 THEN 'number' WHEN q < 19 THEN 'dash' WHEN q < 28 THEN 'free' WHEN q < 32 THEN 'filler' WHEN q < 38 THEN 'indent' ELSE 'other' END AS c FROM l WHERE q < 48),
+t AS (SELECT *, CASE c WHEN 'section' THEN 'Teil ' || n WHEN 'dash' THEN 'Rosa nr' || n || CASE WHEN f = 'R' THEN ' (syn.' ELSE '' END WHEN 'free' THEN 'Malus silvestris' || n || CASE WHEN f = 'A' THEN ' (alt' ELSE '' END
+   WHEN 'filler' THEN 'Garten bzw. mehr' || n WHEN 'indent' THEN 'grandis, Tanne' || n ELSE 'weiter' || n || CASE WHEN f = 'N' THEN ') Text' ELSE ' Text' END END AS body,
+   CASE WHEN c = 'dash' AND f = 'R' OR c = 'free' AND f = 'A' THEN 1 WHEN c = 'other' AND f = 'N' THEN -1 ELSE 0 END AS d FROM k),
+p AS (SELECT *, sum((c IN ('section', 'number'))::INT) OVER w AS part FROM t WINDOW w AS (PARTITION BY doc ORDER BY line)),
+o AS (SELECT *, coalesce(bool_or(c IN ('dash', 'free', 'filler')) OVER (PARTITION BY doc, part ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS opened, sum((c = 'dash')::INT) OVER (PARTITION BY doc, part ORDER BY line) AS run FROM p),
+u AS (SELECT *, sum(CASE WHEN opened OR c IN ('dash', 'free', 'filler') THEN d ELSE 0 END) OVER (PARTITION BY doc, part, run ORDER BY line) AS upto FROM o),
+i AS (SELECT *, coalesce(lag(upto) OVER w, 0) - least(0, coalesce(min(upto) OVER (PARTITION BY doc, part, run ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) > 0 AS inside FROM u WINDOW w AS (PARTITION BY doc, part, run ORDER BY line)),
+s AS (SELECT *, c = 'dash' OR c IN ('free', 'filler') AND NOT opened OR c = 'free' AND NOT inside OR c = 'indent' AND opened AND NOT inside AS starts FROM i),
+r AS (SELECT *, sum(starts::INT) OVER (PARTITION BY doc, part ORDER BY line) AS record FROM s)
+SELECT doc, min(line) AS line, 'entry' AS kind, min_by(CASE WHEN c = 'dash' AND f <> 'N' THEN 'ZP' ELSE '' END, line) AS marks, min_by(CASE WHEN c = 'dash' AND f = 'A' THEN 2 ELSE 1 END, line) AS level, string_agg(body, ' ' ORDER BY line) AS text
+FROM r WHERE c NOT IN ('section', 'number') AND record > 0 GROUP BY doc, part, record
+UNION ALL SELECT doc, line, 'section', '', 0, body FROM r WHERE c = 'section'
+""")
+def layout_records(spark: SparkSession, d: str) -> DataFrame:
+    q, n = F.floor("o_totalprice") % 52, F.col("o_orderkey").cast("string")
+    f = F.when(F.col("o_orderstatus") == "F", "R").when(F.col("o_orderstatus") == "O", "A").otherwise("N")
+    bracket = lambda flag, sign: F.when(f == flag, F.lit(sign)).otherwise("")
+    dashes = F.when(f == "R", F.lit(" ZP - ")).when(f == "A", F.lit("ZP -  - ")).otherwise("  -")
+    text = (
+        F.when(q < 4, F.concat(F.lit("Teil "), n)).when(q < 7, F.lit("2.2 Kleine Sorten")).when(q < 19, F.concat(dashes, F.lit("Rosa nr"), n, bracket("R", " (syn.")))
+        .when(q < 28, F.concat(F.lit("Malus  silvestris"), n, bracket("A", " (alt"))).when(q < 32, F.concat(F.lit("Garten bzw. mehr"), n)).when(q < 38, F.concat(F.lit("   grandis, Tanne"), n))
+        .when(q < 48, F.concat(F.lit("weiter"), n, F.when(f == "N", ") Text").otherwise(" Text"))).when(f == "N", F.lit("  ")).otherwise("Seite 7")
+    )
+    lines = table(spark, d, "orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("line"), text.alias("t"))
+    section = F.when(F.col("t").startswith("Teil "), F.col("t"))
+    return layout.list_records(lines, "doc", "line", "t", section, F.lit(None).cast("string"), F.col("t").startswith("Seite "), F.lit(False))
+
+
+@query("grammar_lines", """
+SELECT p_partkey, p_name AS label, p_brand AS family, CASE WHEN p_size % 10 < 5 THEN '' ELSE lower(p_type) END AS name, CASE WHEN p_size % 10 < 5 THEN 'no name' WHEN p_size % 10 = 5 THEN 'dropped' END AS reason FROM part WHERE p_size % 10 < 8
+""")
+def grammar_lines(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_size") % 10
+    shown = F.when(k < 5, F.lit("(keine)")).otherwise(F.concat(F.lower("p_type"), F.lit(" (alt)"), F.when(k == 6, " in Sorten").otherwise("")))
+    line = F.when(k < 8, F.concat(F.lit("  "), F.col("p_name"), F.lit("   "), F.col("p_brand"), F.lit("\t  "), shown)).otherwise(F.concat_ws(" ", "p_name", "p_brand"))
+    rows = table(spark, d, "part").select("p_partkey", line.alias("line"), (k == 5).alias("drop"))
+    good, bad = layout.grammar_lines(rows, "line", r"^\s{2,}(\S.*?)\s{2,}(\S+)\s{2,}(.+)$", ["label", "family", "name"], ["name"], ["name"], F.col("drop"))
+    return good.withColumn("reason", F.lit(None).cast("string")).unionByName(bad).select("p_partkey", "label", "family", "name", "reason")
+
+
+@query("assembled_names", """
+WITH c AS (SELECT p_partkey, p_size % 8 AS k, p_brand AS b, string_split(p_name, ' ')[1] AS g, string_split(p_name, ' ')[2] AS s FROM part)
+SELECT p_partkey, CASE k WHEN 0 THEN g || ' ' || s WHEN 1 THEN g || ' ' || s || ' ''' || b || '''' WHEN 2 THEN g || ' ' || s || ' subsp. alba' WHEN 3 THEN g || ' sect. ' || b WHEN 4 THEN g || ' (' || b || ')' WHEN 5 THEN g || ' ' || s || ' ''' || b || '''' WHEN 6 THEN g ELSE g || ' ' || s END AS name,
+  CASE WHEN k IN (1, 5) THEN 'cultivar' WHEN k IN (4, 6) THEN 'genus' ELSE 'species' END AS rank FROM c
+""")
+def assembled_names(spark: SparkSession, d: str) -> DataFrame:
+    k, words, brand = F.col("p_size") % 8, F.split("p_name", " "), F.col("p_brand")
+    species = F.when(k == 3, F.lit("sect.")).when(k.isin(4, 6), F.lit(" 'Sorte' ")).otherwise(words[1])
+    quoted = F.concat(F.lit("'"), brand, F.lit("'"))
+    cultivar = F.when(k == 0, F.lit("Sorte")).when(k == 1, quoted).when(k == 2, F.lit("subsp.  alba")).when(k.isin(3, 4, 5), brand).when(k == 6, F.lit("")).otherwise(F.lit(None).cast("string"))
+    return table(spark, d, "part").select("p_partkey", layout.assembled_name(words[0], species, cultivar).alias("n")).select("p_partkey", "n.name", "n.rank")
+
+
+@query("species_rows", """
+SELECT o_orderkey AS "taxonKey", CASE WHEN o_orderpriority <> '' THEN o_orderpriority END AS "scientificName", o_orderstatus AS status, o_totalprice > 200000 AS extinct, o_custkey AS "numDescendants", NULL::VARCHAR AS genus, 21 AS n_fields FROM orders
+""")
+def species_rows(spark: SparkSession, d: str) -> DataFrame:
+    none = F.array().cast("array<struct<vernacularName:string,language:string>>")
+    usages = table(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("scientificName"), F.col("o_orderstatus").alias("taxonomicStatus"), (F.col("o_totalprice") > 200000).alias("extinct"), F.col("o_custkey").alias("numDescendants"), F.lit("").alias("genus"), none.alias("vernacularNames"))
+    out = readers.species_rows(usages, ["de"])
+    return out.select("taxonKey", "scientificName", "status", "extinct", "numDescendants", "genus", F.lit(len(out.columns) - 1).alias("n_fields"))
+
+
+@query("catalogue_index", """
+WITH p AS (SELECT p_partkey, lower(p_name) AS a, regexp_replace(lower(p_brand), '[^a-z0-9]+', ' ', 'g') AS b, lower(string_split(p_type, ' ')[1]) AS t FROM part)
+SELECT p_partkey, a || '|' || b || '|' || t AS names, 2 AS n_local, replace(a || '|' || b || '|' || t, ' ', '') AS terms FROM p
+""")
+def catalogue_index(spark: SparkSession, d: str) -> DataFrame:
+    botanical = F.array(F.concat(F.element_at(F.split(F.initcap("p_type"), " "), 1), F.lit(" (Ser.) Mill.")), F.col("p_name"), F.lit(None).cast("string"))
+    rows = table(spark, d, "part").select("p_partkey", T.catalogue_index(F.array("p_name", F.lit(None).cast("string"), "p_brand"), botanical).alias("i"))
+    return rows.select("p_partkey", F.array_join("i.names", "|").alias("names"), "i.n_local", F.array_join("i.terms", "|").alias("terms"))
+
+
+@query("file_addresses", """
+WITH n AS (SELECT p_partkey, replace(p_name, ' ', '_') AS n FROM part), h AS (SELECT *, md5(n) AS h FROM n)
+SELECT p_partkey, 'base/thumb/' || h[1:1] || '/' || h[1:2] || '/' || n || '/250px-' || n AS thumb, 'api/image/cache/occurrence/' || p_partkey || '/media/' || h AS cached, 'api/image/cache/fit-in/400x0/occurrence/' || p_partkey || '/media/' || h AS fitted, 'img/m/' || p_partkey AS sized FROM h
+""")
+def file_addresses(spark: SparkSession, d: str) -> DataFrame:
+    cached = T.cache_path(F.translate("p_name", " ", "_"), "p_partkey", "api/image/cache/occurrence")
+    return table(spark, d, "part").select("p_partkey", T.thumb_path("p_name", "base", 250).alias("thumb"), cached.alias("cached"), T.with_width(cached, 400).alias("fitted"), T.sized_path("p_partkey", "img", "m").alias("sized"))
+
+
+@query("parent_keys", """
+WITH i AS (SELECT p_name AS name, min(p_partkey) AS key FROM part WHERE p_size > 20 GROUP BY 1) SELECT p_partkey, i.key AS parent_key FROM part LEFT JOIN i ON i.name = p_name
+""")
+def parent_keys(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part")
+    index = resolve.name_index(part.where("p_size > 20"), "p_partkey", "p_partkey", {"name": F.col("p_name")})
+    rows = part.select("p_partkey", lists.expand_row(F.concat("p_name", F.lit(" 'Gold'"))).alias("x"))
+    return lists.parent_keys(rows.select("p_partkey", "x.parent"), "parent", index).select("p_partkey", "parent_key")
+
+
+@query("value_beside_older", """
+WITH v AS (SELECT o_custkey AS k, min(o_orderpriority) AS value FROM orders WHERE o_orderstatus = 'P' GROUP BY 1), o AS (SELECT o_custkey AS k, min(o_orderpriority) AS older FROM orders WHERE o_totalprice < 50000 GROUP BY 1)
+SELECT c_custkey, value, older, CASE WHEN value IS NOT NULL AND older IS NOT NULL THEN 'both' WHEN value IS NOT NULL THEN 'value' ELSE 'older' END AS has FROM customer LEFT JOIN v ON v.k = c_custkey LEFT JOIN o ON o.k = c_custkey WHERE value IS NOT NULL OR older IS NOT NULL
+""")
+def value_beside_older(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders")
+    return merge.beside(table(spark, d, "customer").select("c_custkey"), "c_custkey", orders.where("o_orderstatus = 'P'"), "o_custkey", "o_orderpriority", orders.where("o_totalprice < 50000"), "o_custkey", "o_orderpriority")
+
+
+@query("bracket_dedupe", "SELECT p_name || ' (' || p_brand || ')' AS name, min(p_partkey) AS p_partkey, count(*) AS n_rows FROM part GROUP BY p_name, p_brand")
+def bracket_dedupe(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "part").select("p_partkey", F.concat("p_name", F.lit(" ("), "p_brand", F.lit(")")).alias("name"))
+    return merge.first_rows(rows, T.bracket_key("name"), ["p_partkey"]).select("name", "p_partkey", "n_rows")
+
+
+@query("list_report", """
+WITH e AS (SELECT o_custkey AS list, o_orderkey AS i, o_orderpriority AS name, CASE WHEN o_orderstatus <> 'F' THEN o_orderkey END AS k FROM orders),
+w AS (SELECT *, lag(k IS NOT NULL) OVER (PARTITION BY list ORDER BY i) AS m, lag(name) OVER (PARTITION BY list, k IS NOT NULL ORDER BY i) AS b FROM e)
+SELECT c_custkey AS list, 'error' AS severity, 'no c_mktsegment' AS rule, 1 AS n FROM customer WHERE c_acctbal < 0 UNION ALL SELECT c_custkey, 'error', 'no states in scope', 1 FROM customer WHERE c_nationkey = 0
+UNION ALL SELECT c_custkey, 'warning', 'unknown state', 1 FROM customer WHERE c_nationkey > 20 UNION ALL SELECT c_custkey, 'error', 'no entries', 1 FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+UNION ALL SELECT list, 'warning', 'not in order', count(*) FROM w WHERE k IS NOT NULL AND NOT m OR name < b GROUP BY 1
+UNION ALL SELECT list, 'info', 'percent matched', round(100.0 * count(k) / count(*))::BIGINT FROM e GROUP BY 1
+""")
+def list_report(spark: SparkSession, d: str) -> DataFrame:
+    own = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("c_mktsegment"), F.when(F.col("c_nationkey") == 0, F.array().cast("array<int>")).otherwise(F.array(F.col("c_nationkey").cast("int"))).alias("states"))
+    entries = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", F.when(F.col("o_orderstatus") != "F", F.col("o_orderkey")).alias("k"))
+    states = table(spark, d, "nation").where("n_nationkey <= 20").select(F.col("n_nationkey").cast("int").alias("n"))
+    return audit.list_report(own, entries, states, "c_custkey", ["c_custkey", "c_mktsegment"], "states", "n", "o_custkey", "o_orderpriority", "o_orderpriority", "k", "o_orderkey")
+
+
+@query("bands_apart", """
+SELECT a.s_nationkey, a.s_suppkey, count(b.s_suppkey) AS n_apart FROM supplier a LEFT JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey <> b.s_suppkey AND abs(a.s_acctbal - b.s_acctbal) > 2000 GROUP BY 1, 2
+""")
+def bands_apart(spark: SparkSession, d: str) -> DataFrame:
+    return indicators.apart_neighbours(table(spark, d, "supplier").withColumn("width", F.lit(2000.0)), "s_nationkey", "s_suppkey", "s_acctbal", "width")
+
+
+@query("zone_pairs", """
+WITH z AS (SELECT s_nationkey AS g, s_suppkey AS k, CASE WHEN s_acctbal < 1000 THEN 'a' WHEN s_acctbal <= 6000 THEN 'b' ELSE 'c' END AS z FROM supplier),
+j AS (SELECT i.g, least(i.z, j.z) AS za, greatest(i.z, j.z) AS zb, count(*) AS n FROM z i JOIN z j ON i.g = j.g AND i.k < j.k GROUP BY 1, 2, 3), n AS (SELECT DISTINCT g, z FROM z)
+SELECT x.g AS s_nationkey, x.z AS zone_a, y.z AS zone_b, coalesce(j.n, 0) AS n FROM n x JOIN n y ON x.g = y.g AND x.z <= y.z LEFT JOIN j ON j.g = x.g AND j.za = x.z AND j.zb = y.z
+""")
+def zone_pairs(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "supplier").withColumn("zone", indicators.zone("s_acctbal", F.lit(1000), F.lit(6000), ("a", "b", "c")))
+    return indicators.zone_pairs(rows, "s_nationkey", "zone")
+
+
+@query("page_statistics", "SELECT count(*) AS n_rows, ceil(count(*) / 50.0)::BIGINT AS n_pages, CASE WHEN count(*) > 100 THEN 101 ELSE 0 END AS first, CASE WHEN count(*) > 100 THEN least(count(*), 150) ELSE 0 END AS last FROM documents")
+def page_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return windows.page_statistics(table(spark, d, "documents"), 2, 50)

@@ -62,10 +62,11 @@ def flatten_tree(df: DataFrame, levels: list[tuple[str, str]]) -> DataFrame:
     return out.select(*kept, "n.*") if "name" not in kept else out.select(*kept)
 
 
-def read_dir_lists(spark: SparkSession, path: str, schema: str, pattern: str = "*.ndjson") -> DataFrame:
-    """All lists below a folder, each row with its file's name."""
+def read_dir_lists(spark: SparkSession, path: str, schema: str, pattern: str = "*.ndjson", folder: str | None = None) -> DataFrame:
+    """All lists below a folder, each row with its file's name, or with what its folder ``folder=...`` says."""
     rows = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).json(path)
-    return rows.withColumn("list", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.[^./]+$", 1))
+    name = rf"/{folder}=([^/]+)/" if folder else r"([^/]+)\.[^./]+$"
+    return rows.withColumn("list", F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), name, 1)))
 
 
 def read_key_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -102,15 +103,39 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 # Payloads of services, as rows
 
 
+#: The fields of a species row, and those that a usage calls otherwise.
+USAGE_FIELDS = [
+    "taxonKey", "scientificName", "canonicalName", "authorship", "rank", "status", "extinct", "kingdom", "kingdomKey", "phylum", "phylumKey", "class", "classKey", "order", "orderKey",
+    "family", "familyKey", "genus", "genusKey", "numDescendants", "constituentKey",
+]
+USAGE_SOURCE = {"taxonKey": "key", "status": "taxonomicStatus"}
+
+
 def flatten_usages(usages: DataFrame, languages: list[str]) -> DataFrame:
     """Vernacular names trimmed, of the given languages, each once by language and lower-case name; the first stays."""
     names = F.filter(
         F.transform("vernacularNames", lambda v: F.struct(F.trim(v["vernacularName"]).alias("name"), v["language"].alias("language"))),
         lambda v: v["language"].isin(languages) & (v["name"] != ""),
     )
-    key = lambda v: F.concat(v["language"], F.lit("|"), F.lower(v["name"]))
-    once = F.filter(names, lambda v, i: F.array_position(F.transform(names, key), key(v)) == i + 1)
-    return usages.withColumn("vernacularNames", once)
+    placed = F.transform(names, lambda v, i: F.struct(F.concat(v["language"], F.lit("|"), F.lower(v["name"])).alias("key"), i.alias("i"), v.alias("v")))
+    once = usages.withColumn("__s", F.sort_array(placed))  # by key, then place
+    first = F.filter("__s", lambda x, i: (i == 0) | (x["key"] != F.get("__s", i - 1)["key"]))
+    kept = F.transform(F.sort_array(F.transform(first, lambda x: F.struct(x["i"].alias("i"), x["v"].alias("v")))), lambda x: x["v"])
+    return once.withColumn("vernacularNames", kept).drop("__s")
+
+
+def species_rows(usages: DataFrame, languages: list[str]) -> DataFrame:
+    """Usages as species rows: all USAGE_FIELDS, null where the payload lacks one or has an empty text, and the vernacular names."""
+    have = {f.name: f.dataType.typeName() for f in usages.schema.fields}
+
+    def field(name: str):
+        source = USAGE_SOURCE.get(name, name)
+        if source not in have:
+            return F.lit(None).cast("string").alias(name)
+        c = F.col(f"`{source}`")
+        return (F.nullif(c, F.lit("")) if have[source] == "string" else c).alias(name)
+
+    return flatten_usages(usages, languages).select(*[field(n) for n in USAGE_FIELDS], "vernacularNames")
 
 
 def flatten_image_groups(pages: DataFrame, key: str, images: str, top: int | None = None) -> DataFrame:

@@ -51,19 +51,25 @@ def _step(start: pd.Timestamp | None, used: int, ts: pd.Timestamp, cost: int, ho
 def quota_batch(rows: DataFrame, key: str, request: str, time: str, cost: str, quota: int, hours: float = 24) -> DataFrame:
     """Requests with their window's start, what is used by then, and whether that is over the quota; windows begin at a first request.
 
-    A fold over a key's requests in order, as a higher-order function: nothing leaves the JVM.
+    Where a window begins depends on the one before, so requests are sorted by key and time within partitions and folded as
+    they stream by: a task holds a key, a start and a sum, however many requests a key has.
     """
-    listed = rows.groupBy(F.col(key).cast("string").alias("key")).agg(F.sort_array(F.collect_list(F.struct(F.col(time).cast("timestamp").alias("ts"), F.col(request).cast("long").alias("request"), F.col(cost).cast("long").alias("cost")))).alias("l"))
-    kind = "array<struct<request:bigint,ts:timestamp,window_start:timestamp,used:bigint>>"
-    start = F.struct(F.lit(None).cast("timestamp").alias("at"), F.lit(0).cast("long").alias("used"), F.array().cast(kind).alias("out"))
-
-    def step(s, e):
-        fresh = s["at"].isNull() | (F.unix_micros(e["ts"]) - F.unix_micros(s["at"]) >= int(hours * 3_600_000_000))
-        at, used = F.when(fresh, e["ts"]).otherwise(s["at"]), F.when(fresh, e["cost"]).otherwise(s["used"] + e["cost"])
-        row = F.struct(e["request"].alias("request"), e["ts"].alias("ts"), at.alias("window_start"), used.alias("used"))
-        return F.struct(at.alias("at"), used.alias("used"), F.concat(s["out"], F.array(row)).alias("out"))
+    named = rows.select(F.col(key).cast("string").alias("key"), F.col(request).cast("long").alias("request"), F.col(time).cast("timestamp").alias("ts"), F.col(cost).cast("long").alias("cost"))
 
-    return listed.select("key", F.explode(F.aggregate("l", start, step, lambda s: s["out"])).alias("r")).select("key", "r.*", (F.col("r.used") > quota).alias("over"))
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, start, used = object(), None, 0
+        for frame in frames:
+            starts, sums = [], []
+            for k, ts, c in zip(frame["key"].where(frame["key"].notna(), None), frame["ts"], frame["cost"].fillna(0).astype("int64").tolist()):
+                if k != own:
+                    own, start, used = k, None, 0
+                start, used = _step(start, used, ts, c, hours)
+                starts.append(start)
+                sums.append(used)
+            out = frame[["key", "request", "ts"]].assign(window_start=pd.Series(starts, index=frame.index, dtype=frame["ts"].dtype), used=pd.Series(sums, index=frame.index, dtype="int64"))
+            yield out.assign(over=out["used"] > quota)
+
+    return named.repartition("key").sortWithinPartitions("key", "ts", "request").mapInPandas(run, WINDOW_OUT)
 
 
 def quota_stream(rows: DataFrame, key: str, request: str, time: str, cost: str, quota: int, hours: float = 24) -> DataFrame:
