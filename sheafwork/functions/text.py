@@ -316,13 +316,32 @@ def with_width(address: ColumnLike, width: int, marker: str = "/image/cache/occu
     return F.replace(_c(address), F.lit(marker), F.lit(fitted)) if width else _c(address)
 
 
+def drop_stress(x: ColumnLike) -> Column:
+    """Without acute and grave, which lists set as reading aids; other diacritics stay."""
+    return F.translate(F.regexp_replace(_c(x), "[\u0300\u0301]", ""), "áàéèíìóòúùýÁÀÉÈÍÌÓÒÚÙÝ", "aaeeiioouuyAAEEIIOOUUY")
+
+
 def clean_list_text(x: ColumnLike) -> Column:
-    """A list's cell: quotes and dashes alike, no form feeds, brackets or "in sorts", one blank behind commas."""
-    alike = F.translate(F.coalesce(_c(x), F.lit("")), "‘’ʽʼ`´–—\f", "''''''--")
-    bare = F.regexp_replace(F.regexp_replace(alike, r"\([^)]*\)", " "), r"(?i)\s+in Sorten\s*$", "")
+    """A list's cell: no stress marks, quotes and dashes alike, no form feeds, brackets or what follows "in sorts", one blank behind commas."""
+    alike = F.translate(drop_stress(F.coalesce(_c(x), F.lit(""))), "‘’ʽʼ`´‐‑‒–—―−\f", "-------")
+    bare = F.regexp_replace(F.regexp_replace(alike, r"\([^)]*\)", " "), r"(?i)\s+in\s+Sorten\b.*$", "")
     return one_blank(F.regexp_replace(bare, r"\s*,\s*", ", "))
 
 
+def list_rank(name: ColumnLike, given: ColumnLike) -> Column:
+    """A list row's rank: a given genus, else what the name shows, else a given sort, else species."""
+    n, g = F.coalesce(_c(name), F.lit("")), _c(given)
+    return (
+        F.when(g == "gattung", "genus").when(n.rlike(f"[{CULTIVAR_QUOTES}]"), "cultivar").when(n.contains(" var. "), "variety").when(n.rlike(r" (subsp|ssp)\. "), "subspecies")
+        .when(n.contains(" f. "), "form").when(g == "sorte", "cultivar").otherwise("species")
+    )
+
+
+def is_aggregate(synonyms: ColumnLike) -> Column:
+    """Whether a synonym names a section or an aggregate; the accepted name alone doesn't show it."""
+    return F.coalesce(F.exists(_c(synonyms), lambda n: F.coalesce(n.rlike(r"(?i)(?<![A-Za-z0-9_])(sect|agg)\.?(\s|$)"), F.lit(False))), F.lit(False))
+
+
 def german_sort_key(x: ColumnLike) -> Column:
     """The key of DIN 5007-1: umlauts as their bases, sharp s as ss, lower case."""
     return F.lower(fold(F.replace(_c(x), F.lit("ß"), F.lit("ss"))))

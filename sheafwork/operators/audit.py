@@ -24,6 +24,14 @@ def orphans(rows: DataFrame, key: str, catalogue: DataFrame, catalogue_key: str)
     return rows.where(F.col(key).isNotNull()).join(catalogue.select(F.col(catalogue_key).alias(key)).distinct(), key, "left_anti")
 
 
+def require_none(df: DataFrame, what: str) -> DataFrame:
+    """The empty table, or an error that tells how many rows there are and one of them."""
+    first = df.first()
+    if first is not None:
+        raise ValueError(f"{what}: {df.count()} rows, such as {first.asDict()}")
+    return df
+
+
 def mutual(a: DataFrame, a_key: str, b: DataFrame, b_key: str) -> tuple[DataFrame, DataFrame]:
     """Rows of each side that have a partner on the other."""
     keys_a, keys_b = a.select(F.col(a_key).alias("__k")), b.select(F.col(b_key).alias("__k"))
@@ -50,6 +58,11 @@ def expected_versus_arrived(expected: DataFrame, arrived: DataFrame, key: str, e
     return marked.where("reason <> 'arrived'"), marked.groupBy("reason").agg(F.count("*").alias("n_keys"), F.sum("n").alias("n_rows"))
 
 
+def largest_gaps(gaps: DataFrame, key: str, n: int = 10) -> DataFrame:
+    """The keys that miss most rows, of ``expected_versus_arrived``."""
+    return gaps.where("reason = 'missing'").orderBy(F.desc("n"), key).limit(n)
+
+
 def override(auto: DataFrame, manual: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """Manual rows replace or add by key: the fields, and whether a row is kept, adjusted or added."""
     a, m = auto.select(key, *[F.col(f).alias(f"a_{f}") for f in fields], F.lit(True).alias("__a")), manual.select(key, *[F.col(f).alias(f"m_{f}") for f in fields], F.lit(True).alias("__m"))

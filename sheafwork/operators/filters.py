@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Words of licences that forbid use, and of files that show no photograph.
@@ -67,11 +67,19 @@ def matches(column: str, text: str, how: str = "contains") -> Column:
     return {"equal": low == t, "prefix": low.startswith(t), "contains": low.contains(t)}[how]
 
 
-def open_work(df: DataFrame, key: str, done: DataFrame, done_key: str, unnamed: Column, measure: str) -> DataFrame:
-    """Rows without a name and with something to do that aren't done yet."""
+def open_work(df: DataFrame, key: str, done: DataFrame, done_key: str, unnamed: Column, measure: str, key_map: DataFrame | None = None, source: str = "source") -> DataFrame:
+    """Rows without a name and with something to do that aren't done yet; with a map, only those whose key it resolves."""
+    if key_map is not None:
+        df = df.join(key_map.select(F.col(source).alias(key)).distinct(), key, "left_semi")
     return df.where(unnamed & (F.col(measure) > 0) & F.col(key).isNotNull()).join(done.select(F.col(done_key).alias(key)).distinct(), key, "left_anti")
 
 
 def without_marked(df: DataFrame, column: str, pattern: str) -> DataFrame:
     """Rows whose column doesn't match; missing values stay."""
     return df.where(~F.coalesce(F.col(column).rlike(pattern), F.lit(False)))
+
+
+def without_blocks(lines: DataFrame, doc: str, order: str, heading: Column, skip: list[str]) -> DataFrame:
+    """Lines without those below a heading to skip, up to the next heading; ``heading`` is a heading's text or null."""
+    under = F.last(heading, ignorenulls=True).over(Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    return lines.withColumn("__h", F.lower(F.trim(under))).where(~F.coalesce(F.col("__h").isin([s.lower() for s in skip]), F.lit(False))).drop("__h")

@@ -10,7 +10,7 @@ from ..functions import text as T
 
 def translate_keys(df: DataFrame, key: str, key_map: DataFrame, source: str, target: str, fallback: Column | None = None) -> DataFrame:
     """Adds ``resolved``: the map's target of the key, else the key; rows without a key go by ``fallback`` into the map, or out."""
-    m = key_map.select(F.col(source).cast("string").alias("__s"), F.col(target).alias("__t"))
+    m = key_map.groupBy(F.col(source).cast("string").alias("__s")).agg(F.min(target).alias("__t"))  # a key that stands twice adds no rows
     looked = F.when(F.col(key).isNotNull(), F.col(key).cast("string"))
     if fallback is not None:
         looked = F.coalesce(looked, fallback)
@@ -113,7 +113,7 @@ def both_ways(pairs: DataFrame, a: str, b: str) -> DataFrame:
 def direct_values(rows: DataFrame, row_key: str, name: str, values: DataFrame, value_name: str, value: str) -> DataFrame:
     """(row_key, value) by binomial, else by the folded binomial."""
     own = T.binomial(name)
-    v1, v2 = (values.select(F.col(value_name).alias(f"n{i}"), F.col(value).alias(f"v{i}")) for i in (1, 2))
+    v1, v2 = (values.groupBy(F.col(value_name).alias(f"n{i}")).agg(F.min(value).alias(f"v{i}")) for i in (1, 2))
     return rows.withColumns({"b1": own, "b2": T.fold(own)}).join(v1, F.col("b1") == F.col("n1"), "left").join(v2, F.col("b2") == F.col("n2"), "left").select(row_key, F.coalesce("v1", "v2").alias(value))
 
 

@@ -1070,11 +1070,11 @@ def clean_cells(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("markup_attributes", r"""
-WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="/([^"]*)"', 1)) AS v FROM pages) SELECT page_id, v, count(*) AS n FROM a GROUP BY 1, 2
+WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS v FROM pages) SELECT DISTINCT page_id, trim(v || ' (b)') AS name, 'link' AS category FROM a WHERE NOT contains(v, '#')
 """)
 def markup_attributes(spark: SparkSession, d: str) -> DataFrame:
-    found = table(spark, d, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="/([^"]*)"'), F.lit(1))).alias("v"))
-    return found.groupBy("page_id", "v").agg(F.count("*").alias("n"))
+    html = F.regexp_replace("html", 'href="([^"]+)"', 'title="$1 (b) (link)" title="$1 (b) (again)" title="$1"')
+    return readers.titled_entries(table(spark, d, "pages").select("page_id", html.alias("html")), "page_id", "html", skip="#")
 
 
 @query("foreign_categories", "SELECT p_partkey, p_partkey % 3 = 0 AS foreign_one FROM part")
@@ -1239,3 +1239,32 @@ def zone_pairs(spark: SparkSession, d: str) -> DataFrame:
 @query("page_statistics", "SELECT count(*) AS n_rows, ceil(count(*) / 50.0)::BIGINT AS n_pages, CASE WHEN count(*) > 100 THEN 101 ELSE 0 END AS first, CASE WHEN count(*) > 100 THEN least(count(*), 150) ELSE 0 END AS last FROM documents")
 def page_statistics(spark: SparkSession, d: str) -> DataFrame:
     return windows.page_statistics(table(spark, d, "documents"), 2, 50)
+
+
+@query("skipped_blocks", """
+WITH l AS (SELECT conv_id, turn, last_value(CASE WHEN length(text) % 5 = 0 THEN 'H' || (length(text) % 2) END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS h FROM conversations)
+SELECT conv_id, turn FROM l WHERE h IS NULL OR h <> 'H0'
+""")
+def skipped_blocks(spark: SparkSession, d: str) -> DataFrame:
+    heading = F.when(F.length("text") % 5 == 0, F.concat(F.lit("H"), (F.length("text") % 2).cast("string")))
+    return filters.without_blocks(table(spark, d, "conversations"), "conv_id", "turn", heading, ["h0"]).select("conv_id", "turn")
+
+
+@query("largest_gaps", """
+WITH s AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_shipdate >= '1996-01-01') SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_partkey NOT IN (SELECT k FROM s) GROUP BY 1 ORDER BY n DESC, l_partkey LIMIT 10
+""")
+def largest_gaps(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "lineitem")
+    gaps, _ = audit.expected_versus_arrived(rows, rows.where("l_shipdate >= '1996-01-01'"), "l_partkey", F.lit(False))
+    return audit.largest_gaps(gaps, "l_partkey").select("l_partkey", "n")
+
+
+@query("list_ranks", """
+SELECT p_partkey, CASE p_size % 6 WHEN 0 THEN 'genus' WHEN 1 THEN 'cultivar' WHEN 2 THEN 'variety' WHEN 3 THEN 'cultivar' WHEN 4 THEN 'subspecies' ELSE 'species' END AS rank, p_size % 4 = 0 AS is_aggregate FROM part
+""")
+def list_ranks(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_size") % 6
+    name = F.when(k == 1, F.concat("p_name", F.lit(" 'Gold'"))).when(k == 2, F.concat("p_name", F.lit(" var. alba"))).when(k == 4, F.concat("p_name", F.lit(" ssp. minor"))).otherwise(F.col("p_name"))
+    given = F.when(k == 0, "gattung").when(k.isin(2, 3), "sorte")
+    synonyms = F.array("p_brand", F.when(F.col("p_size") % 4 == 0, F.concat("p_name", F.lit(" agg."))))
+    return table(spark, d, "part").select("p_partkey", T.list_rank(name, given).alias("rank"), T.is_aggregate(synonyms).alias("is_aggregate"))

@@ -196,3 +196,13 @@ def flatten_detail(details: DataFrame, bulky: str, trait: str, alias: str) -> Da
     """Drops a bulky field and takes a trait's values out of the list of traits."""
     values = F.transform(F.flatten(F.transform(F.filter("traits", lambda t: t["key"] == trait), lambda t: t["values"])), lambda v: v["key"])
     return details.drop(bulky).withColumn(alias, F.nullif(F.array_join(values, ", "), F.lit("")))
+
+
+def titled_entries(pages: DataFrame, key: str, markup: str, attribute: str = "title", skip: str | None = None) -> DataFrame:
+    """(key, name, category): attributes "name (category)" of a page's markup, cut at the last bracket, each name's first in order.
+    Attributes without a bracket, and names that fit ``skip``, are left out."""
+    found = pages.select(key, F.posexplode(F.regexp_extract_all(markup, F.lit(f'{attribute}="([^"]+)"'), F.lit(1))).alias("at", "raw")).where(F.col("raw").contains(" ("))
+    parts = found.select(key, "at", F.trim(F.regexp_extract("raw", r"^(.*) \(", 1)).alias("name"), F.trim(F.regexp_extract("raw", r"^.* \((.*?)\)?$", 1)).alias("category"))
+    if skip:
+        parts = parts.where(~F.col("name").rlike(skip))
+    return parts.groupBy(key, "name").agg(F.min_by("category", "at").alias("category"))

@@ -77,3 +77,46 @@ def test_quota_stream_equals_batch(spark):
     q.awaitTermination()
     key = lambda r: (r["key"], r["request"], r["window_start"], r["used"], r["over"])
     assert sorted(map(key, spark.table("quota").collect())) == sorted(map(key, ingest.quota_batch(rows, "user", "request", "ts", "cost", 2).collect()))
+
+
+def test_orders(spark, sf_dir):
+    import duckdb
+
+    from sheafwork import registry
+    from sheafwork.plans import catalog_queries  # noqa: F401
+
+    con = duckdb.connect()
+    for name in ("orders", "customer", "events", "part", "nation"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    orders = {"group_histogram": "n DESC, event_type", "wanted_subset": "wanted_ord"}
+    for name, order in orders.items():
+        got = [tuple(r) for r in registry.QUERIES[name](spark, sf_dir).collect()]
+        assert got == con.execute(f"SELECT * FROM ({registry.ORACLES[name]}) ORDER BY {order}").fetchall()
+    got = [r["category_rank"] for r in registry.QUERIES["category_sort"](spark, sf_dir).collect()] if "category_rank" in registry.QUERIES["category_sort"](spark, sf_dir).columns else []
+    assert got == sorted(got)
+
+
+def test_repeated_keys_add_no_rows(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k long, n string")
+    keys = spark.createDataFrame([("1", 7), ("1", 8), ("c", 9)], "s string, t long")
+    assert sorted(r["resolved"] for r in resolve.translate_keys(rows, "k", keys, "s", "t", F.col("n")).collect()) == [2, 7, 9]
+    values = spark.createDataFrame([("tilia cordata", 1), ("tilia cordata", 1)], "n string, v int")
+    assert resolve.direct_values(spark.createDataFrame([(1, "Tilia cordata")], "k int, n string"), "k", "n", values, "n", "v").count() == 1
+
+
+def test_checks(spark):
+    import pytest
+
+    from sheafwork.operators import audit, filters
+
+    rows = spark.createDataFrame([(1,), (5,)], "k int")
+    known = spark.createDataFrame([(1,)], "c int")
+    with pytest.raises(ValueError, match="orphans: 1 rows"):
+        audit.require_none(audit.orphans(rows, "k", known, "c"), "orphans")
+    assert audit.require_none(audit.orphans(known.withColumnRenamed("c", "k"), "k", known, "c"), "orphans").count() == 0
+    work = spark.createDataFrame([(1, None, 3), (2, None, 3), (3, None, 0), (4, "x", 3)], "k int, n string, m int")
+    done = spark.createDataFrame([], "d int")
+    keys = spark.createDataFrame([(1,), (3,)], "source int")
+    assert [r["k"] for r in filters.open_work(work, "k", done, "d", F.col("n").isNull(), "m", keys).collect()] == [1]
+    with pytest.raises(ValueError, match="lists is empty"):
+        readers.require_rows(rows.limit(0), "lists")
