@@ -64,7 +64,7 @@ class ChunkTokenizer:
     """Ids of whole texts as little-endian bytes, by chunks between ASCII white space.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its chunks in turn; ASCII
-    letters are lowered beforehand, as it would; a word's ids don't depend on signs behind it, and a word of letters is
+    letters are lowered beforehand, as it would, but for its added tokens, which it takes as they stand; a word's ids don't depend on signs behind it, and a word of letters is
     one word of the tokenizer's, so its model takes it as it is.
     """
 
@@ -75,7 +75,10 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = True  # texts are cut at these tokens; what is left has none
+        added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+        self.added_ids = {c: array("I", [i]).tobytes() for c, i in added.items()}
         self.chunks = _Known(self._chunk, CACHE_CHUNKS)
         self.words = _Known(self._word, CACHE_CHUNKS)
         self.signs = _Known(self._whole, 10_000)
@@ -98,7 +101,8 @@ class ChunkTokenizer:
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         get = self.chunks.__getitem__
         for text in texts:
-            yield b"".join(map(get, (text or "").encode().lower().split()))
+            parts = self.added.split(text) if text and self.added else [text or ""]  # the tokenizer finds its added tokens first, as they are written
+            yield b"".join([self.added_ids.get(part) or b"".join(map(get, part.encode().lower().split())) for part in parts])
 
 
 @lru_cache(maxsize=1)

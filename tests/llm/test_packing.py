@@ -31,10 +31,9 @@ def test_level_keeps_sum_of_squares_least():
 
 def test_every_id_once(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "don't IT'S x'll ,. 12.5 É́COLE 日本 ß İ <|endoftext|>"), (-4, "a\x1cb " * 3000), (-5, "é,, Ä!! x&&& ÷ ×")], "doc_id long, text string")
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "don't IT'S x'll ,. 12.5 É́COLE 日本 ß İ <|endoftext|>"), (-6, "a<|endoftext|>B <|STARTOFTEXT|> <|startoftext|><|endoftext|> <|endoftext"), (-4, "a\x1cb " * 3000), (-5, "é,, Ä!! x&&& ÷ ×")], "doc_id long, text string")
     docs = docs.unionByName(odd)
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     ids = {r["doc_id"]: np.array([*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 2], "<u4") for r in docs.collect()}
     pieces, sequences = collections.defaultdict(list), collections.defaultdict(list)
     for r in packing.pack_documents(docs, PATH).collect():
