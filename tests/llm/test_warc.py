@@ -21,6 +21,26 @@ def test_round_trip(spark):
     assert warc.read_bundles(warc.write_bundles(warc.plan_records(pages.limit(0)))).count() == 0
 
 
+def test_records_by_identifier_and_as_files(spark, tmp_path):
+    import zstandard
+    from pyspark.sql import functions as F
+
+    pages = spark.createDataFrame([(1 + i % 2, "http://a", f"text {i // 4} " * 40) for i in range(40)], "page_id long, url string, html string")
+    bundles = written(warc.write_bundles(warc.plan_records(pages).repartition(4)), "b")
+    index = bundles.select("bundle", F.explode("records").alias("r")).select("bundle", "r.*").collect()
+    assert len(index) == len({r["record_id"] for r in index}) == 40 and len({r["bundle"] for r in index}) == 4
+    for r in index[:3]:
+        fields, payload = warc.read_record(bundles, r["record_id"])
+        assert fields["WARC-Record-ID"] == f"<{r['record_id']}>" and fields["X-Page-ID"] == str(r["page_id"]) and int(fields["Content-Length"]) == len(payload)
+    assert warc.read_record(bundles, index[0]["record_id"] + "9") is None and warc.read_record(bundles, "urn:bundle:none:0") is None
+    for _ in range(2):
+        warc.export_archives(bundles, tmp_path.as_uri())
+    files = sorted(tmp_path.iterdir())
+    assert [f.name for f in files] == sorted({r["bundle"] for r in index})
+    raw = b"".join(zstandard.ZstdDecompressor().stream_reader(f.read_bytes(), read_across_frames=True).read() for f in files)
+    assert raw.count(b"WARC/1.1\r\n") == 40
+
+
 def test_frames_stand_alone():
     import zstandard
 
