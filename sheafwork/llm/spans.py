@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from .common import written
 
@@ -81,12 +82,19 @@ def span_rows(keyed: DataFrame) -> DataFrame:
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
-    """(id, v, cuts): the spans of each document that occur before, as (first, last) sentences."""
-    often = rows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    """(id, v, cuts): the spans of each document that occur before, as (first, last) sentences.
+
+    Only the number and the smallest id of each span are aggregated, in parts before they move. The rows of repeated spans
+    are joined to that written table, so that a span with very many rows can be split; those of a larger id need no more,
+    and those of the smallest id are few.
+    """
+    rows = rows.withColumn("at", F.coalesce("id", F.lit(-(1 << 63))))
+    often = written(rows.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("at").alias("least")).where("n > 1").drop("n"), "span-counts")
     again = written(rows.join(often, ["h1", "h2"]), "repeated-spans")
-    place = F.struct("id", "v", "first")
-    origin = again.groupBy("h1", "h2").agg(F.min(place).alias("origin"))
-    later = again.join(origin, ["h1", "h2"]).where(place != F.col("origin"))
+    place = F.struct("v", "first")
+    ties = again.where("at = least")
+    origin = written(ties.groupBy("h1", "h2").agg(F.min(place).alias("origin")), "span-origins")
+    later = again.where("at > least").select("id", "v", "first", "last").unionByName(ties.join(origin, ["h1", "h2"]).where(place != F.col("origin")).select("id", "v", "first", "last"))
     return later.groupBy("id", "v").agg(F.collect_set(F.struct("first", "last")).alias("cuts"))
 
 
@@ -94,10 +102,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` with repeated spans taken out of the texts; ``counts`` adds n_sentences and n_removed."""
     cuts = repeated_spans(written(span_rows(_keyed(docs, id_col, text_col)), "spans"))
     names = docs.columns
-    rows = docs.select(F.struct(*names).alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("v"))
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    own = F.col(f"c{names.index(text_col)}")
+    rows = plain.select(F.struct(*plain.columns).alias("row"), F.col(f"c{names.index(id_col)}").cast("long").alias("id"), F.xxhash64(own).alias("v"), own.alias("text"))
     found = cuts.withColumnsRenamed({"id": "cut_id", "v": "cut_v"})
-    joined = rows.join(found, F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("v") == F.col("cut_v")), "left").select("row", "cuts", F.col(f"row.`{text_col}`").alias("text"))
-    added = [] if not counts else [("n_sentences", "int"), ("n_removed", "int")]
+    joined = rows.join(found, F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("v") == F.col("cut_v")), "left").select("row", "cuts", "text")
+    added = [] if not counts else ["n_sentences", "n_removed"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,8 +124,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 sizes.append(len(sentences))
                 removed.append(len(gone))
             more = [pa.array(sizes, pa.int32()), pa.array(removed, pa.int32())] if counts else []
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), *more], names=["row", "text", *[a for a, _ in added]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), *more], names=["row", "text", *added])
 
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, text string" + "".join(f", {a} {b}" for a, b in added)
+    schema = StructType([rows.schema["row"], StructField("text", StringType()), *[StructField(a, IntegerType()) for a in added]])
     out = joined.mapInArrow(run, schema)
-    return out.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in names], *[a for a, _ in added])
+    return out.select(*[(F.col("text") if c == text_col else F.col(f"row.c{i}")).alias(c) for i, c in enumerate(names)], *added)

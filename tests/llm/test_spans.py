@@ -5,17 +5,45 @@ from sheafwork.llm import spans as S
 PASSAGE = " ".join(f"passage word {i} goes on here and there again." for i in range(9))
 
 
+def plain_sentences(text):
+    """A sentence is characters that are no stops, then stops and line ends, then white space; letter by letter."""
+    out, now, state = [], "", "text"
+    for c in text:
+        kind = "stop" if c in ".!?\n" else "blank" if c.isspace() else "other"
+        ends = state == "stop" and kind == "other" or state == "gap" and kind != "blank"
+        if state == "gap" and c == "\n":  # white space behind a stop, a line end among it
+            ends = False
+        if ends:
+            out.append(now)
+            now, state = "", "text"
+        now += c
+        if kind == "stop" and state != "gap":
+            state = "stop"
+        elif kind == "blank" and state == "stop":
+            state = "gap"
+    return out + [now] if now else out
+
+
+def plain_spans(sentences):
+    """All (first, last) that are enough and would not be without their first or their last sentence."""
+    size = [len(s.split()) for s in sentences]
+    enough = lambda a, b: sum(size[a : b + 1]) >= S.MANY_WORDS or sum(size[a : b + 1]) >= S.WORDS and b - a + 1 >= S.SENTENCES
+    n = range(len(size))
+    return [(a, b) for a in n for b in n[a:] if enough(a, b) and (not enough(a, b - 1) or not enough(a + 1, b))]
+
+
 def plain(rows):
     key = lambda r: (r[0] is not None, r[0] or 0)
     distinct = sorted({(r[0], r[1]) for r in rows if r[1]}, key=key)
     assert len({k for k, _ in distinct}) == len(distinct)  # one text an id, so that hashes of texts don't order anything
     seen, out = set(), {}
     for r in distinct:
-        gone = set()
-        for a, b, h in S.spans(r[1]):
+        sentences, gone = plain_sentences(r[1]), set()
+        for a, b in plain_spans(sentences):
+            h = "\n".join(" ".join(s.lower().split()) for s in sentences[a : b + 1])
             gone |= set(range(a, b + 1)) if h in seen else set()
             seen.add(h)
-        out[r] = "".join(s for i, s in enumerate(S.SENTENCE.findall(r[1])) if i not in gone)
+        out[r] = "".join(s for i, s in enumerate(sentences) if i not in gone)
     return {r: out.get(r, r[1]) for r in {(x[0], x[1]) for x in rows}}
 
 
@@ -35,6 +63,17 @@ def test_same_as_brute_force(spark):
 def test_sentences_make_the_text_again():
     for text in ("a. b! c?\n\nd", "...", "\n", "", "one", " x .y"):
         assert "".join(S.SENTENCE.findall(text)) == text
+    rng = random.Random(2)
+    for _ in range(500):
+        text = "".join(rng.choice("ab.!?\n  \t") for _ in range(rng.randrange(30)))
+        assert S.SENTENCE.findall(text) == plain_sentences(text), repr(text)
+
+
+def test_names_of_other_columns(spark):
+    docs = spark.createDataFrame([(1, PASSAGE, 1, (2, "x")), (2, PASSAGE, None, None)], "`doc id` long, `a text` string, `my col` int, s struct<`b c`:int,`row`:string>")
+    got = S.remove_repeats(docs, id_col="doc id", text_col="a text", counts=True)
+    assert got.columns == [*docs.columns, "n_sentences", "n_removed"]
+    assert {r["doc id"]: (r["a text"], r["my col"], r["n_removed"]) for r in got.collect()} == {1: (PASSAGE, 1, 0), 2: ("", None, 9)}
 
 
 def sized(sizes, word):
