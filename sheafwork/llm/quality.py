@@ -19,6 +19,8 @@ from .common import written
 
 REACH = 3
 SUPPORT = 50
+#: Groups of language and source up to which their fences (under 200 bytes each) are sent to all tasks; beyond, Spark joins them as any table.
+GROUPS = 50_000
 #: Least spread of each measure: hundredths of a character, then thousandths.
 SPREAD = {"mean_length": 50, "symbols": 30, "dup_lines": 100, "repeats": 100}
 #: Up to so many different repeated windows, a text is searched for each; beyond, its windows are sorted with places.
@@ -110,18 +112,20 @@ def judge(docs: DataFrame) -> DataFrame:
     sketches = written(sketch(rows.where(~F.col("base_failed"))), "sketches")
     own = fences(merge(sketches, "own_key", "lang_key"), "own_key")
     by_lang = fences(merge(sketches, "lang_key"), "lang_key")
-    of_all = fences(merge(sketches.withColumn("all_key", F.lit("all")), "all_key"), "all_key")
+    whole = F.substring("own_key", 1, 0)  # equal in all groups, but no constant: the one row of all is joined by a key like the others
+    of_all = fences(merge(sketches.withColumn("all_key", whole), "all_key"), "all_key")
     names = [c for c in own.columns if c not in ("own_key", "total")]
     pack = lambda d, key, name: d.select(key, F.when(F.col("total") >= SUPPORT, F.struct(*names)).alias(name))
     groups = sketches.select("own_key", "lang_key").distinct()
     chosen = (
         groups.join(pack(own, "own_key", "f0"), "own_key", "left")
         .join(pack(by_lang, "lang_key", "f1"), "lang_key", "left")
-        .withColumn("all_key", F.lit("all"))
+        .withColumn("all_key", whole)
         .join(of_all.select("all_key", F.struct(*names).alias("f2")), "all_key", "left")
         .select("own_key", F.coalesce("f0", "f1", "f2").alias("fence"))
     )
-    judged = rows.join(chosen, "own_key", "left")
+    chosen = written(chosen, "fences")
+    judged = rows.join(F.broadcast(chosen) if chosen.count() <= GROUPS else chosen, "own_key", "left")
     over = [F.col(m) > F.col(f"fence.{m}_upper") for m in SPREAD]
     rejected = over[0] | over[1] | over[2] | over[3] | (F.col("mean_length") < F.col("fence.mean_length_lower"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~F.coalesce(rejected, F.lit(False))).alias("kept"))
