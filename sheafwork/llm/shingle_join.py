@@ -3,7 +3,7 @@
 Two sets of sizes a <= b link only if b's overlap with a reaches T. So a link's sets share one of their first few
 shingles in any common order: that gives candidate groups without comparing texts. Within a group each set is searched
 among the smaller ones over inverted lists: the T - 1 longest lists are set aside, a heap merges the short ones into
-candidates, and candidates are probed in the long lists by binary search until they reach T or can't any more. Sets that
+candidates (lists of thousands of postings are merged in blocks), and candidates are probed in the long lists by binary search. Sets that
 already belong together aren't compared again, so a group of copies costs a spanning tree, not its pairs.
 
 Shingles are ordered by how common they are, then by hash: rare words make rare shingles, and shingles that partitions
@@ -249,6 +249,7 @@ def divide_skip(sets: list[np.ndarray], names: list[int], percent: int) -> list[
     number = np.empty(len(by), np.int32)
     number[by] = np.cumsum(fresh, dtype=np.int32) - 1  # of each set's shingles, the list they are in
     starts = np.concatenate((np.nonzero(fresh)[0], [len(by)]))
+    place = number[by] * np.int64(len(sets)) + posting  # ascends over all lists: one binary search finds a set in any of them
     del by, fresh
     lengths = np.diff(starts)
     own = np.concatenate(([0], np.cumsum(sizes)))
@@ -274,16 +275,15 @@ def divide_skip(sets: list[np.ndarray], names: list[int], percent: int) -> list[
         rest = sorted(((j, n) for j, n in found.items() if same.root(j) != here), key=lambda x: -x[1])
         if not rest:
             continue
-        probes = np.sort(long)
+        probes = long * np.int64(len(sets))
         for j, n in rest:
             if same.root(j) == here:
                 continue
             need = -(-percent * (int(sizes[q]) + int(sizes[j])) // (100 + percent))
             if n + len(probes) < need:
                 continue
-            its = number[own[j] : own[j + 1]]  # ascends, as shingles do
-            at = np.searchsorted(its, probes)
-            n += int((its[np.minimum(at, len(its) - 1)] == probes).sum())
+            at = np.searchsorted(place, probes + j)
+            n += int((place[np.minimum(at, len(place) - 1)] == probes + j).sum())
             if n >= need:
                 links.append((names[q], names[j]))
                 same.up[here] = root = same.root(j)
