@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import code_search, quality, token_counts
+from . import code_search, quality
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,29 +109,32 @@ def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_search.nearest(codes, codes.where("id % 50 = 0")).withColumnRenamed("id", "vec_id")
 
 
-@query("op8_token_rollup", token_counts.SQL)
+@query("op8_token_rollup")
 def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents come in under one tokenizer version, are revised to another, and repeated texts are deleted; each batch is sent twice."""
-    import uuid
-
+    """All documents come in under one tokenizer, are revised to another, and repeated texts are deleted; each batch is sent again, before and after the store is compacted."""
+    import public_tokenizers
     from pyspark.sql import functions as F
 
-    from .common import shared_dir, written
-    from .token_counts import Rollup, count_pieces, count_words
+    from ..storage import scratch
+    from .common import written
+    from .token_counts import Rollup, count_tokens
 
-    docs = table(spark, sf_dir, "documents")
-    counted = written(docs.select("doc_id", "source", "lang", F.xxhash64("text").alias("h1"), F.coalesce(F.md5("text"), F.lit("none")).alias("h2"), count_words(F.col("text")).alias("words"), count_pieces(F.col("text")).alias("pieces")), "token-counts")
+    versions = {v: public_tokenizers.path(f"{v}.tiktoken") for v in ("byte_bpe_50k", "byte_bpe_multi_50k")}
+    old, new = versions
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text").withColumns({"h1": F.xxhash64("text"), "h2": F.coalesce(F.md5("text"), F.lit("none")), "at": F.coalesce("doc_id", F.lit(-(1 << 63)))})
+    counted = written(count_tokens(docs, versions, public_tokenizers.PATTERN, keep=["source", "lang", "h1", "h2", "at"]), "token-counts")
     none = F.lit(None)
-    change = lambda rows, kind, version, n, old_version=none.cast("string"), old=none.cast("long"): rows.select(F.lit(kind).alias("kind"), "source", "lang", F.lit(version).alias("tokenizer_version"), F.col(n).alias("n_tokens"), old_version.alias("old_version"), old.alias("old_tokens"))
-    first = counted.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "source", "lang")).alias("s"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", F.col("s.doc_id").alias("first_id"))
-    copies = counted.join(first, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("first_id")))
-    rollup = Rollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
+    change = lambda rows, kind, version, old_version=none.cast("string"), n=none.cast("long"): rows.select(F.lit(kind).alias("kind"), "source", "lang", F.lit(version).alias("tokenizer_version"), F.col(version).alias("n_tokens"), old_version.alias("old_version"), n.alias("old_tokens"))
+    first = written(counted.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "first-copies")
+    copies = counted.join(first, ["h1", "h2"]).where("at <> first")
+    rollup = Rollup(spark, scratch(spark, "rollup"))
     batches = {
-        "0001": change(counted, "insert", "words", "words"),
-        "0002": change(counted, "revise", "pieces", "pieces", F.lit("words"), F.col("words")),
-        "0003": change(copies, "delete", "pieces", "pieces"),
+        "0001": change(counted, "insert", old),
+        "0002": change(counted, "revise", new, F.lit(old), F.col(old)),
+        "0003": change(copies, "delete", new),
     }
     for _ in range(2):
         for batch_id, changes in batches.items():
             rollup.commit(batch_id, changes)
+        rollup.compact()
     return rollup.totals()

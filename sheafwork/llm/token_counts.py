@@ -1,20 +1,29 @@
 """Token totals by source, language and tokenizer version, kept by signed deltas.
 
 Changes come in batches: an insert adds a document and its tokens, a delete takes them back, a revision takes back the
-old count under the old version and adds the new one. A batch's signed sums are its delta; totals are the sum of all
-deltas. The store is one folder of Parquet in shared storage, with a part for each batch named by its id: a batch is
-committed by Spark's own commit of that part, committing it again replaces the part by the same rows, and a batch that
-failed half-way leaves nothing that is read. ``compact`` folds parts into one.
+old count under the old version and adds the new one. A batch's signed sums are its delta: a part of the store named by
+the batch, committed by Spark. A batch that is there already is not applied again, so sending it twice, or after a
+failure, makes no difference; one that failed half-way leaves nothing that is read. ``compact`` folds all parts into base
+totals of a new generation, which lists the batches that it holds: parts of those are no longer read, and a batch sent
+again after it is known as well. Totals are the base plus the deltas since.
 
 Defined cases: null sources, languages and versions are groups of their own; a null count counts as 0; an empty batch
 commits an empty delta; changes repeated within a batch count as often as they stand there; a group whose documents and
-tokens have both come down to 0 is left out; a kind that is none of the three is an error; extra columns are ignored.
+tokens have both come down to 0 is left out; a kind that is none of the three is an error, and its batch is not
+committed; without any batch there are no totals; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from .common import carry
 
 KEYS = ["source", "lang", "tokenizer_version"]
 DELTA = "source string, lang string, tokenizer_version string, n_docs bigint, n_tokens bigint"
@@ -35,44 +44,99 @@ def signed(changes: DataFrame) -> DataFrame:
 
 
 def delta(changes: DataFrame) -> DataFrame:
-    return signed(changes).groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+    return _sums(signed(changes))
+
+
+def _sums(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
 
 
 class Rollup:
-    """The store at ``path``, which must be one that all executors share."""
+    """The store at ``path``, which must be one that all executors share. One writer at a time."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def commit(self, batch_id: str, changes: DataFrame) -> None:
-        """Applies a batch; again or not makes no difference."""
-        delta(changes).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+    def _is_there(self, part: str) -> bool:
+        """Whether Spark has committed this part."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}/_SUCCESS")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{name}").parquet(f"{self.path}/{name}")
+
+    def generation(self) -> int:
+        """Of the newest base; 0 without one. A base counts from when its list of batches is committed, after its totals."""
+        n = 0
+        while self._is_there(f"held/generation={n + 1}"):
+            n += 1
+        return n
+
+    def _held(self, generation: int) -> DataFrame:
+        """(batch): the batches whose changes the base holds."""
+        if not generation:
+            return self.spark.createDataFrame([], "batch string")
+        return self._read("held", "batch string, generation int").where(F.col("generation") == generation).select("batch")
+
+    def _parts(self, generation: int) -> DataFrame | None:
+        """Deltas that the base doesn't hold."""
+        base = f"{self.path}/deltas"
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(base)
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return None
+        rows = self._read("deltas", f"{DELTA}, batch string")
+        return rows.join(self._held(generation), "batch", "left_anti") if generation else rows
+
+    def commit(self, batch_id: str, changes: DataFrame) -> bool:
+        """Applies a batch, unless it is there already; returns whether it was applied."""
+        if self._is_there(f"deltas/batch={batch_id}") or not self._held(self.generation()).where(F.col("batch") == batch_id).isEmpty():
+            return False
+        delta(changes).write.mode("overwrite").parquet(f"{self.path}/deltas/batch={batch_id}")
+        return True
 
     def totals(self) -> DataFrame:
-        parts = self.spark.read.schema(f"{DELTA}, batch string").option("basePath", self.path).parquet(self.path)
-        sums = parts.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        return sums.where("n_docs <> 0 OR n_tokens <> 0")
-
-    def compact(self, into: str) -> Rollup:
-        """All parts as one, in a new store."""
-        self.totals().write.mode("overwrite").parquet(f"{into.rstrip('/')}/batch=base")
-        return Rollup(self.spark, into)
-
-
-def count_words(text: Column) -> Column:
-    """Version "words": runs of characters that are not ASCII white space."""
-    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long")
-
-
-def count_pieces(text: Column) -> Column:
-    """Version "pieces": runs of ASCII letters or digits, and every other ASCII sign by itself."""
-    return F.size(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[A-Za-z]+|[0-9]+|[!-/:-@\[-`{-~]"), F.lit(0))).cast("long")
-
-
-SQL = r"""
-WITH d AS (SELECT source, lang, text, doc_id,
-                  len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
-                  len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[0-9]+|[!-/:-@\[-`{-~]')) AS pieces FROM documents),
-k AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id NULLS FIRST) = 1 AS stays FROM d)
-SELECT source, lang, 'pieces' AS tokenizer_version, count(*)::BIGINT AS n_docs, sum(pieces)::BIGINT AS n_tokens FROM k WHERE stays GROUP BY source, lang
-"""
+        generation = self.generation()
+        parts = self._parts(generation)
+        rows = [] if parts is None else [parts.drop("batch")]
+        if generation:
+            rows.append(self._read("totals", f"{DELTA}, generation int").where(F.col("generation") == generation).drop("generation"))
+        if not rows:
+            return self.spark.createDataFrame([], DELTA)
+        return _sums(rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])).where("n_docs <> 0 OR n_tokens <> 0")
+
+    def compact(self) -> None:
+        """Folds the deltas into a base of the next generation. Their parts stay, unread; a failure before the end changes nothing."""
+        generation = self.generation()
+        parts = self._parts(generation)
+        if parts is None:
+            return
+        new = parts.select("batch").distinct()
+        if generation:
+            new = new.unionByName(self._held(generation))
+        self.totals().write.mode("overwrite").parquet(f"{self.path}/totals/generation={generation + 1}")
+        new.write.mode("overwrite").parquet(f"{self.path}/held/generation={generation + 1}")
+
+
+@lru_cache(maxsize=8)
+def _tokenizer(path: str, pattern: str):
+    """Encodes by a rank file; one in each Python worker."""
+    import tiktoken
+
+    from .bpe import read_ranks
+
+    return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
+
+
+def count_tokens(docs: DataFrame, tokenizers: dict[str, str], pattern: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``keep`` and, for each version, the number of a text's tokens by that rank file; a null text has none."""
+    carried, kept, at = carry(docs, keep or [], text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            counts = [pa.array([len(_tokenizer(path, pattern).encode_ordinary(t or "")) for t in texts], pa.int64()) for path in tokenizers.values()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *counts], names=[*kept.names, *tokenizers])
+
+    return carried.mapInArrow(run, StructType([*kept.fields, *[StructField(v, LongType()) for v in tokenizers]]))

@@ -49,15 +49,46 @@ def test_batches_are_idempotent(spark):
     first = spark.createDataFrame([("insert", "a", "en", "v1", 5, None, None, "x"), ("insert", "a", None, "v1", 7, None, None, "x"), ("insert", "a", "en", "v1", None, None, None, "x")], kind)
     second = spark.createDataFrame([("revise", "a", "en", "v2", 9, "v1", 5, "x"), ("delete", "a", None, "v1", 7, None, None, "x")], kind)
     store = token_counts.Rollup(spark, scratch(spark, "rollup"))
+    assert store.totals().count() == 0
+    store.compact()
     for _ in range(3):
         store.commit("1", first)
         store.commit("2", second)
         store.commit("3", first.limit(0))
     want = {("a", "en", "v2", 1, 9), ("a", "en", "v1", 1, 0)}
     assert {tuple(r) for r in store.totals().collect()} == want
-    assert {tuple(r) for r in store.compact(scratch(spark, "rollup")).totals().collect()} == want
+    for _ in range(2):
+        store.compact()
+        assert store.commit("1", first) is False
+        assert {tuple(r) for r in store.totals().collect()} == want
+    assert store.commit("5", first) and not store.commit("5", first)
+    want = {("a", "en", "v2", 1, 9), ("a", "en", "v1", 3, 5), ("a", None, "v1", 1, 7)}
+    assert {tuple(r) for r in store.totals().collect()} == want
+    store.compact()
+    assert not store.commit("5", first) and {tuple(r) for r in token_counts.Rollup(spark, store.path).totals().collect()} == want
     with pytest.raises(Exception, match="no such change"):
         store.commit("4", spark.createDataFrame([("other", "a", "en", "v1", 1, None, None, "x")], kind))
+    assert {tuple(r) for r in store.totals().collect()} == want and store.commit("4", first.limit(1))
+
+
+def test_totals_of_documents(spark, sf_dir):
+    import collections
+
+    import public_tokenizers as P
+    import tiktoken
+
+    from sheafwork.llm.bpe import read_ranks
+
+    encode = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=read_ranks(P.path("byte_bpe_multi_50k.tiktoken")), special_tokens={}).encode_ordinary
+    want, seen = collections.defaultdict(lambda: [0, 0]), set()
+    for r in sorted(spark.read.parquet(f"{sf_dir}/documents.parquet").collect(), key=lambda r: r["doc_id"]):
+        if r["text"] not in seen:
+            seen.add(r["text"])
+            total = want[r["source"], r["lang"], "byte_bpe_multi_50k"]
+            total[0] += 1
+            total[1] += len(encode(r["text"] or ""))
+    got = {tuple(r)[:3]: list(r)[3:] for r in queries.QUERIES["op8_token_rollup"](spark, sf_dir).collect()}
+    assert got == want
 
 
 def test_nearest_codes(spark):
