@@ -7,7 +7,7 @@ plain one; words of one or two characters have no such subsequence and are simil
 compared to a landmark word by the sum over its words of the kernel's power, where similarities under ``LEAST`` are 0 by
 the kernel's definition; projecting on the landmarks' kernel matrix (Nyström) gives the features of a linear machine. It
 is trained on sentences: of a toxic document the run of sentences that the machine itself finds worst counts as toxic; of
-other documents that run and all single sentences count as clean. A document scores as its worst run of different
+other documents that run and the worst single sentence count as clean. A document scores as its worst run of different
 sentences does, where each word costs a little (``COST``), and at least as a document without words.
 
 Landmarks are words that, by themselves or by how they begin, stand in toxic documents far more often than chance among
@@ -43,7 +43,7 @@ from .common import carry, release_memory, written
 #: Labelled documents of the toxic and of the clean class in the fit, about.
 SAMPLE = (1200, 3600)
 #: Sentences of a sampled document that the fit uses at most.
-ROWS = 64
+ROWS = 16
 #: Landmarks of toxic and of clean words at most; words for each beginning that marks toxic documents.
 LANDMARKS, FOR_EACH = (128, 32), 12
 #: What a word takes from a run's decision, so that runs end where insults become rare.
@@ -289,26 +289,23 @@ def fit(marks: Landmarks, n_toxic: int, owner: np.ndarray, x: np.ndarray, words:
     project = vectors[:, kept] / np.sqrt(values[kept])
     starts = np.searchsorted(owner, np.arange(len(labels)))
     ends = np.append(starts[1:], len(x))
-    total = np.concatenate((np.zeros((1, x.shape[1])), np.cumsum(x, 0, dtype=float)))
     upto, upto_before = (np.concatenate(([0], np.cumsum(v))) for v in (words, before))
-    clean_rows = np.nonzero((labels[owner] == 0) & x.any(1))[0]
+    clean_docs = np.nonzero(labels == 0)[0]
     weights = (np.arange(len(marks.words)) < n_toxic).astype(float)
 
-    def runs() -> np.ndarray:
-        """First and last row of each document's worst run."""
-        value = x @ weights
-        found = [worst_run(value[a:b].tolist(), words[a:b].tolist(), before[a:b].tolist())[1:] for a, b in zip(starts, ends)]
-        return np.array(found, np.int64).reshape(-1, 2) + starts[:, None]
-
     def row(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Features of runs of rows, and what their words cost."""
         inner = np.where(b > a, upto_before[b] - upto_before[np.minimum(a + 1, len(before))], 0)
-        return np.hstack([(total[b] - total[a]) @ project, np.ones((len(a), 1))]), -COST * (upto[b] - upto[a] + inner)
+        sums = np.array([x[i:j].sum(0, dtype=float) for i, j in zip(a, b)])
+        return np.hstack([sums @ project, np.ones((len(a), 1))]), -COST * (upto[b] - upto[a] + inner)
 
     for _ in range(5):
-        at = runs()
-        z, offset = row(np.append(at[:, 0], clean_rows), np.append(at[:, 1], clean_rows + 1))
-        y = np.append(np.where(labels == 1, 1.0, -1.0), -np.ones(len(clean_rows)))
-        share = np.concatenate((np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.4 / (labels == 0).sum()), np.full(len(clean_rows), 0.1 / max(1, len(clean_rows)))))
+        value = x @ weights
+        at = np.array([worst_run(value[a:b].tolist(), words[a:b].tolist(), before[a:b].tolist())[1:] for a, b in zip(starts, ends)]) + starts[:, None]
+        single = np.array([starts[i] + value[starts[i] : ends[i]].argmax() for i in clean_docs])
+        z, offset = row(np.append(at[:, 0], single), np.append(at[:, 1], single + 1))
+        y = np.append(np.where(labels == 1, 1.0, -1.0), -np.ones(len(single)))
+        share = np.append(np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.3 / len(clean_docs)), np.full(len(single), 0.2 / len(clean_docs)))
         weights = project @ _squared_hinge(z, y, share * len(y), offset)[:-1]
     value = x @ weights
     decision = np.array([worst_run(value[a:b].tolist(), words[a:b].tolist(), before[a:b].tolist())[0] for a, b in zip(starts, ends)])
@@ -410,16 +407,17 @@ def _sentence_rows(sample: DataFrame, marks: Landmarks) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, list, list] = [], [], []
-            for text in batch.column(2):
-                chunks = cut(text.as_py())
-                by_sentence = list(map(words_of, chunks))
-                words = list({w for s in by_sentence for w in s})
-                parts = [(p, w) for w in words for p in pieces(w)]
+            documents = [cut(text.as_py()) for text in batch.column(2)]
+            words = list({w for chunks in documents for s in chunks for w in words_of(s)})
+            row_of: dict[str, np.ndarray] = {}
+            for first in range(0, len(words), 20_000):
+                parts = [(p, w) for w in words[first : first + 20_000] for p in pieces(w)]
                 at, values = marks.similar([p for p, _ in parts])
-                row_of: dict[str, np.ndarray] = {}
                 for i, v in zip(at, values**POWER):
                     row_of[parts[i][1]] = row_of.get(parts[i][1], 0) + v
-                rows = [(i, np.sum([row_of[w] for w in s if w in row_of], 0)) for i, s in enumerate(by_sentence) if not row_of.keys().isdisjoint(s)]
+            for chunks in documents:
+                found = [(i, [row_of[w] for w in words_of(s) if w in row_of]) for i, s in enumerate(chunks)]
+                rows = [(i, np.sum(some, 0)) for i, some in found if some]
                 rows = sorted(sorted(rows, key=lambda r: -float(r[1].sum()))[: ROWS - 1], key=lambda r: r[0])
                 upto = [0, *accumulate(map(len, chunks))]
                 places = [i for i, _ in rows]
@@ -445,12 +443,14 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, allowed: Column, id_col:
     if not words:
         return Machine()
     marks = Landmarks(words)
-    held = _sentence_rows(rows, marks).orderBy("h", "y").collect()
+    held = sorted(_sentence_rows(rows, marks).collect(), key=lambda r: (r["h"], r["y"]))
     vectors = [np.frombuffer(r["rows"], np.float32).reshape(-1, len(words)) for r in held]
     owner = np.repeat(np.arange(len(held)), [len(v) for v in vectors])
     sizes, gaps = (np.array([n for r in held for n in r[c]], np.int64) for c in ("words", "before"))
-    machine = fit(marks, n_toxic, owner, np.concatenate(vectors), sizes, gaps, np.array([r["y"] for r in held]))
-    del held, vectors, owner
+    labelled, x = np.array([r["y"] for r in held]), np.concatenate(vectors)
+    del held, vectors
+    machine = fit(marks, n_toxic, owner, x, sizes, gaps, labelled)
+    del x, owner, sizes, gaps
     release_memory()
     return machine
 
