@@ -1,3 +1,6 @@
+import collections
+import random
+import re
 import zlib
 
 from pyspark.sql import functions as F
@@ -28,9 +31,36 @@ def test_edge_cases(spark):
     assert langid.learn_profiles(docs.limit(0), ~held_out("doc_id")) == {}
 
 
-def test_out_of_place_distance():
-    ranker = langid.Ranker({"a": [1, 2, 3], "b": [3, 2, 9]}, size=3)
-    own = [3, 2, 1]
-    apart = {"a": 2 + 0 + 2, "b": 0 + 0 + 3}
-    places = {k: {g: i for i, g in enumerate(p)} for k, p in {"a": [1, 2, 3], "b": [3, 2, 9]}.items()}
-    assert {k: sum(abs(i - p[g]) if g in p else 3 for i, g in enumerate(own)) for k, p in places.items()} == apart and ranker.langs == ["a", "b"]
+def plain_profile(text, size):
+    """N-grams of one to three letters, words between blanks; by falling count, equal counts by the last letter that differs."""
+    line = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+    line = re.sub(" +", " ", line)
+    counts = collections.Counter([c for c in line if c != " "] + [line[i : i + 2] for i in range(len(line) - 1)] + [line[i : i + 3] for i in range(len(line) - 2) if line[i + 1] != " "])
+    return sorted(counts, key=lambda g: (-counts[g], [ord(c) for c in (g + "\0\0")[:3][::-1]]))[:size]
+
+
+def plain_predict(profiles, text, size):
+    own = plain_profile(text, size)
+    if not any(c.isalpha() for c in text):
+        return "und", 0.0
+    apart = {lang: sum(abs(i - p.index(g)) if g in p else size for i, g in enumerate(own)) for lang, p in profiles.items()}
+    first = min(sorted(apart), key=apart.get)
+    others = [v for k, v in apart.items() if k != first]
+    near, other = apart[first], min(others) if others else size * len(own)
+    return first, other / (near + other) if near + other else 0.5
+
+
+def test_predictions_are_those_of_the_plain_distance():
+    rng = random.Random(8)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randrange(1, 9)))
+    text = lambda letters, n: " ".join(word(letters) + rng.choice(["", "", ",", ". 1"]) for _ in range(n))
+    kinds = {"a": "abcdeéß", "b": "defghiü", "c": "xyzabc"}
+    for size in (5, 40, 300):
+        sources = {k: text(v, 300) for k, v in kinds.items()}
+        codes = {k: langid.top(*langid.grams(v), size).tolist() for k, v in sources.items()}
+        profiles = {k: plain_profile(v, size) for k, v in sources.items()}
+        ranker = langid.Ranker(codes, size)
+        for t in [text(rng.choice(list(kinds.values())), rng.randrange(1, 60)) for _ in range(60)] + ["", "12 ?", "q", sources["a"]]:
+            lang, score = ranker.predict(t)
+            want = plain_predict(profiles, t, size)
+            assert lang == want[0] and abs(score - want[1]) < 1e-12
