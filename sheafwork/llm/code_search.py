@@ -4,11 +4,12 @@ A code's segments are indexed each by its value. A query looks up, for one segme
 radius that grows; every code in a bucket that it hits is verified by its whole Hamming distance. After the segments up
 to j at radius a, all codes within m * a + j are known, so a query ends when its k-th distance is at most that. Equal
 codes are one entry of the index with their k + 1 smallest ids, and buckets are cut into blocks, so neither copies nor
-full buckets gather in a row. Segments of about log2(rows) bits keep buckets small.
+full buckets gather in a row. Segments have 16 bits, so a bucket holds a 65,536th of the codes on average; larger ones would
+need too many probes for each radius.
 
 Defined cases: rows without an id or a vector are neither found nor queries; a vector of another length than the codes'
 is an error; ids repeated with equal codes count once; equal distances go to the smaller id; a query doesn't find its own
-id; with fewer than k other rows all are returned; extra columns are ignored.
+id; with fewer than k other rows all are returned, found without probing; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -54,6 +55,12 @@ def build_index(codes: DataFrame, k: int, bits: int = BITS, size: int = SEGMENT)
 def nearest(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int = BITS, size: int = SEGMENT) -> DataFrame:
     """(query_id, rank, id, distance) of each query's k nearest codes. ``queries``: (id, code)."""
     m = bits // size
+    few = codes.select("id", "code").distinct().limit(k + 1).collect()
+    if len(few) <= k:  # every row is a neighbour
+        others = F.array(*[F.struct(F.lit(r["id"]).alias("id"), F.lit(r["code"]).alias("code")) for r in few]).cast("array<struct<id:bigint,code:bigint>>")
+        pairs = queries.select(F.col("id").alias("query_id"), F.col("code").alias("qcode"), F.explode(others).alias("e")).where("e.id <> query_id")
+        found = pairs.groupBy("query_id", F.col("e.id").alias("id")).agg(F.min(F.bit_count(F.col("e.code").bitwiseXOR(F.col("qcode")))).alias("distance"))
+        return found.select("query_id", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id")).alias("rank"), "id", "distance")
     index = written(build_index(codes, k, bits, size), "code-index")
     active = written(queries.select(F.col("id").alias("q"), F.col("code").alias("qcode"), F.lit(bits + 1).alias("bound")), "code-queries")
     best = None
