@@ -43,7 +43,8 @@ def complete_parents(rows: DataFrame, group: str, name: str, ordinal: str, flag:
     epithet = T.own_epithet(name)
     parent = T.one_blank(T.strip_authorship(T.parent_name(name)))
     child = epithet.isNotNull() & ~T.is_placeholder(epithet) & (parent != "")
-    known = rows.withColumns({"parent": F.when(child, parent), "added": F.lit(False)})
+    once = F.explode(F.array(F.when(child, parent))).alias("parent")  # a row of one, so that the fold isn't evaluated again wherever it is used
+    known = rows.select("*", once).withColumn("added", F.lit(False))
     fit = known.where(F.col("parent").contains(" ") & T.is_binomial("parent")).withColumn("__k", T.comparison_name("parent"))
     first = lambda c: F.min_by(c, ordinal).alias(c)
     made = fit.groupBy(group, "__k").agg(F.min_by("parent", ordinal).alias(name), F.min(ordinal).alias(ordinal), F.bool_or(F.coalesce(flag, F.lit(False))).alias(flag), *[first(c) for c in inherited])
