@@ -942,10 +942,10 @@ def quota_window(spark: SparkSession, d: str) -> DataFrame:
 @query("stream_ingest", "SELECT event_id, user_id FROM events")
 def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     source, target, checkpoint = (scratch(spark, n) for n in ("stream-in", "stream-out", "stream-state"))
-    e = table(spark, d, "events").select("event_id", "user_id", "value")
+    e = table(spark, d, "events").select("event_id", "user_id", "ts")
     e.unionByName(e.where("event_id % 7 = 0")).repartition(4).write.json(source)  # a seventh comes twice
     for _ in range(2):  # the second run finds nothing new
-        ingest.ingest_files(spark, source, "event_id BIGINT, user_id BIGINT, value DOUBLE", target, checkpoint, "event_id")
+        ingest.ingest_files(spark, source, "event_id BIGINT, user_id BIGINT, ts TIMESTAMP", target, checkpoint, "event_id", time="ts", delay="4000 days")
     return spark.read.parquet(target).select("event_id", "user_id")
 
 
@@ -1268,3 +1268,28 @@ def list_ranks(spark: SparkSession, d: str) -> DataFrame:
     given = F.when(k == 0, "gattung").when(k.isin(2, 3), "sorte")
     synonyms = F.array("p_brand", F.when(F.col("p_size") % 4 == 0, F.concat("p_name", F.lit(" agg."))))
     return table(spark, d, "part").select("p_partkey", T.list_rank(name, given).alias("rank"), T.is_aggregate(synonyms).alias("is_aggregate"))
+
+
+@query("review_split", "SELECT c_custkey, CASE WHEN c_acctbal > 0 AND c_mktsegment <> 'BUILDING' THEN 'trusted' ELSE 'review' END AS part FROM customer")
+def review_split(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_acctbal")).alias("b"))
+    ok, rest = sinks.split_review(rows, F.col("b") > 0)
+    return ok.select("c_custkey", F.lit("trusted").alias("part")).unionByName(rest.select("c_custkey", F.lit("review").alias("part")))
+
+
+@query("plan_check", """
+WITH n AS (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY 1) SELECT sum(n) FILTER (k % 3 <> 0)::BIGINT AS planned, sum(n)::BIGINT AS at_root, sum(n) FILTER (k % 3 = 0)::BIGINT AS difference FROM n
+""")
+def plan_check(spark: SparkSession, d: str) -> DataFrame:
+    per = table(spark, d, "customer").groupBy(F.col("c_nationkey").cast("string").alias("node")).agg(F.count("*").alias("n"))
+    counts = per.unionByName(per.agg(F.sum("n").alias("n")).select(F.lit("ROOT").alias("node"), "n"))
+    return tree.plan_check(per.where("CAST(node AS INT) % 3 <> 0"), counts, "ROOT")
+
+
+@query("indicator_variants", """
+SELECT p_partkey, CASE WHEN p_size % 3 <> 0 THEN p_retailprice END AS value, p_size % 3 = 0 AND p_size % 2 = 0 AS indifferent FROM part
+""")
+def indicator_variants(spark: SparkSession, d: str) -> DataFrame:
+    sign = F.when(F.col("p_size") % 2 == 0, F.lit('"x"')).otherwise(F.lit('"none"'))
+    raw = F.parse_json(F.when(F.col("p_size") % 3 == 0, sign).otherwise(F.col("p_retailprice").cast("string")))
+    return table(spark, d, "part").select("p_partkey", indicators.as_indicator(raw).alias("i")).select("p_partkey", "i.*")

@@ -10,19 +10,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def ingest_files(spark: SparkSession, path: str, schema: str, target: str, checkpoint: str, key: str | None = None, files_per_trigger: int = 16, fmt: str = "json") -> None:
-    """Appends what new files hold; finished files are skipped, and a key is written once however often it comes."""
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).format(fmt).load(path)
-    if key:
-        rows = rows.dropDuplicates([key])
-    rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start(target).awaitTermination()
-
-
 def once_within(rows: DataFrame, key: str, time: str, delay: str) -> DataFrame:
     """A key once as long as its repeats are no later than ``delay``; bounded state."""
     return rows.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def ingest_files(spark: SparkSession, path: str, schema: str, target: str, checkpoint: str, key: str | None = None, files_per_trigger: int = 16, fmt: str = "json", time: str | None = None, delay: str = "7 days") -> None:
+    """Appends what new files hold; finished files are skipped, and a key is written once however often it comes.
+
+    With a ``time`` column keys are remembered for ``delay`` only; without one the state keeps every key, so name one where
+    keys have no bound.
+    """
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).format(fmt).load(path)
+    if key:
+        rows = once_within(rows, key, time, delay) if time else rows.dropDuplicates([key])
+    rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start(target).awaitTermination()
+
+
 def retry(spark: SparkSession, queue: str, attempt: Callable[[DataFrame], DataFrame], done: str, rounds: int = 3) -> DataFrame:
     """Attempts what is in the queue (attempt adds ``ok``); successes are appended to ``done``, failures make the next round's queue."""
     rest = spark.read.parquet(queue)

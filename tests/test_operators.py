@@ -1,6 +1,7 @@
 import json
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from sheafwork.operators import merge, resolve, windows
@@ -105,8 +106,6 @@ def test_repeated_keys_add_no_rows(spark):
 
 
 def test_checks(spark):
-    import pytest
-
     from sheafwork.operators import audit, filters
 
     rows = spark.createDataFrame([(1,), (5,)], "k int")
@@ -120,3 +119,38 @@ def test_checks(spark):
     assert [r["k"] for r in filters.open_work(work, "k", done, "d", F.col("n").isNull(), "m", keys).collect()] == [1]
     with pytest.raises(ValueError, match="lists is empty"):
         readers.require_rows(rows.limit(0), "lists")
+
+
+def test_reading_and_observing(spark):
+    from sheafwork.sources import sinks
+
+    path = scratch(spark, "keys")
+    spark.createDataFrame([("12",), (" 7 ",), ("x",), ("",)], "value string").write.text(path)
+    assert sorted(r["key"] for r in readers.read_key_lines(spark, path).collect()) == [7, 12]
+    rows, seen = sinks.observed(spark.range(10), "run", {"n": F.count("*"), "most": F.max("id")})
+    none = scratch(spark, "unwritten")
+    assert sinks.write_json(rows, none, write=False).count() == 10 and seen.get == {"n": 10, "most": 9}
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.text(none).count()
+
+
+def test_keys_are_remembered_for_a_while(spark):
+    source, target, state = (scratch(spark, n) for n in ("in", "out", "state"))
+    day = lambda n: f"2024-01-{n:02d} 00:00:00"
+    for part in ([(1, day(1)), (2, day(1)), (1, day(2))], [(1, day(2)), (3, day(20))], [(2, day(21))]):
+        spark.createDataFrame(part, "k long, t string").coalesce(1).write.mode("append").json(source)
+        ingest.ingest_files(spark, source, "k BIGINT, t TIMESTAMP", target, state, "k", time="t", delay="2 days")
+    assert sorted(r["k"] for r in spark.read.parquet(target).collect()) == [1, 2, 2, 3]  # 2 came back long after
+
+
+def test_hot_keys_fold_in_order(spark):
+    rows = spark.range(3000).select((F.col("id") % 3 == 0).cast("string").alias("u"), "id", (F.lit("2024-01-01").cast("timestamp") + F.make_interval(hours=F.col("id").cast("int"))).alias("t"), F.lit(1).alias("c"))
+    got = ingest.quota_batch(rows.repartition(7), "u", "id", "t", "c", 10).orderBy("key", "request").collect()
+    want, state = [], {}
+    for r in sorted(rows.collect(), key=lambda r: (r["u"], r["id"])):
+        start, used = state.get(r["u"], (None, 0))
+        start, used = (r["t"], 1) if start is None or (r["t"] - start).total_seconds() >= 86400 else (start, used + 1)
+        state[r["u"]] = start, used
+        want.append((r["u"], r["id"], start, used, used > 10))
+    assert [(r["key"], r["request"], r["window_start"], r["used"], r["over"]) for r in got] == want
+    assert ingest.quota_batch(rows.limit(0), "u", "id", "t", "c", 10).count() == 0
