@@ -128,12 +128,15 @@ def open_work(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("key_translation", """
-WITH m AS (SELECT c_custkey AS s, c_custkey + 1000000000 AS t FROM customer WHERE c_custkey % 3 = 0)
-SELECT o_orderkey, coalesce(t, o_custkey) AS resolved FROM orders LEFT JOIN m ON o_custkey = s WHERE o_custkey IS NOT NULL
+WITH m AS (SELECT c_custkey AS s, c_custkey + 1000000000 AS t FROM customer WHERE c_custkey % 3 = 0), n AS (SELECT c_custkey AS s, c_custkey + 2000000000 AS t FROM customer WHERE c_custkey % 5 = 0)
+SELECT o_orderkey, coalesce(m.t, o_custkey) AS resolved FROM orders LEFT JOIN m ON o_custkey = s WHERE o_orderstatus <> 'F' UNION ALL SELECT o_orderkey, n.t FROM orders JOIN n ON o_custkey = s WHERE o_orderstatus = 'F'
 """)
 def key_translation(spark: SparkSession, d: str) -> DataFrame:
-    key_map = table(spark, d, "customer").where("c_custkey % 3 = 0").select("c_custkey", (F.col("c_custkey") + 1_000_000_000).alias("t"))
-    return resolve.translate_keys(table(spark, d, "orders"), "o_custkey", key_map, "c_custkey", "t").select("o_orderkey", "resolved")
+    keys = table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
+    named = keys.where("k % 5 = 0").select(F.concat(F.lit("name:"), F.col("k").cast("string")).alias("s"), (F.col("k") + 2_000_000_000).alias("t"))
+    key_map = keys.where("k % 3 = 0").select(F.col("k").cast("string").alias("s"), (F.col("k") + 1_000_000_000).alias("t")).unionByName(named)
+    rows = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "F", F.col("o_custkey")).alias("key"), F.concat(F.lit("name:"), F.col("o_custkey").cast("string")).alias("name"))
+    return resolve.translate_keys(rows, "key", key_map, "s", "t", F.col("name")).select("o_orderkey", "resolved")
 
 
 @query("key_cascade", """
@@ -214,7 +217,8 @@ WITH v AS (SELECT p_name AS n, max(p_retailprice) AS v FROM part GROUP BY 1) SEL
 """)
 def direct_indicator(spark: SparkSession, d: str) -> DataFrame:
     part = table(spark, d, "part")
-    return resolve.direct_values(part, "p_partkey", "p_name", part.groupBy(F.col("p_name").alias("n")).agg(F.max("p_retailprice").alias("value")), "n", "value")
+    rows = part.select("p_partkey", F.when(F.col("p_size") % 2 == 0, F.translate("p_name", "aeo", "áèö")).otherwise(F.col("p_name")).alias("p_name"))
+    return resolve.direct_values(rows, "p_partkey", "p_name", part.groupBy(F.col("p_name").alias("n")).agg(F.max("p_retailprice").alias("value")), "n", "value")
 
 
 @query("synonym_bridge", r"""
@@ -658,9 +662,11 @@ def prune_classes(spark: SparkSession, d: str) -> DataFrame:
     return audit.prune_classes(c, "c_custkey", c.where("c_acctbal > 0"), "c_custkey", renamed, "old", "new", table(spark, d, "orders"), "o_custkey")
 
 
-@query("category_counts", "SELECT p_type, count(DISTINCT p_name) AS n, 0::BIGINT AS n_blank FROM part GROUP BY 1")
+@query("category_counts", """
+WITH g AS (SELECT p_type, p_name, max(CASE WHEN p_size % 4 = 0 THEN '  ' ELSE p_brand END) AS b FROM part GROUP BY 1, 2) SELECT p_type, count(*) AS n, count(*) FILTER (trim(b) = '') AS n_blank FROM g GROUP BY 1
+""")
 def category_counts(spark: SparkSession, d: str) -> DataFrame:
-    return audit.category_counts(table(spark, d, "part"), "p_type", "p_name", "p_brand")
+    return audit.category_counts(table(spark, d, "part").withColumn("b", F.when(F.col("p_size") % 4 == 0, F.lit("  ")).otherwise(F.col("p_brand"))), "p_type", "p_name", "b")
 
 
 # Indicators
@@ -1086,9 +1092,11 @@ def foreign_categories(spark: SparkSession, d: str) -> DataFrame:
 
 @query("genuine_names", "SELECT p_partkey, p_partkey % 4 = 0 AS genuine, p_partkey % 2 = 1 AS botanical FROM part")
 def genuine_names(spark: SparkSession, d: str) -> DataFrame:
-    k = F.col("p_partkey") % 4
-    name = F.when(k == 0, "Echter Kümmel").when(k == 1, "Carum carvi").when(k == 2, "Carum").otherwise("Carum subsp. alba")
-    return table(spark, d, "part").select("p_partkey", T.genuine_common_name(name, F.lit("Carum carvi")).alias("genuine"), T.looks_botanical(name).alias("botanical"))
+    k, words = F.col("p_partkey") % 4, F.split("p_name", " ")
+    genus = F.initcap(words[0])
+    scientific = F.concat(genus, F.lit(" "), words[1])
+    name = F.when(k == 0, F.concat(F.lit("Echte "), genus)).when(k == 1, scientific).when(k == 2, genus).otherwise(F.concat(genus, F.lit(" subsp. "), words[1]))
+    return table(spark, d, "part").select("p_partkey", T.genuine_common_name(name, scientific).alias("genuine"), T.looks_botanical(name).alias("botanical"))
 
 
 # Lists set as text, species rows, catalogue index, addresses, parents, list reports
