@@ -57,7 +57,7 @@ DECAY, SPAN, POWER, LEAST = 0.6, 6, 4, 0.4
 #: Characters of a word that are compared at once; longer chunks are cut into pieces that overlap by SPAN.
 LONGEST = 24
 #: Texts that are split into words at once, and chunks without weight that a worker remembers.
-SLICE, REMEMBERED = 400, 300_000
+SLICE, REMEMBERED = 200, 100_000
 _CLASSES = 64
 _SIGNS = ".,;:!?\"'()[]{}|<>*_-…«»„“”#&%$~^+=/\\@`"
 _STOPS = re.compile(r"[.!?]+")
@@ -456,7 +456,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, allowed: Column, id_col:
 
 
 class Scorer:
-    """Scores texts in one Python worker; keeps the chunks that weigh something and a bounded set of those that don't."""
+    """Scores texts in one task; keeps the chunks that weigh something and a bounded set of those that don't."""
 
     def __init__(self, machine: Machine):
         self.machine = machine
@@ -505,27 +505,16 @@ class Scorer:
         return worst_run(values, words, before)[0]
 
 
-_SCORER: dict[bytes, Scorer] = {}
-
-
-def _scorer(machine: Machine) -> Scorer:
-    """The worker's scorer, kept for its next tasks."""
-    key = b"" if machine.weights is None else "\n".join(machine.landmarks.words).encode() + machine.weights.tobytes()
-    if key not in _SCORER:
-        _SCORER.clear()
-        _SCORER[key] = Scorer(machine)
-    return _SCORER[key]
-
-
 def score_toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, out: str = "score") -> DataFrame:
     """Adds ``out``, from 0 to 1; ``keep`` names columns to carry along instead of the id alone, none of them called ``out``."""
     carried, kept, at = carry(docs, keep or [id_col], text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(machine)
+        scorer = Scorer(machine)
         for batch in batches:
             found = [x for i in range(0, batch.num_rows, SLICE) for x in scorer.scores(batch.column(at).slice(i, SLICE).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(found, pa.float64())], names=[*kept.names, out])
+        del scorer  # a worker lives on for later stages, which need its memory
         release_memory()
 
     return carried.mapInArrow(run, t.StructType([*kept.fields, t.StructField(out, t.DoubleType())]))
