@@ -10,8 +10,10 @@ Shingles are ordered by how common they are, then by hash: rare words make rare
 see repeatedly come last. The order only saves work and never changes a result, as any order that all sets share will do;
 so the bounds on the lists that all tasks hold (``FREQUENT`` words, ``COMMON`` shingles) lose nothing.
 
-Groups over ``BLOCK`` shingles are dealt by size class and, where a class is still larger, into blocks of which each two meet
-in a task. Equal sets are one node from the start.
+Equal sets are one node from the start. In groups over ``BLOCK`` shingles all sets are first compared with a few pivots of
+the group, which costs a pass over it: what pivots connect is one part, of which blocks need to meet only the sets outside.
+Where much is left outside, the group is dealt by size class and, where a class is still larger, into blocks of which each
+two meet in a task.
 
 Defined cases: texts that are null or have no word have no shingles and link to nothing; rows that share an id count as
 one document's; rows without an id are not linked and have no component; equal texts always link; an empty table gives
@@ -31,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import release_memory, written
 from .components import components
@@ -41,6 +44,8 @@ FREQUENT, COMMON = 1 << 14, 1 << 18
 SEEN_HERE, SEEN = 2, 4
 #: Shingles of the sets that a task compares at once, about; a single set may be larger.
 BLOCK = 4_000_000
+#: Sets of a large group that all its sets are compared with first.
+PIVOTS = 4
 #: Bits of the bitmap's size that tells which documents have candidates.
 MARKS = 20
 _PRIMES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -92,11 +97,13 @@ def frequent_words(docs: DataFrame) -> dict[bytes, int]:
         for batch in batches:
             for text in batch.column(0):
                 seen.update((text.as_py() or "").encode().lower().split())
-                if len(seen) > 400_000:  # what is left out is rare here
+                if len(seen) > 200_000:  # what is left out is rare here
                     yield _words(seen)
                     seen.clear()
         if seen:
             yield _words(seen)
+        del seen
+        release_memory()
 
     totals = docs.select("text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     rows = totals.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
@@ -150,6 +157,8 @@ def common_shingles(docs: DataFrame, percent: int, words: int, frequent: dict[by
                     held = 0
         if parts:
             yield block()
+        del shingler
+        release_memory()
 
     seen = docs.select("text").mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= SEEN)
     rows = seen.orderBy(F.desc("n"), "shingle").limit(COMMON).toPandas()
@@ -169,6 +178,8 @@ def signatures(docs: DataFrame, common: np.ndarray, percent: int, words: int, fr
                 marks.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 firsts.append(in_order(s, common, probe_length(len(s), percent)).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), pa.array(firsts, pa.binary())], names=["doc_id", "n", "mark", "firsts"])
+        del shingler
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, mark binary, firsts binary")
 
@@ -328,49 +339,100 @@ def _likely(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.where("node IS NOT NULL").mapInArrow(keep, "node bigint, text string")
 
 
+def _with_sets(docs: DataFrame, rows: DataFrame, words: int, frequent: dict[bytes, int]) -> DataFrame:
+    """``rows`` (node, rest) with the shingles of their nodes' texts as bytes."""
+
+    def arrays(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words, frequent)
+        for batch in batches:
+            out = [shingler.shingles(t.as_py()).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.binary())], names=["node", "rest", "shingles"])
+
+    texts = _likely(docs.select(F.col("doc_id").alias("node"), "text"), rows).join(rows, "node").select("node", "text", "rest")
+    return texts.mapInArrow(arrays, StructType([texts.schema["node"], texts.schema["rest"], StructField("shingles", BinaryType())]))
+
+
+def pivot_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of each group's sets with up to PIVOTS of them, each drawn from those that no pivot links to so far.
+    ``members``: (node, component, shingles). The pivots are a written table, so a group of very many sets can be split."""
+
+    def linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for mine, own in zip(batch.column(2), batch.column(3)):
+                a, b = np.frombuffer(mine.as_py(), np.uint64), np.frombuffer(own.as_py(), np.uint64)
+                both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+                keep.append(100 * both >= percent * (len(a) + len(b) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    found, rest = None, members
+    for _ in range(PIVOTS):
+        drawn = rest.groupBy("component").agg(F.min_by(F.struct("node", "shingles"), F.xxhash64("node")).alias("p"))
+        pivots = written(drawn.select("component", F.col("p.node").alias("pivot"), F.col("p.shingles").alias("own")), "pivots")
+        near = written(members.join(pivots, "component").select("node", "pivot", "shingles", "own").mapInArrow(linked, "a bigint, b bigint"), "pivot-links")
+        found = near if found is None else found.unionByName(near)
+        rest = rest.join(near.select(F.col("a").alias("node")), "node", "left_anti")
+    return found
+
+
 def verified_links(docs: DataFrame, clusters: DataFrame, percent: int, words: int, frequent: dict[bytes, int], block: int = BLOCK) -> DataFrame:
     """Links (a, b) that span what belongs together in each candidate group. ``clusters``: (node, n, component)."""
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) * (1 - 1e-12)).cast("int")
     rows = clusters.withColumn("class", step)
     counts = rows.groupBy("component", "class").agg(F.sum("n").alias("m"))
     whole = counts.groupBy("component").agg(F.sum("m").alias("all"))
+    large = written(whole.where(F.col("all") > block), "large-groups")
+    known, stars = None, None
+    if not large.isEmpty():
+        of_large = clusters.join(large.select("component"), "component").select("node", F.struct("component", "n").alias("rest"))
+        members = written(_with_sets(docs, of_large, words, frequent).select("node", "rest.component", "rest.n", "shingles").dropDuplicates(["node"]), "large-sets")
+        known = pivot_links(members, percent)
+        # sets that pivots connect are one: of each group the largest of these meets only what is outside of it
+        subs = components(known)
+        named = members.select("node", "component", "n").join(subs.select("node", F.col("component").alias("sub")), "node", "left").withColumn("sub", F.coalesce("sub", "node"))
+        subs = written(named, "connected-sets")
+        most = subs.groupBy("component", "sub").agg(F.sum("n").alias("m")).groupBy("component").agg(F.max_by("sub", "m").alias("main"), F.max("m").alias("m_main"), F.sum("m").alias("m_all"))
+        stars = written(most.where(F.col("m_all") - F.col("m_main") <= block / 2).select("component", "main", F.ceil(F.col("m_main") * 2 / block).cast("int").alias("k_main")), "stars")
+        rows = rows.join(subs.select("node", "sub"), "node", "left").join(stars, "component", "left")
+    else:
+        rows = rows.withColumns({"sub": F.lit(None).cast("long"), "main": F.lit(None).cast("long"), "k_main": F.lit(None).cast("int")})
+    rows = rows.withColumn("sub", F.coalesce("sub", "node"))
     above = counts.select("component", (F.col("class") - 1).alias("class"), F.col("m").alias("m_above"))
     below = counts.select("component", (F.col("class") + 1).alias("class"), F.col("m").alias("m_below"))
     parts = counts.join(above, ["component", "class"], "left").join(below, ["component", "class"], "left").join(whole, "component")
     cuts = lambda c: F.greatest(F.lit(1), F.ceil(F.coalesce(F.col(c), F.lit(0)) * 2 / block)).cast("int")
     parts = parts.select("component", "class", "all", cuts("m").alias("k"), cuts("m_above").alias("k_above"), cuts("m_below").alias("k_below"), F.coalesce("m_above", F.lit(0)).alias("m_above"), F.coalesce("m_below", F.lit(0)).alias("m_below"))
     placed = rows.join(parts, ["component", "class"]).withColumn("i", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
-    # a small group is one task's; else blocks of a class meet each other, and those of the next class
-    groups = F.when(F.col("all") <= block, F.array(F.struct(F.lit(-1).alias("class"), F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
-        F.concat(
-            # a class in one block meets itself where it meets a neighbour
-            F.expr("IF(k > 1 OR m_above + m_below = 0, transform(sequence(0, k - 1), j -> struct(class * 2 AS class, least(i, j) AS i, greatest(i, j) AS j)), array())"),
-            F.expr("IF(m_above > 0, transform(sequence(0, k_above - 1), j -> struct(class * 2 + 1 AS class, i AS i, j AS j)), array())"),
-            F.expr("IF(m_below > 0, transform(sequence(0, k_below - 1), j -> struct(class * 2 - 1 AS class, j AS i, i AS j)), array())"),
+    single = lambda kind, i: F.array(F.struct(F.lit(kind).alias("class"), i.cast("int").alias("i"), F.lit(0).alias("j")))
+    # a small group is one task's; of a star, blocks of the largest part meet all else; else blocks of a class meet each
+    # other, and those of the next class
+    groups = (
+        F.when(F.col("all") <= block, single(-1, F.lit(0)))
+        .when(F.col("sub") == F.col("main"), single(-2, F.pmod(F.xxhash64("node"), F.col("k_main"))))
+        .when(F.col("main").isNotNull(), F.expr("transform(sequence(0, k_main - 1), x -> struct(-2 AS class, x AS i, 0 AS j))"))
+        .otherwise(
+            F.concat(
+                # a class in one block meets itself where it meets a neighbour
+                F.expr("IF(k > 1 OR m_above + m_below = 0, transform(sequence(0, k - 1), j -> struct(class * 2 AS class, least(i, j) AS i, greatest(i, j) AS j)), array())"),
+                F.expr("IF(m_above > 0, transform(sequence(0, k_above - 1), j -> struct(class * 2 + 1 AS class, i AS i, j AS j)), array())"),
+                F.expr("IF(m_below > 0, transform(sequence(0, k_below - 1), j -> struct(class * 2 - 1 AS class, j AS i, i AS j)), array())"),
+            )
         )
     )
-    placed = placed.select("node", "component", F.explode(groups).alias("part"))
-    by_node = placed.groupBy("node").agg(F.collect_list(F.struct("component", "part")).alias("groups"))
-
-    def arrays(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words, frequent)
-        for batch in batches:
-            out = [shingler.shingles(t.as_py()).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.binary())], names=["node", "groups", "shingles"])
-
-    kind = by_node.schema["groups"].dataType.simpleString()
-    texts = _likely(docs.select(F.col("doc_id").alias("node"), "text"), rows).join(by_node, "node").select("node", "text", "groups")
-    dealt = texts.mapInArrow(arrays, f"node bigint, groups {kind}, shingles binary").select("node", "shingles", F.explode("groups").alias("g"))
+    placed = placed.select("node", "component", "sub", F.explode(groups).alias("part"))
+    by_node = placed.groupBy("node").agg(F.collect_list(F.struct("component", "part", "sub")).alias("rest"))
+    dealt = _with_sets(docs, by_node, words, frequent).select("node", "shingles", F.explode("rest").alias("g")).select("node", "shingles", "g.component", "g.part", "g.sub")
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates(["node", "shingles"])
-        links = divide_skip([np.frombuffer(x, np.uint64) for x in group["shingles"]], group["node"].tolist(), percent)
+        links = divide_skip([np.frombuffer(x, np.uint64) for x in group["shingles"]], group["sub"].tolist(), percent)
         if group["shingles"].map(len).sum() > 1 << 22:
             del group
             release_memory()
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    return dealt.groupBy("g.component", "g.part").applyInPandas(search, "a bigint, b bigint")
+    links = dealt.groupBy("component", "part").applyInPandas(search, "a bigint, b bigint")
+    return links if known is None else links.unionByName(known)
 
 
 def jaccard_components(docs: DataFrame, percent: int = 85, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

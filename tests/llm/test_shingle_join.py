@@ -44,6 +44,10 @@ def test_groups_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(S.verified_links, "__defaults__", (400,))
     rng = random.Random(5)
     check(spark, list(enumerate(family(rng, 40, 60, 5) + family(rng, 10, 66, 3))))
+    base = family(rng, 1, 60, 0)[0].split()
+    far = [" ".join(base[: 60 - 3 * i] + [f"z{i}q{k}" for k in range(3 * i)]) for i in range(5)]  # each links to the next only
+    near = [" ".join(base[:k] + ["other"] + base[k + 1 :]) for k in (0, 1, 58, 59)] + [" ".join([*base, f"end{k}"]) for k in range(30)]
+    check(spark, list(enumerate(near + far)))
 
 
 def test_divide_skip_is_exact():
