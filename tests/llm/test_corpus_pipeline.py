@@ -97,9 +97,9 @@ def test_whole_run(spark, made):
     base, docs, _ = made
     now = docs
     for i, (_, stage) in enumerate(C.STAGES):
-        names = docs.columns
-        now = spark.createDataFrame(stage(spark, now, base).collect(), stage(spark, now, base).schema)
-        assert i == len(C.STAGES) - 1 or now.columns == names
+        out = stage(spark, now, base)
+        now = spark.createDataFrame(out.collect(), out.schema)
+        assert i == len(C.STAGES) - 1 or now.columns == docs.columns
     got = C.run(spark, base)
     key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     whole = lambda df: df.groupBy("doc_id", "doc_tokens").agg(F.sum("length").alias("n"))
