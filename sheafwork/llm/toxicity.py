@@ -239,9 +239,9 @@ class Machine:
     def word_weights(self, words: list[str]) -> np.ndarray:
         """A word's weight is the sum of its pieces'."""
         out = np.zeros(len(words))
-        for first in range(0, len(words), 20_000):
+        for first in range(0, len(words), 10_000):
             found, owner = [], []
-            for i, w in enumerate(words[first : first + 20_000], first):
+            for i, w in enumerate(words[first : first + 10_000], first):
                 for p in pieces(w):
                     found.append(p)
                     owner.append(i)
@@ -348,7 +348,7 @@ def _mark_counts(sample: DataFrame) -> DataFrame:
                 words = {p for s in cut(text.as_py()) for w in words_of(s) for p in pieces(w)}
                 counts[y].update(words)
                 counts[y].update({"^" + w[:k] for w in words for k in BEGINNINGS if len(w) >= k})
-                if len(counts[0]) + len(counts[1]) > 400_000:
+                if len(counts[0]) + len(counts[1]) > 150_000:
                     yield block()
         yield block()
         release_memory()
@@ -405,15 +405,15 @@ def _sentence_rows(sample: DataFrame, marks: Landmarks) -> DataFrame:
     """(y, h, rows, words, before): of each document the sentences that are like a landmark, ROWS at most; the first row is that of no words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             out: tuple[list, list, list] = [], [], []
             documents = [cut(text.as_py()) for text in batch.column(2)]
             words = list({w for chunks in documents for s in chunks for w in words_of(s)})
             row_of: dict[str, np.ndarray] = {}
-            for first in range(0, len(words), 20_000):
-                parts = [(p, w) for w in words[first : first + 20_000] for p in pieces(w)]
+            for first in range(0, len(words), 5_000):
+                parts = [(p, w) for w in words[first : first + 5_000] for p in pieces(w)]
                 at, values = marks.similar([p for p, _ in parts])
-                for i, v in zip(at, values**POWER):
+                for i, v in zip(at, (values**POWER).astype(np.float32)):
                     row_of[parts[i][1]] = row_of.get(parts[i][1], 0) + v
             for chunks in documents:
                 found = [(i, [row_of[w] for w in words_of(s) if w in row_of]) for i, s in enumerate(chunks)]
