@@ -54,10 +54,12 @@ BEGINNINGS = (4, 5, 6)
 MARKS = 4096
 #: The kernel: weight of each character spanned, longest span, power of a word's similarity, similarity that counts.
 DECAY, SPAN, POWER, LEAST = 0.6, 6, 4, 0.4
+#: Bundles of landmarks that have a bound each.
+BUNDLES = 16
 #: Characters of a word that are compared at once; longer chunks are cut into pieces that overlap by SPAN.
 LONGEST = 24
 #: Texts that are split into words at once, and chunks without weight that a worker remembers.
-SLICE, REMEMBERED = 200, 100_000
+SLICE, REMEMBERED = 200, 200_000
 _CLASSES = 64
 _SIGNS = ".,;:!?\"'()[]{}|<>*_-…«»„“”#&%$~^+=/\\@`"
 _STOPS = re.compile(r"[.!?]+")
@@ -182,14 +184,16 @@ class Landmarks:
         self.row_of[codes] = np.arange(1, len(codes) + 1)
         self.table = np.zeros((len(codes) + 1, len(self.words)), np.float32)
         self.table[at + 1, row] = weight / norm[row]
-        self.most = self.table.max(1, initial=0)[self.row_of]
+        # landmarks of one beginning are neighbours by the alphabet, so few of a bundle's bounds are far above its members
+        bundles = [b for b in np.array_split(np.argsort(self.words), BUNDLES) if len(b)]
+        self.most = np.stack([self.table[:, b].max(1) for b in bundles], 1)[self.row_of]
 
     def _near(self, words: list[str]) -> np.ndarray:
-        """Words that may be similar to a landmark. The bound is safe: a subsequence adds at most its weight times the
-        most that any landmark gives it, and a word's norm is least when its subsequences all differ."""
+        """Words that may be similar to a landmark. The bound is safe: to a landmark of a bundle, a subsequence adds at most its
+        weight times the most that any of the bundle gives it, and a word's norm is least when its subsequences all differ."""
         found = [np.empty(0, np.int64)]
         for at, chars in _by_size(words):
-            bound, own = np.zeros(len(at), np.float32), 0.0
+            bound, own = np.zeros((len(at), self.most.shape[1]), np.float32), 0.0
             first = second = -1
             for i, j, k in _triples(len(chars)):
                 if (i, j) != (first, second):
@@ -197,7 +201,7 @@ class Landmarks:
                 weight = DECAY ** (k - i + 1)
                 own += weight * weight
                 bound += np.float32(weight) * self.most[pair + chars[k]]
-            found.append(at[bound >= (LEAST - 1e-4) * math.sqrt(own)])
+            found.append(at[bound.max(1) >= (LEAST - 1e-4) * math.sqrt(own)])
         return np.sort(np.concatenate(found))
 
     def similar(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
