@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import code_search, quality
+from . import code_search, conversations, quality, spelling
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,13 @@ def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
             rollup.commit(batch_id, changes)
         rollup.compact()
     return rollup.totals()
+
+
+@query("op11_partenum_spelling", spelling.SQL)
+def op11_partenum_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op12_conversation_trie", conversations.SQL)
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
