@@ -148,3 +148,11 @@ def op11_partenum_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_conversation_trie", conversations.SQL)
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_block_labeller")
+def op13_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .page_text import learn_labeller, main_text
+
+    pages = table(spark, sf_dir, "pages")
+    return main_text(pages, learn_labeller(pages), keep=["page_id", "url"])
