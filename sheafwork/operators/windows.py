@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+
+from .order import anchored
 
 
 def top_per_facet(rows: DataFrame, key: str, facet: str, order: list[Column | str], n: int) -> DataFrame:
@@ -63,28 +61,11 @@ def neighbour_records(lines: DataFrame, doc: str, line: str, text: str, marker:
 def cluster_rows(words: DataFrame, page: list[str], y: str, x: str, word: str, tolerance: float) -> DataFrame:
     """Words of a page in rows: a word belongs to the row whose first word it is within ``tolerance`` of. (page, row, text).
 
-    Where a row begins depends on the row before, so pages are sorted within partitions and folded as they stream by;
-    a task holds no page.
+    Where a row begins depends on the row before; see ``anchored``. Words without a height belong to no row.
     """
-    rows = words.select(*page, F.col(y).cast("double").alias("__y"), F.col(x).cast("double").alias("__x"), F.col(word).cast("string").alias("__w"))
-    sorted_rows = rows.repartition(*page).sortWithinPartitions(*page, "__y", "__x")
-    n = len(page)
-
-    def number(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, at, row = None, 0.0, -1
-        for frame in frames:
-            out = []
-            keys = zip(*(frame[c].where(frame[c].notna(), None).tolist() for c in page))
-            for key, here in zip(keys, frame["__y"].tolist()):
-                if key != own:
-                    own, at, row = key, here, 0
-                elif here - at > tolerance:
-                    at, row = here, row + 1
-                out.append(row)
-            yield frame.assign(row=out)
-
-    placed = sorted_rows.mapInPandas(number, StructType([*rows.schema.fields[:n], *rows.schema.fields[n:], StructField("row", IntegerType())]))
-    return placed.groupBy(*page, "row").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__x", "__w"))), lambda v: v["__w"]), " ").alias("text"))
+    rows = words.select(*page, F.col(y).cast("double").alias("__y"), F.col(x).cast("double").alias("__x"), F.col(word).cast("string").alias("__t")).where("__y IS NOT NULL")
+    placed = anchored(rows, page, "__y", lambda c: c + F.lit(float(tolerance)), ["__x"], inclusive=True).withColumn("row", F.col("window").cast("int"))
+    return placed.groupBy(*page, "row").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__x", "__t"))), lambda v: v["__t"]), " ").alias("text"))
 
 
 def assign_columns(words: DataFrame, doc: list[str], order: str, x: str, edges: Column, slack: float = 3) -> DataFrame:

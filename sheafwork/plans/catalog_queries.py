@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import audit, filters, indicators, layout, lists, merge, resolve, tree, windows
+from ..operators import audit, filters, indicators, layout, lists, merge, order, resolve, tree, windows
 from ..registry import query, table
 from ..sources import readers, sinks
 from ..storage import scratch, written
@@ -541,6 +541,33 @@ def budget_worklist(spark: SparkSession, d: str) -> DataFrame:
     return windows.within_budget(table(spark, d, "lineitem"), "l_orderkey", [F.desc("l_extendedprice"), "l_linenumber"], "l_quantity", 60).select("l_orderkey", "l_linenumber")
 
 
+# Over a whole table in one order
+
+
+@query("whole_block_sort", """
+WITH m AS (SELECT *, max(l_returnflag = 'R') OVER p AS bf, max(l_extendedprice) OVER p AS bw FROM lineitem WINDOW p AS (PARTITION BY l_partkey))
+SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY bf DESC, bw DESC, l_partkey, (l_linenumber = 1) DESC, l_extendedprice DESC, l_orderkey * 8 + l_linenumber) - 1 AS sort_index FROM m
+""")
+def whole_block_sort(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_extendedprice", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("name"))
+    return order.whole_block_sort(rows, "l_partkey", F.col("l_linenumber") == 1, F.col("l_returnflag") == "R", "l_extendedprice", "name").select("l_orderkey", "l_linenumber", "sort_index")
+
+
+@query("whole_batches", "SELECT l_orderkey, l_linenumber, (row_number() OVER (ORDER BY l_shipdate DESC, l_orderkey, l_linenumber) - 1) // 60 AS batch FROM lineitem")
+def whole_batches(spark: SparkSession, d: str) -> DataFrame:
+    return order.whole_batches(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate"), [F.desc("l_shipdate"), F.col("l_orderkey"), F.col("l_linenumber")], 60).select("l_orderkey", "l_linenumber", "batch")
+
+
+@query("whole_budget", """
+SELECT l_orderkey, l_linenumber, r::DOUBLE AS running FROM (SELECT *, sum(l_quantity) OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber ROWS UNBOUNDED PRECEDING) AS r FROM lineitem)
+WHERE r <= (SELECT sum(l_quantity) / 2 FROM lineitem)
+""")
+def whole_budget(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    half = rows.agg(F.sum("l_quantity") / 2).first()[0]
+    return order.whole_budget(rows, [F.desc("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber")], "l_quantity", half).select("l_orderkey", "l_linenumber", "running")
+
+
 # Sets and audits
 
 

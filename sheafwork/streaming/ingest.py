@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.order import anchored
+
 
 def once_within(rows: DataFrame, key: str, time: str, delay: str) -> DataFrame:
     """A key once as long as its repeats are no later than ``delay``; bounded state."""
@@ -52,28 +54,22 @@ def _step(start: pd.Timestamp | None, used: int, ts: pd.Timestamp, cost: int, ho
     return start, used + cost
 
 
+def _requests(rows: DataFrame, key: str, request: str, time: str, cost: str) -> DataFrame:
+    return rows.select(F.col(key).cast("string").alias("key"), F.col(request).cast("long").alias("request"), F.col(time).cast("timestamp").alias("ts"), F.coalesce(F.col(cost).cast("long"), F.lit(0).cast("long")).alias("cost"))
+
+
 def quota_batch(rows: DataFrame, key: str, request: str, time: str, cost: str, quota: int, hours: float = 24) -> DataFrame:
     """Requests with their window's start, what is used by then, and whether that is over the quota; windows begin at a first request.
 
-    Where a window begins depends on the one before, so requests are sorted by key and time within partitions and folded as
-    they stream by: a task holds a key, a start and a sum, however many requests a key has.
+    Where a window begins depends on the one before; see ``anchored``. Requests of one time go by their number. A request
+    without a time belongs to no window: start and use are null, and it isn't over.
     """
-    named = rows.select(F.col(key).cast("string").alias("key"), F.col(request).cast("long").alias("request"), F.col(time).cast("timestamp").alias("ts"), F.col(cost).cast("long").alias("cost"))
-
-    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, start, used = object(), None, 0
-        for frame in frames:
-            starts, sums = [], []
-            for k, ts, c in zip(frame["key"].where(frame["key"].notna(), None), frame["ts"], frame["cost"].fillna(0).astype("int64").tolist()):
-                if k != own:
-                    own, start, used = k, None, 0
-                start, used = _step(start, used, ts, c, hours)
-                starts.append(start)
-                sums.append(used)
-            out = frame[["key", "request", "ts"]].assign(window_start=pd.Series(starts, index=frame.index, dtype=frame["ts"].dtype), used=pd.Series(sums, index=frame.index, dtype="int64"))
-            yield out.assign(over=out["used"] > quota)
-
-    return named.repartition("key").sortWithinPartitions("key", "ts", "request").mapInPandas(run, WINDOW_OUT)
+    named = _requests(rows, key, request, time, cost)
+    span = F.make_dt_interval(secs=F.lit(hours * 3600).cast("decimal(18,6)"))
+    placed = anchored(named.where("ts IS NOT NULL"), ["key"], "ts", lambda t: t + span, ["request"], inclusive=False, sums={"used": F.col("cost")})
+    timed = placed.select("key", "request", "ts", F.col("window_at").alias("window_start"), "used", (F.col("used") > quota).alias("over"))
+    none = F.lit(None)
+    return timed.unionByName(named.where("ts IS NULL").select("key", "request", "ts", none.cast("timestamp").alias("window_start"), none.cast("long").alias("used"), F.lit(False).alias("over")))
 
 
 def quota_stream(rows: DataFrame, key: str, request: str, time: str, cost: str, quota: int, hours: float = 24) -> DataFrame:
