@@ -76,14 +76,6 @@ def organ_of_file(rows: DataFrame, key: str, file: str, taxon: str, most_free: i
     return r.withColumn("reason", reason).select(key, F.when(F.col("reason") == "clear", F.get("organs", F.lit(0))).alias("organ"), "reason")
 
 
-def weighted_score(docs: DataFrame, key: str, weights: dict[str, float], query: list[str]) -> DataFrame:
-    """(key, score): each query word counts a field's weight as often as the field has it."""
-    words = lambda c: F.split(T.squash_words(T.fold(F.coalesce(F.col(c), F.lit("")))), " ")
-    wanted = F.array(*[F.lit(q.lower()) for q in query])
-    score = sum((F.size(F.filter(words(c), lambda w: F.array_contains(wanted, w))) * F.lit(float(weight)) for c, weight in weights.items()), F.lit(0.0))
-    return docs.select(key, score.alias("score")).where("score > 0")
-
-
 def ranked_search(index: DataFrame, key: str, names: str, weight: str, query: str) -> DataFrame:
     """(key, class, weight): records that a query meets, the better class first, then by weight."""
     variants = T.search_variants(F.lit(query))

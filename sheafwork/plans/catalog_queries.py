@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import audit, filters, indicators, layout, lists, merge, order, resolve, tree, windows
+from ..operators import audit, filters, indicators, layout, lists, merge, order, resolve, search, tree, windows
 from ..registry import query, table
 from ..sources import readers, sinks
 from ..storage import scratch, written
@@ -776,15 +776,42 @@ def search_rank(spark: SparkSession, d: str) -> DataFrame:
 
 @query("substring_search", "SELECT p_partkey FROM part WHERE contains(replace(lower(p_name), ' ', ''), 'ewid')")
 def substring_search(spark: SparkSession, d: str) -> DataFrame:
-    terms = table(spark, d, "part").select("p_partkey", T.glued(T.search_index(F.array("p_name"))).alias("t"))
-    return terms.where(F.exists("t", lambda t: F.exists(T.search_variants(F.lit("E Wid"), gaps=False), lambda q: F.contains(t, q)))).select("p_partkey")
+    terms = table(spark, d, "part").select("p_partkey", F.explode(T.glued(T.search_index(F.array("p_name")))).alias("t"))
+    index = search.substring_index(terms, "p_partkey", F.col("t"))
+    asked = spark.range(1).select(F.lit(1).alias("query"), F.explode(T.search_variants(F.lit("E Wid"), gaps=False)).alias("part"))
+    return search.search_substrings(index, asked).select(F.col("key").alias("p_partkey"))
+
+
+_GLUED = "replace(lower(p_name), ' ', '')"
+
+
+@query("substring_index", f"""
+WITH t AS (SELECT p_partkey, {_GLUED} AS t FROM part), q AS (SELECT p_partkey AS query, substr(t, 1 + p_partkey % 7, 1 + p_partkey // 50 % 6) AS part FROM t WHERE p_partkey % 50 = 0)
+SELECT query, p_partkey AS key FROM q JOIN t ON contains(t, part) WHERE part <> ''
+""")
+def substring_index(spark: SparkSession, d: str) -> DataFrame:
+    terms = table(spark, d, "part").select("p_partkey", F.expr(_GLUED).alias("t"))
+    asked = terms.where("p_partkey % 50 = 0").select(F.col("p_partkey").alias("query"), F.expr("substr(t, 1 + p_partkey % 7, 1 + p_partkey div 50 % 6)").alias("part"))
+    return search.search_substrings(search.substring_index(terms, "p_partkey", F.col("t")), asked)
 
 
 @query("fulltext_weighted", """
 SELECT p_partkey AS key, score FROM (SELECT p_partkey, 10.0 * len(list_filter(string_split(lower(p_name), ' '), lambda w: w IN ('red', 'promo'))) + 5.0 * len(list_filter(string_split(lower(p_type), ' '), lambda w: w IN ('red', 'promo'))) AS score FROM part) WHERE score > 0
 """)
 def fulltext_weighted(spark: SparkSession, d: str) -> DataFrame:
-    return lists.weighted_score(table(spark, d, "part").withColumnRenamed("p_partkey", "key"), "key", {"p_name": 10, "p_type": 5, "p_brand": 1}, ["red", "promo"])
+    asked = spark.range(1).select(F.lit(1).alias("query"), F.lit("red promo").alias("text"))
+    return search.search_words(search.word_index(table(spark, d, "part"), "p_partkey", {"p_name": 10, "p_type": 5, "p_brand": 1}), asked).select("key", "score")
+
+
+@query("fulltext_index", """
+WITH w AS (SELECT p_partkey AS key, unnest(list_transform(string_split(lower(p_name), ' '), lambda x: {'w': x, 'n': 10.0})) AS f FROM part UNION ALL SELECT p_partkey, {'w': lower(p_type), 'n': 5.0} FROM part),
+q AS (SELECT DISTINCT p_partkey AS query, unnest([lower(split_part(p_name, ' ', 1)), lower(p_type)]) AS w FROM part WHERE p_partkey % 20 = 0)
+SELECT query, key, sum(f.n)::DOUBLE AS score FROM q JOIN w ON w.f.w = q.w GROUP BY 1, 2
+""")
+def fulltext_index(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part")
+    asked = part.where("p_partkey % 20 = 0").select(F.col("p_partkey").alias("query"), F.concat_ws(" ", F.split_part("p_name", F.lit(" "), F.lit(1)), "p_type").alias("text"))
+    return search.search_words(search.word_index(part, "p_partkey", {"p_name": 10, "p_type": 5}), asked)
 
 
 @query("html_text", r"SELECT page_id, md5(trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[\s\x{A0}\x{0B}\x{1C}-\x{1F}\x{85}]+', ' ', 'g'))) AS text FROM pages")
