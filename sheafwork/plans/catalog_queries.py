@@ -1005,16 +1005,16 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").select("event_id", "user_id", "ts")
     e.unionByName(e.where("event_id % 7 = 0")).repartition(4).write.json(source)  # a seventh comes twice
     for _ in range(2):  # the second run finds nothing new
-        ingest.ingest_files(spark, source, "event_id BIGINT, user_id BIGINT, ts TIMESTAMP", target, checkpoint, "event_id", time="ts", delay="4000 days")
-    return spark.read.parquet(target).select("event_id", "user_id")
+        ingest.ingest_files(spark, source, "event_id BIGINT, user_id BIGINT, ts TIMESTAMP", target, checkpoint, "event_id", files_per_trigger=2)
+    return ingest.ingested(spark, target, "event_id BIGINT, user_id BIGINT")
 
 
 @query("stream_upsert", "SELECT user_id, max(event_id) AS event_id FROM events GROUP BY 1")
 def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     source, target, checkpoint = (scratch(spark, n) for n in ("upsert-in", "upsert-out", "upsert-state"))
     table(spark, d, "events").select("event_id", "user_id").repartitionByRange(3, "event_id").sortWithinPartitions("event_id").write.json(source)
-    path = ingest.upsert_stream(spark, source, "event_id BIGINT, user_id BIGINT", target, checkpoint, ["user_id"], "event_id")
-    return spark.read.parquet(path).groupBy("user_id").agg(F.max("event_id").alias("event_id"))
+    ingest.upsert_stream(spark, source, "event_id BIGINT, user_id BIGINT", target, checkpoint, ["user_id"], "event_id")
+    return ingest.read_upserted(spark, target, "event_id BIGINT, user_id BIGINT")
 
 
 @query("retry_queue", "SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = 3")

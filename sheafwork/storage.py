@@ -30,3 +30,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _path(spark: SparkSession, path: str) -> tuple:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder of any store that Spark knows; none where there is no folder."""
+    fs, p = _path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder; none there is no error."""
+    fs, p = _path(spark, path)
+    fs.delete(p, True)

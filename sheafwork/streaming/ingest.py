@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.order import anchored
+from ..storage import folders, remove, written
+
+#: Buckets of a table that a stream writes by key.
+BUCKETS = 16
 
 
 def once_within(rows: DataFrame, key: str, time: str, delay: str) -> DataFrame:
@@ -17,16 +21,43 @@ def once_within(rows: DataFrame, key: str, time: str, delay: str) -> DataFrame:
     return rows.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def ingest_files(spark: SparkSession, path: str, schema: str, target: str, checkpoint: str, key: str | None = None, files_per_trigger: int = 16, fmt: str = "json", time: str | None = None, delay: str = "7 days") -> None:
-    """Appends what new files hold; finished files are skipped, and a key is written once however often it comes.
+def ingest_files(spark: SparkSession, path: str, schema: str, target: str, checkpoint: str, key: str | None = None, files_per_trigger: int = 16, fmt: str = "json") -> None:
+    """Appends what new files hold; finished files are skipped, and a key is written once however often and however late it comes.
 
-    With a ``time`` column keys are remembered for ``delay`` only; without one the state keeps every key, so name one where
-    keys have no bound.
+    What is written is the only memory: a batch is held against the stored keys of the buckets that it touches, so the stream
+    itself has no state that grows. A batch that runs again replaces what it wrote before. Rows without a key are one key.
     """
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).format(fmt).load(path)
-    if key:
-        rows = once_within(rows, key, time, delay) if time else rows.dropDuplicates([key])
-    rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start(target).awaitTermination()
+    if not key:
+        rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start(target).awaitTermination()
+        return
+
+    def put(batch: DataFrame, n: int) -> None:
+        # a key's first row of a batch is any of them, so it is taken once and for all
+        new = written(batch.dropDuplicates([key]).withColumn("__bucket", _bucket([key], BUCKETS)), "batch")
+        touched = [r["__bucket"] for r in new.select("__bucket").distinct().collect()]
+        paths = [f"{target}/__batch={i}" for i in _numbers(spark, target, "__batch=") if i < n]
+        if paths and touched:
+            held = spark.read.option("basePath", target).schema(new.schema).parquet(*paths).where(F.col("__bucket").isin(touched)).select(F.col(key).alias("__held"))
+            new = new.join(held, F.col(key).eqNullSafe(F.col("__held")), "left_anti")
+        new.write.mode("overwrite").partitionBy("__bucket").parquet(f"{target}/__batch={n}")
+
+    rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(put).trigger(availableNow=True).start().awaitTermination()
+
+
+def ingested(spark: SparkSession, target: str, schema: str) -> DataFrame:
+    """What ``ingest_files`` has written with a key."""
+    paths = [f"{target}/__batch={i}" for i in _numbers(spark, target, "__batch=")]
+    none = spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", target).parquet(*paths).select(none.columns) if paths else none
+
+
+def _bucket(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    return sorted(int(x[len(prefix) :]) for x in folders(spark, path) if x.startswith(prefix))
 
 
 def retry(spark: SparkSession, queue: str, attempt: Callable[[DataFrame], DataFrame], done: str, rounds: int = 3) -> DataFrame:
@@ -47,13 +78,6 @@ def retry(spark: SparkSession, queue: str, attempt: Callable[[DataFrame], DataFr
 WINDOW_OUT = "key string, request bigint, ts timestamp, window_start timestamp, used bigint, over boolean"
 
 
-def _step(start: pd.Timestamp | None, used: int, ts: pd.Timestamp, cost: int, hours: float) -> tuple[pd.Timestamp, int]:
-    """A window begins at the first request behind the one before."""
-    if start is None or ts - start >= pd.Timedelta(hours=hours):
-        return ts, cost
-    return start, used + cost
-
-
 def _requests(rows: DataFrame, key: str, request: str, time: str, cost: str) -> DataFrame:
     return rows.select(F.col(key).cast("string").alias("key"), F.col(request).cast("long").alias("request"), F.col(time).cast("timestamp").alias("ts"), F.coalesce(F.col(cost).cast("long"), F.lit(0).cast("long")).alias("cost"))
 
@@ -72,42 +96,104 @@ def quota_batch(rows: DataFrame, key: str, request: str, time: str, cost: str, q
     return timed.unionByName(named.where("ts IS NULL").select("key", "request", "ts", none.cast("timestamp").alias("window_start"), none.cast("long").alias("used"), F.lit(False).alias("over")))
 
 
-def quota_stream(rows: DataFrame, key: str, request: str, time: str, cost: str, quota: int, hours: float = 24) -> DataFrame:
-    """The same over a stream: a key's window start and use are its state."""
-
-    def run(k: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start, used = state.get if state.exists else (None, 0)
-        start = None if start is None else pd.Timestamp(start)
-        for frame in frames:
-            out = []
-            for r in frame.sort_values(["ts", "request"]).itertuples():
-                start, used = _step(start, used, r.ts, r.cost, hours)
-                out.append((k[0], r.request, r.ts, start, used, used > quota))
+class _QuotaWindows(StatefulProcessor):
+    """A key's requests wait until the watermark has passed them, then they are counted in order; a window's state ends with it."""
+
+    def __init__(self, quota: int, hours: float):
+        self.quota, self.hours = quota, hours
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.window = handle.getValueState("window", "start timestamp, used bigint")
+        self.waiting = handle.getListState("waiting", "ts timestamp, request bigint, cost bigint")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+        found = [(r.ts.to_pydatetime(), int(r.request), int(r.cost)) for frame in rows for r in frame.itertuples()]
+        self.waiting.appendList(found)
+        self._wake(min(r[0] for r in found))
+        return iter(())
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
+        passed = pd.Timestamp(timerValues.getCurrentWatermarkInMs(), unit="ms")
+        rows = sorted(tuple(r) for r in self.waiting.get())
+        ready, rest = [r for r in rows if pd.Timestamp(r[0]) <= passed], [r for r in rows if pd.Timestamp(r[0]) > passed]
+        start, used = self.window.get() if self.window.exists() else (None, 0)
+        out = []
+        for ts, request, cost in ready:
+            start, used = (ts, cost) if start is None or pd.Timestamp(ts) - pd.Timestamp(start) >= pd.Timedelta(hours=self.hours) else (start, used + cost)
+            out.append((key[0], request, ts, start, used, used > self.quota))
+        end = None if start is None else pd.Timestamp(start) + pd.Timedelta(hours=self.hours)
+        if end is None or end <= passed:
+            self.window.clear()
+        else:
+            self.window.update((start, used))
+            self._wake(end)
+        if rest:
+            self.waiting.put(rest)
+            self._wake(rest[0][0])
+        else:
+            self.waiting.clear()
+        if out:
             yield pd.DataFrame(out, columns=["key", "request", "ts", "window_start", "used", "over"])
-        state.update((None if start is None else start.to_pydatetime(), used))
 
-    named = rows.select(F.col(key).cast("string").alias("key"), F.col(request).cast("long").alias("request"), F.col(time).cast("timestamp").alias("ts"), F.col(cost).cast("long").alias("cost"))
-    return named.groupBy("key").applyInPandasWithState(run, WINDOW_OUT, "start timestamp, used bigint", "append", GroupStateTimeout.NoTimeout)
+    def _wake(self, at: object) -> None:
+        self.handle.registerTimer(-(-pd.Timestamp(at).value // 1_000_000))
+
+    def close(self) -> None:
+        pass
 
 
-def upsert_stream(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, keys: list[str], ordinal: str, fmt: str = "json") -> str:
-    """Upserts new files into a table by key, the row of the largest ordinal winning whatever order files come in.
+def quota_stream(rows: DataFrame, key: str, request: str, time: str, cost: str, quota: int, hours: float = 24, delay: str = "1 hour") -> DataFrame:
+    """The same over a stream whose requests come in any order, up to ``delay`` late: each is given out once the watermark has passed it.
 
-    Each batch writes the next version of the table, and the last version's path is returned. A batch that runs again
-    writes the same version again, so a restart changes nothing.
+    A key's state is one window and the requests that still wait; it ends when the watermark has passed the window. Requests
+    later than ``delay`` are beyond the watermark and Spark leaves them out, as are those without a time.
     """
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).format(fmt).load(source)
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    named = _requests(rows, key, request, time, cost).where("ts IS NOT NULL").withWatermark("ts", delay)
+    return named.groupBy("key").transformWithStateInPandas(_QuotaWindows(quota, hours), WINDOW_OUT, "Append", "EventTime")
+
 
-    def version(n: int) -> str:
-        return f"{target}/version={n}"
+def upsert_stream(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, keys: list[str], ordinal: str, fmt: str = "json", buckets: int = BUCKETS) -> None:
+    """Upserts new files into a table by key, the row of the largest ordinal winning whatever order files come in; see ``read_upserted``.
+
+    The table lies in buckets by key, and a version is a manifest of which bucket stands in which folder. A batch rewrites the
+    buckets that it touches and commits by its manifest, which is written last. A batch that runs again after its commit
+    changes nothing; before it, it writes the same again. Readers of a version may go on while the next is written: only
+    what neither of the last two versions names is removed. The number of buckets stays what it was at first.
+    """
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).format(fmt).load(source)
 
     def merge(batch: DataFrame, n: int) -> None:
-        known = batch if n == 0 else batch.sparkSession.read.schema(batch.schema).parquet(version(n - 1)).unionByName(batch)
+        if n in _numbers(spark, f"{target}/manifest", "version="):
+            return
+        known = _manifest(spark, target, n - 1)
+        new = written(batch.withColumn("__bucket", _bucket(keys, buckets)), "batch")
+        touched = sorted(r["__bucket"] for r in new.select("__bucket").distinct().collect())
+        paths = [f"{target}/rows/version={known[b]}/__bucket={b}" for b in touched if b in known]
+        both = new.unionByName(spark.read.schema(batch.schema).parquet(*paths).withColumn("__bucket", _bucket(keys, buckets))) if paths else new
         rest = F.struct(*[c for c in batch.columns if c not in keys])
-        known.groupBy(*keys).agg(F.max_by(rest, ordinal).alias("r")).select(*keys, "r.*").write.mode("overwrite").parquet(version(n))
-
-    query = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge).trigger(availableNow=True).start()
-    query.awaitTermination()
-    done = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(target)
-    last = done.select(F.max(F.regexp_extract("path", r"version=([0-9]+)/", 1).cast("int"))).first()[0]
-    return version(last)
+        merged = both.groupBy("__bucket", *keys).agg(F.max_by(rest, F.struct(F.col(ordinal), rest)).alias("r")).select("__bucket", *keys, "r.*")
+        merged.write.mode("overwrite").partitionBy("__bucket").parquet(f"{target}/rows/version={n}")
+        entries = sorted({**known, **{b: n for b in touched}}.items())
+        spark.createDataFrame(entries, "__bucket int, version int").coalesce(1).write.mode("overwrite").parquet(f"{target}/manifest/version={n}")
+        for b, v in _manifest(spark, target, n - 2).items():
+            if known.get(b) != v:
+                remove(spark, f"{target}/rows/version={v}/__bucket={b}")
+        remove(spark, f"{target}/manifest/version={n - 2}")
+
+    rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge).trigger(availableNow=True).start().awaitTermination()
+
+
+def _manifest(spark: SparkSession, target: str, n: int) -> dict[int, int]:
+    """The folder's version of each bucket in version ``n``; at most as many rows as buckets."""
+    if n not in _numbers(spark, f"{target}/manifest", "version="):
+        return {}
+    return {r["__bucket"]: r["version"] for r in spark.read.schema("__bucket int, version int").parquet(f"{target}/manifest/version={n}").collect()}
+
+
+def read_upserted(spark: SparkSession, target: str, schema: str) -> DataFrame:
+    """The last committed version."""
+    versions = _numbers(spark, f"{target}/manifest", "version=")
+    paths = [f"{target}/rows/version={v}/__bucket={b}" for b, v in _manifest(spark, target, versions[-1]).items()] if versions else []
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)

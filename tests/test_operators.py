@@ -68,18 +68,6 @@ def test_missing_inputs_are_named(spark):
         readers.require_inputs(spark, "/tmp/nowhere-at-all")
 
 
-def test_quota_stream_equals_batch(spark):
-    source, checkpoint = scratch(spark, "quota"), scratch(spark, "quota-state")
-    at = pd.Timestamp("2024-01-01")
-    rows = spark.createDataFrame([(k, i, (at + pd.Timedelta(hours=7 * i + k)).to_pydatetime(), 1) for k in range(3) for i in range(9)], "user long, request long, ts timestamp, cost long")
-    rows.coalesce(1).write.parquet(source)
-    stream = spark.readStream.schema(rows.schema).parquet(source)
-    q = ingest.quota_stream(stream, "user", "request", "ts", "cost", 2).writeStream.format("memory").queryName("quota").option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
-    q.awaitTermination()
-    key = lambda r: (r["key"], r["request"], r["window_start"], r["used"], r["over"])
-    assert sorted(map(key, spark.table("quota").collect())) == sorted(map(key, ingest.quota_batch(rows, "user", "request", "ts", "cost", 2).collect()))
-
-
 def test_orders(spark, sf_dir):
     import duckdb
 
@@ -134,15 +122,6 @@ def test_reading_and_observing(spark):
         spark.read.text(none).count()
 
 
-def test_keys_are_remembered_for_a_while(spark):
-    source, target, state = (scratch(spark, n) for n in ("in", "out", "state"))
-    day = lambda n: f"2024-01-{n:02d} 00:00:00"
-    for part in ([(1, day(1)), (2, day(1)), (1, day(2))], [(1, day(2)), (3, day(20))], [(2, day(21))]):
-        spark.createDataFrame(part, "k long, t string").coalesce(1).write.mode("append").json(source)
-        ingest.ingest_files(spark, source, "k BIGINT, t TIMESTAMP", target, state, "k", time="t", delay="2 days")
-    assert sorted(r["k"] for r in spark.read.parquet(target).collect()) == [1, 2, 2, 3]  # 2 came back long after
-
-
 def test_hot_keys_fold_in_order(spark):
     rows = spark.range(3000).select((F.col("id") % 3 == 0).cast("string").alias("u"), "id", (F.lit("2024-01-01").cast("timestamp") + F.make_interval(hours=F.col("id").cast("int"))).alias("t"), F.lit(1).alias("c"))
     got = ingest.quota_batch(rows.repartition(7), "u", "id", "t", "c", 10).orderBy("key", "request").collect()
