@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import written
+from .order import count_before, numbered
+
 
 def zone(value: str, low: Column, high: Column, labels: tuple[str, str, str]) -> Column:
     """The label of a value below, between or above two cut points."""
@@ -55,18 +58,25 @@ def zone_pairs(rows: DataFrame, group: str, zone: str) -> DataFrame:
     return pairs.select(F.col("ga").alias(group), "zone_a", "zone_b", count.alias("n"))
 
 
-def distant_pairs(rows: DataFrame, group: str, key: str, value: str, least: float) -> DataFrame:
-    """(group, a, b, distance): pairs of a list whose values are at least so far apart, a below b by key.
+def distant_partners(rows: DataFrame, group: str, key: str, value: str, least: Column | float, k: int) -> DataFrame:
+    """(group, key, nth, partner, distance): of the rows of a list that are at least so far apart, the ``k`` nearest of each.
 
-    Values are cut into bands as wide as the threshold: only pairs of different bands can qualify, and a band meets the
-    bands above it only, so no list is paired with itself as a whole where its values lie close.
+    Of one distance the partner above comes first, then the smaller key above or the larger below. ``least`` is positive.
+    Rows without a value have no partners. No pairs are made: in the whole order of list, value and key, the first partner
+    above and below stands where the value plus or minus ``least`` would, which is a count of rows before; the ``k`` places
+    from there are looked up by number.
     """
-    r = rows.select(group, F.col(key).alias("k"), F.col(value).alias("v")).withColumn("band", F.floor(F.col("v") / least))
-    levels = r.select(group, "band").distinct()
-    lifted = r.join(levels.withColumnRenamed("band", "above"), group).where("above > band")
-    x = lifted.select(group, F.col("above").alias("band"), F.col("k").alias("k1"), F.col("v").alias("v1"))
-    pairs = x.join(r, [group, "band"]).where(F.col("v") - F.col("v1") >= least)
-    return pairs.select(group, F.least("k", "k1").alias("a"), F.greatest("k", "k1").alias("b"), (F.col("v") - F.col("v1")).alias("distance"))
+    r = rows.where(F.col(value).isNotNull()).select(F.col(group).alias("g"), F.col(key).alias("k"), F.col(value).alias("v"))
+    placed = written(numbered(r, [F.col("g"), F.col("v"), F.col("k")]), "placed")
+    events = placed.select("g", "v")
+    ahead = count_before(events, placed.select("g", "k", (F.col("v") + least).cast(r.schema["v"].dataType).alias("v"), F.col("v").alias("own")), ["g"], "v", inclusive=False)
+    behind = count_before(events, placed.select("g", "k", (F.col("v") - least).cast(r.schema["v"].dataType).alias("v"), F.col("v").alias("own")), ["g"], "v", inclusive=True)
+    places = lambda first, step: F.explode(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: first + i * step)).alias("place")
+    wanted = ahead.select("g", "k", "own", places(F.col("before"), 1), F.lit(0).alias("side")).unionByName(behind.select("g", "k", "own", places(F.col("before") - 1, -1), F.lit(1).alias("side")))
+    other = placed.select("place", F.col("g").alias("g2"), F.col("k").alias("partner"), F.col("v").alias("v2"))
+    met = wanted.join(other, "place").where(F.col("g").eqNullSafe(F.col("g2"))).withColumn("distance", F.abs(F.col("v2") - F.col("own")))
+    order = Window.partitionBy("g", "k", "own").orderBy("distance", "side", F.when(F.col("side") == 0, F.col("place")).otherwise(-F.col("place")))
+    return met.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k).select(F.col("g").alias(group), F.col("k").alias(key), "nth", "partner", "distance")
 
 
 def correlation_matrix(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -78,11 +88,48 @@ def correlation_matrix(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def support_shares(rows: DataFrame, group: str, support: str, width: str, least: int, edges: list[int]) -> DataFrame:
-    """(group, bucket, n, share_supported, median_width): by buckets of support."""
+    """(group, bucket, n, share_supported, median_width): by buckets of support; medians hold a group's values, see ``support_sketches``."""
     bucket = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= F.col(support)))
     return rows.groupBy(group, bucket.alias("bucket")).agg(F.count("*").alias("n"), F.avg((F.col(support) >= least).cast("double")).alias("share_supported"), F.percentile(width, 0.5).alias("median_width"))
 
 
+#: Leading bits of a value that its slot in a sketch keeps: a slot's values differ by less than 1 / 2^(BITS - 1) of themselves.
+BITS = 8
+
+
+def slot(value: Column, unit: float, bits: int = BITS) -> Column:
+    """The least magnitude of a value's slot in units: its leading bits, the others 0, with its sign. Small values are exact."""
+    n = F.round(value / unit).cast("long")
+    size = F.abs(n)
+    drop = F.greatest(F.length(F.bin(size)) - bits, F.lit(0))
+    return F.signum(n).cast("long") * F.call_function("shiftleft", F.call_function("shiftright", size, drop), drop)
+
+
+def sketch(rows: DataFrame, keys: list[str], value: str, unit: float, bits: int = BITS) -> DataFrame:
+    """(keys, slot, n): how many values of a group lie in each slot; null values in none. Sketches merge by addition."""
+    return rows.where(F.col(value).isNotNull()).groupBy(*keys, slot(F.col(value), unit, bits).alias("slot")).agg(F.count("*").alias("n"))
+
+
+def merge_sketches(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """The sketch of both tables together."""
+    return a.unionByName(b).groupBy(*keys, "slot").agg(F.sum("n").alias("n"))
+
+
+def sketch_quantile(sketches: DataFrame, keys: list[str], q: float, unit: float) -> DataFrame:
+    """(keys, quantile): the slot of the value at rank ceil(q n), at least 1. That slot holds the exact value at this rank, so
+    the answer is below it in magnitude by less than 1 / 2^(BITS - 1) of it. A group has at most some thousand slots."""
+    w = Window.partitionBy(*keys)
+    upto = F.sum("n").over(w.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = sketches.withColumns({"__upto": upto, "__rank": F.greatest(F.ceil(F.lit(q) * F.sum("n").over(w)), F.lit(1))})
+    return ranked.where(F.col("__upto") >= F.col("__rank")).groupBy(*keys).agg((F.min("slot") * unit).alias("quantile"))
+
+
+def support_sketches(rows: DataFrame, group: str, support: str, width: str, edges: list[int], unit: float) -> DataFrame:
+    """(group, bucket, slot, n): widths by buckets of support, as sketches, for medians over tables of any size."""
+    bucket = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= F.col(support)))
+    return sketch(rows.withColumn("bucket", bucket), [group, "bucket"], width, unit)
+
+
 def decode_mask(rows: DataFrame, mask: str, codes: DataFrame, bit: str, label: str, key: str) -> DataFrame:
     """(key, labels): the labels of the bits that a mask has set."""
     joined = rows.select(key, F.col(mask).alias("__m")).join(F.broadcast(codes), F.col("__m").bitwiseAND(F.col(bit)) != 0, "left")  # a code table has a row for each bit of an int

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import functools
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..storage import folders, written
 
 
 def translate_keys(df: DataFrame, key: str, key_map: DataFrame, source: str, target: str, fallback: Column | None = None) -> DataFrame:
@@ -32,41 +37,68 @@ def accept_search(name: Column, search: str) -> Column:
     return F.coalesce(first["nubKey"], first["key"])
 
 
-def resolve_cascade(candidates: DataFrame, accepted: DataFrame, responses: DataFrame) -> DataFrame:
+def resolve_cascade(candidates: DataFrame, accepted: DataFrame, responses: DataFrame, counts: dict[str, int] | None = None) -> DataFrame:
     """(source, name, target, via) for candidates (source, name): each stage looks at what the stages before left.
 
     accepted: (key, name, ord); responses: (source, matchType, confidence, status, usageKey, acceptedUsageKey, species, genus, search).
+    A stage's rows are written, the next stage reads those without a target, and when none is left no stage follows; so
+    responses are looked up for what neither key nor name has resolved. ``counts``, where given, gets how many rows each stage read.
     """
     keys = accepted.select(F.col("key").alias("k")).distinct()
     by_name = accepted.groupBy("name").agg(F.min_by("key", "ord").alias("nk"))
-    rows = candidates.join(responses.select("source", F.struct(*[c for c in responses.columns if c != "source"]).alias("r")), "source", "left")
-    rows = rows.withColumns({
-        "direct": F.expr("try_cast(source AS BIGINT)"),
-        "matched": accept_match(),
-        "species": F.when(accept_match().isNotNull() | F.col("r.species").isNotNull(), F.col("r.species")),
-        "made": F.concat_ws(" ", F.col("r.genus"), T.guarded_epithet("name")),
-        "searched": F.when(T.has_group_mark("name"), accept_search(F.col("name"), "r.search")),
-    })
-
-    def known(df: DataFrame, column: str, alias: str) -> DataFrame:
-        return df.join(keys.withColumnRenamed("k", alias), F.col(column) == F.col(alias), "left")
-
-    def named(df: DataFrame, column: Column, alias: str) -> DataFrame:
-        return df.withColumn("__n", column).join(by_name.select(F.col("name").alias("__m"), F.col("nk").alias(alias)), F.col("__n") == F.col("__m"), "left").drop("__n", "__m")
-
-    rows = known(named(known(rows, "direct", "t1"), F.col("name"), "t2"), "matched", "t3")
-    rows = named(named(rows, F.col("species"), "t4"), F.when(T.guarded_epithet("name").isNotNull() & F.col("r.genus").isNotNull(), F.col("made")), "t5")
-    rows = known(rows, "searched", "t6")
-    stages = {"direct": "t1", "name": "t2", "match": "t3", "match-name": "t4", "genus-epithet": "t5", "aggregate": "t6"}
-    via = F.coalesce(*[F.when(F.col(t).isNotNull(), F.lit(v)) for v, t in stages.items()], F.lit("none"))
-    return rows.select("source", "name", F.coalesce(*stages.values()).alias("target"), via.alias("via"))
-
-
-def resolve_new(candidates: DataFrame, stored: DataFrame, resolve) -> DataFrame:
+    answered = lambda df: df.join(responses.select("source", F.struct(*[c for c in responses.columns if c != "source"]).alias("r")), "source", "left")
+    known = lambda df: df.join(keys.withColumnRenamed("k", "target"), F.col("at") == F.col("target"), "left")
+    named = lambda df: df.join(by_name.select(F.col("name").alias("__m"), F.col("nk").alias("target")), F.col("at") == F.col("__m"), "left").drop("__m")
+    epithet = T.guarded_epithet("name")
+    stages = [
+        ("direct", F.expr("try_cast(source AS BIGINT)"), known),
+        ("name", F.col("name"), named),
+        ("match", accept_match(), known),
+        ("match-name", F.when(accept_match().isNotNull() | F.col("r.species").isNotNull(), F.col("r.species")), named),
+        ("genus-epithet", F.when(epithet.isNotNull() & F.col("r.genus").isNotNull(), F.concat_ws(" ", F.col("r.genus"), epithet)), named),
+        ("aggregate", F.when(T.has_group_mark("name"), accept_search(F.col("name"), "r.search")), known),
+    ]
+    rest, done = candidates.select("source", "name"), []
+    for via, column, look in stages:
+        if via == "match":
+            rest = answered(rest)
+        seen = Observation(f"{via} {uuid.uuid4().hex}")
+        tried = written(look(rest.observe(seen, F.count("*").alias("n")).withColumn("at", column)).drop("at"), "cascade")
+        if counts is not None:
+            counts[via] = seen.get["n"]
+        done.append(tried.where("target IS NOT NULL").select("source", "name", "target", F.lit(via).alias("via")))
+        rest = tried.where("target IS NULL").drop("target")
+        if rest.isEmpty():
+            break
+    done.append(rest.select("source", "name", F.lit(None).cast(accepted.schema["key"].dataType).alias("target"), F.lit("none").alias("via")))
+    return functools.reduce(DataFrame.unionByName, done)
+
+
+def resolve_new(candidates: DataFrame, stored: DataFrame, resolve: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The stored map with what ``resolve`` gives for candidates that it lacks."""
     return stored.unionByName(resolve(candidates.join(stored.select("source"), "source", "left_anti")))
 
 
+def stored_map(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The map of all generations; none yet gives an empty one."""
+    found = [f"{path}/{g}" for g in folders(spark, path) if "_SUCCESS" in folders(spark, f"{path}/{g}")]
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
+
+
+def resolve_generation(candidates: DataFrame, path: str, schema: str, resolve: Callable[[DataFrame], DataFrame], failed: str = "error") -> DataFrame:
+    """The stored map after a run: candidates (source, ...) that it lacks are resolved and written as its next generation.
+
+    ``resolve`` sees each source once and gives rows of the schema; those whose ``via`` is ``failed`` are not stored, so the
+    next run tries them again. A generation counts when it is written whole; one that was left half written is written anew.
+    """
+    spark = candidates.sparkSession
+    known = stored_map(spark, path, schema)
+    new = candidates.dropDuplicates(["source"]).join(known.select("source"), "source", "left_anti")
+    done = [g for g in folders(spark, path) if "_SUCCESS" in folders(spark, f"{path}/{g}")]
+    resolve(new).where(F.col("via").isNull() | (F.col("via") != failed)).select(*known.columns).write.mode("overwrite").parquet(f"{path}/generation-{len(done):06d}")
+    return stored_map(spark, path, schema)
+
+
 def _entry(path: int, via: str):
     return lambda n: F.struct(F.lit(path).alias("path"), F.lit(via).alias("via"), n.alias("name"))
 
@@ -119,6 +151,7 @@ def direct_values(rows: DataFrame, row_key: str, name: str, values: DataFrame, v
 
 def bridge_values(rows: DataFrame, row_key: str, name: str, synonyms: str, values: DataFrame, value_name: str, value: str) -> DataFrame:
     """(row_key, value, n_hits, agreed): the value that all synonyms of two words and the same epithet stem agree on."""
+    values = values.select(value_name, value).distinct()  # a name that stands twice with one value is one hit
     syn = rows.select(row_key, T.epithet_stem(T.binomial(name)).alias("stem"), F.explode(synonyms).alias("s")).withColumn("b", T.binomial("s"))
     syn = syn.where((F.size(F.split(T.one_blank("s"), " ")) == 2) & (T.epithet_stem("b") == F.col("stem")))
     hits = syn.join(values.select(F.col(value_name).alias("b"), F.col(value).alias("v")), "b")
@@ -141,7 +174,3 @@ def wanted_subset(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str,
     """Rows of wanted keys in the list's order."""
     out = rows.join(wanted.groupBy(F.col(wanted_key).alias(key)).agg(F.min(ordinal).alias("wanted_ord")), key).orderBy("wanted_ord")
     return out.limit(limit) if limit else out
-
-
-def top_per_name(rows: DataFrame, name: str, order: list[Column | str]) -> DataFrame:
-    return rows.withColumn("nth", F.row_number().over(Window.partitionBy(name).orderBy(*order))).where("nth = 1").drop("nth")

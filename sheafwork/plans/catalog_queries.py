@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -162,11 +162,22 @@ def key_cascade(spark: SparkSession, d: str) -> DataFrame:
     return resolve.resolve_cascade(candidates, accepted, responses).select(F.col("source").cast("bigint").alias("source"), "target", "via")
 
 
-@query("cached_resolution", "SELECT DISTINCT o_custkey AS source, CASE WHEN o_custkey % 2 = 0 THEN 'stored' ELSE 'new' END AS via FROM orders")
+@query("cached_resolution", """
+WITH k AS (SELECT DISTINCT o_custkey FROM orders), c AS (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+SELECT o_custkey AS source, c_custkey AS target, CASE WHEN o_custkey % 2 = 0 THEN 'first' WHEN c_custkey IS NULL THEN 'none' ELSE 'second' END AS via
+FROM k LEFT JOIN c ON c_custkey = o_custkey WHERE o_custkey % 2 = 1 OR c_custkey IS NOT NULL OR o_custkey % 4 = 0
+""")
 def cached_resolution(spark: SparkSession, d: str) -> DataFrame:
-    keys = table(spark, d, "orders").select(F.col("o_custkey").alias("source")).distinct()
-    stored = keys.where("source % 2 = 0").withColumn("via", F.lit("stored"))
-    return resolve.resolve_new(keys, stored, lambda new: new.withColumn("via", F.lit("new")))
+    """A first run over half of the keys stores what it finds and part of what it doesn't; errors are left out of both."""
+    path, schema = scratch(spark, "map"), "source BIGINT, target BIGINT, via STRING"
+    keys = table(spark, d, "orders").select(F.col("o_custkey").alias("source"))
+    known = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("target"))
+
+    def look(via: str, missing: Column):
+        return lambda new: new.join(known, F.col("source") == F.col("target"), "left").withColumn("via", F.when(F.col("target").isNotNull(), via).otherwise(missing))
+
+    resolve.resolve_generation(keys.where("source % 2 = 0"), path, schema, look("first", F.when(F.col("source") % 4 == 0, "first").otherwise("error")))
+    return resolve.resolve_generation(keys, path, schema, look("second", F.when(F.col("source") % 2 == 1, "none").otherwise("error")))
 
 
 @query("first_wins_index", r"""
@@ -715,9 +726,28 @@ def band_overlap(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", F.round(o, 4).alias("overlap"))
 
 
-@query("pair_distance", "SELECT a.s_nationkey, least(a.s_suppkey, b.s_suppkey) AS a, greatest(a.s_suppkey, b.s_suppkey) AS b, round(abs(a.s_acctbal - b.s_acctbal), 2) AS distance FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey < b.s_suppkey WHERE abs(a.s_acctbal - b.s_acctbal) >= 5000")
+@query("pair_distance", """
+WITH r AS (SELECT *, round(s_acctbal * 100)::BIGINT AS v FROM supplier),
+p AS (SELECT a.s_nationkey, a.s_suppkey, b.s_suppkey AS partner, abs(a.v - b.v) AS d,
+  row_number() OVER (PARTITION BY a.s_suppkey ORDER BY abs(a.v - b.v), b.v < a.v, CASE WHEN b.v < a.v THEN -b.s_suppkey ELSE b.s_suppkey END) AS nth
+  FROM r a JOIN r b ON a.s_nationkey = b.s_nationkey AND abs(a.v - b.v) >= 300000)
+SELECT s_nationkey, s_suppkey, nth::INT AS nth, partner, d AS distance FROM p WHERE nth <= 3
+""")
 def pair_distance(spark: SparkSession, d: str) -> DataFrame:
-    return indicators.distant_pairs(table(spark, d, "supplier"), "s_nationkey", "s_suppkey", "s_acctbal", 5000).withColumn("distance", F.round("distance", 2))
+    rows = table(spark, d, "supplier").withColumn("v", F.round(F.col("s_acctbal") * 100).cast("long"))
+    return indicators.distant_partners(rows, "s_nationkey", "s_suppkey", "v", F.lit(300_000), 3)
+
+
+@query("order_gaps", """
+WITH r AS (SELECT o_custkey, o_orderkey, epoch_us(o_orderdate) // 86400000000 AS day FROM orders),
+p AS (SELECT a.o_custkey, a.o_orderkey, b.o_orderkey AS partner, abs(a.day - b.day) AS d,
+  row_number() OVER (PARTITION BY a.o_custkey, a.o_orderkey ORDER BY abs(a.day - b.day), b.day < a.day, CASE WHEN b.day < a.day THEN -b.o_orderkey ELSE b.o_orderkey END) AS nth
+  FROM r a JOIN r b ON a.o_custkey = b.o_custkey AND abs(a.day - b.day) >= 30)
+SELECT o_custkey, o_orderkey, nth::INT AS nth, partner, d AS distance FROM p WHERE nth <= 2
+""")
+def order_gaps(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").withColumn("day", F.floor(F.unix_micros(F.col("o_orderdate").cast("timestamp")) / 86_400_000_000).cast("long"))
+    return indicators.distant_partners(rows, "o_custkey", "o_orderkey", "day", F.lit(30), 2)
 
 
 @query("corr_matrix", """
@@ -734,6 +764,20 @@ def support_share(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({"share_supported": F.round("share_supported", 6), "median_width": F.round("median_width", 3)})
 
 
+@query("support_medians", """
+WITH r AS (SELECT l_returnflag, (l_quantity >= 10)::INT + (l_quantity >= 30)::INT AS bucket, round(l_extendedprice / 0.01)::BIGINT AS v FROM lineitem),
+m AS (SELECT l_returnflag, bucket, count(*) AS n, quantile_disc(v, 0.5) AS v, quantile_disc(v, 0.9) AS top FROM r GROUP BY 1, 2)
+SELECT l_returnflag, bucket, n, round(((v >> greatest(length(bin(v)) - 8, 0)) << greatest(length(bin(v)) - 8, 0)) * 0.01::DOUBLE, 2) AS median,
+  round(((top >> greatest(length(bin(top)) - 8, 0)) << greatest(length(bin(top)) - 8, 0)) * 0.01::DOUBLE, 2) AS ninth FROM m
+""")
+def support_medians(spark: SparkSession, d: str) -> DataFrame:
+    rows, keys = table(spark, d, "lineitem"), ["l_returnflag", "bucket"]
+    some = lambda n: indicators.support_sketches(rows.where(F.col("l_linenumber") % 2 == n), "l_returnflag", "l_quantity", "l_extendedprice", [10, 30], 0.01)
+    both = written(indicators.merge_sketches(some(0), some(1), keys), "sketches")
+    medians, ninths = (indicators.sketch_quantile(both, keys, q, 0.01).withColumn("quantile", F.round("quantile", 2)).withColumnRenamed("quantile", name) for q, name in ((0.5, "median"), (0.9, "ninth")))
+    return both.groupBy(*keys).agg(F.sum("n").alias("n")).join(medians, keys).join(ninths, keys)
+
+
 _CODES = "(VALUES (1, 'one'), (2, 'two'), (4, 'four'), (8, 'eight'), (16, 'sixteen'), (32, 'thirtytwo'))"
 
 

@@ -19,11 +19,79 @@ def test_cascade_stages(spark):
         ("94", "NONE", 0, None, None, None, None, None, [(5, 2, "SPECIES", "ACCEPTED", "Taraxacum", None, None)]), ("95", "FUZZY", 80, "ACCEPTED", 1, None, None, None, None),
     ]
     responses = spark.createDataFrame(rows, f"source string, matchType string, confidence int, status string, usageKey long, acceptedUsageKey long, species string, genus string, search {search}")
-    for n in (1, 4, 16):
-        got = {r["source"]: (r["target"], r["via"]) for r in resolve.resolve_cascade(candidates.repartition(n), accepted.repartition(n), responses).collect()}
+    for n in (1, 4):
+        counts = {}
+        got = {r["source"]: (r["target"], r["via"]) for r in resolve.resolve_cascade(candidates.repartition(n), accepted.repartition(n), responses, counts).collect()}
+        assert counts == {"direct": 7, "name": 6, "match": 5, "match-name": 4, "genus-epithet": 3, "aggregate": 2}
         assert got == {"1": (1, "direct"), "90": (3, "name"), "91": (4, "match"), "92": (1, "match-name"), "93": (4, "genus-epithet"), "94": (2, "aggregate"), "95": (None, "none")}
 
 
+def test_a_cascade_stops_when_nothing_is_left(spark):
+    accepted = spark.createDataFrame([(1, "A", 0)], "key long, name string, ord int")
+    responses = spark.createDataFrame([], "source string, matchType string, confidence int, status string, usageKey long, acceptedUsageKey long, species string, genus string, search array<struct<key:bigint,nubKey:bigint,rank:string,taxonomicStatus:string,genus:string,species:string,canonicalName:string>>")
+    counts = {}
+    got = resolve.resolve_cascade(spark.createDataFrame([("1", "x"), ("2", "A")], "source string, name string"), accepted, responses, counts)
+    assert sorted(map(tuple, got.collect())) == [("1", "x", 1, "direct"), ("2", "A", 1, "name")] and counts == {"direct": 2, "name": 1}
+
+
+def test_errors_are_tried_again(spark):
+    path, schema = scratch(spark, "map"), "source string, target long, via string"
+    keys = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "source string")
+    tried = []
+
+    def look(down):
+        def run(new):
+            tried.append(sorted(r["source"] for r in new.collect()))
+            return new.select("source", F.lit(1).cast("long").alias("target"), F.when(F.col("source").isin(down), "error").otherwise("match").alias("via"))
+
+        return run
+
+    spark.createDataFrame([("z", 9, "half")], schema).write.parquet(f"{path}/generation-000000")
+    (spark._jvm.java.io.File(f"{path}/generation-000000/_SUCCESS")).delete()  # a generation that was never finished
+    assert {r["source"] for r in resolve.resolve_generation(keys, path, schema, look(["c"])).collect()} == {"a", "b"}
+    assert {r["source"] for r in resolve.resolve_generation(keys, path, schema, look([])).collect()} == {"a", "b", "c"}
+    assert resolve.resolve_generation(keys, path, schema, look([])).count() == 3
+    assert tried == [["a", "b", "c"], ["c"], []]
+
+
+def test_partners_by_place(spark):
+    import random
+
+    from sheafwork.operators import indicators
+
+    r = random.Random(8)
+    rows = [(r.choice(["x", "y", None]), i, r.randrange(0, 40)) for i in range(120)] + [("x", 500, None), ("z", 501, 7)]
+    frame = spark.createDataFrame(rows, "g string, k int, v long").repartition(5)
+    want = set()
+    for g, k, v in rows:
+        if v is None:
+            continue
+        far = sorted((abs(v2 - v), v2 < v, -k2 if v2 < v else k2, k2) for g2, k2, v2 in rows if g2 == g and v2 is not None and abs(v2 - v) >= 9)
+        want |= {(g, k, n + 1, x[3], x[0]) for n, x in enumerate(far[:4])}
+    got = list(map(tuple, indicators.distant_partners(frame, "g", "k", "v", F.lit(9), 4).collect()))
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_sketches_err_by_little(spark):
+    import random
+
+    from sheafwork.operators import indicators
+
+    r = random.Random(1)
+    rows = [(g, round(r.lognormvariate(2, 2) * (-1 if g == "n" else 1), 2)) for g in "abn" for _ in range(700)] + [("e", 0.0), ("e", None), ("o", None)]
+    frame = spark.createDataFrame(rows, "g string, v double")
+    parts = [indicators.sketch(p, ["g"], "v", 0.01) for p in (frame.where("v < 5"), frame.where("v >= 5"))]
+    merged = indicators.merge_sketches(*parts, ["g"])
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, indicators.sketch(frame, ["g"], "v", 0.01).collect()))
+    for q in (0.0, 0.1, 0.5, 0.99, 1.0):
+        got = {x["g"]: x["quantile"] for x in indicators.sketch_quantile(merged, ["g"], q, 0.01).collect()}
+        assert set(got) == {"a", "b", "n", "e"} and got["e"] == 0
+        for g in "abn":
+            values = sorted(v for h, v in rows if h == g)
+            exact = values[max(1, -int(-q * len(values) // 1)) - 1]
+            assert abs(got[g] - exact) <= abs(exact) / 2 ** (indicators.BITS - 1) + 1e-9
+
+
 def test_bridge_needs_consensus(spark):
     rows = spark.createDataFrame([(1, "Picea glauca", ["Abies glauca", "Pinus glauca"]), (2, "Acer rubrum", ["Acer rubra", "Acer ruber"]), (3, "Poa alba", ["Poa nigra"])], "k int, n string, s array<string>")
     values = spark.createDataFrame([("abies glauca", 1), ("pinus glauca", 2), ("acer rubra", 7), ("poa nigra", 3)], "n string, v int")
