@@ -244,21 +244,52 @@ def composed_name(common: ColumnLike, parent_common: ColumnLike, scientific: Col
     return F.struct(F.coalesce(own, made, strip_authorship(sci)).alias("name"), source.alias("source"))
 
 
-def repaired(short: ColumnLike, full: ColumnLike) -> Column:
-    """The full name where the short one is cut off from it, with straight apostrophes."""
-    a, b = same_apostrophe(short), same_apostrophe(full)
-    return F.when(b.startswith(a) & (b != a), b).otherwise(a)
+# Signs that open a sort's name, and signs that close it.
+OPENING, CLOSING = "ʽ‘'´`", "’'´`"
+
+
+def sort_part(x: ColumnLike) -> Column:
+    """What stands between a name's first opening sign and a closing one at its end; null where the name ends before that.
+
+    Signs aren't counted: a genitive inside a sort's name has one of its own.
+    """
+    return F.nullif(F.regexp_extract(F.coalesce(_c(x), F.lit("")), rf"[{OPENING}](.+)[{CLOSING}]\s*$", 1), F.lit(""))
+
+
+def is_cut_off(x: ColumnLike) -> Column:
+    """Whether a name opens a sort's name and never closes it."""
+    return F.coalesce(_c(x).rlike(f"[{OPENING}]") & sort_part(x).isNull(), F.lit(False))
+
+
+def completed_name(canonical: ColumnLike, scientific: ColumnLike) -> Column:
+    """The scientific name where the canonical one is cut off in its sort's name and the scientific one goes on from there, with straight apostrophes."""
+    goes_on = is_cut_off(canonical) & F.coalesce(_c(scientific).startswith(_c(canonical)), F.lit(False)) & sort_part(scientific).isNotNull()
+    return same_apostrophe(F.when(goes_on, _c(scientific)).otherwise(_c(canonical)))
+
+
+def completed_common_name(common: ColumnLike, canonical: ColumnLike, scientific: ColumnLike) -> Column:
+    """A common name whose sort was cut at a genitive, with the whole sort of the botanical name if that begins with it; straight apostrophes."""
+    whole, short = F.coalesce(sort_part(scientific), sort_part(canonical)), sort_part(common)
+    parts = rf"^([^{OPENING}]*[{OPENING}])(.+)([{CLOSING}])\s*$"
+    made = F.concat(F.regexp_extract(_c(common), parts, 1), whole, F.regexp_extract(_c(common), parts, 3))
+    return same_apostrophe(F.when(F.coalesce((short != whole) & whole.startswith(short), F.lit(False)), made).otherwise(_c(common)))
 
 
 def normal_licence(x: ColumnLike) -> Column:
-    """A licence's short name from its address or text; other texts stay."""
-    low = F.lower(text(x))
-    kind = F.regexp_extract(low, r"(?:creativecommons\.org/licenses/|cc[ -])(by(?:-nc)?(?:-sa|-nd)?)", 1)
-    return F.when(low.rlike(r"publicdomain/zero|cc[ -]?0"), "cc-0").when(kind != "", F.concat(F.lit("cc-"), kind)).otherwise(_c(x))
+    """A licence's short name: a short form in lower case, a text "CC BY ..." joined by hyphens without its version, the kind in an
+    address of a licence, cc-0 for the public domain's; other texts stay, empty ones are null."""
+    low = F.lower(_c(x))
+    joined = F.regexp_replace(F.regexp_replace(low, r"\s+", "-"), r"^(.*?)-?[0-9]+\.[0-9]+", "$1")
+    kind = F.regexp_extract(low, r"licenses/([a-z-]+)", 1)
+    return (
+        F.when(_c(x) == "", F.lit(None)).when(low.startswith("cc-"), low).when(low.rlike(r"^cc\s+by"), F.regexp_replace(joined, "-+$", ""))
+        .when(low.contains("creativecommons.org/licenses/") & (kind != ""), F.concat(F.lit("cc-"), kind)).when(low.contains("publicdomain/zero"), F.lit("cc-0")).otherwise(_c(x))
+    )
 
 
 def plain_text(x: ColumnLike) -> Column:
-    return one_blank(F.regexp_replace(_c(x), "<[^>]*>", " "))
+    """Without tags, white space as one blank; what tags part stays together."""
+    return one_blank(F.regexp_replace(_c(x), "<[^>]*>", ""))
 
 
 def without_suffix(x: ColumnLike) -> Column:
@@ -318,14 +349,18 @@ def with_width(address: ColumnLike, width: int, marker: str = "/image/cache/occu
 
 def drop_stress(x: ColumnLike) -> Column:
     """Without acute and grave, which lists set as reading aids; other diacritics stay."""
-    return F.translate(F.regexp_replace(_c(x), "[\u0300\u0301]", ""), "áàéèíìóòúùýÁÀÉÈÍÌÓÒÚÙÝ", "aaeeiioouuyAAEEIIOOUUY")
+    return F.translate(F.regexp_replace(_c(x), "[\u0300\u0301]", ""), "áàéèíìóòúùýỳÁÀÉÈÍÌÓÒÚÙÝỲćńǹŕśźĺẁẃĆŃǸŔŚŹĹẀẂ", "aaeeiioouuyyAAEEIIOOUUYYcnnrszlwwCNNRSZLWW")
+
+
+# Forms of the quote and of the dash in lists.
+LIST_QUOTES, LIST_DASHES = "‘’ʽʼ`´", "\u2010\u2011\u2012\u2013\u2014\u2015\u2212"
 
 
 def clean_list_text(x: ColumnLike) -> Column:
-    """A list's cell: no stress marks, quotes and dashes alike, no form feeds, brackets or what follows "in sorts", one blank behind commas."""
-    alike = F.translate(drop_stress(F.coalesce(_c(x), F.lit(""))), "‘’ʽʼ`´‐‑‒–—―−\f", "-------")
-    bare = F.regexp_replace(F.regexp_replace(alike, r"\([^)]*\)", " "), r"(?i)\s+in\s+Sorten\b.*$", "")
-    return one_blank(F.regexp_replace(bare, r"\s*,\s*", ", "))
+    """A list's cell: no stress marks, quotes and dashes alike, no form feeds, brackets or what follows "in sorts"; one blank before a quote and behind commas."""
+    alike = F.translate(drop_stress(F.coalesce(_c(x), F.lit(""))), LIST_QUOTES + LIST_DASHES + "\f", "'" * len(LIST_QUOTES) + "-" * len(LIST_DASHES))
+    bare = F.regexp_replace(F.regexp_replace(alike, r"\([^)]*\)", " "), r"(?i)\s+in\s+Sorten(?![A-Za-z0-9_]).*$", "")
+    return one_blank(F.regexp_replace(bare, r",(?=\S)", ", "))
 
 
 def list_rank(name: ColumnLike, given: ColumnLike) -> Column:

@@ -85,9 +85,10 @@ def override_report(manual: DataFrame, auto: DataFrame, key: str, required: list
 
 
 def combined_sources(sources: dict[str, DataFrame], allowed: dict[str, Column], url: str, columns: list[str]) -> DataFrame:
-    """Rows of several sources by each one's own filter, with where they are from; an address once, from the first source that has it."""
+    """Rows of several sources by each one's own filter, with where they are from; an address once, from the first source that has
+    it, there the smallest row."""
     rows = reduce(DataFrame.unionByName, [df.where(allowed[name]).select(*columns).withColumns({"provenance": F.lit(name), "__p": F.lit(i)}) for i, (name, df) in enumerate(sources.items())])
-    return rows.withColumn("__n", F.row_number().over(Window.partitionBy(url).orderBy("__p"))).where("__n = 1").drop("__n", "__p")
+    return rows.withColumn("__n", F.row_number().over(Window.partitionBy(url).orderBy("__p", *columns))).where("__n = 1").drop("__n", "__p")
 
 
 def rule_report(rows: DataFrame, group: str, rules: dict[str, tuple[str, Column]]) -> DataFrame:
@@ -97,10 +98,11 @@ def rule_report(rows: DataFrame, group: str, rules: dict[str, tuple[str, Column]
     return counts.select(group, long.alias("r")).select(group, "r.*").where("n > 0")
 
 
-def list_report(lists: DataFrame, entries: DataFrame, states: DataFrame, list_id: str, required: list[str], state_list: str, state: str, entry_list: str, name: str, label: str, key: str, ordinal: str) -> DataFrame:
+def list_report(lists: DataFrame, entries: DataFrame, states: DataFrame, list_id: str, required: list[str], state_list: str, state: str, entry_list: str, name: str, label: str, key: str, ordinal: str, file: str | None = None, files: DataFrame | None = None) -> DataFrame:
     """(list, severity, rule, n): what is wrong with lists and their entries, and the share of entries with a key in percent.
 
-    Lists: a required field that is missing, a scope of states without any, a state that isn't known, no entries at all.
+    Lists: a required field that is missing, a scope of states without any, a state that isn't known, no entries at all; and where
+    ``files`` (file) says which files there are, a ``file`` that isn't among them.
     Entries: no name, no label, and matched ones behind unmatched ones or either out of their names' order.
     """
     own = lists.select(F.col(list_id).alias("list"), *[F.col(c) for c in dict.fromkeys([*required, state_list]) if c != list_id])
@@ -109,7 +111,12 @@ def list_report(lists: DataFrame, entries: DataFrame, states: DataFrame, list_id
     fields = own.select("list", F.explode(F.filter(F.array(*missing, empty), lambda r: r.isNotNull())).alias("r")).select("list", "r.*")
     unknown = own.select("list", F.explode(state_list).alias("__s")).join(states.select(F.col(state).alias("__s")).distinct(), "__s", "left_anti").select("list", F.lit("warning").alias("severity"), F.lit("unknown state").alias("rule"))
     none = own.select("list").join(entries.select(F.col(entry_list).alias("list")).distinct(), "list", "left_anti").select("list", F.lit("error").alias("severity"), F.lit("no entries").alias("rule"))
-    counted = reduce(DataFrame.unionByName, [fields, unknown, none]).groupBy("list", "severity", "rule").agg(F.count("*").alias("n"))
+    absent = []
+    if file is not None and files is not None:
+        there = files.select(F.col("file").alias("__f")).distinct()
+        gone = lists.select(F.col(list_id).alias("list"), F.col(file).alias("__f")).join(there, "__f", "left_anti")
+        absent = [gone.select("list", F.lit("error").alias("severity"), F.lit("file not found").alias("rule"))]
+    counted = reduce(DataFrame.unionByName, [fields, unknown, none, *absent]).groupBy("list", "severity", "rule").agg(F.count("*").alias("n"))
 
     matched = F.col(key).isNotNull()
     at = Window.partitionBy(entry_list).orderBy(ordinal)

@@ -15,10 +15,7 @@ ORGAN_WORDS = {
     "bark": ["bark", "trunk", "écorce", "ecorce", "tronc", "rinde", "borke", "stamm", "corteza", "corteccia", "kora", "pień"],
     "habit": ["habit", "habitus", "tree", "shrub", "baum", "strauch", "arbre", "arbuste", "árbol", "arbol", "albero", "drzewo", "krzew", "ganzer", "whole"],
 }
-CIRCUMSTANCE = (
-    r"(?i)(?<![A-Za-z0-9_])(snow|ice|icicle|icicles|frost|freezing|rain|storm|wind|damage|damaged|covered|glaze|schnee|eis|regen|sturm|neige|along|near|street|road|avenue|park|garden|arboretum|cemetery|friedhof|jardin|"
-    r"ogród|strasse|straße)(?![A-Za-z0-9_])"
-)
+CIRCUMSTANCE = r"(?i)(?<![A-Za-z0-9_])(snow|ice|icicle|icicles|frost|freezing|rain|storm|wind|damage|damaged|covered|glaze|schnee|eis|regen|sturm|neige|along|near|street|road|avenue|park|garden|arboretum|cemetery|friedhof|jardin|ogród|strasse|straße)(?![A-Za-z0-9_])"  # noqa: E501
 NOISE = r"(?i)^([0-9]+|[a-z]{1,3}[0-9]{1,3}|dsc|img|p[0-9]+|by|von|de|the|a|an|and|und|in|at|on|of|mit|with|zz|kz)$"
 
 

@@ -84,7 +84,7 @@ def allow_list_gate(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("denied_and_photo", r"""
-SELECT page_id FROM pages WHERE trim(url) <> '' AND NOT regexp_matches(url, '(?i)(^|[^A-Za-z0-9_])(nc|nd|nonfree|fair use)($|[^A-Za-z0-9_])')
+SELECT page_id FROM pages WHERE trim(url) <> '' AND NOT regexp_matches(url, '(?i)(^|[^A-Za-z0-9_])(nc|nd|nonfree|non-free|fair use)($|[^A-Za-z0-9_])')
   AND NOT regexp_matches(url, '(?i)(^|[^A-Za-z0-9_])(map|flag|plate|page[_ ][0-9]+)($|[^A-Za-z0-9_])')
 """)
 def denied_and_photo(spark: SparkSession, d: str) -> DataFrame:
@@ -858,7 +858,7 @@ def fulltext_index(spark: SparkSession, d: str) -> DataFrame:
     return search.search_words(search.word_index(part, "p_partkey", {"p_name": 10, "p_type": 5}), asked)
 
 
-@query("html_text", r"SELECT page_id, md5(trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[\s\x{A0}\x{0B}\x{1C}-\x{1F}\x{85}]+', ' ', 'g'))) AS text FROM pages")
+@query("html_text", r"SELECT page_id, md5(trim(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '[\s\x{A0}\x{0B}\x{1C}-\x{1F}\x{85}]+', ' ', 'g'))) AS text FROM pages")
 def html_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", F.md5(T.plain_text("html")).alias("text"))
 
@@ -875,11 +875,16 @@ def hashed_paths(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", T.hashed_path("p_name", "base").alias("path"))
 
 
-@query("licence_names", "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'cc-by-sa' WHEN 1 THEN 'cc-0' ELSE o_orderpriority END AS licence FROM orders")
+_LICENCES = {
+    "https://creativecommons.org/licenses/by-sa/4.0/": "cc-by-sa", "http://CreativeCommons.org/licenses/by-nc/4.0/legalcode": "cc-by-nc", "https://creativecommons.org/licenses/zero/1.0": "cc-zero", "CC BY-SA 2.0": "cc-by-sa",
+    "CC BY SA 4.0": "cc-by-sa", "cc by": "cc-by", "cc-by-4.0": "cc-by-4.0", "CC-BY": "cc-by", "CC0 1.0": "CC0 1.0", "https://creativecommons.org/publicdomain/zero/1.0/": "cc-0", "Public domain": "Public domain",
+}
+
+
+@query("licence_names", "SELECT o_orderkey, CASE o_orderkey % 13 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(_LICENCES.values())) + " WHEN 11 THEN NULL ELSE o_orderpriority END AS licence FROM orders")
 def licence_names(spark: SparkSession, d: str) -> DataFrame:
-    k = F.col("o_orderkey") % 3
-    raw = F.when(k == 0, "https://creativecommons.org/licenses/by-sa/4.0/").when(k == 1, "CC0 1.0").otherwise(F.col("o_orderpriority"))
-    return table(spark, d, "orders").select("o_orderkey", T.normal_licence(raw).alias("licence"))
+    raw = F.get(F.array(*map(F.lit, _LICENCES), F.lit("")), (F.col("o_orderkey") % 13).cast("int"))
+    return table(spark, d, "orders").select("o_orderkey", T.normal_licence(F.coalesce(raw, "o_orderpriority")).alias("licence"))
 
 
 @query("sort_keys", "SELECT doc_id, md5(lower(strip_accents(replace(text, 'ß', 'ss')))) AS key FROM documents")
@@ -983,10 +988,15 @@ def language_pages(spark: SparkSession, d: str) -> DataFrame:
     return out.select("p_brand", text.alias("names"), "first_page", "n_again")
 
 
-@query("page_images", "SELECT page_id FROM pages WHERE regexp_matches(url || '.jpg', '(?i)\\.(jpe?g|png)$') AND page_id % 3 <> 0")
+@query("page_images", r"""
+SELECT page_id, CASE WHEN page_id % 7 = 1 THEN 'CC BY' ELSE 'CC BY-SA' END AS licence, nullif(trim(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '[\s\x{A0}\x{0B}\x{1C}-\x{1F}\x{85}]+', ' ', 'g')), '') AS text
+FROM pages WHERE page_id % 6 NOT IN (4, 5) AND page_id % 7 IN (1, 2)
+""")
 def page_images(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "pages").select("page_id", F.concat("url", F.lit(".jpg")).alias("title"), "html", F.when(F.col("page_id") % 3 == 0, "CC BY-NC").otherwise("CC BY").alias("licence"))
-    return readers.flatten_pages(rows, "title", {"text": "html"}, "licence", filters.DENIED_LICENCE).select("page_id")
+    some = lambda values: F.get(F.array(*map(F.lit, values)), (F.col("page_id") % len(values)).cast("int"))
+    names, licences = [".jpg", ".JPEG", ".png", ".webp", ".gif", ".jpg.pdf"], ["", "<b>CC BY</b> ", "CC\nBY-SA", "Non-free logo", "CC BY-NC", "CC BY-ND 4.0", "<i> </i>"]
+    rows = table(spark, d, "pages").select("page_id", F.concat("url", some(names)).alias("title"), "html", some(licences).alias("licence"))
+    return readers.flatten_pages(rows, "title", {"text": "html"}, "licence", filters.DENIED_LICENCE).select("page_id", "licence", "text")
 
 
 @query("reject_split", "SELECT o_orderkey, CASE WHEN o_totalprice > 400000 THEN 'dear' ELSE 'pending' END AS reason FROM orders WHERE o_totalprice > 400000 OR o_orderstatus = 'P'")
@@ -1013,7 +1023,8 @@ def partner_export(spark: SparkSession, d: str) -> DataFrame:
 @query("keyed_upsert", "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'NEW' ELSE c_mktsegment END AS c_mktsegment FROM customer")
 def keyed_upsert(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    return sinks.upsert(c.where("c_custkey % 10 <> 0"), c.where("c_custkey % 5 = 0").withColumn("c_mktsegment", F.lit("NEW")), ["c_custkey"])
+    new = c.where("c_custkey % 5 = 0").select("c_custkey", F.explode(F.array(F.struct(F.lit(1).alias("at"), F.lit("OLD").alias("c_mktsegment")), F.struct(F.lit(2).alias("at"), F.lit("NEW").alias("c_mktsegment")))).alias("v")).select("c_custkey", "v.*")
+    return sinks.upsert(c.where("c_custkey % 10 <> 0"), new, ["c_custkey"], "at")
 
 
 @query("tree_slices", """
@@ -1141,11 +1152,13 @@ def facet_keys(spark: SparkSession, d: str) -> DataFrame:
     return readers.flatten_facets(pages, "counts")
 
 
-@query("detail_traits", "SELECT p_partkey, CASE WHEN p_size > 10 THEN p_type || ', ' || p_brand END AS growth FROM part")
+@query("detail_traits", 'SELECT p_partkey AS "taxonKey", \'de\' AS lang, \'2024-01-02\' AS at, CASE WHEN p_size > 10 THEN p_type || \', \' || p_brand END AS growth, p_name AS name FROM part')
 def detail_traits(spark: SparkSession, d: str) -> DataFrame:
     value = lambda c: F.struct(F.col(c).alias("key"))
     traits = F.array(F.struct(F.when(F.col("p_size") > 10, "growth_form").otherwise("other").alias("key"), F.array(value("p_type"), value("p_brand")).alias("values")))
-    return readers.flatten_detail(table(spark, d, "part").select("p_partkey", traits.alias("traits"), F.col("p_name").alias("images")), "images", "growth_form", "growth").select("p_partkey", "growth")
+    details = table(spark, d, "part").select("p_partkey", traits.alias("traits"), F.col("p_name").alias("images"), F.col("p_name").alias("name"))
+    added = {"taxonKey": F.col("p_partkey"), "lang": F.lit("de"), "at": F.lit("2024-01-02"), "name": F.lit("not taken")}
+    return readers.flatten_detail(details, "images", "growth_form", "growth", added).select("taxonKey", "lang", "at", "growth", "name")
 
 
 @query("synonym_lists", "SELECT p_partkey, CASE WHEN p_brand = p_type THEN p_brand ELSE p_brand || '|' || p_type END AS synonyms FROM part")
@@ -1161,15 +1174,23 @@ def composed_names(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", made.alias("x")).select("p_partkey", "x.name", "x.source")
 
 
-@query("repaired_names", "SELECT p_partkey, CASE WHEN p_size > 20 THEN p_name || ' ''Gold''' ELSE 'other' END AS name FROM part")
+@query("repaired_names", """
+SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN p_name || ' ''Cox''s Gold''' WHEN 1 THEN p_name || ' ''Cox''' ELSE p_name END AS name, CASE p_size % 4 WHEN 1 THEN 'Rose ''Cox''' WHEN 2 THEN 'Rose ''Other''' ELSE 'Rose ''Cox''s Gold''' END AS common FROM part
+""")
 def repaired_names(spark: SparkSession, d: str) -> DataFrame:
-    short = F.when(F.col("p_size") > 20, F.col("p_name")).otherwise("other")
-    return table(spark, d, "part").select("p_partkey", T.repaired(short, F.concat("p_name", F.lit(" ‘Gold’"))).alias("name"))
+    k, n = F.col("p_size") % 4, F.col("p_name")
+    canonical = F.when(k == 0, F.concat(n, F.lit(" ‘Cox"))).when(k == 1, F.concat(n, F.lit(" ʽCox’"))).otherwise(n)
+    scientific = F.when(k == 1, F.concat(n, F.lit(" ‘Cox’"))).otherwise(F.concat(n, F.lit(" ‘Cox’s Gold’")))
+    common = F.when(k == 2, "Rose ʽOther’").when(k == 3, "Rose 'Cox’s Gold'").otherwise("Rose ʽCox’")
+    return table(spark, d, "part").select("p_partkey", T.completed_name(canonical, scientific).alias("name"), T.completed_common_name(common, canonical, scientific).alias("common"))
 
 
-@query("clean_cells", "SELECT p_partkey, p_name || ', ' || p_brand AS cell, lower(p_name) AS key FROM part")
+@query("clean_cells", "SELECT p_partkey, p_name || ' ''' || p_brand || ''', Gras-Lilie , ' || p_type AS cell, lower(p_name) AS key FROM part")
 def clean_cells(spark: SparkSession, d: str) -> DataFrame:
-    cell = F.concat("p_name", F.lit(" (a b) ,"), "p_brand", F.lit("  in Sorten "))
+    """Every form of quote and dash around the same words, by turns."""
+    some = lambda signs, step: F.get(F.array(*map(F.lit, signs)), ((F.col("p_partkey") / step).cast("int") % len(signs)).cast("int"))
+    begin, end, dash = some("‘’ʽʼ`´'", 1), some("’‘´`'", 7), some("-‐‑‒–—―−", 1)
+    cell = F.concat(F.lit("\f"), "p_name", F.lit("  (syn. a) "), begin, "p_brand", end, F.lit(",Grás"), dash, F.lit("Lílie (alt) ,"), "p_type", F.lit("  in  sorten z.B."))
     return table(spark, d, "part").select("p_partkey", T.clean_list_text(cell).alias("cell"), T.small_key(F.replace("p_name", F.lit(" "), F.lit(" - "))).alias("key"))
 
 
@@ -1203,7 +1224,7 @@ def genuine_names(spark: SparkSession, d: str) -> DataFrame:
 @query("layout_records", r"""
 WITH l AS (SELECT o_custkey AS doc, o_orderkey AS line, floor(o_totalprice)::BIGINT % 52 AS q, CASE o_orderstatus WHEN 'F' THEN 'R' WHEN 'O' THEN 'A' ELSE 'N' END AS f, o_orderkey::VARCHAR AS n FROM orders),
 k AS (SELECT *, CASE WHEN q < 4 THEN 'section' WHEN q < 7 THEN 'number' WHEN q < 19 THEN 'dash' WHEN q < 28 THEN 'free' WHEN q < 32 THEN 'filler' WHEN q < 38 THEN 'indent' ELSE 'other' END AS c FROM l WHERE q < 48),
-t AS (SELECT *, CASE c WHEN 'section' THEN 'Teil ' || n WHEN 'dash' THEN 'Rosa nr' || n || CASE WHEN f = 'R' THEN ' (syn.' ELSE '' END WHEN 'free' THEN 'Malus silvestris' || n || CASE WHEN f = 'A' THEN ' (alt' ELSE '' END
+t AS (SELECT *, CASE c WHEN 'section' THEN 'Teil ' || n WHEN 'dash' THEN 'Rosa nr' || n || CASE WHEN f = 'R' THEN ' (syn.' ELSE '' END WHEN 'free' THEN 'Malus silvestris ' || n || CASE WHEN f = 'A' THEN ' (alt' ELSE '' END
    WHEN 'filler' THEN 'Garten bzw. mehr' || n WHEN 'indent' THEN 'grandis, Tanne' || n ELSE 'weiter' || n || CASE WHEN f = 'N' THEN ') Text' ELSE ' Text' END END AS body,
    CASE WHEN c = 'dash' AND f = 'R' OR c = 'free' AND f = 'A' THEN 1 WHEN c = 'other' AND f = 'N' THEN -1 ELSE 0 END AS d FROM k),
 p AS (SELECT *, sum((c IN ('section', 'number'))::INT) OVER w AS part FROM t WINDOW w AS (PARTITION BY doc ORDER BY line)),
@@ -1223,7 +1244,7 @@ def layout_records(spark: SparkSession, d: str) -> DataFrame:
     dashes = F.when(f == "R", F.lit(" ZP - ")).when(f == "A", F.lit("ZP -  - ")).otherwise("  -")
     text = (
         F.when(q < 4, F.concat(F.lit("Teil "), n)).when(q < 7, F.lit("2.2 Kleine Sorten")).when(q < 19, F.concat(dashes, F.lit("Rosa nr"), n, bracket("R", " (syn.")))
-        .when(q < 28, F.concat(F.lit("Malus  silvestris"), n, bracket("A", " (alt"))).when(q < 32, F.concat(F.lit("Garten bzw. mehr"), n)).when(q < 38, F.concat(F.lit("   grandis, Tanne"), n))
+        .when(q < 28, F.concat(F.lit("Malus silvestris "), n, bracket("A", " (alt"))).when(q < 32, F.concat(F.lit("Garten bzw. mehr"), n)).when(q < 38, F.concat(F.lit("   grandis, Tanne"), n))
         .when(q < 48, F.concat(F.lit("weiter"), n, F.when(f == "N", ") Text").otherwise(" Text"))).when(f == "N", F.lit("  ")).otherwise("Seite 7")
     )
     lines = table(spark, d, "orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("line"), text.alias("t"))
@@ -1314,15 +1335,17 @@ def bracket_dedupe(spark: SparkSession, d: str) -> DataFrame:
 WITH e AS (SELECT o_custkey AS list, o_orderkey AS i, o_orderpriority AS name, CASE WHEN o_orderstatus <> 'F' THEN o_orderkey END AS k FROM orders),
 w AS (SELECT *, lag(k IS NOT NULL) OVER (PARTITION BY list ORDER BY i) AS m, lag(name) OVER (PARTITION BY list, k IS NOT NULL ORDER BY i) AS b FROM e)
 SELECT c_custkey AS list, 'error' AS severity, 'no c_mktsegment' AS rule, 1 AS n FROM customer WHERE c_acctbal < 0 UNION ALL SELECT c_custkey, 'error', 'no states in scope', 1 FROM customer WHERE c_nationkey = 0
+UNION ALL SELECT c_custkey, 'error', 'file not found', 1 FROM customer WHERE c_nationkey % 4 = 3
 UNION ALL SELECT c_custkey, 'warning', 'unknown state', 1 FROM customer WHERE c_nationkey > 20 UNION ALL SELECT c_custkey, 'error', 'no entries', 1 FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
 UNION ALL SELECT list, 'warning', 'not in order', count(*) FROM w WHERE k IS NOT NULL AND NOT m OR name < b GROUP BY 1
 UNION ALL SELECT list, 'info', 'percent matched', round(100.0 * count(k) / count(*))::BIGINT FROM e GROUP BY 1
 """)
 def list_report(spark: SparkSession, d: str) -> DataFrame:
-    own = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("c_mktsegment"), F.when(F.col("c_nationkey") == 0, F.array().cast("array<int>")).otherwise(F.array(F.col("c_nationkey").cast("int"))).alias("states"))
+    own = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("c_mktsegment"), F.when(F.col("c_nationkey") == 0, F.array().cast("array<int>")).otherwise(F.array(F.col("c_nationkey").cast("int"))).alias("states"), F.concat(F.lit("list-"), F.col("c_nationkey").cast("string")).alias("file"))
     entries = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", F.when(F.col("o_orderstatus") != "F", F.col("o_orderkey")).alias("k"))
     states = table(spark, d, "nation").where("n_nationkey <= 20").select(F.col("n_nationkey").cast("int").alias("n"))
-    return audit.list_report(own, entries, states, "c_custkey", ["c_custkey", "c_mktsegment"], "states", "n", "o_custkey", "o_orderpriority", "o_orderpriority", "k", "o_orderkey")
+    files = table(spark, d, "nation").where("n_nationkey % 4 <> 3").select(F.concat(F.lit("list-"), F.col("n_nationkey").cast("string")).alias("file"))
+    return audit.list_report(own, entries, states, "c_custkey", ["c_custkey", "c_mktsegment"], "states", "n", "o_custkey", "o_orderpriority", "o_orderpriority", "k", "o_orderkey", "file", files)
 
 
 @query("bands_apart", """

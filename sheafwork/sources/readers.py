@@ -171,12 +171,16 @@ def fold_bindings(rows: DataFrame, subject: str, sets: list[str], scalars: list[
     return rows.groupBy(subject).agg(*out, *([F.bool_or(flag).alias("flag")] if flag is not None else []))
 
 
-def flatten_pages(pages: DataFrame, title: str, html: dict[str, str], licence: str, denied: str, extensions: str = "jpe?g|png|tiff?|gif|webp") -> DataFrame:
-    """Image pages: markup taken out of the ``html`` fields, denied or missing licences and other files dropped."""
+# Files that are images.
+IMAGES = r"(?i)\.(jpe?g|png|tiff?|webp)$"
+
+
+def flatten_pages(pages: DataFrame, title: str, html: dict[str, str], licence: str, denied: str, images: str = IMAGES) -> DataFrame:
+    """Image pages: markup taken out of the licence and of the ``html`` fields (null if nothing is left), denied or missing licences and other files dropped."""
     from ..functions.text import plain_text
 
-    rows = pages.where(F.col(title).rlike(rf"(?i)\.({extensions})$") & (F.coalesce(F.trim(licence), F.lit("")) != "") & ~F.col(licence).rlike(denied))
-    return rows.withColumns({name: plain_text(column) for name, column in html.items()})
+    rows = pages.withColumn(licence, plain_text(licence)).where(F.col(title).rlike(images) & (F.col(licence) != "") & ~F.col(licence).rlike(denied))
+    return rows.withColumns({name: F.nullif(plain_text(column), F.lit("")) for name, column in html.items()})
 
 
 def upsert_language_pages(pages: DataFrame, keys: list[str], language: str, names: str, ordinal: str) -> DataFrame:
@@ -192,10 +196,12 @@ def key_from_url(url: Column | str, segment: str) -> Column:
     return F.regexp_extract(c, rf"/{segment}/([0-9]+)(?:[/?#]|$)", 1).try_cast("bigint")
 
 
-def flatten_detail(details: DataFrame, bulky: str, trait: str, alias: str) -> DataFrame:
-    """Drops a bulky field and takes a trait's values out of the list of traits."""
+def flatten_detail(details: DataFrame, bulky: str, trait: str, alias: str, added: dict[str, Column] | None = None) -> DataFrame:
+    """Drops a bulky field and takes a trait's values out of the list of traits. ``added`` (key, language, time of retrieval)
+    comes first; a field that the detail has itself keeps its own value."""
     values = F.transform(F.flatten(F.transform(F.filter("traits", lambda t: t["key"] == trait), lambda t: t["values"])), lambda v: v["key"])
-    return details.drop(bulky).withColumn(alias, F.nullif(F.array_join(values, ", "), F.lit("")))
+    own = details.drop(bulky).withColumn(alias, F.nullif(F.array_join(values, ", "), F.lit("")))
+    return own.select(*[c.alias(name) for name, c in (added or {}).items() if name not in own.columns], "*")
 
 
 def titled_entries(pages: DataFrame, key: str, markup: str, attribute: str = "title", skip: str | None = None) -> DataFrame:

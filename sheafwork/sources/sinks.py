@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -56,12 +58,13 @@ def partner_document(df: DataFrame, rank: str, fields: list[str]) -> DataFrame:
     return meta.select(F.lit("meta").alias("part"), F.to_json(F.struct("total", "by_rank")).alias("document")).unionByName(df.select(F.lit("row").alias("part"), F.to_json(F.struct(*fields)).alias("document")))
 
 
-def upsert(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """The target with rows replaced or added by key; keys may be null."""
-    t, c = target.alias("t"), changes.alias("c")
+def upsert(target: DataFrame, changes: DataFrame, keys: list[str], ordinal: str | None = None) -> DataFrame:
+    """The target with rows replaced or added by key; keys may be null. Of a key that repeats in ``changes`` the row of the
+    largest ordinal counts (of ties, and without an ordinal, the largest row), so no key is added twice."""
+    rest = F.struct(*[c for c in target.columns if c not in keys])
+    rank = rest if ordinal is None else F.struct(F.col(ordinal), rest)
+    once = changes.groupBy(*keys).agg(F.max_by(rest, rank).alias("__r")).select(*keys, "__r.*") if len(keys) < len(target.columns) else changes.select(*keys).distinct()
+    t, c = target.alias("t"), once.alias("c")
     same = [F.col(f"t.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
-    on = same[0]
-    for s in same[1:]:
-        on = on & s
-    kept = t.join(c, on, "left_anti")
-    return kept.unionByName(changes.select(*target.columns))
+    kept = t.join(c, functools.reduce(lambda a, b: a & b, same), "left_anti")
+    return kept.unionByName(once.select(*target.columns))
