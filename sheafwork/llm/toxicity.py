@@ -1,17 +1,20 @@
 """Toxicity by a subsequence string kernel and a support vector machine over Nyström landmarks.
 
 Words are compared by their shared subsequences of three characters, which may have gaps; each counts with a weight that
-falls with the length it spans. So an insult with a character put in, left out or an ending added stays close to the
-plain one; words of one or two characters have no such subsequence and are similar to nothing. A chunk with stops inside
-('id!ot', 'i.d.i.o.t', 'idiot.Go') counts as it stands, without the stops, and by the parts between them. A sentence is
-compared to a landmark word by the sum over its words of the kernel's power, where similarities under ``LEAST`` are 0 by
-the kernel's definition; projecting on the landmarks' kernel matrix (Nyström) gives the features of a linear machine. It
+falls slowly with the length it spans. An insult with a character put in, left out or an ending added has a similarity of
+0.6 to 0.8 with the plain one, other words mostly under 0.4. The machine has the sum of two kernels: a wide one takes a
+similarity by a curve that rises between (``MIDDLE``, ``STEEP``), so that altered insults count nearly as plain ones; a
+narrow one (``SHARP``) counts the word itself, for insults that innocent words are like, and which of the two a landmark
+goes by is learnt. Words of one or two characters have no such subsequence and are similar to nothing. A chunk with signs inside ('id!ot', 'i-d-i-o-t', 'idiot.Go') counts as it stands,
+without the signs, and by the parts between them. A sentence is compared to a landmark word by the sum over its words of
+the kernel; projecting on the landmarks' kernel matrix (Nyström) gives the features of a linear machine. It
 is trained on sentences: of a toxic document the run of sentences that the machine itself finds worst counts as toxic; of
 other documents that run and the worst single sentence count as clean. A document scores as its worst run of different
 sentences does, where each word costs a little (``COST``), and at least as a document without words.
 
 Landmarks are words that, by themselves or by how they begin, stand in toxic documents far more often than chance among
-so many words allows, however rare their language is, and clean words that are like them and frequent.
+so many words allows, however rare their language is, and clean words that are like them and frequent. After a first fit,
+landmarks of a beginning without which the sample is told apart as well are given up, and the machine is fitted again.
 
 The fit uses a bounded sample of labelled documents (``SAMPLE`` of each class, chosen by a hash of the id, and of each the
 ``ROWS`` sentences most like the landmarks). Executors count its words and compare its sentences; the driver gets marks,
@@ -45,24 +48,31 @@ SAMPLE = (1200, 3600)
 #: Sentences of a sampled document that the fit uses at most.
 ROWS = 16
 #: Landmarks of toxic and of clean words at most; words for each beginning that marks toxic documents.
-LANDMARKS, FOR_EACH = (128, 32), 12
+LANDMARKS, FOR_EACH = (128, 40), 12
 #: What a word takes from a run's decision, so that runs end where insults become rare.
 COST = 0.004
 #: Lengths of words' beginnings that are looked at.
 BEGINNINGS = (4, 5, 6)
 #: Marks that the driver looks at, the strongest ones.
 MARKS = 4096
-#: The kernel: weight of each character spanned, longest span, power of a word's similarity, similarity that counts.
-DECAY, SPAN, POWER, LEAST = 0.6, 6, 4, 0.4
+#: The subsequences: weight of each character spanned, longest span.
+DECAY, SPAN = 0.8, 7
+#: The wide kernel's curve: the similarity that counts half, its steepness, and values that count as 0, which those of other
+#: words are; and the narrow kernel's power and share, under 1 so that landmarks go by the wide one where both tell as much.
+MIDDLE, STEEP, NOTHING, SHARP, NARROW = 0.56, 14, 0.02, 16, 0.35
+#: The similarity where the curve reaches ``NOTHING``.
+LEAST = MIDDLE * (NOTHING / (1 + MIDDLE**STEEP - NOTHING)) ** (1 / STEEP)
+#: What giving up a beginning's landmarks may add to the sample's error.
+GIVEN_UP = 0.004
 #: Bundles of landmarks that have a bound each.
 BUNDLES = 16
-#: Characters of a word that are compared at once; longer chunks are cut into pieces that overlap by SPAN.
+#: Words up to so many characters are compared together, by length; longer ones one by one, by the same kernel.
 LONGEST = 24
 #: Texts that are split into words at once, and chunks without weight that a worker remembers.
 SLICE, REMEMBERED = 200, 200_000
 _CLASSES = 64
 _SIGNS = ".,;:!?\"'()[]{}|<>*_-…«»„“”#&%$~^+=/\\@`"
-_STOPS = re.compile(r"[.!?]+")
+_INNER = re.compile(r"[\W_]+")
 #: What a chunk that ends a sentence ends with.
 _END, _ENDS = re.compile(r"[.!?][\"')\]}»”“]*$"), frozenset(".!?\"')]}»”“")
 #: Digits and signs that stand for letters.
@@ -80,18 +90,25 @@ def clean(chunk: str) -> str:
     return word if len(word) > 2 else ""
 
 
+def kernels(similarity: np.ndarray) -> np.ndarray:
+    """The wide and, in as many columns behind, the narrow kernel's values of similarities; both 1 for 1, and 0 where the wide one is under ``NOTHING``."""
+    x = similarity**STEEP
+    wide = x * (1 + MIDDLE**STEEP) / (x + MIDDLE**STEEP)
+    return np.where(np.hstack([wide, wide]) >= NOTHING, np.hstack([wide, NARROW * similarity**SHARP]), 0.0)
+
+
 def readings(chunk: str) -> list[str]:
-    """The words that a chunk counts as: itself and, with stops inside, what they leave when taken out and the parts between them."""
+    """The words that a chunk counts as: itself and, with signs inside, what they leave when taken out and the parts between them."""
     word = clean(chunk)
     if word.isalnum() or not word:
         return [word] if word else []
-    parts = _STOPS.split(word)
+    parts = _INNER.split(word)
     return [word] if len(parts) == 1 else [w for w in dict.fromkeys([word, "".join(parts), *map(clean, parts)]) if len(w) > 2]
 
 
 def spelled(chunks: list[str]) -> list[str]:
-    """Words whose letters stand one by one, four or more."""
-    if list(map(len, chunks)).count(1) < 3:
+    """Words whose letters stand one by one, three or more."""
+    if list(map(len, chunks)).count(1) < 2:
         return []
     found, run = [], []
     for c in [*chunks, ""]:
@@ -99,16 +116,12 @@ def spelled(chunks: list[str]) -> list[str]:
         if len(letter) == 1 and letter.isalnum():
             run.append(letter)
             continue
-        if len(run) > 3:
+        if len(run) > 2:
             found.append("".join(run).lower())
         run = []
     return found
 
 
-def pieces(word: str) -> list[str]:
-    return [word] if len(word) <= LONGEST else [word[i : i + LONGEST] for i in range(0, len(word) - SPAN, LONGEST - SPAN)]
-
-
 def cut(text: str) -> list[tuple[str, ...]]:
     """The text's different sentences as chunks; a sentence ends at stops before white space and at line ends."""
     found = []
@@ -137,18 +150,40 @@ class _Classes(dict):
 _CLASS = _Classes()
 
 
-def _by_size(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _by_size(words: list[str], longest: int = LONGEST) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Numbers of the words of one length and their characters' classes, a column for each place."""
     sizes: dict[int, list[int]] = {}
     for i, w in enumerate(words):
         sizes.setdefault(len(w), []).append(i)
     get = _CLASS.__getitem__
     for size, at in sizes.items():
-        if size > 2:
+        if 2 < size <= longest:
             chars = np.fromiter(map(get, "".join([words[i] for i in at])), np.int32, size * len(at))
             yield np.array(at), chars.reshape(len(at), size).T.copy()
 
 
+#: Characters of a long word whose subsequences are counted at once.
+_STRETCH = 1 << 16
+
+
+def _long(word: str) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and weights of a long word's subsequences, in stretches, so that memory doesn't grow with the word."""
+    codes, weights = np.empty(0, np.int64), np.empty(0)
+    for first in range(0, len(word) - 2, _STRETCH):
+        part = word[first : first + _STRETCH + SPAN - 1]
+        c = np.fromiter(map(_CLASS.__getitem__, part), np.int64, len(part))
+        for k in range(2, SPAN):
+            n = min(len(c) - k, _STRETCH)  # subsequences that begin in this stretch
+            if n <= 0:
+                break
+            for j in range(1, k):
+                new = (c[:n] * _CLASSES + c[j : j + n]) * _CLASSES + c[k : k + n]
+                codes, weights = np.append(codes, new), np.append(weights, np.full(n, DECAY ** (k + 1)))
+        codes, back = np.unique(codes, return_inverse=True)
+        weights = np.bincount(back, weights, len(codes))
+    return codes, weights
+
+
 @lru_cache(maxsize=None)
 def _triples(size: int) -> list[tuple[int, int, int]]:
     return [(i, j, k) for i in range(size - 2) for k in range(i + 2, min(size, i + SPAN)) for j in range(i + 1, k)]
@@ -162,6 +197,12 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             rows.append(at)
             codes.append((chars[i] * _CLASSES + chars[j]) * _CLASSES + chars[k])
             weights.append(np.full(len(at), DECAY ** (k - i + 1)))
+    for i, w in enumerate(words):
+        if len(w) > LONGEST:
+            found, held = _long(w)
+            rows.append(np.full(len(found), i))
+            codes.append(found)
+            weights.append(held)
     row, code, weight = np.concatenate(rows), np.concatenate(codes), np.concatenate(weights)
     key, back = np.unique(row * _CLASSES**3 + code, return_inverse=True)
     return key // _CLASSES**3, key % _CLASSES**3, np.bincount(back, weight, len(key))
@@ -191,7 +232,7 @@ class Landmarks:
     def _near(self, words: list[str]) -> np.ndarray:
         """Words that may be similar to a landmark. The bound is safe: to a landmark of a bundle, a subsequence adds at most its
         weight times the most that any of the bundle gives it, and a word's norm is least when its subsequences all differ."""
-        found = [np.empty(0, np.int64)]
+        found = [np.array([i for i, w in enumerate(words) if len(w) > LONGEST], np.int64)]
         for at, chars in _by_size(words):
             bound, own = np.zeros((len(at), self.most.shape[1]), np.float32), 0.0
             first = second = -1
@@ -224,10 +265,10 @@ class Landmarks:
         return np.concatenate(found), np.concatenate(values)
 
     def kernel(self, words: list[str]) -> np.ndarray:
-        """Powers of the words' similarity to each landmark."""
-        out = np.zeros((len(words), len(self.words)))
+        """Both kernels of the words with each landmark."""
+        out = np.zeros((len(words), 2 * len(self.words)))
         at, values = self.similar(words)
-        out[at] = values**POWER
+        out[at] = kernels(values)
         return out
 
 
@@ -241,16 +282,10 @@ class Machine:
     slope: float = 1.0
 
     def word_weights(self, words: list[str]) -> np.ndarray:
-        """A word's weight is the sum of its pieces'."""
         out = np.zeros(len(words))
         for first in range(0, len(words), 10_000):
-            found, owner = [], []
-            for i, w in enumerate(words[first : first + 10_000], first):
-                for p in pieces(w):
-                    found.append(p)
-                    owner.append(i)
-            at, values = self.landmarks.similar(found)
-            np.add.at(out, np.array(owner, np.int64)[at], values**POWER @ self.weights)
+            at, values = self.landmarks.similar(words[first : first + 10_000])
+            out[first + at] = kernels(values) @ self.weights
         return out
 
     def probability(self, decision: float) -> float:
@@ -288,14 +323,18 @@ def worst_run(values: Iterable[float], words: Iterable[int], before: Iterable[in
 def fit(marks: Landmarks, n_toxic: int, owner: np.ndarray, x: np.ndarray, words: np.ndarray, before: np.ndarray, labels: np.ndarray) -> Machine:
     """A machine from sentence rows ``x`` with their numbers of words, each of a document in ``owner`` (ascending; each has a row, 0 for no words),
     and the documents' labels. The first ``n_toxic`` landmarks are those of toxic words."""
-    values, vectors = np.linalg.eigh(marks.kernel(marks.words))
-    kept = values > 1e-6 * values.max()
-    project = vectors[:, kept] / np.sqrt(values[kept])
+    project = np.zeros((2 * len(marks.words), 0))
+    for k, own in enumerate(np.split(marks.kernel(marks.words), 2, axis=1)):
+        values, vectors = np.linalg.eigh((own + own.T) / 2)
+        kept = values > 1e-6 * values.max()
+        part = np.zeros((2 * len(marks.words), int(kept.sum())))
+        part[k * len(marks.words) : (k + 1) * len(marks.words)] = vectors[:, kept] / np.sqrt(values[kept])
+        project = np.hstack([project, part])
     starts = np.searchsorted(owner, np.arange(len(labels)))
     ends = np.append(starts[1:], len(x))
     upto, upto_before = (np.concatenate(([0], np.cumsum(v))) for v in (words, before))
     clean_docs = np.nonzero(labels == 0)[0]
-    weights = (np.arange(len(marks.words)) < n_toxic).astype(float)
+    weights = np.tile(np.arange(len(marks.words)) < n_toxic, 2) / 2
 
     def row(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Features of runs of rows, and what their words cost."""
@@ -316,12 +355,45 @@ def fit(marks: Landmarks, n_toxic: int, owner: np.ndarray, x: np.ndarray, words:
     a, b = np.sort(decision[labels == 1]), np.sort(decision[labels == 0])
     cuts = np.unique(decision)
     cuts = (cuts[1:] + cuts[:-1]) / 2 if len(cuts) > 1 else cuts + 1
-    wrong = np.searchsorted(a, cuts) / len(a) + 3 * (1 - np.searchsorted(b, cuts) / len(b))  # a clean document rejected weighs more
+    wrong = np.searchsorted(a, cuts) / len(a) + 4 * (1 - np.searchsorted(b, cuts) / len(b))  # a clean document rejected weighs more
     best = np.nonzero(wrong <= wrong.min() + 1e-12)[0]
     middle = float(cuts[best[len(best) // 2]])
     return Machine(marks, weights, middle, 4 / max(1e-6, float(np.median(a)) - middle))
 
 
+def needed(machine: Machine, n_toxic: int, owner: np.ndarray, x: np.ndarray, words: np.ndarray, before: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Which landmarks stay. Landmarks of one beginning go together, the lightest first, where without them no more of the sample's
+    documents are on the wrong side of the machine's best threshold; those of clean words stay where a toxic one is like them."""
+    names, weights = machine.landmarks.words, machine.weights.copy()
+    starts = np.searchsorted(owner, np.arange(len(labels)))
+    ends = np.append(starts[1:], len(x))
+
+    def wrong(w: np.ndarray) -> float:
+        value = x @ w
+        decision = np.array([worst_run(value[a:b].tolist(), words[a:b].tolist(), before[a:b].tolist())[0] for a, b in zip(starts, ends)])
+        a, b = np.sort(decision[labels == 1]), np.sort(decision[labels == 0])
+        cuts = np.append(np.unique(decision), np.inf)
+        return float((np.searchsorted(a, cuts) / len(a) + 4 * (1 - np.searchsorted(b, cuts) / len(b))).min())
+
+    stems: dict[str, list[int]] = {}
+    for i in range(n_toxic):
+        stems.setdefault(names[i][: BEGINNINGS[0]], []).append(i)
+    kept, least = np.ones(len(names), bool), wrong(weights)
+    for mine in sorted(stems.values(), key=lambda g: float((weights[g] + weights[[i + len(names) for i in g]]).max())):
+        tried = weights.copy()
+        tried[mine] = tried[[i + len(names) for i in mine]] = 0
+        now = wrong(tried)
+        if now <= least + GIVEN_UP and kept[:n_toxic].sum() > len(mine):
+            weights, kept[mine] = tried, False
+            least = min(least, now)
+    if kept[:n_toxic].any():
+        near = Landmarks([names[i] for i in np.nonzero(kept[:n_toxic])[0]])
+        alike = set(near.similar([names[i] for i in range(n_toxic, len(names))])[0].tolist())
+        for i in range(n_toxic, len(names)):
+            kept[i] = i - n_toxic in alike
+    return kept
+
+
 def _sampled(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str, text_col: str, label_col: str, sample: tuple[int, int]) -> DataFrame | None:
     """(y, h, text) of about ``sample`` different labelled texts of the toxic and of the clean class."""
     marks = labels.where(allowed & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("y"))
@@ -349,7 +421,7 @@ def _mark_counts(sample: DataFrame) -> DataFrame:
 
         for batch in batches:
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = {p for s in cut(text.as_py()) for w in words_of(s) for p in pieces(w)}
+                words = {w for s in cut(text.as_py()) for w in words_of(s) if len(w) <= LONGEST}  # longer ones make no landmarks
                 counts[y].update(words)
                 counts[y].update({"^" + w[:k] for w in words for k in BEGINNINGS if len(w) >= k})
                 if len(counts[0]) + len(counts[1]) > 150_000:
@@ -388,7 +460,7 @@ def _pick_landmarks(counts: DataFrame, n_toxic: int, n_clean: int) -> tuple[list
     for s in stems:
         mine = [s]
         for w in by_stem.get(s, []):
-            if len(mine) <= FOR_EACH and Landmarks(mine).kernel([w]).max() < 0.8**POWER:
+            if len(mine) <= FOR_EACH and Landmarks(mine).similar([w])[1].max(initial=0) < 0.8:
                 mine.append(w)
         words += mine[1:]
     words = list(dict.fromkeys(words))[: LANDMARKS[0]]
@@ -415,17 +487,15 @@ def _sentence_rows(sample: DataFrame, marks: Landmarks) -> DataFrame:
             words = list({w for chunks in documents for s in chunks for w in words_of(s)})
             row_of: dict[str, np.ndarray] = {}
             for first in range(0, len(words), 5_000):
-                parts = [(p, w) for w in words[first : first + 5_000] for p in pieces(w)]
-                at, values = marks.similar([p for p, _ in parts])
-                for i, v in zip(at, (values**POWER).astype(np.float32)):
-                    row_of[parts[i][1]] = row_of.get(parts[i][1], 0) + v
+                at, values = marks.similar(words[first : first + 5_000])
+                row_of.update({words[first + i]: v for i, v in zip(at, kernels(values).astype(np.float32))})
             for chunks in documents:
                 found = [(i, [row_of[w] for w in words_of(s) if w in row_of]) for i, s in enumerate(chunks)]
                 rows = [(i, np.sum(some, 0)) for i, some in found if some]
                 rows = sorted(sorted(rows, key=lambda r: -float(r[1].sum()))[: ROWS - 1], key=lambda r: r[0])
                 upto = [0, *accumulate(map(len, chunks))]
                 places = [i for i, _ in rows]
-                out[0].append(bytes(4 * len(marks.words)) + b"".join([v.astype(np.float32).tobytes() for _, v in rows]))
+                out[0].append(bytes(8 * len(marks.words)) + b"".join([v.astype(np.float32).tobytes() for _, v in rows]))
                 out[1].append([0, *[len(chunks[i]) for i in places]])
                 out[2].append([0, *[upto[i] - (upto[last + 1] if last >= 0 else 0) for last, i in zip([-1, *places], places)]])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out[0], pa.binary()), *[pa.array(o, pa.list_(pa.int64())) for o in out[1:]]], names=["y", "h", "rows", "words", "before"])
@@ -448,12 +518,16 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, allowed: Column, id_col:
         return Machine()
     marks = Landmarks(words)
     held = sorted(_sentence_rows(rows, marks).collect(), key=lambda r: (r["h"], r["y"]))
-    vectors = [np.frombuffer(r["rows"], np.float32).reshape(-1, len(words)) for r in held]
+    vectors = [np.frombuffer(r["rows"], np.float32).reshape(-1, 2 * len(words)) for r in held]
     owner = np.repeat(np.arange(len(held)), [len(v) for v in vectors])
     sizes, gaps = (np.array([n for r in held for n in r[c]], np.int64) for c in ("words", "before"))
     labelled, x = np.array([r["y"] for r in held]), np.concatenate(vectors)
     del held, vectors
     machine = fit(marks, n_toxic, owner, x, sizes, gaps, labelled)
+    kept = needed(machine, n_toxic, owner, x, sizes, gaps, labelled)
+    if not kept.all():
+        marks = Landmarks([w for w, k in zip(words, kept) if k])
+        machine = fit(marks, int(kept[:n_toxic].sum()), owner, x[:, np.tile(kept, 2)], sizes, gaps, labelled)
     del x, owner, sizes, gaps
     release_memory()
     return machine
@@ -486,7 +560,7 @@ class Scorer:
             else:
                 self.nothing.add(c)
         # without a bad chunk or letters one by one, no sentence weighs more than one without words
-        return [self.machine.probability(0.0 if self.bad.isdisjoint(cs) and list(map(len, cs)).count(1) < 3 else self.decide(x or "")) for x, cs in zip(texts, split)]
+        return [self.machine.probability(0.0 if self.bad.isdisjoint(cs) and list(map(len, cs)).count(1) < 2 else self.decide(x or "")) for x, cs in zip(texts, split)]
 
     def decide(self, text: str) -> float:
         """The worst run's decision; all chunks of the text are known."""

@@ -1,4 +1,6 @@
 import itertools
+import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -28,7 +30,22 @@ def test_kernel_is_the_subsequence_kernel():
     for i, w in enumerate(words):
         for j, m in enumerate(marks):
             k = plain_kernel(w, m)
-            assert abs(got[i, j] - (k**T.POWER if k >= T.LEAST else 0)) < 1e-5
+            wide = k**T.STEEP * (1 + T.MIDDLE**T.STEEP) / (k**T.STEEP + T.MIDDLE**T.STEEP)
+            assert abs(got[i, j] - (wide if wide >= T.NOTHING else 0)) < 1e-4 and abs(got[i, j + 3] - (T.NARROW * k**T.SHARP if wide >= T.NOTHING else 0)) < 1e-4
+
+
+def test_long_words_have_the_same_kernel(monkeypatch):
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("idotxy"), n)) for n in (24, 25, 26, 60, 300)] + ["x" * 40 + "idiot", "idiotidiotidiotidiotidiot"]
+    marks = T.Landmarks(["idiot", "toxid", "idiotidiotidiotidiotidioxt"[:24]])
+    for stretch in (1 << 16, 7):
+        monkeypatch.setattr(T, "_STRETCH", stretch)
+        at, values = marks.similar(words)
+        got = dict(zip(at.tolist(), values))
+        for i, w in enumerate(words):
+            for j, m in enumerate(marks.words):
+                k = plain_kernel(w, m)
+                assert abs((got[i][j] if i in got else 0) - (k if k >= T.LEAST else 0)) < 1e-4
 
 
 def test_bound_loses_no_word():
@@ -41,6 +58,29 @@ def test_bound_loses_no_word():
         assert (i in found) == (k >= T.LEAST) or abs(k - T.LEAST) < 1e-5
 
 
+#: Insults of the documents, to alter.
+INSULTS = ["stupid", "trash", "loser", "worthless", "idiot", "scum", "pathetic", "disgusting", "moron", "clown"]
+
+
+def tolerated(rows, machine):
+    """Documents that are caught as they stand are caught with each insult altered, in most cases."""
+    rng = random.Random(7)
+    insult = re.compile(r"\b(" + "|".join(INSULTS) + r")\b", re.I)
+    at = lambda w: rng.randrange(1, len(w) - 1)
+    alter = {
+        "letter put in": lambda w: w[: (i := at(w))] + rng.choice("abcdefghijklmnopqrstuvwxyz") + w[i:],
+        "sign put in": lambda w: w[: (i := at(w))] + rng.choice("*_-$.") + w[i:],
+        "letter left out": lambda w: w[: (i := at(w))] + w[i + 1 :],
+        "dashes": lambda w: "-".join(w),
+        "blanks": lambda w: " ".join(w),
+    }
+    caught = [r.text for r in rows if r.score >= 0.5 and insult.search(r.text)]
+    assert len(caught) > 40
+    for kind, change in alter.items():
+        share = np.mean(np.array(T.Scorer(machine).scores([insult.sub(lambda m: change(m[0]), x) for x in caught])) >= 0.5)
+        assert share >= 0.8, (kind, share)
+
+
 def test_held_out_documents_of_all_languages(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
     machine = T.learn_toxicity(docs, labels, ~held_out("doc_id"))
@@ -51,6 +91,7 @@ def test_held_out_documents_of_all_languages(spark):
     assert sum(r["hit"] for r in by_lang.values()) / sum(r["toxic"] for r in by_lang.values()) > 0.85
     for r in by_lang.values():
         assert r["hit"] / r["toxic"] > 0.75 and r["false"] / r["clean"] < 0.03
+    tolerated(found.where("toxic = 1").join(docs.select("doc_id", "text"), "doc_id").select("text", "score").collect(), machine)
     gapped = spark.createDataFrame([(1, "you l o s e r you"), (2, "what an idiiot"), (3, "the house on the hill"), (4, None), (5, ""), (5, "")], "doc_id long, text string")
     score = {r["doc_id"]: r["score"] for r in T.score_toxicity(gapped, machine).collect()}
     assert score[1] > score[3] and score[2] > score[3] and score[4] == score[5] <= 0.5
@@ -65,7 +106,7 @@ def plain_decision(machine, text):
 
 
 def test_scores_are_those_of_the_worst_run(spark):
-    machine = T.Machine(T.Landmarks(["idiot", "stupid", "house"]), np.array([1.0, 0.7, -0.4]), 0.5, 4.0)
+    machine = T.Machine(T.Landmarks(["idiot", "stupid", "house"]), np.array([1.0, 0.7, -0.4, 0.2, 0.1, 0.0]), 0.5, 4.0)
     texts = ["You idiot. Go home. What a stupid house! Such idiocy.", "A house.\nA house.", "idiot " * 3 + "word " * 9_000 + "stupid", "One two. " * 50 + "stupid. idiot.", "", None, "l o s e r. i d i o t", "You idiot. You idiot. You idiot."]
     want = [machine.probability(plain_decision(machine, x)) for x in texts]
     assert np.allclose(T.Scorer(machine).scores(texts), want)
@@ -84,7 +125,7 @@ def test_without_labels(spark):
 
 def test_stops_inside_words():
     marks = T.Landmarks(["idiot", "stupid"])
-    machine = T.Machine(marks, np.ones(2), 0.5, 4.0)
+    machine = T.Machine(marks, np.ones(4) / 2, 0.4, 4.0)
     texts = ["id!ot", "i.d.i.o.t", "idiot.Go", "you st.upid man", "you idiot.Go home", "l o s e r. You idiot!) Go.", "i d i o t. Go", "You i d i o t!"]
     together = T.Scorer(machine)
     together.scores(["idiot stupid", "Go home."])
@@ -95,3 +136,4 @@ def test_stops_inside_words():
         assert abs(fresh - machine.probability(plain_decision(machine, text))) < 1e-6 and abs(together.scores([text])[0] - fresh) < 1e-9
     assert T.cut('One two three. "Four five!" Six.seven\neight\neight') == [("One", "two", "three."), ('"Four', 'five!"'), ("Six.seven",), ("eight",)]
     assert T.words_of(("Six.seven", "six", "of")) == ["six.seven", "sixseven", "six", "seven"] and T.words_of(("l", "o", "s", "e", "r.")) == ["loser"]
+    assert T.words_of(("i-d-i-o-t", "well_known")) == ["i-d-i-o-t", "idiot", "well_known", "wellknown", "well", "known"] and T.words_of(("l", "o", "l", "x")) == ["lolx"] and T.words_of(("a", "b")) == []
