@@ -43,11 +43,12 @@ def _segment(code: Column, j: int, size: int = SEGMENT) -> Column:
 def build_index(codes: DataFrame, k: int, bits: int = BITS, size: int = SEGMENT) -> DataFrame:
     """(segment, value, entries): blocks of the codes with that value there, each with its k + 1 smallest ids."""
     order = Window.partitionBy("code").orderBy("id")
-    entries = codes.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k + 1).groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    entries = written(codes.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k + 1).groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "code-entries")
     segments = F.array(*[F.struct(F.lit(j).alias("segment"), _segment(F.col("code"), j, size).alias("value")) for j in range(bits // size)])
     long = entries.select("code", "ids", F.explode(segments).alias("s")).select("s.segment", "s.value", "code", "ids")
-    # of a bucket's codes about BLOCK share a block: as many blocks as its count asks for, dealt by hash
-    counts = long.groupBy("segment", "value").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    # of a bucket's codes about BLOCK share a block: as many blocks as its count asks for, dealt by hash; counts are a table, so
+    # that the join can split a bucket of very many
+    counts = written(long.groupBy("segment", "value").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "code-buckets")
     dealt = long.join(counts, ["segment", "value"]).withColumn("block", F.pmod(F.xxhash64("code"), F.col("blocks")))
     return dealt.groupBy("segment", "value", "block").agg(F.collect_list(F.struct("code", "ids")).alias("entries")).drop("block")
 

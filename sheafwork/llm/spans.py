@@ -104,7 +104,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     own = F.col(f"c{names.index(text_col)}")
-    rows = plain.select(F.struct(*plain.columns).alias("row"), F.col(f"c{names.index(id_col)}").cast("long").alias("id"), F.xxhash64(own).alias("v"), own.alias("text"))
+    # the text goes beside the others, once
+    rows = plain.select(F.struct(F.lit(True).alias("kept"), *[c for i, c in enumerate(plain.columns) if names[i] != text_col]).alias("row"), F.col(f"c{names.index(id_col)}").cast("long").alias("id"), F.xxhash64(own).alias("v"), own.alias("text"))
     found = cuts.withColumnsRenamed({"id": "cut_id", "v": "cut_v"})
     joined = rows.join(found, F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("v") == F.col("cut_v")), "left").select("row", "cuts", "text")
     added = [] if not counts else ["n_sentences", "n_removed"]

@@ -4,8 +4,8 @@ Changes come in batches: an insert adds a document and its tokens, a delete take
 old count under the old version and adds the new one. A batch's signed sums are its delta: a part of the store named by
 the batch, committed by Spark. A batch that is there already is not applied again, so sending it twice, or after a
 failure, makes no difference; one that failed half-way leaves nothing that is read. ``compact`` folds all parts into base
-totals of a new generation, which lists the batches that it holds: parts of those are no longer read, and a batch sent
-again after it is known as well. Totals are the base plus the deltas since.
+totals of a new generation, which lists the batches that it holds: parts of those are no longer read and may be
+removed (``prune``), and a batch sent again after it is known as well. Totals are the base plus the deltas since.
 
 Defined cases: null sources, languages and versions are groups of their own; a null count counts as 0; an empty batch
 commits an empty delta; changes repeated within a batch count as often as they stand there; a group whose documents and
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..storage import folders, remove
 from .common import carry
 
 KEYS = ["source", "lang", "tokenizer_version"]
@@ -59,35 +60,31 @@ class Rollup:
 
     def _is_there(self, part: str) -> bool:
         """Whether Spark has committed this part."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}/_SUCCESS")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
-
-    def _read(self, name: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{name}").parquet(f"{self.path}/{name}")
+        return "_SUCCESS" in folders(self.spark, f"{self.path}/{part}")
 
     def generation(self) -> int:
         """Of the newest base; 0 without one. A base counts from when its list of batches is committed, after its totals."""
-        n = 0
-        while self._is_there(f"held/generation={n + 1}"):
-            n += 1
-        return n
+        found = sorted((int(g.removeprefix("generation=")) for g in folders(self.spark, f"{self.path}/held") if g.startswith("generation=")), reverse=True)
+        return next((g for g in found if self._is_there(f"held/generation={g}")), 0)
 
     def _held(self, generation: int) -> DataFrame:
         """(batch): the batches whose changes the base holds."""
         if not generation:
             return self.spark.createDataFrame([], "batch string")
-        return self._read("held", "batch string, generation int").where(F.col("generation") == generation).select("batch")
+        return self.spark.read.schema("batch string").parquet(f"{self.path}/held/generation={generation}")
+
+    def _new(self, generation: int) -> list[str]:
+        """Batches with a committed part that the base doesn't hold."""
+        there = [(p.removeprefix("batch="),) for p in folders(self.spark, f"{self.path}/deltas") if p.startswith("batch=")]
+        if not there:
+            return []
+        rows = self.spark.createDataFrame(there, "batch string").join(self._held(generation), "batch", "left_anti")
+        return sorted(r["batch"] for r in rows.collect() if self._is_there(f"deltas/batch={r['batch']}"))
 
     def _parts(self, generation: int) -> DataFrame | None:
-        """Deltas that the base doesn't hold."""
-        base = f"{self.path}/deltas"
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(base)
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
-            return None
-        rows = self._read("deltas", f"{DELTA}, batch string")
-        return rows.join(self._held(generation), "batch", "left_anti") if generation else rows
+        """Deltas that the base doesn't hold; no others are read."""
+        new = self._new(generation)
+        return self.spark.read.schema(DELTA).parquet(*[f"{self.path}/deltas/batch={b}" for b in new]) if new else None
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Applies a batch, unless it is there already; returns whether it was applied."""
@@ -99,24 +96,34 @@ class Rollup:
     def totals(self) -> DataFrame:
         generation = self.generation()
         parts = self._parts(generation)
-        rows = [] if parts is None else [parts.drop("batch")]
+        rows = [] if parts is None else [parts]
         if generation:
-            rows.append(self._read("totals", f"{DELTA}, generation int").where(F.col("generation") == generation).drop("generation"))
+            rows.append(self.spark.read.schema(DELTA).parquet(f"{self.path}/totals/generation={generation}"))
         if not rows:
             return self.spark.createDataFrame([], DELTA)
         return _sums(rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])).where("n_docs <> 0 OR n_tokens <> 0")
 
     def compact(self) -> None:
-        """Folds the deltas into a base of the next generation. Their parts stay, unread; a failure before the end changes nothing."""
+        """Folds the deltas into a base of the next generation; a failure before the end changes nothing. Their parts stay until ``prune``."""
         generation = self.generation()
-        parts = self._parts(generation)
-        if parts is None:
+        new = self._new(generation)
+        if not new:
             return
-        new = parts.select("batch").distinct()
-        if generation:
-            new = new.unionByName(self._held(generation))
+        names = self.spark.createDataFrame([(b,) for b in new], "batch string")
         self.totals().write.mode("overwrite").parquet(f"{self.path}/totals/generation={generation + 1}")
-        new.write.mode("overwrite").parquet(f"{self.path}/held/generation={generation + 1}")
+        names.unionByName(self._held(generation)).write.mode("overwrite").parquet(f"{self.path}/held/generation={generation + 1}")
+
+    def prune(self) -> None:
+        """Removes what no reader of the newest base needs: parts that it holds and bases before it."""
+        generation = self.generation()
+        kept = set(self._new(generation))
+        for part in folders(self.spark, f"{self.path}/deltas"):
+            if part.startswith("batch=") and part.removeprefix("batch=") not in kept:
+                remove(self.spark, f"{self.path}/deltas/{part}")
+        for name in ("totals", "held"):
+            for part in folders(self.spark, f"{self.path}/{name}"):
+                if part.startswith("generation=") and int(part.removeprefix("generation=")) < generation:
+                    remove(self.spark, f"{self.path}/{name}/{part}")
 
 
 @lru_cache(maxsize=8)

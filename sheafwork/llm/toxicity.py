@@ -355,7 +355,7 @@ def fit(marks: Landmarks, n_toxic: int, owner: np.ndarray, x: np.ndarray, words:
     a, b = np.sort(decision[labels == 1]), np.sort(decision[labels == 0])
     cuts = np.unique(decision)
     cuts = (cuts[1:] + cuts[:-1]) / 2 if len(cuts) > 1 else cuts + 1
-    wrong = np.searchsorted(a, cuts) / len(a) + 4 * (1 - np.searchsorted(b, cuts) / len(b))  # a clean document rejected weighs more
+    wrong = np.searchsorted(a, cuts) / len(a) + 3 * (1 - np.searchsorted(b, cuts) / len(b))  # a clean document rejected weighs more
     best = np.nonzero(wrong <= wrong.min() + 1e-12)[0]
     middle = float(cuts[best[len(best) // 2]])
     return Machine(marks, weights, middle, 4 / max(1e-6, float(np.median(a)) - middle))
@@ -373,7 +373,7 @@ def needed(machine: Machine, n_toxic: int, owner: np.ndarray, x: np.ndarray, wor
         decision = np.array([worst_run(value[a:b].tolist(), words[a:b].tolist(), before[a:b].tolist())[0] for a, b in zip(starts, ends)])
         a, b = np.sort(decision[labels == 1]), np.sort(decision[labels == 0])
         cuts = np.append(np.unique(decision), np.inf)
-        return float((np.searchsorted(a, cuts) / len(a) + 4 * (1 - np.searchsorted(b, cuts) / len(b))).min())
+        return float((np.searchsorted(a, cuts) / len(a) + 3 * (1 - np.searchsorted(b, cuts) / len(b))).min())
 
     stems: dict[str, list[int]] = {}
     for i in range(n_toxic):

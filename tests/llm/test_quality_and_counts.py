@@ -1,10 +1,12 @@
+import re
+
 import pytest
 from compare import duckdb_rows, rows_of
 from pyspark.sql import functions as F
 
 from sheafwork.llm import code_search, quality, queries, token_counts
 from sheafwork.llm.common import written
-from sheafwork.storage import scratch
+from sheafwork.storage import folders, scratch
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
@@ -66,11 +68,26 @@ def test_batches_are_idempotent(spark):
     assert {tuple(r) for r in store.totals().collect()} == want
     store.compact()
     assert not store.commit("5", first) and {tuple(r) for r in token_counts.Rollup(spark, store.path).totals().collect()} == want
+    assert not {"batch=1", "batch=2", "batch=5"} & set(re.findall(r"batch=\w+", store.totals()._jdf.queryExecution().toString()))  # parts that the base holds aren't read
+    store.prune()
+    assert folders(spark, f"{store.path}/deltas") == [] and {tuple(r) for r in store.totals().collect()} == want
+    assert not store.commit("5", first) and not store.commit("1", first)
     with pytest.raises(Exception, match="no such change"):
         store.commit("4", spark.createDataFrame([("other", "a", "en", "v1", 1, None, None, "x")], kind))
     assert {tuple(r) for r in store.totals().collect()} == want and store.commit("4", first.limit(1))
 
 
+def test_token_counts(spark):
+    import public_tokenizers as P
+
+    versions = {v: P.path(f"{v}.tiktoken") for v in ("byte_bpe_50k", "byte_bpe_multi_50k")}
+    rows = spark.createDataFrame([(1, None, 5), (2, "", 5), (2, "", 5), (3, "word " * 40_000, None), (None, "é", 1)], "doc_id long, text string, n_tokens long")
+    got = token_counts.count_tokens(rows, versions, P.PATTERN, keep=["doc_id", "n_tokens"]).collect()
+    assert len(got) == 5 and all(r[v] == 0 for r in got for v in versions if r["doc_id"] in (1, 2))
+    assert all(40_000 <= r[v] <= 40_002 for r in got for v in versions if r["doc_id"] == 3) and {r["n_tokens"] for r in got} == {5, None, 1}
+    assert token_counts.count_tokens(rows.limit(0), versions, P.PATTERN).collect() == []
+
+
 def test_totals_of_documents(spark, sf_dir):
     import collections
 
