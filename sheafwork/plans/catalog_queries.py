@@ -9,7 +9,7 @@ from ..functions import text as T
 from ..operators import audit, filters, indicators, layout, lists, merge, order, resolve, search, tree, windows
 from ..registry import query, table
 from ..sources import readers, sinks
-from ..storage import scratch, written
+from ..storage import folders, scratch, written
 from ..streaming import ingest
 
 # Best rows by facet, counts, pivots
@@ -191,19 +191,20 @@ def first_wins_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("multi_spelling_match", r"""
-WITH i AS (SELECT trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS name, min(p_partkey) AS key FROM part GROUP BY 1),
-r AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN replace(p_name, ' ', ' x ') WHEN p_partkey % 3 = 1 THEN upper(p_name) ELSE p_name || ' extra' END AS n FROM part),
-s AS (SELECT p_partkey, 0 AS spelling, trim(regexp_replace(lower(n), '[^a-z0-9]+', ' ', 'g')) AS name FROM r
-  UNION ALL SELECT p_partkey, 1, trim(regexp_replace(lower(replace(n, ' x ', ' ')), '[^a-z0-9]+', ' ', 'g')) FROM r),
-h AS (SELECT p_partkey, key, spelling, row_number() OVER (PARTITION BY p_partkey ORDER BY spelling) AS k FROM s JOIN i USING (name))
-SELECT r.p_partkey, key, spelling FROM r LEFT JOIN h ON h.p_partkey = r.p_partkey AND k = 1
+WITH i AS (SELECT trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) || ' subsp' AS name, min(p_partkey) AS key FROM part WHERE p_size % 2 = 0 GROUP BY 1
+  UNION ALL SELECT trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')), min(p_partkey) FROM part WHERE p_size % 2 = 1 GROUP BY 1),
+r AS (SELECT p_partkey, p_partkey % 5 AS k, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS n FROM part),
+h AS (SELECT r.*, key FROM r LEFT JOIN i ON i.name = CASE WHEN k IN (3, 4) THEN n || ' subsp' ELSE n END AND k <> 2)
+SELECT p_partkey, key, CASE WHEN key IS NOT NULL THEN CASE k WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 3 THEN 2 ELSE 3 END END AS spelling FROM h
 """)
 def multi_spelling_match(spark: SparkSession, d: str) -> DataFrame:
+    """Names with a hybrid sign, in capitals, with a word too many, with a short rank mark, and with both sign and mark."""
     part = table(spark, d, "part")
-    index = resolve.name_index(part, "p_partkey", "p_partkey", {"name": F.col("p_name")})
-    k = F.col("p_partkey") % 3
-    rows = part.select("p_partkey", F.when(k == 0, F.replace("p_name", F.lit(" "), F.lit(" x "))).when(k == 1, F.upper("p_name")).otherwise(F.concat("p_name", F.lit(" extra"))).alias("n"))
-    return resolve.match_spellings(rows, "p_partkey", "n", index).select("p_partkey", "key", "spelling")
+    name = F.when(F.col("p_size") % 2 == 0, F.concat("p_name", F.lit(" subsp."))).otherwise(F.col("p_name"))
+    index = resolve.name_index(part, "p_partkey", "p_partkey", {"name": name})
+    k, hybrid = F.col("p_partkey") % 5, F.replace("p_name", F.lit(" "), F.lit(" x "))
+    n = F.when(k == 0, hybrid).when(k == 1, F.upper("p_name")).when(k == 2, F.concat("p_name", F.lit(" extra"))).when(k == 3, F.concat("p_name", F.lit(" ssp."))).otherwise(F.concat(hybrid, F.lit(" ssp.")))
+    return resolve.match_spellings(part.select("p_partkey", n.alias("n")), "p_partkey", "n", index).select("p_partkey", "key", "spelling")
 
 
 @query("unique_else_first", """
@@ -501,11 +502,13 @@ def column_edges(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("continuations", """
-WITH r AS (SELECT *, sum((l_returnflag <> 'N')::INT) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber)::BIGINT AS record FROM lineitem)
-SELECT l_orderkey, record, string_agg(l_linestatus, ' ' ORDER BY l_linenumber, l_linestatus) AS l_linestatus FROM r GROUP BY 1, 2
+WITH r AS (SELECT *, l_linestatus || CASE WHEN l_quantity > 25 THEN '-' ELSE '' END AS cell, sum((l_returnflag <> 'N')::INT) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber)::BIGINT AS record FROM lineitem)
+SELECT l_orderkey, record, replace(string_agg(cell, ' ' ORDER BY l_linenumber, cell), '- ', '-') AS l_linestatus FROM r GROUP BY 1, 2
 """)
 def continuations(spark: SparkSession, d: str) -> DataFrame:
-    return windows.merge_continuations(table(spark, d, "lineitem"), "l_orderkey", "l_linenumber", F.col("l_returnflag") != "N", ["l_linestatus"])
+    """Cells of which some end in a hyphen, where the next one follows without a blank."""
+    rows = table(spark, d, "lineitem").withColumn("l_linestatus", F.concat("l_linestatus", F.when(F.col("l_quantity") > 25, "-").otherwise("")))
+    return windows.merge_continuations(rows, "l_orderkey", "l_linenumber", F.col("l_returnflag") != "N", ["l_linestatus"])
 
 
 @query("order_check", """
@@ -932,13 +935,13 @@ def json_flatten(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_ndjson(spark, path, "event_id BIGINT, props STRUCT<k: BIGINT>").select("event_id", "props.k")
 
 
-@query("tolerant_read", "SELECT event_id % 10 = 0 AS bad, count(*) AS n FROM events GROUP BY 1")
+@query("tolerant_read", "SELECT event_id % 10 = 0 AS bad, CASE WHEN event_id % 10 <> 0 THEN event_id END AS event_id, CASE WHEN event_id % 10 = 0 THEN '{broken ' || event_id END AS line FROM events")
 def tolerant_read(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "events-lines")
     line = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("{broken "), F.col("event_id").cast("string"))).otherwise(F.to_json(F.struct("event_id")))
     table(spark, d, "events").select(line.alias("value")).write.text(path)
     good, bad = readers.read_ndjson_tolerant(spark, path, "event_id BIGINT")
-    return good.agg(F.count("*").alias("n")).select(F.lit(False).alias("bad"), "n").unionByName(bad.agg(F.count("*").alias("n")).select(F.lit(True).alias("bad"), "n"))
+    return good.select(F.lit(False).alias("bad"), "event_id", F.lit(None).cast("string").alias("line")).unionByName(bad.select(F.lit(True).alias("bad"), F.lit(None).cast("bigint").alias("event_id"), "line"))
 
 
 @query("nested_entries", "SELECT o_orderkey, l_linenumber, (l_extendedprice * 100)::BIGINT AS cents FROM orders JOIN lineitem ON l_orderkey = o_orderkey")
@@ -1422,3 +1425,43 @@ def indicator_variants(spark: SparkSession, d: str) -> DataFrame:
     sign = F.when(F.col("p_size") % 2 == 0, F.lit('"x"')).otherwise(F.lit('"none"'))
     raw = F.parse_json(F.when(F.col("p_size") % 3 == 0, sign).otherwise(F.col("p_retailprice").cast("string")))
     return table(spark, d, "part").select("p_partkey", indicators.as_indicator(raw).alias("i")).select("p_partkey", "i.*")
+
+
+# Rules of names, by cases that the rows take by turns
+
+
+@query("genuine_labels", """
+SELECT p_partkey, p_size % 6 NOT IN (0, 1, 3, 5) AS genuine FROM part
+""")
+def genuine_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labels: the botanical name, the English one with another apostrophe, an own one, a quoted name of the genus, an own quoted one, none."""
+    k, n = F.col("p_size") % 6, F.initcap("p_name")
+    english = F.concat(F.lit("Smith's "), n)
+    label = F.when(k == 0, n).when(k == 1, F.concat(F.lit("Smith’s "), n)).when(k == 2, F.concat(F.lit("Echte "), n)).when(k == 3, F.concat(n, F.lit(" ‘Gold’"))).when(k == 4, F.lit("Rose ‘Gold’"))
+    return table(spark, d, "part").select("p_partkey", T.genuine_label(label, n, english).alias("genuine"))
+
+
+@query("name_parts", """
+WITH r AS (SELECT p_partkey, p_size % 5 AS k, upper(left(p_name, 1)) || substr(split_part(p_name, ' ', 1), 2) AS g, split_part(p_name, ' ', 2) AS e FROM part)
+SELECT p_partkey, g AS genus, k = 1 AS marked, CASE WHEN k IN (0, 2) THEN e END AS epithet FROM r
+""")
+def name_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Names of two words, with a group's mark, of a hybrid genus, of a hybrid, and with an author."""
+    k, g, e = F.col("p_size") % 5, F.split_part(F.initcap("p_name"), F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
+    name = F.when(k == 1, F.concat(g, F.lit(" sect. "), g)).when(k == 2, F.concat(F.lit("×"), g, F.lit(" "), e)).when(k == 3, F.concat(g, F.lit(" × "), e)).when(k == 4, F.concat(g, F.lit(" "), e, F.lit(" L."))).otherwise(F.concat(g, F.lit("  "), e))
+    return table(spark, d, "part").select("p_partkey", T.genus(name).alias("genus"), T.has_group_mark(name).alias("marked"), T.guarded_epithet(name).alias("epithet"))
+
+
+@query("title_suffix", "SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN p_name WHEN 1 THEN p_name || ' (a) b' ELSE p_name || ' (a)' END AS title FROM part")
+def title_suffix(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_size") % 3
+    title = F.concat("p_name", F.when(k == 0, F.concat(F.lit(" ("), "p_brand", F.lit(") "))).when(k == 1, F.lit(" (a) b")).otherwise(F.lit(" (a) (b)")))
+    return table(spark, d, "part").select("p_partkey", T.without_suffix(title).alias("title"))
+
+
+@query("unwritten_rows", "SELECT o_orderkey, o_orderstatus, 0 AS n_files FROM orders")
+def unwritten_rows(spark: SparkSession, d: str) -> DataFrame:
+    """A trial run gives its rows and leaves no file."""
+    path = scratch(spark, "trial")
+    rows = sinks.write_json(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), path, write=False)
+    return rows.withColumn("n_files", F.lit(len(folders(spark, path))))
