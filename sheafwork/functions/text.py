@@ -16,6 +16,7 @@ CULTIVAR_QUOTES = "'‘’ʽʼ"
 RANK_MARKS = r"(subsp|ssp|var|f|sect|agg|cv|ser|subg)\."
 
 _S = r"(?U)\s"  # white space with no-break blanks, as other engines mean it
+_WHITE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))  # the same, for trimming
 
 
 def _c(x: ColumnLike) -> Column:
@@ -32,7 +33,7 @@ def _diacritics() -> tuple[str, str]:
 
 def text(x: ColumnLike) -> Column:
     """The text without outer white space; null becomes empty."""
-    return F.regexp_replace(F.coalesce(_c(x).cast("string"), F.lit("")), rf"^{_S}+|{_S}+$", "")
+    return F.btrim(F.coalesce(_c(x).cast("string"), F.lit("")), F.lit(_WHITE))
 
 
 def one_blank(x: ColumnLike) -> Column:
@@ -64,10 +65,17 @@ def squash_words(x: ColumnLike) -> Column:
 
 
 def search_variants(x: ColumnLike, gaps: bool = True) -> Column:
-    """A name with umlauts spelled out and, where that differs, folded; with or without gaps between words."""
-    form = squash_words if gaps else squash
-    raw = text(x)
-    both = F.array(form(fold(expand_umlauts(raw))), form(fold(F.replace(raw, F.lit("ß"), F.lit("ss")))))
+    """A name with umlauts spelled out and, where that differs, folded; with or without gaps between words.
+
+    Both are made from one cleaned form that still has its umlauts, so that the patterns run once over a text.
+    """
+    marked, bases = _diacritics()
+    kept = [(a, b) for a, b in zip(marked, bases) if a not in "äöüÄÖÜ"]
+    plain = F.translate(F.replace(text(x), F.lit("ß"), F.lit("ss")), "".join(a for a, _ in kept), "".join(b for _, b in kept))
+    low = F.lower(drop_hybrid_mark(F.regexp_replace(plain, "[̀-ͯ]", "")))
+    form = F.trim(F.regexp_replace(low, "[^a-z0-9äöü]+", " ")) if gaps else F.regexp_replace(low, "[^a-z0-9äöü]", "")
+    spelled = lambda v: reduce(lambda c, p: F.replace(c, F.lit(p[0]), F.lit(p[1])), {"ä": "ae", "ö": "oe", "ü": "ue"}.items(), v)
+    both = F.flatten(F.transform(F.array(form), lambda v: F.array(spelled(v), F.translate(v, "äöü", "aou"))))  # a row of one, so that the form isn't made twice
     return F.array_distinct(F.filter(both, lambda v: v != ""))
 
 
