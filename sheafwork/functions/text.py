@@ -132,10 +132,14 @@ def strip_authorship(x: ColumnLike) -> Column:
     return F.aggregate(F.slice(words, 2, F.size(words)), start, step, lambda s: F.array_join(s["kept"], " "))
 
 
+# Signs that no usable name has.
+UNUSABLE = (r"[0-9]", r'[<>{}\[\]|@€$;"]', r"!!|\.\.\.")
+
+
 def usable_name(x: ColumnLike) -> Column:
     """A name of 1 to 60 characters without digits, markup, quotes or signs of a sentence."""
     n = text(x)
-    return F.length(n).between(1, 60) & ~n.rlike(r"[0-9]") & ~n.rlike(r'[<>{}\[\]|@€$;"]') & ~n.rlike(r"!!|\.\.\.")
+    return reduce(lambda a, b: a & ~n.rlike(b), UNUSABLE, F.length(n).between(1, 60))
 
 
 def own_epithet(x: ColumnLike) -> Column:
@@ -170,12 +174,12 @@ def is_placeholder(x: ColumnLike, word: str = "sorte") -> Column:
     return F.lower(text(x)) == word
 
 
+# The signs and marks by which a name shows its rank.
 def rank_of(x: ColumnLike) -> Column:
     """The rank that a name shows; the more special one first."""
     c = _c(x)
-    q = CULTIVAR_QUOTES.replace("ʼ", "")
     return (
-        F.when(c.rlike(f"[{q}][^{q}]+[{q}]"), "cultivar").when(c.rlike(r"(?<![A-Za-z0-9_])(subsp|ssp)\."), "subspecies")
+        F.when(c.rlike("['‘’ʽ][^'‘’ʽ]+['‘’ʽ]"), "cultivar").when(c.rlike(r"(?<![A-Za-z0-9_])(subsp|ssp)\."), "subspecies")
         .when(c.rlike(r"(?<![A-Za-z0-9_])var\."), "variety").when(c.rlike(r"(?<![A-Za-z0-9_])f\.\s+[a-z]"), "form")
         .when(c.rlike(r"(?<![A-Za-z0-9_])(sect|agg)\."), "aggregate").when(c.contains("×"), "hybrid")
     )
@@ -210,10 +214,19 @@ def same_apostrophe(x: ColumnLike) -> Column:
     return F.trim(F.translate(_c(x), "‘’ʽʼ`´", "''''''"))
 
 
+# Marks of a rank, the shape of a genus with its epithet, letters of a common name.
+BOTANICAL_RANK, BOTANICAL_PAIR, COMMON_LETTERS = r"(?<![A-Za-z0-9_])(subsp|ssp|var|f|sect|agg|cv)\.\s", r"^[A-Z][a-z]+\s+[×x]?[a-z-]{3,}(\s|$)", "[a-zäöüß]"
+
+
 def looks_botanical(x: ColumnLike) -> Column:
     """A rank mark, genus with epithet, or no lower-case letter: no common name."""
     n = text(x)
-    return (n == "") | n.rlike(r"(?<![A-Za-z0-9_])(subsp|ssp|var|f|sect|agg|cv)\.\s") | n.rlike(r"^[A-Z][a-z]+\s+[×x]?[a-z-]{3,}(\s|$)") | ~n.rlike("[a-zäöüß]")
+    return (n == "") | n.rlike(BOTANICAL_RANK) | n.rlike(BOTANICAL_PAIR) | ~n.rlike(COMMON_LETTERS)
+
+
+# Shapes of what is given as a common name and is none: a binomial, an author, a rank, an author in brackets or a year.
+NO_COMMON_NAME = (r"^[A-Z][a-zë-]+\s+[a-zë-]+(\s|$)", r"\s[A-Z][a-z]{0,6}\.$", r"(?<![A-Za-z0-9_])(subsp|var|f|cv|sect|ser|nothosubsp)\.\s", r"\(\s*[A-Z][a-z]*\.?\s*\)|(?<![A-Za-z0-9_])[0-9]{4}(?![A-Za-z0-9_])")
+VOWELS = "(?i)[aeiouäöü]"
 
 
 def genuine_common_name(name: ColumnLike, scientific: ColumnLike) -> Column:
@@ -221,17 +234,18 @@ def genuine_common_name(name: ColumnLike, scientific: ColumnLike) -> Column:
     n, sci = text(name), F.coalesce(_c(scientific), F.lit(""))
     bare = lambda c: F.regexp_replace(F.lower(c), "[^a-zäöüß]", "")
     first = F.element_at(F.split(sci, rf"{_S}+"), 1)
-    bad = [
-        bare(n) == bare(sci), (first != "") & (bare(n) == bare(first)), n.rlike(r"^[A-Z][a-zë-]+\s+[a-zë-]+(\s|$)"), n.rlike(r"\s[A-Z][a-z]{0,6}\.$"),
-        n.rlike(r"(?<![A-Za-z0-9_])(subsp|var|f|cv|sect|ser|nothosubsp)\.\s"), n.rlike(r"\(\s*[A-Z][a-z]*\.?\s*\)|(?<![A-Za-z0-9_])[0-9]{4}(?![A-Za-z0-9_])"), ~n.rlike("(?i)[aeiouäöü]"),
-    ]
+    bad = [bare(n) == bare(sci), (first != "") & (bare(n) == bare(first)), *[n.rlike(p) for p in NO_COMMON_NAME], ~n.rlike(VOWELS)]
     return F.length(n).between(3, 60) & ~reduce(lambda a, b: a | b, bad)
 
 
+# The shape of a genus with a quoted name.
+QUOTED_OF_GENUS = "^[A-Z][a-z]+ .*'"
+
+
 def genuine_label(label: ColumnLike, botanical: ColumnLike, english: ColumnLike) -> Column:
     """A label that differs from the botanical and the English one and isn't a quoted name of the genus."""
     n = same_apostrophe(label)
-    quoted = n.rlike("^[A-Z][a-z]+ .*'") & (F.element_at(F.split(n, " "), 1) == F.element_at(F.split(_c(botanical), " "), 1))
+    quoted = n.rlike(QUOTED_OF_GENUS) & (F.element_at(F.split(n, " "), 1) == F.element_at(F.split(_c(botanical), " "), 1))
     return F.coalesce((n != "") & (n != same_apostrophe(botanical)) & F.coalesce(n != same_apostrophe(english), F.lit(True)) & ~quoted, F.lit(False))
 
 
