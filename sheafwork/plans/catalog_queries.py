@@ -329,10 +329,15 @@ def fallback_source(spark: SparkSession, d: str) -> DataFrame:
     return merge.fallback_source(of("F"), of("O"), "k")
 
 
-@query("enrich_missing", "SELECT c_custkey, coalesce(CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END, p) AS segment FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderpriority) AS p FROM orders GROUP BY 1) ON o_custkey = c_custkey")
+@query("enrich_missing", """
+WITH p AS (SELECT o_custkey, min(o_orderpriority) AS p FROM orders WHERE o_custkey % 3 <> 0 GROUP BY 1),
+r AS (SELECT c_custkey, coalesce(CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END, p) AS segment FROM customer LEFT JOIN p ON o_custkey = c_custkey)
+SELECT c_custkey, segment, false AS still_missing FROM r UNION ALL SELECT c_custkey, NULL, true FROM r WHERE segment IS NULL
+""")
 def enrich_missing(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("segment"))
-    return merge.enrich_missing(rows, "c_custkey", "segment", table(spark, d, "orders"), "o_custkey", "o_orderpriority")[0]
+    filled, missing = merge.enrich_missing(rows, "c_custkey", "segment", table(spark, d, "orders").where("o_custkey % 3 <> 0"), "o_custkey", "o_orderpriority")
+    return filled.withColumn("still_missing", F.lit(False)).unionByName(missing.select("c_custkey", F.lit(None).cast("string").alias("segment"), F.lit(True).alias("still_missing")))
 
 
 @query("lookup_slice", """
@@ -492,13 +497,17 @@ def row_clusters(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("column_edges", """
-SELECT l_orderkey, l_linenumber, len(list_filter([0, 15, 30], lambda e: e <= l_quantity + 3)) - 1 AS "column" FROM lineitem
+WITH r AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_orderkey * 8 + l_linenumber AS pos, max(l_quantity) AS x, max(l_returnflag) AS flag FROM lineitem GROUP BY 1, 2, 3),
+h AS (SELECT l_suppkey, pos, [0, l_orderkey % 20, l_orderkey % 20 + l_linenumber * 3] AS e FROM r WHERE flag = 'R')
+SELECT r.l_suppkey, r.l_orderkey, r.l_linenumber, len(list_filter(e, lambda v: v <= r.x + 3)) - 1 AS "column" FROM r ASOF JOIN h ON r.l_suppkey = h.l_suppkey AND r.pos >= h.pos
 """)
 def column_edges(spark: SparkSession, d: str) -> DataFrame:
-    first = F.row_number().over(windows.Window.partitionBy("l_orderkey").orderBy("l_linenumber"))
-    rows = table(spark, d, "lineitem").withColumn("first", first)
-    edges = F.when(F.col("first") == 1, F.array(*[F.lit(float(e)) for e in (0, 15, 30)]))
-    return windows.assign_columns(rows, ["l_orderkey"], "l_linenumber", "l_quantity", edges).select("l_orderkey", "l_linenumber", "column")
+    """Headers of varying edges; words before the first header of their document are left out."""
+    rows = table(spark, d, "lineitem").groupBy("l_suppkey", "l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("x"), F.max("l_returnflag").alias("flag")).withColumn("pos", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    edges = F.when(F.col("flag") == "R", F.array(F.lit(0).cast("double"), (F.col("l_orderkey") % 20).cast("double"), (F.col("l_orderkey") % 20 + F.col("l_linenumber") * 3).cast("double")))
+    first = rows.groupBy("l_suppkey").agg(F.min(F.when(F.col("flag") == "R", F.col("pos"))).alias("first"))
+    placed = windows.assign_columns(rows.join(first, "l_suppkey").where("pos >= first"), ["l_suppkey"], "pos", "x", edges)
+    return placed.select("l_suppkey", "l_orderkey", "l_linenumber", "column")
 
 
 @query("continuations", """
@@ -606,9 +615,13 @@ def orphan_check(spark: SparkSession, d: str) -> DataFrame:
     return audit.orphans(table(spark, d, "events"), "user_id", table(spark, d, "orders"), "o_custkey").select("user_id").distinct()
 
 
-@query("referential_cleanup", "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
+@query("referential_cleanup", """
+SELECT 'customer' AS side, c_custkey AS key FROM customer WHERE c_acctbal > 0 AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')
+UNION ALL SELECT 'order', o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+""")
 def referential_cleanup(spark: SparkSession, d: str) -> DataFrame:
-    return audit.mutual(table(spark, d, "customer"), "c_custkey", table(spark, d, "orders"), "o_custkey")[0].select("c_custkey")
+    a, b = audit.mutual(table(spark, d, "customer").where("c_acctbal > 0"), "c_custkey", table(spark, d, "orders").where("o_orderstatus = 'F'"), "o_custkey")
+    return a.select(F.lit("customer").alias("side"), F.col("c_custkey").alias("key")).unionByName(b.select(F.lit("order").alias("side"), F.col("o_orderkey").alias("key")))
 
 
 @query("missing_subset", "SELECT source, count(*) AS n, count(*) FILTER (q IS NULL) AS n_missing, round(100 * avg((q IS NULL)::INT), 1) AS share_missing FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS q FROM labels GROUP BY 1) USING (doc_id) GROUP BY 1")
@@ -1280,14 +1293,24 @@ def assembled_names(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", layout.assembled_name(words[0], species, cultivar).alias("n")).select("p_partkey", "n.name", "n.rank")
 
 
-@query("species_rows", """
-SELECT o_orderkey AS "taxonKey", CASE WHEN o_orderpriority <> '' THEN o_orderpriority END AS "scientificName", o_orderstatus AS status, o_totalprice > 200000 AS extinct, o_custkey AS "numDescendants", NULL::VARCHAR AS genus, 21 AS n_fields FROM orders
-""")
+_TEXT_FIELDS = ["scientificName", "canonicalName", "authorship", "rank", "kingdom", "phylum", "class", "order", "family", "genus", "constituentKey"]
+_KEY_FIELDS = ["kingdomKey", "phylumKey", "classKey", "orderKey", "familyKey", "genusKey", "numDescendants"]
+
+
+@query("species_rows", "SELECT o_orderkey AS \"taxonKey\", o_orderstatus AS status, o_totalprice > 200000 AS extinct, " + ", ".join(
+    [f"CASE WHEN o_orderkey % 12 <> {i} THEN '{n} ' || o_orderpriority END AS \"{n}\"" for i, n in enumerate(_TEXT_FIELDS)] + [f"o_custkey + {i} AS \"{n}\"" for i, n in enumerate(_KEY_FIELDS) if n != "genusKey"]
+) + """, NULL::VARCHAR AS "genusKey", CASE o_orderkey % 3 WHEN 0 THEN 'de:Baum,de:Linde,en:tree' WHEN 1 THEN 'de:Baum' ELSE '' END AS names FROM orders""")
 def species_rows(spark: SparkSession, d: str) -> DataFrame:
-    none = F.array().cast("array<struct<vernacularName:string,language:string>>")
-    usages = table(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("scientificName"), F.col("o_orderstatus").alias("taxonomicStatus"), (F.col("o_totalprice") > 200000).alias("extinct"), F.col("o_custkey").alias("numDescendants"), F.lit("").alias("genus"), none.alias("vernacularNames"))
-    out = readers.species_rows(usages, ["de"])
-    return out.select("taxonKey", "scientificName", "status", "extinct", "numDescendants", "genus", F.lit(len(out.columns) - 1).alias("n_fields"))
+    """Every field of a usage, empty texts by turns, one key that the payload lacks; vernacular names with blanks, repeats and another language."""
+    k = F.col("o_orderkey")
+    name = lambda text, lang: F.struct(F.lit(text).alias("vernacularName"), F.lit(lang).alias("language"))
+    long = F.array(name(" Baum", "de"), name("Linde", "de"), name("baum ", "de"), name("arbre", "fr"), name("tree", "en"), name("TREE", "en"))
+    names = F.when(k % 3 == 0, long).when(k % 3 == 1, F.array(name("Baum", "de"), name("arbre", "fr"))).otherwise(F.array().cast("array<struct<vernacularName:string,language:string>>"))
+    texts = [F.when(k % 12 == i, F.lit("")).otherwise(F.concat(F.lit(f"{n} "), "o_orderpriority")).alias(n) for i, n in enumerate(_TEXT_FIELDS)]
+    keys = [(F.col("o_custkey") + i).alias(n) for i, n in enumerate(_KEY_FIELDS) if n != "genusKey"]
+    usages = table(spark, d, "orders").select(k.alias("key"), F.col("o_orderstatus").alias("taxonomicStatus"), (F.col("o_totalprice") > 200000).alias("extinct"), *texts, *keys, names.alias("vernacularNames"))
+    out = readers.species_rows(usages, ["de", "en"])
+    return out.withColumn("names", F.array_join(F.transform("vernacularNames", lambda v: F.concat(v["language"], F.lit(":"), v["name"])), ",")).drop("vernacularNames")
 
 
 @query("catalogue_index", """
