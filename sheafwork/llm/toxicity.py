@@ -320,6 +320,11 @@ def worst_run(values: Iterable[float], words: Iterable[int], before: Iterable[in
     return best, first, last
 
 
+def _product(x: np.ndarray, weights: np.ndarray, step: int = 4096) -> np.ndarray:
+    """x @ weights in double precision, without a copy of all of x in it."""
+    return np.concatenate([np.zeros(0), *[x[i : i + step].astype(float) @ weights for i in range(0, len(x), step)]])
+
+
 def fit(marks: Landmarks, n_toxic: int, owner: np.ndarray, x: np.ndarray, words: np.ndarray, before: np.ndarray, labels: np.ndarray) -> Machine:
     """A machine from sentence rows ``x`` with their numbers of words, each of a document in ``owner`` (ascending; each has a row, 0 for no words),
     and the documents' labels. The first ``n_toxic`` landmarks are those of toxic words."""
@@ -343,14 +348,14 @@ def fit(marks: Landmarks, n_toxic: int, owner: np.ndarray, x: np.ndarray, words:
         return np.hstack([sums @ project, np.ones((len(a), 1))]), -COST * (upto[b] - upto[a] + inner)
 
     for _ in range(5):
-        value = x @ weights
+        value = _product(x, weights)
         at = np.array([worst_run(value[a:b].tolist(), words[a:b].tolist(), before[a:b].tolist())[1:] for a, b in zip(starts, ends)]) + starts[:, None]
         single = np.array([starts[i] + value[starts[i] : ends[i]].argmax() for i in clean_docs])
         z, offset = row(np.append(at[:, 0], single), np.append(at[:, 1], single + 1))
         y = np.append(np.where(labels == 1, 1.0, -1.0), -np.ones(len(single)))
         share = np.append(np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.3 / len(clean_docs)), np.full(len(single), 0.2 / len(clean_docs)))
         weights = project @ _squared_hinge(z, y, share * len(y), offset)[:-1]
-    value = x @ weights
+    value = _product(x, weights)
     decision = np.array([worst_run(value[a:b].tolist(), words[a:b].tolist(), before[a:b].tolist())[0] for a, b in zip(starts, ends)])
     a, b = np.sort(decision[labels == 1]), np.sort(decision[labels == 0])
     cuts = np.unique(decision)
@@ -369,7 +374,7 @@ def needed(machine: Machine, n_toxic: int, owner: np.ndarray, x: np.ndarray, wor
     ends = np.append(starts[1:], len(x))
 
     def wrong(w: np.ndarray) -> float:
-        value = x @ w
+        value = _product(x, w)
         decision = np.array([worst_run(value[a:b].tolist(), words[a:b].tolist(), before[a:b].tolist())[0] for a, b in zip(starts, ends)])
         a, b = np.sort(decision[labels == 1]), np.sort(decision[labels == 0])
         cuts = np.append(np.unique(decision), np.inf)
@@ -478,11 +483,12 @@ def _pick_landmarks(counts: DataFrame, n_toxic: int, n_clean: int) -> tuple[list
 
 
 def _sentence_rows(sample: DataFrame, marks: Landmarks) -> DataFrame:
-    """(y, h, rows, words, before): of each document the sentences that are like a landmark, ROWS at most; the first row is that of no words."""
+    """(y, h, at, values, sizes, words, before): of each document the sentences that are like a landmark, ROWS at most, as the columns
+    that aren't 0, their values, and how many each sentence has; the first sentence is that of no words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
-            out: tuple[list, list, list] = [], [], []
+            out: tuple[list, ...] = [], [], [], [], []
             documents = [cut(text.as_py()) for text in batch.column(2)]
             words = list({w for chunks in documents for s in chunks for w in words_of(s)})
             row_of: dict[str, np.ndarray] = {}
@@ -495,13 +501,16 @@ def _sentence_rows(sample: DataFrame, marks: Landmarks) -> DataFrame:
                 rows = sorted(sorted(rows, key=lambda r: -float(r[1].sum()))[: ROWS - 1], key=lambda r: r[0])
                 upto = [0, *accumulate(map(len, chunks))]
                 places = [i for i, _ in rows]
-                out[0].append(bytes(8 * len(marks.words)) + b"".join([v.astype(np.float32).tobytes() for _, v in rows]))
-                out[1].append([0, *[len(chunks[i]) for i in places]])
-                out[2].append([0, *[upto[i] - (upto[last + 1] if last >= 0 else 0) for last, i in zip([-1, *places], places)]])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out[0], pa.binary()), *[pa.array(o, pa.list_(pa.int64())) for o in out[1:]]], names=["y", "h", "rows", "words", "before"])
+                found_at = [np.nonzero(v)[0] for _, v in rows]
+                out[0].append(b"".join([at.astype(np.uint16).tobytes() for at in found_at]))
+                out[1].append(b"".join([v[at].astype(np.float32).tobytes() for (_, v), at in zip(rows, found_at)]))
+                out[2].append([0, *map(len, found_at)])
+                out[3].append([0, *[len(chunks[i]) for i in places]])
+                out[4].append([0, *[upto[i] - (upto[last + 1] if last >= 0 else 0) for last, i in zip([-1, *places], places)]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(o, pa.binary()) for o in out[:2]], *[pa.array(o, pa.list_(pa.int64())) for o in out[2:]]], names=["y", "h", "at", "values", "sizes", "words", "before"])
         release_memory()
 
-    return sample.mapInArrow(run, "y int, h bigint, rows binary, words array<bigint>, before array<bigint>")
+    return sample.mapInArrow(run, "y int, h bigint, at binary, values binary, sizes array<bigint>, words array<bigint>, before array<bigint>")
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: tuple[int, int] = SAMPLE) -> Machine:
@@ -518,17 +527,28 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, allowed: Column, id_col:
         return Machine()
     marks = Landmarks(words)
     held = sorted(_sentence_rows(rows, marks).collect(), key=lambda r: (r["h"], r["y"]))
-    vectors = [np.frombuffer(r["rows"], np.float32).reshape(-1, 2 * len(words)) for r in held]
-    owner = np.repeat(np.arange(len(held)), [len(v) for v in vectors])
+    owner = np.repeat(np.arange(len(held)), [len(r["sizes"]) for r in held])
     sizes, gaps = (np.array([n for r in held for n in r[c]], np.int64) for c in ("words", "before"))
-    labelled, x = np.array([r["y"] for r in held]), np.concatenate(vectors)
-    del held, vectors
+    labelled = np.array([r["y"] for r in held])
+    row = np.repeat(np.arange(len(owner)), [n for r in held for n in r["sizes"]])
+    column = np.concatenate([np.frombuffer(r["at"], np.uint16) for r in held]).astype(np.int64)
+    value = np.concatenate([np.frombuffer(r["values"], np.float32) for r in held])
+    del held
+
+    def dense(kept: np.ndarray) -> np.ndarray:
+        """The sentences' vectors over the kept columns."""
+        place, own = np.cumsum(kept) - 1, kept[column]
+        x = np.zeros((len(owner), int(kept.sum())), np.float32)
+        x[row[own], place[column[own]]] = value[own]
+        return x
+
+    x = dense(np.ones(2 * len(words), bool))
     machine = fit(marks, n_toxic, owner, x, sizes, gaps, labelled)
     kept = needed(machine, n_toxic, owner, x, sizes, gaps, labelled)
+    del x
     if not kept.all():
         marks = Landmarks([w for w, k in zip(words, kept) if k])
-        machine = fit(marks, int(kept[:n_toxic].sum()), owner, x[:, np.tile(kept, 2)], sizes, gaps, labelled)
-    del x, owner, sizes, gaps
+        machine = fit(marks, int(kept[:n_toxic].sum()), owner, dense(np.tile(kept, 2)), sizes, gaps, labelled)
     release_memory()
     return machine
 
