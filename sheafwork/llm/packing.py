@@ -25,9 +25,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .common import release_memory
+
 WINDOW = 4096
 END = 2
-#: Chunks, and words, that a Python worker keeps for later batches and tasks.
+#: Chunks, and words, that a task keeps for later batches.
 CACHE_CHUNKS = 350_000
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, `offset` bigint"
@@ -98,6 +100,11 @@ class ChunkTokenizer:
             return self.words[word] + self.signs[signs]
         return self._whole(chunk)
 
+    def forget(self) -> None:
+        """Lets the kept chunks go, but for the signs."""
+        self.chunks.clear()
+        self.words.clear()
+
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         get = self.chunks.__getitem__
         for text in texts:
@@ -217,5 +224,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             place(full)
         if rows:
             yield block()
+        tokenizer.forget()  # a worker lives on for other stages, which need its memory
+        release_memory()
 
     return docs.select(id_col, text_col).mapInArrow(run, SCHEMA)

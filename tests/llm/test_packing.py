@@ -55,5 +55,31 @@ def test_every_id_once(spark, sf_dir):
         assert at <= 4096 and (at == 4096 or at & (at - 1) == 0)
 
 
+def test_repeated_rows_and_null_ids(spark):
+    rows = [(1, "a b c"), (1, "a b c"), (None, "a b c"), (None, None), (2, "word " * 9000), (2, "word " * 9000)]
+    got = packing.pack_documents(spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, length int").repartition(2), PATH).collect()
+    tokenizer = Tokenizer.from_file(PATH)
+    want = collections.Counter()
+    for i, text in rows:
+        want[i] += len(tokenizer.encode(text or "", add_special_tokens=False).ids) + 1
+    have = collections.Counter()
+    for r in got:
+        have[r["doc_id"]] += r["length"]
+    assert have == want and sum(r["start"] == 0 for r in got) == len(rows)
+    filled = collections.Counter()
+    for r in got:
+        filled[r["sequence_id"]] += r["length"]
+    assert all(n == 4096 or n & (n - 1) == 0 for n in filled.values())
+
+
+def test_workers_keep_no_chunks():
+    tokenizer = packing.ChunkTokenizer(PATH)
+    texts = ["some words, and some words again", None, ""]
+    first = list(tokenizer.encode(texts))
+    assert tokenizer.chunks and tokenizer.words
+    tokenizer.forget()
+    assert not tokenizer.chunks and not tokenizer.words and list(tokenizer.encode(texts)) == first
+
+
 def test_empty_table(spark):
     assert packing.pack_documents(spark.createDataFrame([], "doc_id long, text string, start string"), PATH).count() == 0
