@@ -72,6 +72,31 @@ def test_partners_by_place(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_all_distant_pairs(spark, tmp_path):
+    import random
+
+    from compare import duckdb_rows, rows_of
+
+    from sheafwork import registry
+    from sheafwork.plans import catalog_queries  # noqa: F401
+
+    r = random.Random(8)
+    odd = [None, 0.0, -0.0, 5000.0, -5000.0, 1e300, -1e300, 0.1, 5000.1, float("inf"), float("-inf"), float("nan")]
+    rows = [(r.choice([1, 2, None]), i, r.choice(odd) if i % 3 == 0 else round(r.uniform(-9999, 9999), 2)) for i in range(150)] + [(1, 7, 9000.0), (1, None, 0.0), (3, 500, 1.0)]
+    frame = spark.createDataFrame(rows, "s_nationkey int, s_suppkey int, s_acctbal double").repartition(5)
+    frame.write.parquet(f"{tmp_path}/supplier.parquet")
+    far = lambda v, w: v != v or w != w or abs(v - w) >= 5000 or v == w and abs(v) == float("inf")  # noqa: E731  (NaN is the largest number to SQL)
+    want = sorted((g, k, k2) for g, k, v in rows for g2, k2, v2 in rows if None not in (g, k, v, k2, v2) and g == g2 and k < k2 and far(v, v2))
+    df = registry.QUERIES["pair_distance"](spark, str(tmp_path))
+    assert df.columns == ["s_nationkey", "a", "b", "distance"] and sorted((x[0], x[1], x[2]) for x in df.collect()) == want and len(want) > 1000
+    plain = spark.createDataFrame([x for x in rows if x[2] is None or abs(x[2]) < 1e9], frame.schema)
+    plain.coalesce(1).write.parquet(f"{tmp_path}/plain/supplier.parquet")
+    files = tmp_path / "sql"
+    files.mkdir()
+    next((tmp_path / "plain" / "supplier.parquet").glob("part-*")).rename(files / "supplier.parquet")
+    assert rows_of(registry.QUERIES["pair_distance"](spark, str(files)).toPandas()) == duckdb_rows(registry.ORACLES["pair_distance"], str(files))
+
+
 def test_sketches_err_by_little(spark):
     import random
 
