@@ -1,9 +1,9 @@
 """Byte-level BPE encoding and decoding by DuckDB recursive queries inside each Spark partition.
 
 A task cuts its texts into units (white space and the chunk behind it), encodes each unit it has not met yet and
-joins the cached results per document. Encoding is one recursive query over the new words: token-position rows join
-the merge table, each word's leftmost pair of least rank is contracted, and words stay in the recursion until no pair
-merges. Decoding is an ordered aggregation over the ids' bytes.
+joins the units' results per document. Encoding is one recursive query over the new words: a row is a word with the list
+of its tokens and the list of its pairs' ranks, and a round contracts the leftmost pair of least rank in each word, until
+no pair merges. Decoding is an ordered aggregation over the ids' bytes.
 
 Defined cases: a null text counts as empty and has no tokens; the digests of empty texts are those of an empty string;
 repeated rows and null ids each give their own row; extra columns are ignored.
@@ -19,67 +19,53 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 #: Unicode White_Space, as the pattern's ``\s`` means it.
 _WS = r"\t-\r \x85\xa0  -     　"
 _UNITS = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
-#: Units that a Python worker keeps for later batches and tasks; the first it meets, and so the common ones.
+#: Units that a Python worker keeps for later batches and tasks: the most frequent of the first batches.
 CACHE_UNITS = 250_000
+#: Characters of texts whose units are held at once.
+SLICE = 4_000_000
 
-#: Bytes of a piece that shares a query with others, up to BATCH of them.
-SHORT, BATCH = 256, 20_000
+#: Bytes of a piece that shares a query with others: up to BATCH of them, and up to SQUARES as the sum of their squared
+#: lengths, as a query keeps a word's state of each round.
+SHORT, BATCH, SQUARES = 256, 20_000, 16_000_000
+
+#: The rank of what is no pair.
+NONE = 65535
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
-#: A row is a token of a word: its key (the word's number, shifted, plus its place), the token behind it and that one's
-#: key, and the rank of the two as a pair. A round contracts each word's leftmost pair of least rank and, from the left,
-#: its other pairs of that rank that don't overlap, unless the contracted token could make a pair of lower rank, which
-#: would then be next (``eager``). Words without a pair leave the recursion.
-_ENCODE = """
+#: A row is a word: its tokens and its pairs' ranks, with NONE where a pair doesn't merge and at both ends, so that token p
+#: stands between rank p and rank p + 1. A contraction replaces two tokens by one and three ranks by two.
+_ENCODE = f"""
 WITH RECURSIVE step AS (
-    SELECT 0::USMALLINT AS round, s.k, s.tok, s.next_tok, s.next_k, m.merged AS rank
-    FROM start s LEFT JOIN merges m ON m.pair = s.tok::UINTEGER * 65536 + s.next_tok
+    SELECT w, toks, ranks, list_min(ranks) AS least FROM start
   UNION ALL
-    (WITH least AS (
-        SELECT k >> 8 AS w, min(rank) AS rank FROM step WHERE rank IS NOT NULL GROUP BY k >> 8),
-     found AS (
-        SELECT s.k, s.rank, l.w, s.k IS DISTINCT FROM lag(s.next_k) OVER (ORDER BY s.k) AS fresh
-        FROM step s JOIN least l ON l.w = s.k >> 8 AND l.rank = s.rank),
-     runs AS (
-        SELECT k, rank, w, sum(fresh::INT) OVER (ORDER BY k) AS run FROM found),
-     turns AS (
-        SELECT k, rank, row_number() OVER (PARTITION BY run ORDER BY k) AS turn,
-               row_number() OVER (PARTITION BY w ORDER BY k) AS nth FROM runs),
-     chosen AS (
-        SELECT k AS spot, rank AS merged FROM turns
-        WHERE nth = 1 OR turn % 2 = 1 AND rank NOT IN (SELECT e.rank FROM eager e)),
-     beside AS (
-        SELECT (s.round + 1)::USMALLINT AS round, s.k, s.tok, s.next_k, s.rank, c.merged, lag(c.spot) OVER place IS NOT NULL AS gone,
-               lead(coalesce(c.merged, s.tok)) OVER place AS tok_1, lead(coalesce(c.merged, s.tok), 2) OVER place AS tok_2,
-               lead(s.next_k) OVER place AS next_k_1, lead(c.spot) OVER place IS NOT NULL AS beside
-        FROM step s SEMI JOIN least l ON l.w = s.k >> 8 LEFT JOIN chosen c ON c.spot = s.k
-        WINDOW place AS (ORDER BY s.k)),
+    (WITH found AS (
+        SELECT *, list_position(ranks, least) - 1 AS p FROM step WHERE least < {NONE}),
      moved AS (
-        SELECT round, k, coalesce(merged, tok) AS tok, CASE WHEN merged IS NULL THEN next_k ELSE next_k_1 END AS next_k,
-               CASE WHEN merged IS NULL THEN tok_1 ELSE tok_2 END AS next_tok,
-               CASE WHEN merged IS NULL AND NOT beside THEN rank END AS rank, merged IS NOT NULL OR beside AS renew
-        FROM beside WHERE NOT gone)
-     SELECT v.round, v.k, v.tok, v.next_tok, v.next_k, coalesce(v.rank, m.merged)
-     FROM moved v LEFT JOIN merges m
-       ON m.pair = CASE WHEN v.renew AND v.next_k IS NOT NULL THEN v.tok::UINTEGER * 65536 + v.next_tok END)
+        SELECT f.w, f.toks[1:f.p - 1] || [f.least] || f.toks[f.p + 2:] AS toks,
+               f.ranks[1:f.p - 1] || [coalesce(a.merged, {NONE}::USMALLINT), coalesce(b.merged, {NONE}::USMALLINT)] || f.ranks[f.p + 3:] AS ranks
+        FROM found f LEFT JOIN merges a ON a.pair = f.toks[f.p - 1]::UINTEGER * 65536 + f.least
+        LEFT JOIN merges b ON b.pair = f.least::UINTEGER * 65536 + f.toks[f.p + 2])
+     SELECT w, toks, ranks, list_min(ranks) FROM moved)
 ), ended AS (
-    SELECT k >> 8 AS w, max(round) AS round FROM step GROUP BY k >> 8
-), sorted AS (
-    SELECT l.w, s.tok, v.hex FROM step s JOIN ended l ON l.w = s.k >> 8 AND l.round = s.round
-    JOIN vocabulary v ON v.tok = s.tok ORDER BY s.k)
-SELECT w, string_agg(tok::VARCHAR, ',') AS ids, string_agg(hex, '') AS decoded FROM sorted GROUP BY w
+    SELECT w, toks FROM step WHERE least = {NONE}
+), tokens AS (
+    SELECT w, unnest(toks) AS tok, generate_subscripts(toks, 1) AS i FROM ended
+), bytes AS (
+    SELECT w, from_hex(string_agg(v.hex, '' ORDER BY t.i)) AS decoded FROM tokens t JOIN vocabulary v ON v.tok = t.tok GROUP BY w)
+SELECT w, array_to_string(toks, ',') AS ids, decoded FROM ended JOIN bytes USING (w)
 """
 
 
-#: The same for long pieces, where the recursion keeps the present state alone (USING KEY): a row links to its neighbours, and
-#: a round gives the rows that change. All pairs of the least rank are contracted up to the first whose token makes a
-#: pair of lower rank with a neighbour.
+#: The same for a long piece, by a row for each token; the recursion keeps the present state alone (USING KEY): a row links to
+#: its neighbours, and a round gives the rows that change. All pairs of the least rank are contracted up to the first whose
+#: token makes a pair of lower rank with a neighbour.
 _ENCODE_LONG = """
 WITH RECURSIVE step(k, tok, prv, nxt, rank) USING KEY (k) AS (
     SELECT s.k, s.tok, s.prv, s.next_k, m.merged FROM start s LEFT JOIN merges m ON m.pair = s.tok::UINTEGER * 65536 + s.next_tok
@@ -125,44 +111,54 @@ class Encoder:
         import regex
 
         self.ranks = read_ranks(path)
-        if max(self.ranks.values()) >= 65536:
-            raise ValueError("a pair's key holds ids of 16 bits")
+        if max(self.ranks.values()) >= NONE:
+            raise ValueError("a pair's key holds ids of 16 bits, of which the last is none")
         self.longest = max(map(len, self.ranks))
         self.words = regex.compile(pattern)
-        self.units: dict[str, tuple[str, bytes]] = {}
+        self.units: dict[str, int] = {}
+        self.results = (pa.array([], pa.large_string()), pa.array([], pa.large_binary()))  # ids and decoded bytes of units, by number
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": f"{memory_mb}MB", "preserve_insertion_order": False, "temp_directory": ""})
-        pairs, merged, eager = [], [], set()
+        pairs, merged = [], []
         for token, rank in self.ranks.items():
             for i in range(1, len(token)):
                 left, right = self.ranks.get(token[:i]), self.ranks.get(token[i:])
                 if left is not None and right is not None:
-                    eager.update(x for x in (left, right) if x > rank)
                     pairs.append(left * 65536 + right)
                     merged.append(rank)
         merges = pa.table({"pair": pa.array(pairs, pa.uint32()), "merged": pa.array(merged, pa.uint16())})  # noqa: F841
-        later = pa.table({"rank": pa.array(sorted(eager), pa.uint16())})  # noqa: F841
         vocabulary = pa.table({"tok": pa.array(list(self.ranks.values()), pa.uint16()), "hex": [t.hex() for t in self.ranks]})  # noqa: F841
-        for name, source in (("merges", "merges"), ("eager", "later"), ("vocabulary", "vocabulary")):
-            self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM {source}")
+        for name in ("merges", "vocabulary"):
+            self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM {name}")
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.uint16)
+        self.pairs = np.array([[self.ranks.get(bytes([a, b]), NONE) for b in range(256)] for a in range(256)], np.uint16)
 
-    def encode_words(self, words: list[bytes]) -> dict[bytes, tuple[str, bytes]]:
+    def encode_words(self, words: list[bytes]) -> list[pa.Array]:
         """Ids (decimal, joined by commas) and decoded bytes of each distinct word."""
-        out: dict[bytes, tuple[str, bytes]] = {}
-        whole = [w for w in words if w in self.ranks]
-        rest = [w for w in words if w not in self.ranks]
-        parts = {w: self.independent(w) for w in rest if len(w) > SHORT}
-        pieces = sorted({p for ps in parts.values() for p in ps if len(p) <= SHORT}.union(w for w in rest if len(w) <= SHORT), key=len)  # those of a query end together
-        found: dict[bytes, tuple[str, bytes]] = {}
-        for at in range(0, len(pieces), BATCH):
-            found.update(self._contract(pieces[at : at + BATCH]))
-        for p in {p for ps in parts.values() for p in ps if len(p) > SHORT}:
-            found.update(self._contract([p], long=True))
-        for at in range(0, len(whole), BATCH):
-            out.update(self._contract(whole[at : at + BATCH], whole=True))
-        for w in rest:
-            out[w] = (",".join([found[p][0] for p in parts[w]]), b"".join([found[p][1] for p in parts[w]])) if w in parts else found[w]
-        return out
+        whole, short, long = [], [], []
+        for i, w in enumerate(words):
+            (whole if w in self.ranks else short if len(w) <= SHORT else long).append(i)
+        order, found = [*whole], [self._contract([words[i] for i in whole], whole=True)]
+        short.sort(key=lambda i: len(words[i]))  # those of a query end together
+        squares = np.cumsum(np.array([len(words[i]) ** 2 for i in short], np.int64))
+        at = 0
+        while at < len(short):
+            upto = int(np.searchsorted(squares, (squares[at - 1] if at else 0) + SQUARES, side="right"))
+            some = short[at : max(at + 1, min(upto, at + BATCH))]
+            found.append(self._contract([words[i] for i in some]))
+            order += some
+            at += len(some)
+        if long:
+            parts = [self.independent(words[i]) for i in long]
+            pieces = list({p for ps in parts for p in ps if len(p) <= SHORT})
+            known = dict(zip(pieces, zip(*(x.to_pylist() for x in self.encode_words(pieces)))))
+            known.update((p, self._contract_long(p)) for p in {p for ps in parts for p in ps if len(p) > SHORT})
+            found.append((pa.array([",".join([known[p][0] for p in ps]) for ps in parts], pa.large_string()), pa.array([b"".join([known[p][1] for p in ps]) for ps in parts], pa.large_binary())))
+            order += long
+        place = pa.array(np.argsort(np.array(order, np.int64)))
+        ids, raw = (pa.concat_arrays(x).take(place) for x in zip(*found))
+        if not raw.equals(pa.array(words, pa.large_binary())):
+            raise ValueError("decoding does not give the words back")
+        return [ids, raw]
 
     def independent(self, word: bytes) -> list[bytes]:
         """The word cut wherever no token of the vocabulary that stands in it reaches across, so that no pair ever can."""
@@ -177,37 +173,89 @@ class Encoder:
             reach = max(reach, i + 1)
         return [word[a:b] for a, b in zip(cuts, [*cuts[1:], len(word)])]
 
-    def _contract(self, words: list[bytes], long: bool = False, whole: bool = False) -> Iterator[tuple[bytes, tuple[str, bytes]]]:
+    def _contract(self, words: list[bytes], whole: bool = False) -> tuple[pa.Array, pa.Array]:
         """One recursive query over the words; those that are ``whole`` a token start as that one."""
-        sizes = np.ones(len(words), np.int64) if whole else np.fromiter(map(len, words), np.int64, len(words))
-        first = np.cumsum(sizes) - sizes
-        tok = np.array([self.ranks[w] for w in words], np.uint16) if whole else self.single[np.frombuffer(b"".join(words), np.uint8)]
-        place = np.arange(len(tok)) - np.repeat(first, sizes)
-        key = place if long else (np.repeat(np.arange(len(words)), sizes) << 8) + place
-        ends = place == np.repeat(sizes - 1, sizes)
-        columns = {"k": key.astype(np.int32), "tok": tok, "next_tok": pa.array(np.roll(tok, -1), mask=ends), "next_k": pa.array((key + 1).astype(np.int32), mask=ends)}
-        if long:
-            columns["prv"] = pa.array((key - 1).astype(np.int32), mask=place == 0)
-        self.db.register("start", pa.table(columns))
-        found = self.db.execute(_ENCODE_LONG if long else _ENCODE).fetchall()
+        start = self._start(words, whole)  # noqa: F841
+        found = self.db.sql(_ENCODE).to_arrow_table().combine_chunks()
+        place = pa.array(np.argsort(found["w"].to_numpy()))
+        return tuple(found[c].cast(kind).combine_chunks().take(place) for c, kind in (("ids", pa.large_string()), ("decoded", pa.large_binary())))
+
+    def _start(self, words: list[bytes], whole: bool) -> pa.Table:
+        """The words as they begin: a token for each byte, or one."""
+        n = len(words)
+        sizes = np.ones(n, np.int64) if whole else np.fromiter(map(len, words), np.int64, n)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ranks = np.full(ends[-1] + n, NONE, np.uint16)
+        if whole:
+            toks = np.array([self.ranks[w] for w in words], np.uint16)
+        else:
+            raw = np.frombuffer(b"".join(words), np.uint8)
+            toks = self.single[raw]
+            place = np.arange(len(raw)) + np.repeat(np.arange(n), sizes)
+            inner = np.ones(len(raw), bool)
+            inner[ends[:-1]] = False
+            ranks[place[inner]] = self.pairs[raw[:-1], raw[1:]][inner[1:]]
+        lists = lambda e, v: pa.ListArray.from_arrays(pa.array(e, pa.int32()), pa.array(v))
+        return pa.table({"w": pa.array(np.arange(n), pa.int32()), "toks": lists(ends, toks), "ranks": lists(ends + np.arange(n + 1), ranks)})
+
+    def _contract_long(self, word: bytes) -> tuple[str, bytes]:
+        tok, key = self.single[np.frombuffer(word, np.uint8)], np.arange(len(word), dtype=np.int32)
+        start = pa.table({"k": key, "tok": tok, "next_tok": pa.array(np.roll(tok, -1), mask=key == len(word) - 1), "next_k": pa.array(key + 1, mask=key == len(word) - 1), "prv": pa.array(key - 1, mask=key == 0)})
+        self.db.register("start", start)
+        ((_, ids, decoded),) = self.db.execute(_ENCODE_LONG).fetchall()
         self.db.unregister("start")
-        for i, ids, decoded in found:
-            if (raw := bytes.fromhex(decoded)) != words[i]:
-                raise ValueError("decoding does not give the word back")
-            yield words[i], (ids, raw)
+        return ids, bytes.fromhex(decoded)
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[str, bytes]]:
-        split = [_UNITS.findall(t or "") for t in texts]
-        new = list(set().union(*split).difference(self.units))
-        parts = [[p.encode() for p in self.words.findall(u)] for u in new]
-        by_word = self.encode_words(list({p for ps in parts for p in ps}))
-        fresh = {u: by_word[ps[0]] if len(ps) == 1 else (",".join([by_word[p][0] for p in ps]), b"".join([by_word[p][1] for p in ps])) for u, ps in zip(new, parts)}
-        for u in new[: max(0, CACHE_UNITS - len(self.units))]:
-            self.units[u] = fresh[u]
-        known, late = self.units.get, fresh.get
-        for us in split:
-            found = [known(u) or late(u) for u in us]
-            yield ",".join([x[0] for x in found]), b"".join([x[1] for x in found])
+        """Ids (decimal, joined by commas) and decoded bytes of each text. Distinct units are numbered; results are joined by number."""
+        new: dict[str, int] = {}
+        coded = []
+        at = size = 0
+        for i, t in enumerate(texts):
+            size += len(t or "")
+            if size >= SLICE or i + 1 == len(texts):
+                coded.append(self._numbers(texts[at : i + 1], new))
+                at, size = i + 1, 0
+        fresh = self._units(list(new))
+        results = [pa.concat_arrays(x) for x in zip(self.results, fresh)]
+        known, room = len(self.units), CACHE_UNITS - len(self.units)
+        if room > 0 and new:
+            counts = np.zeros(known + len(new), np.int64)
+            for _, numbers in coded:
+                counts += np.bincount(numbers, minlength=len(counts))
+            kept = np.argsort(-counts[known:], kind="stable")[:room]
+            units = list(new)
+            self.units.update((units[i], known + n) for n, i in enumerate(kept.tolist()))
+            self.results = tuple(pa.concat_arrays([a, b.take(pa.array(kept))]) for a, b in zip(self.results, fresh))
+        for ends, numbers in coded:
+            yield from zip(*(x.to_pylist() for x in _joined(results, ends, numbers)))
+
+    def _numbers(self, texts: list[str | None], new: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Where each text's units begin, and their numbers; units that are not known are added to ``new``."""
+        units: list[str] = []
+        ends = [0]
+        for t in texts:
+            units += _UNITS.findall(t or "")
+            ends.append(len(units))
+        distinct = pa.array(units, pa.large_string()).dictionary_encode()
+        known, first = self.units.get, len(self.units)
+        numbers = [n if (n := known(u)) is not None else new.setdefault(u, first + len(new)) for u in distinct.dictionary.to_pylist()]
+        return np.array(ends), np.array(numbers, np.int64)[distinct.indices.to_numpy()]
+
+    def _units(self, units: list[str]) -> list[pa.Array]:
+        """Ids and decoded bytes of distinct units."""
+        words: list[str] = []
+        ends = [0]
+        for u in units:
+            words += self.words.findall(u)
+            ends.append(len(words))
+        distinct = pa.array(words, pa.large_string()).dictionary_encode()
+        return _joined(self.encode_words(distinct.dictionary.cast(pa.large_binary()).to_pylist()), np.array(ends), distinct.indices.to_numpy())
+
+
+def _joined(results: Iterable[pa.Array], ends: np.ndarray, numbers: np.ndarray) -> list[pa.Array]:
+    """Ids and decoded bytes of rows whose parts are given by number."""
+    return [pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), x.take(pa.array(numbers))), pa.scalar(between, x.type)) for x, between in zip(results, (",", b""))]
 
 
 @lru_cache(maxsize=1)

@@ -35,6 +35,32 @@ def test_long_words(both):
         assert ids == ",".join(map(str, reference.encode_ordinary(text))) and raw == text.encode()
 
 
+def test_many_words_of_middling_length(both):
+    encoder, reference = both  # the states of all these words at once are beyond the memory of a query
+    rng = random.Random(5)
+    parts = ["the", "ing", "ation", "er", "on", "queezz", "ß", "日本", "語", "a", "b", "x", "qu", "un"]
+    texts = [""] * 4_000
+    for i in range(len(texts)):
+        while len(texts[i].encode()) < 232:
+            texts[i] += rng.choice(parts)
+    for text, (ids, raw) in zip(texts, encoder.encode(texts), strict=True):
+        assert ids == ",".join(map(str, reference.encode_ordinary(text))) and raw == text.encode()
+
+
+def test_frequent_units_are_kept(both, monkeypatch):
+    reference = both[1]
+    encoder = bpe.Encoder(PATH, P.PATTERN)
+    monkeypatch.setattr(bpe, "CACHE_UNITS", 3)
+    monkeypatch.setattr(bpe, "SLICE", 50, raising=False)
+    monkeypatch.setattr(bpe, "BATCH", 4)
+    rare = " ".join(f"rare{c}word" for c in "abcdefghij")
+    for texts in ([f"{rare} often", None, "and often and often and", ""], ["often", " often and quite-new", rare, None, ""], [], [None]):
+        got = list(encoder.encode(texts))
+        assert [ids for ids, _ in got] == [",".join(map(str, reference.encode_ordinary(t or ""))) for t in texts]
+        assert [raw for _, raw in got] == [(t or "").encode() for t in texts]
+        assert len(encoder.units) == 3 and {" often", " and"} <= set(encoder.units)
+
+
 def test_cuts_are_where_no_token_reaches_across(both):
     encoder, _ = both
     rng = random.Random(3)
