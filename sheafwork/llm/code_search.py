@@ -77,7 +77,8 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int = BITS,
         first = F.lit(True)
         for i in range(m):
             first = first & ((F.lit(i) == F.col("segment")) | (apart[i] > F.when(F.lit(i) < F.col("segment"), a).otherwise(a - 1)))
-        met = probes.join(index, ["segment", "value"]).select("q", "qcode", "bound", "segment", F.expr("filter(entries, e -> bit_count(e.code ^ qcode) <= bound)").alias("entries"))
+        # a size estimate doesn't see the masks, and a broadcast would bring all probes to the driver
+        met = probes.hint("merge").join(index, ["segment", "value"]).select("q", "qcode", "bound", "segment", F.expr("filter(entries, e -> bit_count(e.code ^ qcode) <= bound)").alias("entries"))
         found = met.where(F.size("entries") > 0).select("q", "qcode", "segment", F.explode("entries").alias("e")).where(first)
         rows = found.select("q", F.bit_count(F.col("e.code").bitwiseXOR(F.col("qcode"))).alias("distance"), F.explode("e.ids").alias("id")).where("id <> q")
         rows = rows if best is None else rows.unionByName(best)

@@ -125,3 +125,17 @@ def test_nearest_codes(spark):
     few = codes.where("id < 3")
     assert code_search.nearest(few, few, k=5).count() == 6
     assert code_search.nearest(codes.where("false"), codes.where("false"), k=5).count() == 0
+
+
+def test_probes_are_never_broadcast(spark, monkeypatch):
+    plans = []
+
+    def noted(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return written(df, name)
+
+    monkeypatch.setattr(code_search, "written", noted)
+    codes = written(spark.range(600).selectExpr("id", "xxhash64(id DIV 3) AS code"), "codes")
+    assert code_search.nearest(codes, codes.where("id % 50 = 0"), k=5).count() == 60
+    steps = [plan for name, plan in plans if name == "code-best"]
+    assert steps and all("SortMergeJoin [segment" in plan and "BroadcastHashJoin [segment" not in plan for plan in steps)
