@@ -1,7 +1,9 @@
 """Exact Jaccard join of word shingles by T-occurrence search (DivideSkip), in bounded groups.
 
 Two sets of sizes a <= b link only if b's overlap with a reaches T. So a link's sets share one of their first few
-shingles in any common order: that gives candidate groups without comparing texts. Within a group each set is searched
+shingles in any common order: that gives candidate pairs without comparing texts. Of these only pairs stay whose parity
+bitmaps differ in no more bits than linked sets could differ in shingles, else chance pairs, which grow with the square of
+the input, would tie most sets into few groups. What stays makes candidate groups. Within a group each set is searched
 among the smaller ones over inverted lists: the T - 1 longest lists are set aside, a heap merges the short ones into
 candidates (lists of thousands of postings are merged in blocks), and candidates are probed in the long lists by binary search. Sets that
 already belong together aren't compared again, so a group of copies costs a spanning tree, not its pairs.
@@ -26,6 +28,7 @@ import heapq
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -46,6 +49,10 @@ SEEN_HERE, SEEN = 2, 4
 BLOCK = 4_000_000
 #: Sets of a large group that all its sets are compared with first.
 PIVOTS = 4
+#: Sets that share a first shingle, up to which they are paired; more are joined to one of them.
+PAIRED = 64
+#: Bits of the largest parity bitmap.
+PARITY = 1 << 15
 #: Bits of the bitmap's size that tells which documents have candidates.
 MARKS = 20
 _PRIMES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -134,6 +141,27 @@ def in_order(shingles: np.ndarray, common: np.ndarray, size: int) -> np.ndarray:
     return np.concatenate((shingles[~often], shingles[often]))[:size]
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """A bit for each place that an odd number of the shingles falls on; about as many places as shingles, a power of two."""
+    size = min(PARITY, max(64, 1 << int(len(shingles) * 3 // 4).bit_length()))
+    odd = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def may_link(n1: int, bits1: bytes, n2: int, bits2: bytes, percent: int) -> bool:
+    """False only where the parity bitmaps differ in more bits than sets of these sizes that link can differ in shingles."""
+    a, b = int.from_bytes(bits1, "little"), int.from_bytes(bits2, "little")
+    size1, size2 = 8 * len(bits1), 8 * len(bits2)
+    while size1 > size2:  # of half as many places each is two of these together
+        size1 //= 2
+        a = a >> size1 ^ a & (1 << size1) - 1
+    while size2 > size1:
+        size2 //= 2
+        b = b >> size2 ^ b & (1 << size2) - 1
+    both = -(-percent * (n1 + n2) // (100 + percent))
+    return (a ^ b).bit_count() <= n1 + n2 - 2 * both
+
+
 def common_shingles(docs: DataFrame, percent: int, words: int, frequent: dict[bytes, int]) -> np.ndarray:
     """Shingles that many documents share, from all texts; at most COMMON, ascending."""
 
@@ -166,26 +194,28 @@ def common_shingles(docs: DataFrame, percent: int, words: int, frequent: dict[by
 
 
 def signatures(docs: DataFrame, common: np.ndarray, percent: int, words: int, frequent: dict[bytes, int]) -> DataFrame:
-    """(doc_id, n, signature of the whole set, its first shingles as bytes)."""
+    """(doc_id, n, signature of the whole set, its first shingles as bytes, its parity bitmap)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words, frequent)
         for batch in batches:
-            sizes, marks, firsts = [], [], []
+            sizes, marks, firsts, bits = [], [], [], []
             for text in batch.column(1):
                 s = shingler.shingles(text.as_py())
                 sizes.append(len(s))
                 marks.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 firsts.append(in_order(s, common, probe_length(len(s), percent)).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), pa.array(firsts, pa.binary())], names=["doc_id", "n", "mark", "firsts"])
+                bits.append(parity(s) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (marks, firsts, bits))], names=["doc_id", "n", "mark", "firsts", "bits"])
         del shingler
         release_memory()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, mark binary, firsts binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, mark binary, firsts binary, bits binary")
 
 
-def candidate_edges(nodes: DataFrame, percent: int) -> DataFrame:
-    """Edges between nodes that may link: those with a first shingle and sizes in common are joined to one of them."""
+def candidate_pairs(nodes: DataFrame, percent: int) -> DataFrame:
+    """(a, b, sure) for nodes with a first shingle and sizes in common. Where up to PAIRED share it, all such pairs; where more
+    do, each is joined to one of them: such edges are ``sure``, as they stand for pairs that aren't listed."""
 
     def lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,33 +232,80 @@ def candidate_edges(nodes: DataFrame, percent: int) -> DataFrame:
                 # a set's size and whether it is indexed by this shingle, in one number that sorts by size
                 yield pa.RecordBatch.from_arrays([pa.array(token[s]), pa.array((n[s] * 2 + index[s]).astype(np.int32)), pa.array(node[s])], names=["token", "size", "node"])
 
+    def edges(a: np.ndarray, b: np.ndarray, sure: bool) -> Iterator[pa.RecordBatch]:
+        pairs = np.stack((np.maximum(a, b), np.minimum(a, b)))[:, a != b]
+        if pairs.shape[1]:
+            pairs = np.unique(pairs, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(np.full(pairs.shape[1], sure))], names=["a", "b", "sure"])
+
+    def star(token: np.ndarray, n: np.ndarray, index: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple]:
+        """Edges of whole lists, and what the last is so far: its token, largest indexed size and head."""
+        fresh = np.concatenate(([True], token[1:] != token[:-1]))
+        # largest indexed size up to each row of its list: sizes ascend, so it is that of the last indexed row
+        base = np.cumsum(fresh) << 40
+        upto = np.maximum.accumulate(np.where(index, base + n, base)) - base
+        joined = ~fresh & (np.concatenate(([0], upto[:-1])) * 100 >= percent * n)
+        head = np.maximum.accumulate(np.where(joined, 0, np.arange(len(n))))
+        return node[head[joined]], node[joined], (token[-1], upto[-1], upto[-1] > 0, node[head[-1]])
+
+    def paired(n: np.ndarray, index: np.ndarray, node: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of lists; ``left`` says how many rows of its list stand behind each."""
+        a, b, at, d = [], [], np.nonzero(index & (left > 0))[0], 1
+        while len(at):
+            meet = at[n[at] * 100 >= percent * n[at + d]]
+            a.append(node[meet])
+            b.append(node[meet + d])
+            d += 1
+            at = at[left[at] >= d]
+        none = np.empty(0, np.int64)
+        return np.concatenate((none, *a)), np.concatenate((none, *b))
+
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # token, its run's first node, the largest indexed size so far, the size before
-        for batch in batches:
-            if not batch.num_rows:
+        held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool), np.empty(0, np.int64)]  # the open list
+        running = False  # it is long, and what is held is what star() told of it
+        for batch in chain(batches, [None]):  # the end closes the last list
+            if batch is not None:
+                token, size, node = (batch.column(i).to_numpy() for i in range(3))
+                n, index = size.astype(np.int64) >> 1, (size & 1).astype(bool)
+                held = [np.concatenate(x) for x in zip(held, (token, n, index, node))]
+            token, n, index, node = held
+            if not len(token):
                 continue
-            token, size, node = (batch.column(i).to_numpy() for i in range(3))
-            n, index = size.astype(np.int64) >> 1, (size & 1).astype(bool)
-            if last is not None:  # carries the open list over
-                token, node = np.concatenate(([last[0]], token)), np.concatenate(([last[1]], node))
-                n, index = np.concatenate(([last[2]], n)), np.concatenate(([last[2] > 0], index))
-            fresh = np.concatenate(([True], token[1:] != token[:-1]))
-            # largest indexed size up to each row of its list: sizes ascend, so it is that of the last indexed row
-            base = np.cumsum(fresh) << 40
-            upto = np.maximum.accumulate(np.where(index, base + n, base)) - base
-            joined = ~fresh & (np.concatenate(([0], upto[:-1])) * 100 >= percent * n)
-            head = np.maximum.accumulate(np.where(joined, 0, np.arange(len(n))))
-            a, b = node[head[joined]], node[joined]
-            if len(a):
-                pairs = np.unique(np.stack((np.maximum(a, b), np.minimum(a, b))), axis=1)
-                pairs = pairs[:, pairs[0] != pairs[1]]
-                if pairs.shape[1]:
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-            last = token[-1], node[head[-1]], int(upto[-1])
+            starts = np.concatenate(([0], np.nonzero(token[1:] != token[:-1])[0] + 1))
+            lengths = np.diff(np.concatenate((starts, [len(token)])))
+            long = lengths > PAIRED
+            long[0] |= running
+            open_at = len(token) if batch is None or long[-1] else starts[-1]
+            rows_long, left = np.repeat(long, lengths), np.repeat(starts + lengths, lengths) - np.arange(len(token)) - 1
+            rows_long, done = rows_long[:open_at], slice(0, open_at)
+            short = ~rows_long
+            yield from edges(*paired(n[done][short], index[done][short], node[done][short], left[done][short]), False)
+            held, running = [x[open_at:] for x in held], False
+            if rows_long.any():
+                a, b, last = star(*(x[done][rows_long] for x in (token, n, index, node)))
+                yield from edges(a, b, True)
+                if long[-1]:
+                    held, running = [np.array([x]) for x in last], True
 
     rows = nodes.select("node", "n", "firsts").mapInArrow(lists, "token bigint, size int, node bigint")
     dealt = rows.repartition("token").sortWithinPartitions("token", "size", "node")
-    return dealt.mapInArrow(join, "a bigint, b bigint")
+    return dealt.mapInArrow(join, "a bigint, b bigint, sure boolean")
+
+
+def candidate_edges(nodes: DataFrame, percent: int) -> DataFrame:
+    """Edges between nodes that may link: pairs that bitmaps don't rule out, and those that stand for long lists.
+    ``nodes``: (node, n, firsts, bits)."""
+
+    def test(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [may_link(*x, percent) for x in zip(*(batch.column(i).to_pylist() for i in range(2, 6)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    pairs = written(candidate_pairs(nodes, percent).groupBy("a", "b").agg(F.bool_or("sure").alias("sure")), "shingle-pairs")
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
+    both = pairs.where("NOT sure").select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    tested = both.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(test, "a bigint, b bigint")
+    return pairs.where("sure").select("a", "b").unionByName(tested)
 
 
 class _Sets:
@@ -442,7 +519,7 @@ def jaccard_components(docs: DataFrame, percent: int = 85, words: int = 4, id_co
     common = common_shingles(rows, percent, words, frequent)
     marks = written(signatures(rows, common, percent, words, frequent), "shingle-sets")
     linked = marks.where("doc_id IS NOT NULL AND n > 0")
-    sets = written(linked.groupBy("mark").agg(F.min(F.struct("doc_id", "n", "firsts")).alias("s")).select("mark", F.col("s.doc_id").alias("node"), "s.n", "s.firsts"), "shingle-nodes")
+    sets = written(linked.groupBy("mark").agg(F.min(F.struct("doc_id", "n", "firsts", "bits")).alias("s")).select("mark", F.col("s.doc_id").alias("node"), "s.n", "s.firsts", "s.bits"), "shingle-nodes")
     edges = candidate_edges(sets, percent)
     groups = components(edges)
     clusters = written(sets.select("node", "n").join(groups, "node").distinct(), "shingle-groups")

@@ -50,6 +50,43 @@ def test_groups_in_blocks(spark, monkeypatch):
     check(spark, list(enumerate(near + far)))
 
 
+def test_long_lists(spark, monkeypatch):
+    monkeypatch.setattr(S, "PAIRED", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)
+    rng = random.Random(9)
+    try:
+        check(spark, list(enumerate([t for size, edits in ((30, 2), (80, 5), (12, 1)) for t in family(rng, 14, size, edits)])))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_chance_pairs_make_no_groups(spark):
+    rng = random.Random(11)
+    other = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    passages = [other(20) for _ in range(101)]  # each text shares one with the next, so that chance ties many texts into groups
+    texts = [" ".join(passages[i] + other(85) + passages[i + 1] + other(75)) for i in range(100)]
+    texts += [" ".join([*texts[0].split()[:-1], "end"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frequent = S.frequent_words(docs)
+    nodes = S.signatures(docs, np.empty(0, np.uint64), 85, 4, frequent).withColumnRenamed("doc_id", "node")
+    assert {(r["a"], r["b"]) for r in S.candidate_edges(nodes, 85).collect()} == {(100, 0)}
+    check(spark, list(enumerate(texts)))
+
+
+def test_bitmaps_rule_out_no_link():
+    rng = np.random.default_rng(13)
+    for n in (1, 7, 64, 90, 700, 3000):
+        one = rng.choice(1 << 50, n, replace=False).astype(np.uint64)
+        for gone in range(0, n // 5 + 1, max(1, n // 20)):
+            for new in (0, gone):
+                two = np.concatenate((one[gone:], rng.choice(1 << 50, new, replace=False).astype(np.uint64)))
+                both = len(np.intersect1d(one, two))
+                if 100 * both >= 85 * (len(one) + len(two) - both):
+                    assert S.may_link(len(one), S.parity(one), len(two), S.parity(two), 85)
+    a, b = (rng.choice(1 << 50, 500, replace=False).astype(np.uint64) for _ in "ab")
+    assert not S.may_link(500, S.parity(a), 500, S.parity(b), 80)
+
+
 def test_divide_skip_is_exact():
     rng = random.Random(7)
     for _ in range(30):
