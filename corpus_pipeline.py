@@ -8,12 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafwork.llm.common import free_name, held_out, shared_dir
+from sheafwork.llm.common import free_name, held_out, shared_dir, written
 
 #: Score from which another language than the stated one counts as a contradiction.
 CONTRADICTION = 0.6
 #: Words of a shingle, and percent of shingles that near duplicates have in common.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
+#: Words of 64 bits of the bitmap that tells which ids may go or repeat.
+TOUCHED_WORDS = 1 << 17
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,14 +39,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id of each group of links, and all documents without an id. Rows of one id stay
-    or go together: an id goes if all its texts belong to groups of smaller ids; rows repeated with id and text stay once."""
+    or go together: an id goes if all its texts belong to groups of smaller ids; rows repeated with id and text stay once.
+    A bitmap tells most rows whose id neither goes nor repeats, so their texts don't move; the rest is joined by id."""
     from sheafwork.llm.shingle_join import jaccard_components
 
-    found = jaccard_components(docs, percent=NEAR_PERCENT, words=NEAR_WORDS)
-    mine = free_name(docs.columns, "kept_id")
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(mine)).distinct()
-    with_id = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col(mine)).drop(mine)
-    return with_id.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))
+    found = jaccard_components(docs, percent=NEAR_PERCENT, words=NEAR_WORDS).where("doc_id IS NOT NULL")
+    mine, word, bits = (free_name(docs.columns, x) for x in ("touched_id", "touched_word", "touched_bits"))
+    by_id = found.groupBy(F.col("doc_id").alias(mine)).agg(F.count("*").alias("n"), F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"))
+    touched = written(by_id.where("n > 1 OR NOT stays"), "touched-ids")
+    place = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(64 * TOUCHED_WORDS))
+    at = touched.select(F.shiftright(place(mine), 6).alias(word), F.call_function("shiftleft", F.lit(1).cast("long"), place(mine).bitwiseAND(63).cast("int")).alias(bits))
+    marks = at.groupBy(word).agg(F.bit_or(bits).alias(bits))
+    known = docs.where("doc_id IS NOT NULL")
+    marked = known.join(F.broadcast(marks), F.shiftright(place("doc_id"), 6) == F.col(word), "left")  # TOUCHED_WORDS rows at most
+    hit = F.coalesce(F.getbit(F.col(bits), place("doc_id").bitwiseAND(63).cast("int")) == 1, F.lit(False))
+    met = marked.where(hit).drop(word, bits).join(touched.where("NOT stays").select(mine), F.col("doc_id") == F.col(mine), "left_anti")
+    return marked.where(~hit).drop(word, bits).unionByName(met.dropDuplicates(["doc_id", "text"])).unionByName(docs.where("doc_id IS NULL"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

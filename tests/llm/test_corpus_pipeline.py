@@ -122,3 +122,21 @@ def test_near_duplicates_between_the_thresholds(spark, sf_dir):
     rows = [(1, replaced(50)), (2, replaced(50, 25)), (3, "a " + replaced(40).replace("w", "v")), (4, "a " + replaced(40, 20).replace("w", "v")), (None, replaced(50))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((r["doc_id"] for r in C.near_duplicates(spark, docs, sf_dir).collect()), key=str) == [1, 3, 4, None]
+
+
+def test_texts_that_neither_go_nor_repeat_do_not_move(spark):
+    rng = random.Random(8)
+    text = lambda: " ".join(f"{rng.randrange(1 << 40):x}" for _ in range(2000))
+    rows = [(i, text()) for i in range(200)]
+    rows += [(300, rows[0][1]), (1, rows[1][1]), (2, text()), (None, text())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    store, tracker = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext.statusTracker()
+    out = C.near_duplicates(spark, docs, "")
+    spark.sparkContext.setJobGroup("near-duplicates", "")
+    try:
+        got = out.collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    moved = sum(store.lastStageAttempt(s).shuffleWriteBytes() for j in tracker.getJobIdsForGroup("near-duplicates") for s in tracker.getJobInfo(j).stageIds)
+    assert ids(got) == ids([{"doc_id": i, "text": x} for i, x in set(rows) if i != 300])
+    assert moved < sum(len(x) for _, x in rows) / 10
